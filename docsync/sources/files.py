@@ -20,6 +20,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return exists(spark, path) and _fs(spark, path).getFileStatus(_path(spark, path)).isDirectory()
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Sorted names of the entries of a folder; empty if there is none."""
     if not exists(spark, path):
