@@ -26,6 +26,7 @@ class Cast:
 
     value: Column
     failed: Column
+    can_fail: bool = True
 
 
 def number_of_text(text: Column) -> Column:
@@ -40,7 +41,7 @@ def _python_bool(flag: Column) -> Column:
     return F.when(flag, "True").when(~flag, "False")
 
 
-def cast_variant(value: Column, schema: Column, column_type: str) -> Cast:
+def cast_variant(value: Column, schema: Column, column_type: str) -> Column:
     """Cast a VARIANT; ``schema`` is its ``schema_of_variant`` text.
 
     Pass ``schema`` as a column computed in an earlier projection, so that it
@@ -48,42 +49,35 @@ def cast_variant(value: Column, schema: Column, column_type: str) -> Cast:
     """
     kind = ct.canonical(column_type)
     get = lambda t: F.try_variant_get(value, "$", t)
-    present = schema.isNotNull() & (schema != "VOID")
     numeric = ct.is_numeric_schema(schema)
-    never = F.lit(False)
 
     if kind == ct.TEXT:
-        text = F.when(schema == "BOOLEAN", _python_bool(get("boolean"))).otherwise(get("string"))
-        return Cast(text, never)
-
+        return F.when(schema == "BOOLEAN", _python_bool(get("boolean"))).otherwise(get("string"))
     if kind == ct.DOUBLE:
-        out = F.when(numeric, get("double")).when(schema == "STRING", number_of_text(get("string")))
-        return Cast(out, present & out.isNull())
-
+        return F.when(numeric, get("double")).when(schema == "STRING", number_of_text(get("string")))
     if kind == ct.TIMESTAMP:
-        out = F.when(
+        return F.when(schema == "STRING", get("string").try_cast("timestamp_ntz")).when(
             schema.isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE"), get("timestamp_ntz")
-        ).when(schema == "STRING", get("string").try_cast("timestamp_ntz"))
-        return Cast(out, present & out.isNull())
-
-    if kind == ct.BOOLEAN:
-        empty = (schema == "OBJECT<>") | (
-            (schema == "ARRAY<VOID>") & (F.to_json(value) == "[]")
         )
-        out = (
-            F.when(~present, F.lit(None).cast("boolean"))
-            .when(schema == "BOOLEAN", get("boolean"))
+    if kind == ct.BOOLEAN:
+        empty = (schema == "OBJECT<>") | ((schema == "ARRAY<VOID>") & (F.to_json(value) == "[]"))
+        return (
+            F.when(schema == "BOOLEAN", get("boolean"))
             .when(numeric, get("double") != 0)
             .when(schema == "STRING", get("string") != "")
-            .otherwise(~empty)
+            .when(schema != "VOID", ~empty)
         )
-        return Cast(out, never)
-
     if kind == ct.JSONB:
         is_nan = schema.isin("DOUBLE", "FLOAT") & F.isnan(get("double"))
-        return Cast(F.when(present & ~is_nan, value), never)
+        return F.when((schema != "VOID") & ~is_nan, value)
+    return F.lit(None).cast("string")
+
 
-    return Cast(F.lit(None).cast("string"), present)
+def variant_failed(result: Column, schema: Column, column_type: str) -> Column:
+    """Was there a value that ``cast_variant`` could not make ``result`` of?"""
+    if ct.canonical(column_type) in (ct.TEXT, ct.BOOLEAN, ct.JSONB):
+        return F.lit(False)
+    return F.coalesce(schema != "VOID", F.lit(False)) & result.isNull()
 
 
 def cast_typed(value: Column, data_type: T.DataType, column_type: str) -> Cast:
@@ -93,7 +87,9 @@ def cast_typed(value: Column, data_type: T.DataType, column_type: str) -> Cast:
     target = ct.spark_type(kind)
 
     if isinstance(data_type, T.VariantType):
-        return cast_variant(value, F.schema_of_variant(value), column_type)
+        schema = F.schema_of_variant(value)
+        out = cast_variant(value, schema, column_type)
+        return Cast(out, variant_failed(out, schema, column_type))
     if target is None or isinstance(data_type, T.NullType):
         out = F.lit(None).cast(target or T.StringType())
         return Cast(out, value.isNotNull())
@@ -106,35 +102,35 @@ def cast_typed(value: Column, data_type: T.DataType, column_type: str) -> Cast:
 
     if kind == ct.TEXT:
         if is_bool:
-            return Cast(_python_bool(value), never)
-        return Cast(F.to_json(value) if is_nested else value.cast("string"), never)
+            return Cast(_python_bool(value), never, False)
+        return Cast(F.to_json(value) if is_nested else value.cast("string"), never, False)
 
     if kind == ct.DOUBLE:
         if is_number:
-            return Cast(value.cast("double"), never)
+            return Cast(value.cast("double"), never, False)
         out = number_of_text(value) if is_text else F.lit(None).cast("double")
         return Cast(out, value.isNotNull() & out.isNull())
 
     if kind == ct.TIMESTAMP:
         if is_time:
-            return Cast(value.cast("timestamp_ntz"), never)
+            return Cast(value.cast("timestamp_ntz"), never, False)
         out = value.try_cast("timestamp_ntz") if is_text else F.lit(None).cast("timestamp_ntz")
         return Cast(out, value.isNotNull() & out.isNull())
 
     if kind == ct.BOOLEAN:
         if is_bool:
-            return Cast(value, never)
+            return Cast(value, never, False)
         if is_number:
-            return Cast(value != 0, never)
+            return Cast(value != 0, never, False)
         if is_text:
-            return Cast(value != "", never)
+            return Cast(value != "", never, False)
         if isinstance(data_type, (T.ArrayType, T.MapType)):
-            return Cast(F.when(value.isNotNull(), F.size(value) > 0), never)
-        return Cast(F.when(value.isNotNull(), F.lit(True)), never)
+            return Cast(F.when(value.isNotNull(), F.size(value) > 0), never, False)
+        return Cast(F.when(value.isNotNull(), F.lit(True)), never, False)
 
     # jsonb
     if is_nested:
-        return Cast(F.to_variant_object(value), never)
+        return Cast(F.to_variant_object(value), never, False)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return Cast(F.when(~F.isnan(value), value.cast("variant")), never)
-    return Cast(value.cast("variant"), never)
+        return Cast(F.when(~F.isnan(value), value.cast("variant")), never, False)
+    return Cast(value.cast("variant"), never, False)

@@ -20,11 +20,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docsync.functions.cast import cast_variant
-from docsync.functions.naming import EXTRA_COLUMN, ref
-from docsync.functions.types import JSONB
+from docsync.functions.naming import ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
-from docsync.operators.project import FAILED, failed_fields, field_of
+from docsync.operators.project import FAILED, cast_fields, failed_fields
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
 DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
@@ -45,12 +43,9 @@ def touch(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False)
     """
     columns = list(cmap.value_columns)
     op = F.col("op")
-    values = [field_of(F.col("fields"), c.source).alias(f"_v{i}") for i, c in enumerate(columns)]
-    schemas = [F.schema_of_variant(F.col(f"_v{i}")).alias(f"_t{i}") for i in range(len(columns))]
-    ready = changes.select("id", "seq", "op", "fields", "removed", *values).select("*", *schemas)
+    ready, casts = cast_fields(changes.select("id", "seq", "op", "fields", "removed"), columns, "fields")
 
     out: list[Column] = [F.col("id"), F.col("seq"), op]
-    casts = [cast_variant(F.col(f"_v{i}"), F.col(f"_t{i}"), c.type) for i, c in enumerate(columns)]
     for i, (c, k) in enumerate(zip(columns, casts)):
         kind = F.col(f"_t{i}")
         removed = F.coalesce(F.array_contains("removed", c.source), F.lit(False))
@@ -59,7 +54,7 @@ def touch(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False)
             | ((op == UPDATE) & (kind.isNotNull() | removed))
             | ((op == INSERT) & (kind != "VOID"))
         )
-        out.append(F.when(removed, None).otherwise(k.value).cast(c.spark_type).alias(f"_c{i}"))
+        out.append(F.when(~removed, k.value).alias(f"_c{i}"))
         out.append(F.when(touched, F.col("seq")).alias(f"_s{i}"))
     failed = failed_fields(columns, casts)
     if cmap.extra_props:
@@ -246,19 +241,3 @@ def operation_runs(changes: DataFrame, levels: tuple[int | None, ...] = RUN_LEVE
         )
     return runs.select(*by, "op", "first_seq", "last_seq", "n_changes")
 
-
-__all__ = [
-    "EXTRA_COLUMN",
-    "JSONB",
-    "apply_changes",
-    "apply_fold",
-    "change_errors",
-    "empty_rows",
-    "fold",
-    "fold_changes",
-    "merge_folds",
-    "merge_updates",
-    "operation_runs",
-    "rows_of_fold",
-    "touch",
-]

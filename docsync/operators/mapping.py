@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docsync.functions import types as ct
-from docsync.functions.naming import EXTRA_COLUMN, EXTRA_SOURCE, KEY_COLUMN, KEY_SOURCE, snake_case
-from docsync.sources.documents import DEFAULT_SAMPLE, DOC, KEYS, SEQ, newest
+from docsync.functions.naming import EXTRA_COLUMN, EXTRA_SOURCE, KEY_COLUMN, KEY_SOURCE, ref, snake_case
+from docsync.sources.documents import DEFAULT_SAMPLE, DOC, KEYS, SEQ, from_table, is_document_frame, newest
 
 COLUMN_STRUCT = T.StructType(
     [
@@ -86,7 +86,7 @@ def make_map(collection: str, relation: str, columns: Iterable[tuple[str, str, s
 
 
 def field_votes(docs: DataFrame) -> DataFrame:
-    """One row per field of a document: ``(field, column, type, _seq, pos)``.
+    """One row per field of a document: ``(field, type, _seq, pos)``.
 
     Two fields of one document whose column names coincide: only the first
     counts.  ``type`` is null for a null value.
@@ -94,42 +94,78 @@ def field_votes(docs: DataFrame) -> DataFrame:
     entries = F.map_entries(F.col(DOC).try_cast("map<string,variant>"))
     if KEYS not in docs.columns:
         docs = docs.withColumn(KEYS, F.map_keys(F.col(DOC).try_cast("map<string,variant>")))
+    # Names can only coincide if the keys do without case and underscores;
+    # that is cheap to rule out, and nearly always the case.
+    bare = F.split(F.lower(F.replace(F.array_join(KEYS, ","), F.lit("_"), F.lit(""))), ",")
+    suspect = F.size(F.array_distinct(bare)) != F.size(KEYS)
     names = F.transform(F.col(KEYS), snake_case)
-    clash = F.size(F.array_distinct(F.col("_names"))) < F.size(F.col("_names"))
     first_of_name = F.filter(
         F.col("_entries"),
-        lambda e: F.array_position(F.col("_names"), snake_case(e["key"]))
-        == F.array_position(F.col(KEYS), e["key"]),
+        lambda e: F.array_position(names, snake_case(e["key"])) == F.array_position(F.col(KEYS), e["key"]),
     )
     return (
-        docs.select(SEQ, KEYS, names.alias("_names"), entries.alias("_entries"))
-        .select(SEQ, KEYS, F.explode(F.when(clash, first_of_name).otherwise(F.col("_entries"))).alias("e"))
+        docs.select(SEQ, KEYS, entries.alias("_entries"))
+        .select(SEQ, KEYS, F.explode(F.when(suspect, first_of_name).otherwise(F.col("_entries"))).alias("e"))
         .select(
             F.col("e.key").alias("field"),
             F.schema_of_variant("e.value").alias("_schema"),
             F.col(SEQ),
             F.array_position(F.col(KEYS), F.col("e.key")).alias("pos"),
         )
-        .select("field", snake_case(F.col("field")).alias("column"), ct.type_of_schema(F.col("_schema")).alias("type"), SEQ, "pos")
+        .select("field", ct.type_of_schema(F.col("_schema")).alias("type"), SEQ, "pos")
     )
 
 
-def type_histogram(docs: DataFrame, null_votes_as_jsonb: bool = False) -> DataFrame:
+def typed_votes(df: DataFrame, seq: str) -> DataFrame:
+    """Histogram of a typed collection: its columns' types are known, so all
+    that is read of a column is whether it is null.
+
+    Same columns as :func:`type_histogram`.  VARIANT columns are looked into
+    value by value there; here they are left to the caller.
+    """
+    order = ref(seq).cast("long")
+    fields = [(i + 1, f) for i, f in enumerate(df.schema.fields)]
+    sums = []
+    for i, f in fields:
+        null = ref(f.name).isNull()
+        sums += [
+            F.count_if(~null).alias(f"_n{i}"), F.max(F.when(~null, order)).alias(f"_s{i}"),
+            F.count_if(null).alias(f"_m{i}"), F.max(F.when(null, order)).alias(f"_r{i}"),
+        ]
+    votes = []
+    for i, f in fields:
+        for n, s, kind in (("_n", "_s", F.lit(ct.column_type_of(f.dataType))), ("_m", "_r", F.lit(None).cast("string"))):
+            votes.append(
+                F.struct(
+                    F.lit(f.name).alias("field"), kind.alias("type"), F.col(f"{n}{i}").alias("n"),
+                    F.col(f"{s}{i}").alias("newest"), F.lit(i).cast("long").alias("pos"),
+                )
+            )
+    return df.agg(*sums).select(F.inline(F.array(*votes))).where(F.col("n") > 0)
+
+
+def type_histogram(docs: DataFrame, null_votes_as_jsonb: bool = False, seq: str = SEQ) -> DataFrame:
     """Votes per field and type: ``(field, column, type, n, newest, pos)``.
 
     ``newest`` is the newest document with that vote and ``pos`` the field's
     place in it.  Votes are summed within each task before they are shuffled,
     so the shuffle carries a row per task, field and type, however many
-    documents share a field.
+    documents share a field.  A typed collection, ordered by ``seq``, is
+    counted column by column instead.
     """
-    votes = field_votes(docs)
-    if null_votes_as_jsonb:
-        votes = votes.withColumn("type", F.coalesce("type", F.lit(ct.JSONB)))
-    return votes.groupBy("field", "column", "type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(SEQ).alias("newest"),
-        F.max_by("pos", SEQ).alias("pos"),
-    )
+    any_type = F.coalesce("type", F.lit(ct.JSONB)) if null_votes_as_jsonb else F.col("type")
+    variants = not is_document_frame(docs) and any(isinstance(f.dataType, T.VariantType) for f in docs.schema.fields)
+    if variants:
+        docs = from_table(docs, seq)
+    if is_document_frame(docs):
+        sums = (F.count(F.lit(1)).alias("n"), F.max(SEQ).alias("newest"), F.max_by("pos", SEQ).alias("pos"))
+        votes = field_votes(docs).groupBy("field", any_type.alias("type")).agg(*sums)
+    else:
+        votes = typed_votes(docs, seq)
+        if null_votes_as_jsonb:
+            sums = (F.sum("n").alias("n"), F.max("newest").alias("newest"), F.max("pos").alias("pos"))
+            votes = votes.groupBy("field", any_type.alias("type")).agg(*sums)
+    return votes.select("field", snake_case(F.col("field")).alias("column"), "type", "n", "newest", "pos")
 
 
 def dominant_types(histogram: DataFrame) -> DataFrame:
@@ -148,15 +184,15 @@ def dominant_types(histogram: DataFrame) -> DataFrame:
     )
 
 
-def infer_columns(docs: DataFrame, sample: int | None = DEFAULT_SAMPLE, null_votes_as_jsonb: bool = False) -> DataFrame:
+def infer_columns(docs: DataFrame, sample: int | None = DEFAULT_SAMPLE, null_votes_as_jsonb: bool = False, seq: str = SEQ) -> DataFrame:
     """Columns of one collection: ``(column, source, type, newest, pos)``.
 
     ``sample`` limits the votes to the newest documents; ``None`` lets every
-    document vote.  When two fields lead to one column name, the first seen
+    document vote.  A typed collection is ordered by ``seq``.  When two fields lead to one column name, the first seen
     keeps it.
     """
-    seen = docs if sample is None else newest(docs, sample)
-    best = dominant_types(type_histogram(seen, null_votes_as_jsonb))
+    seen = docs if sample is None else newest(docs, sample, SEQ if is_document_frame(docs) else seq)
+    best = dominant_types(type_histogram(seen, null_votes_as_jsonb, seq))
     rank = F.struct(F.col("newest"), -F.col("pos"))
     return best.groupBy("column").agg(
         F.max_by("field", rank).alias("source"),
@@ -166,15 +202,22 @@ def infer_columns(docs: DataFrame, sample: int | None = DEFAULT_SAMPLE, null_vot
     )
 
 
-def infer_map(collections: dict[str, DataFrame], sample: int | None = DEFAULT_SAMPLE, null_votes_as_jsonb: bool = False) -> DataFrame:
+def infer_map(
+    collections: dict[str, DataFrame],
+    sample: int | None = DEFAULT_SAMPLE,
+    null_votes_as_jsonb: bool = False,
+    seqs: dict[str, str] | None = None,
+) -> DataFrame:
     """Map of several collections, sorted by name, columns in first-seen order.
 
+    ``seqs`` names the ordering column of each typed collection.
+
     Only the columns of a collection are gathered into one row: as many values
     as the table will have columns.
     """
     maps = []
     for position, name in enumerate(sorted(collections)):
-        columns = infer_columns(collections[name], sample, null_votes_as_jsonb)
+        columns = infer_columns(collections[name], sample, null_votes_as_jsonb, (seqs or {}).get(name, SEQ))
         ordered = F.sort_array(
             F.collect_list(
                 F.struct(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docsync.functions.cast import Cast, cast_typed, cast_variant
+from docsync.functions.cast import Cast, cast_typed, cast_variant, variant_failed
 from docsync.functions.naming import EXTRA_COLUMN, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.sources.documents import DOC, is_document_frame
@@ -32,22 +32,25 @@ def leftovers(doc: Column, mapped: list[str], failed: Column | None = None) -> C
 
 
 def cast_fields(df: DataFrame, columns: list[MappedColumn], doc: str = DOC) -> tuple[DataFrame, list[Cast]]:
-    """Prepare ``df`` so that every column's cast is a plain expression on it.
+    """``df`` with every column's cast value in it, and the casts by name.
 
-    The field and its type text are projected first and used by name after, so
-    each is worked out once however many branches of the cast look at it.
+    Field, type text and value are projected one after the other and used by
+    name after, so each is worked out once however many branches look at it.
     """
+    n = range(len(columns))
     values = [field_of(F.col(doc), c.source).alias(f"_v{i}") for i, c in enumerate(columns)]
-    schemas = [F.schema_of_variant(F.col(f"_v{i}")).alias(f"_t{i}") for i in range(len(columns))]
-    ready = df.select("*", *values).select("*", *schemas)
-    casts = [cast_variant(F.col(f"_v{i}"), F.col(f"_t{i}"), c.type) for i, c in enumerate(columns)]
-    return ready, casts
+    schemas = [F.schema_of_variant(F.col(f"_v{i}")).alias(f"_t{i}") for i in n]
+    results = [cast_variant(F.col(f"_v{i}"), F.col(f"_t{i}"), c.type).cast(c.spark_type).alias(f"_x{i}") for i, c in enumerate(columns)]
+    ready = df.select("*", *values).select("*", *schemas).select("*", *results)
+    return ready, [
+        Cast(F.col(f"_x{i}"), variant_failed(F.col(f"_x{i}"), F.col(f"_t{i}"), c.type)) for i, c in enumerate(columns)
+    ]
 
 
 def failed_fields(columns: list[MappedColumn], casts: list[Cast]) -> Column:
     """Names of the fields that held a value which did not fit."""
-    flags = [F.when(k.failed, F.lit(c.source)) for c, k in zip(columns, casts)]
-    return F.array_compact(F.array(*flags))
+    flags = [F.when(k.failed, F.lit(c.source)) for c, k in zip(columns, casts) if k.can_fail]
+    return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
 
 
 def project(docs: DataFrame, cmap: CollectionMap, keep: tuple[str, ...] = (), with_failures: bool = False) -> DataFrame:

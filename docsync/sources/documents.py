@@ -45,11 +45,6 @@ def parse_document(json_text: Column) -> Column:
     return F.coalesce(strict, repaired)
 
 
-def allow_duplicate_keys(spark: SparkSession) -> None:
-    """Let the last of several equal keys of one object win, instead of failing."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-
-
 def from_json(df: DataFrame, text: str, seq: str | Column) -> DataFrame:
     """Document frame from a column of JSON texts; see :func:`unparsable`."""
     raw = ref(text)
