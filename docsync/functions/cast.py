@@ -3,6 +3,9 @@
 Values arrive either as VARIANT (schemaless documents, type known per row) or
 as ordinary Spark columns (typed collections, type known when planning).  Both
 forms follow the same rules; nothing here can fail a job, even under ANSI mode.
+
+The rules for VARIANT are written as SQL text: a map may have hundreds of
+columns, and one text per column is built far faster than dozens of calls.
 """
 
 from __future__ import annotations
@@ -41,55 +44,62 @@ def _python_bool(flag: Column) -> Column:
     return F.when(flag, "True").when(~flag, "False")
 
 
-def cast_variant(value: Column, schema: Column, column_type: str) -> Column:
-    """Cast a VARIANT; ``schema`` is its ``schema_of_variant`` text.
+def variant_cast_sql(value: str, schema: str, column_type: str) -> str:
+    """SQL text casting the VARIANT column ``value``.
 
-    Pass ``schema`` as a column computed in an earlier projection, so that it
-    is worked out once per value and not once per branch.
+    ``schema`` names the column with its ``schema_of_variant`` text, computed
+    in an earlier projection so that it is worked out once per value.
     """
     kind = ct.canonical(column_type)
-    get = lambda t: F.try_variant_get(value, "$", t)
-    numeric = ct.is_numeric_schema(schema)
 
+    def get(t: str) -> str:
+        return f"try_variant_get({value}, '$', '{t}')"
+
+    numeric = f"({schema} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {schema} LIKE 'DECIMAL%')"
+    text = get("string")
     if kind == ct.TEXT:
-        return F.when(schema == "BOOLEAN", _python_bool(get("boolean"))).otherwise(get("string"))
+        return f"CASE WHEN {schema} = 'BOOLEAN' THEN if({get('boolean')}, 'True', 'False') ELSE {text} END"
     if kind == ct.DOUBLE:
-        return F.when(numeric, get("double")).when(schema == "STRING", number_of_text(get("string")))
+        return (
+            f"CASE WHEN {numeric} THEN {get('double')} "
+            f"WHEN {schema} = 'STRING' AND {text} RLIKE r'{NUMBER}' THEN try_cast(trim({text}) AS DOUBLE) END"
+        )
     if kind == ct.TIMESTAMP:
-        return F.when(schema == "STRING", get("string").try_cast("timestamp_ntz")).when(
-            schema.isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE"), get("timestamp_ntz")
+        return (
+            f"CASE WHEN {schema} = 'STRING' THEN try_cast({text} AS TIMESTAMP_NTZ) "
+            f"WHEN {schema} IN ('TIMESTAMP', 'TIMESTAMP_NTZ', 'DATE') THEN {get('timestamp_ntz')} END"
         )
     if kind == ct.BOOLEAN:
-        empty = (schema == "OBJECT<>") | ((schema == "ARRAY<VOID>") & (F.to_json(value) == "[]"))
         return (
-            F.when(schema == "BOOLEAN", get("boolean"))
-            .when(numeric, get("double") != 0)
-            .when(schema == "STRING", get("string") != "")
-            .when(schema != "VOID", ~empty)
+            f"CASE WHEN {schema} = 'BOOLEAN' THEN {get('boolean')} WHEN {numeric} THEN {get('double')} <> 0 "
+            f"WHEN {schema} = 'STRING' THEN {text} <> '' WHEN {schema} = 'OBJECT<>' THEN false "
+            f"WHEN {schema} = 'ARRAY<VOID>' THEN to_json({value}) <> '[]' WHEN {schema} <> 'VOID' THEN true END"
         )
     if kind == ct.JSONB:
-        is_nan = schema.isin("DOUBLE", "FLOAT") & F.isnan(get("double"))
-        return F.when((schema != "VOID") & ~is_nan, value)
-    return F.lit(None).cast("string")
+        nan = f"{schema} IN ('DOUBLE', 'FLOAT') AND isnan({get('double')})"
+        return f"CASE WHEN {schema} <> 'VOID' AND NOT ({nan}) THEN {value} END"
+    return "CAST(NULL AS STRING)"
 
 
-def variant_failed(result: Column, schema: Column, column_type: str) -> Column:
-    """Was there a value that ``cast_variant`` could not make ``result`` of?"""
-    if ct.canonical(column_type) in (ct.TEXT, ct.BOOLEAN, ct.JSONB):
-        return F.lit(False)
-    return F.coalesce(schema != "VOID", F.lit(False)) & result.isNull()
+def can_fail(column_type: str) -> bool:
+    """Is there any value this type cannot take?"""
+    return ct.canonical(column_type) not in (ct.TEXT, ct.BOOLEAN, ct.JSONB)
+
+
+def variant_failed_sql(result: str, schema: str, column_type: str) -> str:
+    """Was there a value that could not be made a ``result`` of?"""
+    return f"(coalesce({schema} <> 'VOID', false) AND {result} IS NULL)" if can_fail(column_type) else "false"
 
 
 def cast_typed(value: Column, data_type: T.DataType, column_type: str) -> Cast:
-    """Cast an ordinary column whose type is known when planning."""
+    """Cast an ordinary column whose type is known when planning.
+
+    A VARIANT is not one; its rules are in ``variant_cast_sql``.
+    """
     kind = ct.canonical(column_type)
     never = F.lit(False)
     target = ct.spark_type(kind)
 
-    if isinstance(data_type, T.VariantType):
-        schema = F.schema_of_variant(value)
-        out = cast_variant(value, schema, column_type)
-        return Cast(out, variant_failed(out, schema, column_type))
     if target is None or isinstance(data_type, T.NullType):
         out = F.lit(None).cast(target or T.StringType())
         return Cast(out, value.isNotNull())

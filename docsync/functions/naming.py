@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 # The key column and the two names of the leftovers column.
@@ -19,6 +21,20 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string literal as SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literals(texts: Iterable[str]) -> str:
+    return ", ".join(literal(t) for t in texts)
+
+
 def snake_case(name: Column) -> Column:
     """``firstName`` -> ``first_name``; ``_id`` -> ``id``."""
     split = F.regexp_replace(name, "([A-Z]+)", "_$1")

@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from docsync.functions.naming import ref
+from docsync.functions.naming import literal, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
-from docsync.operators.project import FAILED, cast_fields, failed_fields
+from docsync.operators.project import FAILED, cast_fields, failed_sql, leftovers_sql
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
 DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
@@ -42,52 +42,47 @@ def touch(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False)
     removes; a replace touches every mapped column.
     """
     columns = list(cmap.value_columns)
-    op = F.col("op")
-    ready, casts = cast_fields(changes.select("id", "seq", "op", "fields", "removed"), columns, "fields")
+    ready = cast_fields(changes.select("id", "seq", "op", "fields", "removed"), columns, "fields")
+    if cmap.extra_props or with_failures:
+        ready = ready.selectExpr("*", f"{failed_sql(columns)} AS {FAILED}")
 
-    out: list[Column] = [F.col("id"), F.col("seq"), op]
-    for i, (c, k) in enumerate(zip(columns, casts)):
-        kind = F.col(f"_t{i}")
-        removed = F.coalesce(F.array_contains("removed", c.source), F.lit(False))
+    out = ["id", "seq", "op"]
+    for i, c in enumerate(columns):
+        removed = f"coalesce(array_contains(removed, {literal(c.source)}), false)"
         touched = (
-            (op == REPLACE)
-            | ((op == UPDATE) & (kind.isNotNull() | removed))
-            | ((op == INSERT) & (kind != "VOID"))
+            f"op = '{REPLACE}' OR (op = '{UPDATE}' AND (_t{i} IS NOT NULL OR {removed})) "
+            f"OR (op = '{INSERT}' AND _t{i} <> 'VOID')"
         )
-        out.append(F.when(~removed, k.value).alias(f"_c{i}"))
-        out.append(F.when(touched, F.col("seq")).alias(f"_s{i}"))
-    failed = failed_fields(columns, casts)
+        out.append(f"if({removed}, NULL, _x{i}) AS _c{i}")
+        out.append(f"if({touched}, seq, NULL) AS _s{i}")
     if cmap.extra_props:
-        mapped = [c.source for c in cmap.columns]
-        rest = F.map_filter(
-            F.col("fields").try_cast("map<string,variant>"),
-            lambda key, _: ~key.isin(*mapped) | F.array_contains(failed, key),
-        )
         i = len(columns)
-        ready = ready.withColumn("_rest", rest)
-        touched = op.isin(INSERT, REPLACE) | ((op == UPDATE) & (F.size("_rest") > 0))
-        out.append(F.to_variant_object("_rest").alias(f"_c{i}"))
-        out.append(F.when(touched, F.col("seq")).alias(f"_s{i}"))
-    if with_failures:
-        out.append(failed.alias(FAILED))
-    return ready.select(*out)
+        ready = ready.selectExpr("*", f"{leftovers_sql('fields', list(cmap.columns), FAILED)} AS _rest")
+        touched = f"op IN ('{INSERT}', '{REPLACE}') OR (op = '{UPDATE}' AND size(_rest) > 0)"
+        out.append(f"to_variant_object(_rest) AS _c{i}")
+        out.append(f"if({touched}, seq, NULL) AS _s{i}")
+    return ready.selectExpr(*out, *([FAILED] if with_failures else []))
 
 
 def fold(touched: DataFrame, cmap: CollectionMap) -> DataFrame:
     """Touched changes -> fold, one row per id; one shuffle, of partial folds."""
-    is_delete = F.col("op") == DELETE
     parts = [
-        F.struct(F.max(f"_s{i}").alias("seq"), F.max_by(f"_c{i}", f"_s{i}").alias("value")).alias(c.column)
+        f"struct(max(_s{i}) AS seq, max_by(_c{i}, _s{i}) AS value) AS {quoted(c.column)}"
         for i, c in enumerate(_registers(cmap))
     ]
-    return touched.groupBy("id").agg(
-        F.max(F.when(is_delete, F.col("seq"))).alias(DELETED),
-        F.max(F.when(~is_delete, F.col("seq"))).alias(LIVE),
-        F.count(F.lit(1)).alias(CHANGES),
+    return _aggregate(
+        touched,
+        f"max(if(op = '{DELETE}', seq, NULL)) AS {DELETED}",
+        f"max(if(op <> '{DELETE}', seq, NULL)) AS {LIVE}",
+        f"count(1) AS {CHANGES}",
         *parts,
     )
 
 
+def _aggregate(df: DataFrame, *sums: str) -> DataFrame:
+    return df.groupBy("id").agg(*[F.expr(s) for s in sums])
+
+
 def fold_changes(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     return fold(touch(changes, cmap), cmap)
 
@@ -99,30 +94,28 @@ def merge_folds(folds: list[DataFrame], cmap: CollectionMap) -> DataFrame:
     both = reduce(DataFrame.unionByName, folds)
     parts = []
     for c in _registers(cmap):
-        seq, value = ref(c.column).getField("seq"), ref(c.column).getField("value")
-        parts.append(F.struct(F.max(seq).alias("seq"), F.max_by(value, seq).alias("value")).alias(c.column))
-    return both.groupBy("id").agg(
-        F.max(DELETED).alias(DELETED), F.max(LIVE).alias(LIVE), F.sum(CHANGES).alias(CHANGES), *parts
+        p = quoted(c.column)
+        parts.append(f"struct(max({p}.seq) AS seq, max_by({p}.value, {p}.seq) AS value) AS {p}")
+    return _aggregate(
+        both, f"max({DELETED}) AS {DELETED}", f"max({LIVE}) AS {LIVE}", f"sum({CHANGES}) AS {CHANGES}", *parts
     )
 
 
-def _alive() -> Column:
-    return F.col(LIVE).isNotNull() & (F.col(DELETED).isNull() | (F.col(LIVE) > F.col(DELETED)))
+_ALIVE = f"({LIVE} IS NOT NULL AND ({DELETED} IS NULL OR {LIVE} > {DELETED}))"
 
 
-def _touch_counts(part: Column) -> Column:
+def _counts(part: str) -> str:
     """Was this column touched after the last delete?"""
-    seq = part.getField("seq")
-    return seq.isNotNull() & (F.col(DELETED).isNull() | (seq > F.col(DELETED)))
+    return f"({part}.seq IS NOT NULL AND ({DELETED} IS NULL OR {part}.seq > {DELETED}))"
 
 
 def rows_of_fold(state: DataFrame, cmap: CollectionMap) -> DataFrame:
     """The rows a fold makes of an empty table."""
-    out = [F.col("id").alias(cmap.key.column)]
+    out = [f"id AS {quoted(cmap.key.column)}"]
     for c in _registers(cmap):
-        part = ref(c.column)
-        out.append(F.when(_touch_counts(part), part.getField("value")).alias(c.column))
-    return state.where(_alive()).select(*out)
+        p = quoted(c.column)
+        out.append(f"if({_counts(p)}, {p}.value, NULL) AS {p}")
+    return state.where(_ALIVE).selectExpr(*out)
 
 
 def apply_fold(base: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool = False) -> DataFrame:
@@ -135,27 +128,22 @@ def apply_fold(base: DataFrame, state: DataFrame, cmap: CollectionMap, small: bo
     """
     key = cmap.key.column
     registers = _registers(cmap)
-    state_side = state.select(
-        F.col("id").alias("_id_new"), DELETED, LIVE,
-        *[ref(c.column).alias(f"_p{i}") for i, c in enumerate(registers)],
-    )
+    renamed = [f"{quoted(c.column)} AS _p{i}" for i, c in enumerate(registers)]
+    state_side = state.selectExpr("id AS _id_new", DELETED, LIVE, *renamed)
+    merged_columns = [f"coalesce({quoted(key)}, _id_new) AS {quoted(key)}"] + [
+        f"CASE WHEN {_counts(f'_p{i}')} THEN _p{i}.value WHEN {DELETED} IS NULL THEN {quoted(c.column)} END AS {quoted(c.column)}"
+        for i, c in enumerate(registers)
+    ]
 
     def merged(joined: DataFrame) -> DataFrame:
-        out = [F.coalesce(ref(key), F.col("_id_new")).alias(key)]
-        for i, c in enumerate(registers):
-            part = F.col(f"_p{i}")
-            out.append(
-                F.when(_touch_counts(part), part.getField("value"))
-                .when(F.col(DELETED).isNull(), ref(c.column))
-                .alias(c.column)
-            )
-        return joined.where(F.col("_id_new").isNull() | _alive()).select(*out)
+        return joined.where(f"_id_new IS NULL OR {_ALIVE}").selectExpr(*merged_columns)
 
-    base = base.select(ref(key), *[ref(c.column) for c in registers])
+    base = base.selectExpr(quoted(key), *[quoted(c.column) for c in registers])
+    matches = ref(key) == F.col("_id_new")
     if not small:
-        return merged(base.join(state_side, ref(key) == F.col("_id_new"), "full_outer"))
+        return merged(base.join(state_side, matches, "full_outer"))
 
-    changed = merged(base.join(F.broadcast(state_side), ref(key) == F.col("_id_new"), "left"))
+    changed = merged(base.join(F.broadcast(state_side), matches, "left"))
     ids = state.select(F.col("id").alias("_new"))
     known = base.select(ref(key).alias("_known")).join(F.broadcast(ids), F.col("_known") == F.col("_new"), "left_semi")
     fresh = state.join(known, F.col("id") == F.col("_known"), "left_anti")
@@ -178,12 +166,11 @@ def merge_updates(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     ``merged`` tells that more than one update went in.
     """
     updates = changes.where(F.col("op").isin(UPDATE, REPLACE))
-    out = [F.col("id")]
+    out = ["id"]
     for c in _registers(cmap):
-        part = ref(c.column)
-        out.append(part.getField("value").alias(c.column))
-        out.append(part.getField("seq").isNotNull().alias(f"touched_{c.column}"))
-    return fold_changes(updates, cmap).select(*out, (F.col(CHANGES) > 1).alias("merged"))
+        p = quoted(c.column)
+        out += [f"{p}.value AS {p}", f"{p}.seq IS NOT NULL AS {quoted('touched_' + c.column)}"]
+    return fold_changes(updates, cmap).selectExpr(*out, f"{CHANGES} > 1 AS merged")
 
 
 def change_errors(changes: DataFrame, cmap: CollectionMap) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docsync.functions.cast import Cast, cast_typed, cast_variant, variant_failed
-from docsync.functions.naming import EXTRA_COLUMN, ref
+from docsync.functions.cast import can_fail, cast_typed, variant_cast_sql, variant_failed_sql
+from docsync.functions.naming import EXTRA_COLUMN, literal, literals, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.sources.documents import DOC, is_document_frame
 
@@ -14,43 +14,41 @@ FAILED = "_failed"
 
 def field_path(source: str) -> str:
     """Path of one top-level field, whatever characters its name holds."""
-    return "$['" + source.replace("'", "\\'") + "']" if '"' in source else f'$["{source}"]'
+    return f"$['{source}']" if '"' in source else f'$["{source}"]'
 
 
-def field_of(doc: Column, source: str) -> Column:
-    """Top-level field of a document: null if absent, variant null if null."""
-    return F.try_variant_get(doc, field_path(source), "variant")
-
-
-def leftovers(doc: Column, mapped: list[str], failed: Column | None = None) -> Column:
-    """Fields not in the map plus fields that did not fit, as one object."""
-    if failed is None:
-        keep = lambda k, _: ~k.isin(*mapped)
-    else:
-        keep = lambda k, _: ~k.isin(*mapped) | F.array_contains(failed, k)
-    return F.to_variant_object(F.map_filter(doc.try_cast("map<string,variant>"), keep))
+def cast_fields(df: DataFrame, columns: list[MappedColumn], doc: str = DOC) -> DataFrame:
+    """``df`` with, for each column ``i``, its field ``_v<i>``, the field's type
+    text ``_t<i>`` and the cast value ``_x<i>``.
 
+    They are projected one after the other and used by name after, so each is
+    worked out once however many branches look at it.
+    """
+    values = [f"try_variant_get({doc}, {literal(field_path(c.source))}, 'variant') AS _v{i}" for i, c in enumerate(columns)]
+    schemas = [f"schema_of_variant(_v{i}) AS _t{i}" for i in range(len(columns))]
+    results = [
+        f"CAST({variant_cast_sql(f'_v{i}', f'_t{i}', c.type)} AS {c.spark_type.simpleString()}) AS _x{i}"
+        for i, c in enumerate(columns)
+    ]
+    return df.selectExpr("*", *values).selectExpr("*", *schemas).selectExpr("*", *results)
 
-def cast_fields(df: DataFrame, columns: list[MappedColumn], doc: str = DOC) -> tuple[DataFrame, list[Cast]]:
-    """``df`` with every column's cast value in it, and the casts by name.
 
-    Field, type text and value are projected one after the other and used by
-    name after, so each is worked out once however many branches look at it.
-    """
-    n = range(len(columns))
-    values = [field_of(F.col(doc), c.source).alias(f"_v{i}") for i, c in enumerate(columns)]
-    schemas = [F.schema_of_variant(F.col(f"_v{i}")).alias(f"_t{i}") for i in n]
-    results = [cast_variant(F.col(f"_v{i}"), F.col(f"_t{i}"), c.type).cast(c.spark_type).alias(f"_x{i}") for i, c in enumerate(columns)]
-    ready = df.select("*", *values).select("*", *schemas).select("*", *results)
-    return ready, [
-        Cast(F.col(f"_x{i}"), variant_failed(F.col(f"_x{i}"), F.col(f"_t{i}"), c.type)) for i, c in enumerate(columns)
+def failed_sql(columns: list[MappedColumn]) -> str:
+    """Names of the fields that held a value which did not fit, as an array."""
+    flags = [
+        f"if({variant_failed_sql(f'_x{i}', f'_t{i}', c.type)}, {literal(c.source)}, NULL)"
+        for i, c in enumerate(columns)
+        if can_fail(c.type)
     ]
+    return f"array_compact(array({', '.join(flags)}))" if flags else "CAST(array() AS ARRAY<STRING>)"
 
 
-def failed_fields(columns: list[MappedColumn], casts: list[Cast]) -> Column:
-    """Names of the fields that held a value which did not fit."""
-    flags = [F.when(k.failed, F.lit(c.source)) for c, k in zip(columns, casts) if k.can_fail]
-    return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+def leftovers_sql(doc: str, columns: list[MappedColumn], failed: str | None = None) -> str:
+    """Fields not in the map plus fields that did not fit, as a map."""
+    keep = f"k NOT IN ({literals(c.source for c in columns)})" if columns else "true"
+    if failed:
+        keep += f" OR array_contains({failed}, k)"
+    return f"map_filter(try_cast({doc} AS MAP<STRING, VARIANT>), (k, v) -> {keep})"
 
 
 def project(docs: DataFrame, cmap: CollectionMap, keep: tuple[str, ...] = (), with_failures: bool = False) -> DataFrame:
@@ -60,39 +58,55 @@ def project(docs: DataFrame, cmap: CollectionMap, keep: tuple[str, ...] = (), wi
     ``with_failures`` adds the names of fields that did not fit.
     """
     columns = list(cmap.columns)
-    if is_document_frame(docs):
-        ready, casts = cast_fields(docs, columns)
-        doc = F.col(DOC)
-    else:
-        ready, doc = docs, None
-        casts = [
-            cast_typed(ref(c.source), docs.schema[c.source].dataType, c.type)
-            if c.source in docs.columns
-            else Cast(F.lit(None).cast(c.spark_type), F.lit(False))
-            for c in columns
-        ]
-    out = [k.value.cast(c.spark_type).alias(c.column) for c, k in zip(columns, casts)]
-    failed = failed_fields(columns, casts)
+    if not is_document_frame(docs):
+        return _project_typed(docs, cmap, keep, with_failures)
+    ready = cast_fields(docs, columns).selectExpr("*", f"{failed_sql(columns)} AS {FAILED}")
+    out = [f"_x{i} AS {quoted(c.column)}" for i, c in enumerate(columns)]
+    if cmap.extra_props:
+        out.append(f"to_variant_object({leftovers_sql(DOC, columns, FAILED)}) AS {EXTRA_COLUMN}")
+    out += [quoted(k) for k in keep] + ([FAILED] if with_failures else [])
+    return ready.selectExpr(*out)
+
+
+def _project_typed(docs: DataFrame, cmap: CollectionMap, keep: tuple[str, ...], with_failures: bool) -> DataFrame:
+    """The same for a typed collection: only the columns asked for are read."""
+    nested = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.VariantType)]
+    mixed = [c for c in cmap.columns if c.source in nested]
+    ready = docs
+    if mixed:
+        ready = docs.selectExpr("*", *[f"schema_of_variant({quoted(c.source)}) AS _t{i}" for i, c in enumerate(mixed)]).selectExpr(
+            "*", *[f"{variant_cast_sql(quoted(c.source), f'_t{i}', c.type)} AS _x{i}" for i, c in enumerate(mixed)]
+        )
+    values, flags = [], []
+    for c in cmap.columns:
+        if c in mixed:
+            i = mixed.index(c)
+            value, failed, may = F.col(f"_x{i}"), F.expr(variant_failed_sql(f"_x{i}", f"_t{i}", c.type)), can_fail(c.type)
+        elif c.source in docs.columns:
+            k = cast_typed(ref(c.source), docs.schema[c.source].dataType, c.type)
+            value, failed, may = k.value, k.failed, k.can_fail
+        else:
+            value, failed, may = F.lit(None), F.lit(False), False
+        values.append(value.cast(c.spark_type).alias(c.column))
+        if may:
+            flags.append((c.source, failed))
+    out = list(values)
     if cmap.extra_props:
-        mapped = [c.source for c in columns]
-        if doc is None:
-            rest = [ref(c) for c in docs.columns if c not in mapped and c not in keep]
-            unfit = [
-                F.when(k.failed, ref(c.source).cast("string")).alias(c.source)
-                for c, k in zip(columns, casts)
-                if c.source in docs.columns
-            ]
-            whole = F.to_variant_object(F.struct(*rest, *unfit)) if rest or unfit else F.lit(None).cast("variant")
-            names = F.array(*[F.lit(c) for c in docs.columns if c not in mapped])
-            entries = whole.try_cast("map<string,variant>")
-            extra = F.to_variant_object(
-                F.map_filter(entries, lambda k, _: F.array_contains(names, k) | F.array_contains(failed, k))
-            )
+        mapped = [c.source for c in cmap.columns]
+        rest = [c for c in docs.columns if c not in mapped and c not in keep]
+        unfit = [F.when(failed, ref(source).cast("string")).alias(source) for source, failed in flags]
+        if rest or unfit:
+            # Unmapped columns stay even when null; a mapped one only if it did not fit.
+            whole = F.to_variant_object(F.struct(*[ref(c) for c in rest], *unfit)).cast("map<string,variant>")
+            extra = F.map_filter(whole, lambda k, v: k.isin(*rest) | ~F.is_variant_null(v))
         else:
-            extra = leftovers(doc, mapped, failed)
-        out.append(extra.alias(EXTRA_COLUMN))
-    extra_cols = [ref(k) for k in keep] + ([failed.alias(FAILED)] if with_failures else [])
-    return ready.select(*out, *extra_cols)
+            extra = F.create_map().cast("map<string,variant>")
+        out.append(F.to_variant_object(extra).alias(EXTRA_COLUMN))
+    out += [ref(k) for k in keep]
+    if with_failures:
+        names = [F.when(failed, F.lit(source)) for source, failed in flags]
+        out.append((F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")).alias(FAILED))
+    return ready.select(*out)
 
 
 def cast_errors(docs: DataFrame, cmap: CollectionMap, ts: Column | None = None) -> DataFrame:
@@ -110,10 +124,9 @@ def cast_errors(docs: DataFrame, cmap: CollectionMap, ts: Column | None = None)
 
 def align(df: DataFrame, cmap: CollectionMap) -> DataFrame:
     """Columns in map order: absent ones null, others left out."""
-    fields = cmap.schema().fields
-    return df.select(
+    return df.selectExpr(
         *[
-            (ref(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in fields
+            quoted(f.name) if f.name in df.columns else f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+            for f in cmap.schema().fields
         ]
     )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docsync.functions import types as ct
-from docsync.functions.cast import cast_typed
+from docsync.functions.cast import can_fail, cast_typed, variant_failed_sql
 from docsync.functions.naming import namespace, snake_case, start_epoch
 from docsync.operators import evolve, fold, mapping, project, records, rows
 from docsync.plans import inputs
@@ -90,13 +90,13 @@ def cast_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("object_boolean", "object", ct.BOOLEAN), ("object_double", "object", ct.DOUBLE),
     ]
     columns = [mapping.MappedColumn(*w) for w in wanted]
-    ready, casts = project.cast_fields(o.select("o_orderkey", doc.alias("doc")), columns)
-    out = [F.col("o_orderkey")]
-    for c, k in zip(columns, casts):
-        out.append(k.value.alias(c.column))
-        if ct.canonical(c.type) in (ct.DOUBLE, ct.TIMESTAMP):
-            out.append(F.coalesce(k.failed, F.lit(False)).alias(f"{c.column}_failed"))
-    return ready.select(*out)
+    ready = project.cast_fields(o.select("o_orderkey", doc.alias("doc")), columns)
+    out = ["o_orderkey"]
+    for i, c in enumerate(columns):
+        out.append(f"_x{i} AS {c.column}")
+        if can_fail(c.type):
+            out.append(f"{variant_failed_sql(f'_x{i}', f'_t{i}', c.type)} AS {c.column}_failed")
+    return ready.selectExpr(*out)
 
 
 @query
