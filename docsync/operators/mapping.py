@@ -96,8 +96,8 @@ def field_votes(docs: DataFrame) -> DataFrame:
         docs = docs.withColumn(KEYS, F.map_keys(F.col(DOC).try_cast("map<string,variant>")))
     # Names can only coincide if the keys do without case and underscores;
     # that is cheap to rule out, and nearly always the case.
-    bare = F.split(F.lower(F.replace(F.array_join(KEYS, ","), F.lit("_"), F.lit(""))), ",")
-    suspect = F.size(F.array_distinct(bare)) != F.size(KEYS)
+    bare = f"split(lower(replace(array_join({KEYS}, ','), '_', '')), ',')"
+    suspect = F.expr(f"size(array_distinct({bare})) <> size({KEYS})")
     names = F.transform(F.col(KEYS), snake_case)
     first_of_name = F.filter(
         F.col("_entries"),
@@ -106,12 +106,7 @@ def field_votes(docs: DataFrame) -> DataFrame:
     return (
         docs.select(SEQ, KEYS, entries.alias("_entries"))
         .select(SEQ, KEYS, F.explode(F.when(suspect, first_of_name).otherwise(F.col("_entries"))).alias("e"))
-        .select(
-            F.col("e.key").alias("field"),
-            F.schema_of_variant("e.value").alias("_schema"),
-            F.col(SEQ),
-            F.array_position(F.col(KEYS), F.col("e.key")).alias("pos"),
-        )
+        .selectExpr("e.key AS field", "schema_of_variant(e.value) AS _schema", SEQ, f"array_position({KEYS}, e.key) AS pos")
         .select("field", ct.type_of_schema(F.col("_schema")).alias("type"), SEQ, "pos")
     )
 

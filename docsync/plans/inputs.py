@@ -83,14 +83,10 @@ def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.from_table(table(spark, sf_dir, "orders"), "o_orderkey", mixed_order_fields())
 
 
-def every_collection(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every given table as a collection of documents."""
-    out = {}
-    for name in TABLES:
-        df = table(spark, sf_dir, name)
-        first = next(f.name for f in df.schema.fields)
-        out[name] = documents.from_table(df, first)
-    return out
+def every_collection(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Every given table as a typed collection, and the column each is ordered by."""
+    out = {name: table(spark, sf_dir, name) for name in TABLES}
+    return out, {name: df.schema.fields[0].name for name, df in out.items()}
 
 
 # --------------------------------------------------------------------- feeds

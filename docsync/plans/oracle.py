@@ -136,6 +136,17 @@ SELECT table_name AS collection_name, table_name AS relation_name, ordinal_posit
 FROM information_schema.columns
 WHERE table_name IN ('benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels',
                      'lineitem', 'nation', 'orders', 'pages', 'part', 'region', 'supplier')""",
+    "inferred_document_map": _MIXED + """
+, placed AS (SELECT DISTINCT field, pos FROM votes)
+SELECT 'MixedOrders' AS collection_name, 'mixed_orders' AS relation_name, pos - 1 AS "position",
+       col AS "column", field AS source, upper(type) AS type
+FROM dominant JOIN placed USING (field)
+UNION ALL
+SELECT 'Events', 'events', p, c, s, t
+FROM (VALUES (0, 'id', '_id', 'DOUBLE PRECISION'), (1, 'created_at', 'createdAt', 'TEXT'), (2, 'user_id', 'userId', 'DOUBLE PRECISION'),
+             (3, 'event_type', 'eventType', 'TEXT'), (4, 'value', 'value', 'DOUBLE PRECISION'),
+             (5, 'has_value', 'hasValue', 'BOOLEAN'), (6, 'props', 'props', 'JSONB')) e(p, c, s, t)
+WHERE EXISTS (SELECT 1 FROM events)""",
     "sampled_map": "WITH " + _VOTES.format(source="(SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 100)") + """
 , placed AS (SELECT DISTINCT field, pos FROM votes)
 SELECT 'MixedOrders' AS collection_name, 'mixed_orders' AS relation_name, pos - 1 AS "position",

@@ -7,6 +7,7 @@ same questions as SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from docsync.operators import evolve, fold, mapping, project, records, rows
 from docsync.plans import inputs
 from docsync.plans.snapshot import loaded_frame, transfer
 from docsync.plans.tables import TableStore
+from docsync.session import configure
 from docsync.sources import collections, documents, feed
 from docsync.streaming.sync import start_sync
 
@@ -25,8 +27,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(configure(spark), sf_dir)
+
+    QUERIES[fn.__name__] = configured
+    return configured
 
 
 # ------------------------------------------------------- documents to rows
@@ -123,10 +129,18 @@ def dominant_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inferred_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map of every given table, all documents voting."""
-    maps = mapping.infer_map(inputs.every_collection(spark, sf_dir), sample=None)
+    typed, seqs = inputs.every_collection(spark, sf_dir)
+    maps = mapping.infer_map(typed, sample=None, seqs=seqs)
     return mapping.column_rows(maps)
 
 
+@query
+def inferred_document_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map of collections of JSON texts, all documents voting."""
+    texts = {"Events": inputs.event_documents(spark, sf_dir), "MixedOrders": inputs.mixed_orders(spark, sf_dir)}
+    return mapping.column_rows(mapping.infer_map(texts, sample=None))
+
+
 @query
 def sampled_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map from the newest documents only, as a first load does it."""
