@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from docsync.functions import types as ct
 from docsync.functions.cast import number_of_text
@@ -23,17 +23,24 @@ def map_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     change)`` with change one of added, removed, retyped, renamed, same.  A
     column both renamed and retyped is ``retyped`` with two column names.
     """
-    both = old.select("collection_name").join(new.select("collection_name"), "collection_name", "left_semi")
     on = ["collection_name", "source"]
 
-    def side(m: DataFrame, prefix: str) -> DataFrame:
-        return (
-            column_rows(m)
-            .join(both, "collection_name", "left_semi")
-            .select(*on, F.col("column").alias(f"{prefix}_column"), F.col("type").alias(f"{prefix}_type"))
+    def side(m: DataFrame, mine: str, other: str) -> DataFrame:
+        return column_rows(m).selectExpr(
+            *on, f"column AS {mine}_column", f"type AS {mine}_type",
+            f"CAST(NULL AS STRING) AS {other}_column", f"CAST(NULL AS STRING) AS {other}_type",
         )
 
-    joined = side(old, "old").join(side(new, "new"), on, "full_outer")
+    # Outer join by aggregate, so that each map is worked out only once.
+    parts = ["old_column", "new_column", "old_type", "new_type"]
+    joined = side(old, "old", "new").unionByName(side(new, "new", "old")).groupBy(*on).agg(*[F.max(p).alias(p) for p in parts])
+    # A window holds the columns of one collection.
+    w = Window.partitionBy("collection_name")
+    joined = (
+        joined.withColumn("_in_old", F.count("old_column").over(w))
+        .withColumn("_in_new", F.count("new_column").over(w))
+        .where("_in_old > 0 AND _in_new > 0")
+    )
     same_type = ct.canonical_column(F.col("old_type")) == ct.canonical_column(F.col("new_type"))
     change = (
         F.when(F.col("old_column").isNull(), "added")
@@ -45,18 +52,29 @@ def map_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return joined.select(*on, "old_column", "new_column", "old_type", "new_type", change.alias("change"))
 
 
+def _only_in(mine: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Collections of ``mine`` whose ``key`` the other map lacks.
+
+    An anti-join by aggregate: the sides are a row per collection each, and
+    names that are constants would otherwise turn it into a nested loop.
+    """
+    names = ["collection_name", "relation_name"]
+    both = mine.select(*names, F.lit(1).alias("_mine"), F.lit(0).alias("_other")).unionByName(
+        other.select(*names, F.lit(0).alias("_mine"), F.lit(1).alias("_other"))
+    )
+    found = F.collect_set(F.when(F.col("_mine") == 1, F.struct(*names)))
+    alone = both.groupBy(key).agg(F.max("_other").alias("_other"), found.alias("c")).where("_other = 0")
+    return alone.select(F.inline("c"))
+
+
 def to_track(old: DataFrame, new: DataFrame) -> DataFrame:
     """Collections only the new map has."""
-    return new.join(old.select("collection_name"), "collection_name", "left_anti").select(
-        "collection_name", "relation_name"
-    )
+    return _only_in(new, old, "collection_name")
 
 
 def to_untrack(old: DataFrame, new: DataFrame) -> DataFrame:
     """Collections whose table the new map no longer fills; the table stays."""
-    return old.join(new.select("relation_name"), "relation_name", "left_anti").select(
-        "collection_name", "relation_name"
-    )
+    return _only_in(old, new, "relation_name")
 
 
 def map_changes(old: DataFrame, new: DataFrame) -> DataFrame:

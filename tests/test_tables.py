@@ -1,0 +1,158 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from docsync.operators import fold, records
+from docsync.operators.mapping import make_map
+from docsync.plans import tables
+from docsync.plans.snapshot import load_collection, transfer
+from docsync.plans.tables import TableStore
+from docsync.sources import feed
+from tests.helpers import COMPANY, docs_frame, events_frame, rows_by_key
+
+THING = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "TEXT"), ("b", "b", "DOUBLE PRECISION")])
+DOCS = [{"_id": str(i), "a": f"v{i}", "b": i} for i in range(6)]
+
+
+def fold_of(spark, events):
+    return fold.fold_changes(feed.normalise(events_frame(spark, events)), THING)
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_life_of_a_table(spark, folder, buckets):
+    store = TableStore(spark, folder, buckets=buckets)
+    assert not store.exists("thing") and store.relations() == [] and store.position("thing") is None
+    store.create("thing", THING)
+    assert store.exists("thing") and store.read("thing").count() == 0 and store.schema("thing") == THING.schema()
+
+    load_collection(store, docs_frame(spark, DOCS), THING, position=10)
+    assert store.read("thing").count() == 6 and store.position("thing") == 10
+
+    # A later load upserts whole rows.
+    done = load_collection(store, docs_frame(spark, [{"_id": "1", "b": "bad"}, {"_id": "7", "a": "new"}]), THING)
+    assert (done.rows, done.failures) == (2, 1)
+    assert rows_by_key(store.read("thing"))["1"] == {"a": None, "b": None}
+    assert [r["message"] for r in store.service("errors").collect()] == ["value does not fit: b: 1"]
+
+    store.add_fold("thing", fold_of(spark, [("update", "Thing", "1", {"a": "x"}, None, 11), ("delete", "Thing", "2", {}, None, 12)]), THING, "f", 0)
+    store.add_fold("thing", fold_of(spark, [("insert", "Thing", "8", {"b": 1}, None, 14)]), THING, "f", 1)
+    before = store.commit_of("thing")
+    assert store.add_fold("thing", fold_of(spark, [("delete", "Thing", "8", {}, None, 99)]), THING, "f", 1) == before
+    want = rows_by_key(store.read("thing"))
+    assert want["1"]["a"] == "x" and "2" not in want and want["8"] == {"a": None, "b": 1.0} and len(want) == 7
+    assert store.position("thing") == 14 and len(before.folds) == 2 and before.base_position == 10
+
+    store.compact("thing")
+    after = store.commit_of("thing")
+    assert after.folds == () and after.base_position == 14 and rows_by_key(store.read("thing")) == want
+    assert {r["action"] for r in store.service("transfer_stats").collect()} == {"UPSERT", "FULL VACUUM"}
+    gone = store.clean("thing", keep=1)
+    assert len(gone) >= 4 and rows_by_key(store.read("thing")) == want
+    assert store.positions().first()["latest_successful_ts"] == 14
+
+    store.truncate(["thing"])
+    assert store.read("thing").count() == 0
+    store.drop(["thing"])
+    assert not store.exists("thing")
+    store.create("thing", THING)
+    store.reset()
+    assert store.relations() == []
+
+
+def test_small_folds_leave_the_table_unshuffled(spark, folder, monkeypatch):
+    store = TableStore(spark, folder)
+    store.publish("thing", spark.range(1000).selectExpr("cast(id AS string) AS id", "'x' AS a", "cast(id AS double) AS b"), THING)
+    events = [("update", "Thing", str(i), {"a": "y"}, None, i) for i in range(5)]
+    store.add_fold("thing", fold_of(spark, events), THING, "f", 0)
+    plan = store.read("thing")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    want = rows_by_key(store.read("thing"))
+    # Past the limit the same rows come by shuffle.
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        other = store.read("thing")
+        assert "FullOuter" in other._jdf.queryExecution().executedPlan().toString()
+        assert rows_by_key(other) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_table_is_not_shuffled_for_a_big_fold(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", 0)
+    store = TableStore(spark, folder, buckets=8)
+    store.publish("thing", spark.range(1000).selectExpr("cast(id AS string) AS id", "'x' AS a", "cast(id AS double) AS b"), THING)
+    store.add_fold("thing", fold_of(spark, [("update", "Thing", str(i), {"a": "y"}, None, i) for i in range(50)]), THING, "f", 0)
+    plan = store.read("thing")._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan and plan.count("Exchange") == 1
+    assert store.read("thing").where("a = 'y'").count() == 50
+    # Another session that never saw the table reads the same files.
+    spark.sql(f"DROP TABLE {tables._table_name(store.commit_of('thing').base)}")
+    assert store.read("thing").count() == 1000
+    store.compact("thing")
+    assert store.read("thing").where("a = 'y'").count() == 50
+
+
+def test_two_writers_cannot_make_one_commit(spark, folder):
+    store = TableStore(spark, folder)
+    store.create("thing", THING)
+    stale = store.commit_of("thing")
+    store.publish("thing", spark.createDataFrame([("1", "a", 1.0)], THING.schema()), THING)
+    with pytest.raises(RuntimeError):
+        store._put("thing", tables.replace(stale, number=stale.number + 1))
+
+
+def test_transfer_of_collections(spark, folder):
+    store = TableStore(spark, folder)
+    sources = {"Thing": docs_frame(spark, DOCS), "Company": docs_frame(spark, [{"_id": "c", "active": True}])}
+    maps = {"Thing": THING, "Company": COMPANY}
+    done = transfer(store, sources, maps, ["Company", "Ghost", "Thing"])
+    assert [(d.relation, d.action, d.rows) for d in done] == [("company", "UPSERT", 1), ("thing", "UPSERT", 6)]
+    assert transfer(store, sources, maps, ["Thing"], truncate=True)[0].action == "INSERT"
+    assert store.read("thing").count() == 6
+    assert transfer(store, sources, maps, drop=True)[0].action == "INSERT"
+    assert store.relations() == ["company", "thing"]
+    for name, schema in records.SERVICE_SCHEMAS.items():
+        assert store.service(name).schema.names == schema.names
+    with pytest.raises(ValueError):
+        transfer(store, sources, {})
+
+
+def test_load_evolves_the_table_first(spark, folder):
+    store = TableStore(spark, folder)
+    load_collection(store, docs_frame(spark, DOCS), THING)
+    changed = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "DOUBLE PRECISION"), ("c", "c", "BOOLEAN")])
+    done = load_collection(store, docs_frame(spark, [{"_id": "1", "a": "7", "c": 1}]), changed)
+    assert {(r.column, r.change) for r in done.evolution} == {("b", "removed"), ("c", "added"), ("a", "refused")}
+    rows = rows_by_key(store.read("thing"))
+    assert rows["1"] == {"a": "7", "c": True} and rows["2"] == {"a": "v2", "c": None}
+
+
+def test_catalog_tables(spark):
+    tables.reset_schema(spark, "docsync_test")
+    try:
+        tables.create_schema(spark, "docsync_test")
+        t = "docsync_test.thing"
+        assert not tables.table_exists(spark, t)
+        tables.create_table(spark, t, THING)
+        tables.create_table(spark, t, THING)
+        assert [tuple(r) for r in tables.table_columns(spark, t).collect()] == [("id", "string"), ("a", "string"), ("b", "double")]
+        spark.sql(f"INSERT INTO {t} VALUES ('1', 'x', 2.0)")
+        tables.add_table_columns(spark, t, {"c": T.BooleanType()})
+        assert spark.table(t).select("c").first()[0] is None
+        tables.analyze_table(spark, t)
+        tables.truncate_tables(spark, [t])
+        assert spark.table(t).isEmpty()
+        tables.drop_tables(spark, [t, "docsync_test.ghost"])
+        assert not tables.table_exists(spark, t)
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS docsync_test CASCADE")
+
+
+def test_variants_survive_versions(spark, folder):
+    store = TableStore(spark, folder, buckets=2)
+    m = COMPANY.with_extra_props()
+    load_collection(store, docs_frame(spark, [{"_id": "c", "domains": ["a"], "more": {"x": 1}}]), m)
+    row = store.read("company").select(F.to_json("domains"), F.to_json("_extra_props")).first()
+    assert tuple(row) == ('["a"]', '{"more":{"x":1}}')
