@@ -108,9 +108,14 @@ def non_null_touched(columns: Sequence[str], unset: str | None = None) -> dict[s
 
 
 def delete_keys(base: DataFrame, doomed: DataFrame, key: Keys = KEY_COLUMN) -> DataFrame:
-    """Remove rows by key."""
+    """Remove rows by key.
+
+    A key may be named any number of times: repeats are taken out within each
+    task, before they could pile up in one.
+    """
     keys = _keys(key)
-    return base.join(doomed.select(*[ref(k) for k in keys]), keys, "left_anti").select(*[ref(c) for c in base.columns])
+    once = doomed.select(*[ref(k) for k in keys]).distinct()
+    return base.join(once, keys, "left_anti").select(*[ref(c) for c in base.columns])
 
 
 def key_violations(df: DataFrame, key: Keys = KEY_COLUMN) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -216,11 +216,20 @@ class TableStore:
         commit = self.commit_of(relation)
         return commit is not None and commit.batches.get(feed, -1) >= batch_id
 
-    def add_fold(self, relation: str, state: DataFrame, cmap: CollectionMap, feed: str, batch_id: int) -> Commit:
+    def add_fold(
+        self,
+        relation: str,
+        state: DataFrame,
+        cmap: CollectionMap,
+        feed: str,
+        batch_id: int,
+        before_commit: Callable[[], None] | None = None,
+    ) -> Commit:
         """Lay a folded batch on top of the table; a repeat does nothing.
 
         The row count and last position are taken while writing.  The commit
         also keeps what the table already held when this feed began.
+        ``before_commit`` runs when the fold is written but not yet visible.
         """
         old = self.commit_of(relation) or self.create(relation, cmap)
         if old.batches.get(feed, -1) >= batch_id:
@@ -232,6 +241,8 @@ class TableStore:
             "overwrite"
         ).parquet(path)
         rows, last_seq = seen.get["rows"], seen.get["last"]
+        if before_commit is not None:
+            before_commit()
         added = FoldFile(path, rows, files.size(self.spark, path))
         known = [p for p in (old.position, last_seq) if p is not None]
         return self._put(

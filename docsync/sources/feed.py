@@ -34,6 +34,9 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+# Collection names that may be broadcast.
+MAX_BROADCAST_NAMES = 100_000
+
 # Columns of a normalised change.
 CHANGE_COLUMNS = ("db_name", "coll_name", "id", "seq", "op", "fields", "removed")
 
@@ -66,8 +69,15 @@ def mapped(events: DataFrame, collections: Iterable[str]) -> DataFrame:
 
 
 def in_map(events: DataFrame, namespace: Column, map_df: DataFrame) -> DataFrame:
-    """Same test against the map held as a DataFrame, by ``db.coll`` name."""
-    names = map_df.select(F.col("collection_name").alias("_mapped"))
+    """Same test against the map held as a DataFrame, by ``db.coll`` name.
+
+    The names are counted first, and broadcast if they are few, as names of
+    collections are: one collection may be most of the feed and should stay
+    spread out.
+    """
+    names = map_df.select(F.col("collection_name").alias("_mapped")).distinct()
+    if names.limit(MAX_BROADCAST_NAMES + 1).count() <= MAX_BROADCAST_NAMES:
+        names = F.broadcast(names)
     return events.join(names, namespace_collection(namespace) == F.col("_mapped"), "left_semi")
 
 

@@ -6,13 +6,14 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsync.operators import records
 from docsync.operators.evolve import backfill, effective_map, evolve
-from docsync.operators.fold import change_errors, fold_changes
+from docsync.operators.fold import change_errors, fold, touch
 from docsync.operators.mapping import CollectionMap
+from docsync.operators.project import FAILED
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
 from docsync.sources import feed as feed_source
@@ -77,9 +78,18 @@ def _apply_collection(store: TableStore, cmap: CollectionMap, events: DataFrame,
         changes = changes.where(F.col("seq") > passed)
     if audit:
         store.append_service("audit", records.audit_rows(changes, cmap), part)
-    _append_errors(store, change_errors(changes, cmap), f"cast-{part}")
-    # The fold comes last: once it is committed the batch is done.
-    store.add_fold(relation, fold_changes(changes, cmap), cmap, feed, batch_id)
+    # Values that do not fit are counted while folding, and only if there are
+    # any is the batch gone through again for them.  The commit comes last:
+    # once it is made the batch is done.
+    seen = Observation()
+    flagged = touch(changes, cmap, with_failures=True)
+    counted = flagged.observe(seen, F.sum(F.size(FAILED)).alias("failures"))
+
+    def errors_first() -> None:
+        if seen.get["failures"]:
+            store.append_service("errors", change_errors(changes, cmap), f"cast-{part}")
+
+    store.add_fold(relation, fold(counted, cmap), cmap, feed, batch_id, errors_first)
 
 
 def _append_errors(store: TableStore, errors: DataFrame, part: str) -> None:
@@ -134,7 +144,6 @@ def start_sync(
     position.  With no ``interval`` everything available is taken, in as many
     batches as the source's limits ask for, and the query ends.
     """
-    spark = store.spark
     current: dict[str, Maps] = {"asked": {}, "used": {}}
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -148,7 +157,6 @@ def start_sync(
     chosen = events if start is None else feed_source.since(events, start)
     writer = chosen.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
     return writer.start()
 
 
