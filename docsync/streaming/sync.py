@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docsync.operators import records
 from docsync.operators.evolve import backfill, effective_map, evolve
-from docsync.operators.fold import change_errors, fold, touch
+from docsync.operators.fold import change_errors, fold, fold_changes, is_wide, touch
 from docsync.operators.mapping import CollectionMap
 from docsync.operators.project import FAILED
 from docsync.plans.snapshot import load_collection, transfer
@@ -81,6 +81,10 @@ def _apply_collection(store: TableStore, cmap: CollectionMap, events: DataFrame,
     # Values that do not fit are counted while folding, and only if there are
     # any is the batch gone through again for them.  The commit comes last:
     # once it is made the batch is done.
+    if is_wide(cmap):
+        wide_errors = lambda: _append_errors(store, change_errors(changes, cmap), f"cast-{part}")
+        store.add_fold(relation, fold_changes(changes, cmap), cmap, feed, batch_id, wide_errors)
+        return
     seen = Observation()
     flagged = touch(changes, cmap, with_failures=True)
     counted = flagged.observe(seen, F.sum(F.size(FAILED)).alias("failures"))

@@ -105,6 +105,26 @@ def test_fold_equals_replay_in_any_batching(spark, seed):
     assert as_source(no_base) == replay({}, events, ["a", "b"])
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_sparse_fold_is_the_same_fold(spark, seed):
+    events = random_events(300, 40 + seed)
+    whole = changes(spark, events)
+    dense, sparse = fold.fold(fold.touch(whole, TWO), TWO), fold.fold_sparse(whole, TWO)
+    assert sorted(map(repr, sparse.select(dense.columns).collect())) == sorted(map(repr, dense.collect()))
+    parts = [fold.fold_sparse(changes(spark, events[:100]), TWO), fold.fold(fold.touch(changes(spark, events[100:]), TWO), TWO)]
+    got = fold.rows_of_fold(fold.merge_folds([p.select(dense.columns) for p in parts], TWO), TWO)
+    assert as_source(got) == replay({}, events, ["a", "b"])
+
+
+def test_wide_maps_are_folded_by_field(spark):
+    n = fold.WIDE_MAP + 1
+    wide = make_map("Wide", "wide", [("id", "_id", "TEXT")] + [(f"c{i}", f"c{i}", "DOUBLE PRECISION") for i in range(n)])
+    assert fold.is_wide(wide) and not fold.is_wide(TWO)
+    events = [("insert", "Wide", "1", {"c1": 1, "c2": 2}, None, 1), ("update", "Wide", "1", {"c2": None, "c3": "bad"}, ["c1"], 2), ("update", "Wide", "1", {"c5": 5}, None, 3)]
+    row = fold.rows_of_fold(fold.fold_changes(changes(spark, events), wide), wide).first()
+    assert (row["id"], row["c1"], row["c2"], row["c3"], row["c5"]) == ("1", None, None, None, 5.0) and len(row) == n + 1
+
+
 def test_extra_props_follow_the_newest_leftovers(spark):
     m = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "DOUBLE PRECISION")], extra_props=True)
     events = [
