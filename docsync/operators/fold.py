@@ -225,7 +225,7 @@ def merge_updates(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
 def change_errors(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     """One row per changed value that did not fit: ``(location, message, ts)``."""
     rows = touch(changes, cmap, with_failures=True)
-    return rows.select("id", "seq", F.explode(FAILED).alias("_field")).select(
+    return rows.select("id", "seq", F.explode_outer(FAILED).alias("_field")).where("_field IS NOT NULL").select(
         F.lit(cmap.relation).alias("location"),
         F.concat_ws(": ", F.lit("value does not fit"), F.col("_field"), F.col("id")).alias("message"),
         F.unix_timestamp().cast("int").alias("ts"),

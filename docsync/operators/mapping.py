@@ -103,9 +103,12 @@ def field_votes(docs: DataFrame) -> DataFrame:
         F.col("_entries"),
         lambda e: F.array_position(names, snake_case(e["key"])) == F.array_position(F.col(KEYS), e["key"]),
     )
+    # The outer form: a plain explode makes Spark filter empty documents out
+    # first, working out every document's entries twice.
     return (
         docs.select(SEQ, KEYS, entries.alias("_entries"))
-        .select(SEQ, KEYS, F.explode(F.when(suspect, first_of_name).otherwise(F.col("_entries"))).alias("e"))
+        .select(SEQ, KEYS, F.explode_outer(F.when(suspect, first_of_name).otherwise(F.col("_entries"))).alias("e"))
+        .where("e.key IS NOT NULL")
         .selectExpr("e.key AS field", "schema_of_variant(e.value) AS _schema", SEQ, f"array_position({KEYS}, e.key) AS pos")
         .select("field", ct.type_of_schema(F.col("_schema")).alias("type"), SEQ, "pos")
     )

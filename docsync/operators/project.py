@@ -113,7 +113,8 @@ def cast_errors(docs: DataFrame, cmap: CollectionMap, ts: Column | None = None)
     """One error row per value that did not fit: ``(location, message, ts)``."""
     rows = project(docs, cmap, with_failures=True)
     return (
-        rows.select(ref(cmap.key.column).alias("_id"), F.explode(FAILED).alias("_field"))
+        rows.select(ref(cmap.key.column).alias("_id"), F.explode_outer(FAILED).alias("_field"))
+        .where("_field IS NOT NULL")
         .select(
             F.lit(cmap.relation).alias("location"),
             F.concat_ws(": ", F.lit("value does not fit"), F.col("_field"), F.col("_id").cast("string")).alias("message"),
