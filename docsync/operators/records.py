@@ -54,7 +54,7 @@ def audit_rows(changes: DataFrame, cmap: CollectionMap, ts: Column | None = None
     rows = changes.groupBy("id", "op").agg(
         F.max("seq").alias("seq"),
         F.count(F.lit(1)).alias("n"),
-        F.max_by(F.to_json("fields"), "seq").alias("document"),
+        F.to_json(F.max_by("fields", "seq")).alias("document"),
     )
     return rows.select(
         "seq",
