@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -12,10 +13,12 @@ from docsync.operators import records
 from docsync.operators.evolve import ColumnChange, effective_map, evolve
 from docsync.operators.mapping import CollectionMap
 from docsync.operators.project import FAILED, cast_errors, project
-from docsync.operators.rows import delete_keys
+from docsync.operators.rows import delete_keys, one_per_key
 from docsync.plans.tables import TableStore, stats_row
 from docsync.sources.documents import DOC, is_document_frame
 
+log = logging.getLogger("docsync")
+
 
 @dataclass(frozen=True)
 class Loaded:
@@ -35,6 +38,7 @@ def load_collection(
     mode: str | None = None,
     position: int | None = None,
     action: str | None = None,
+    order: str | None = None,
 ) -> Loaded:
     """Load one collection as the next version of its table.
 
@@ -42,6 +46,9 @@ def load_collection(
     later ones upsert whole rows.  One pass over the documents; counts of rows
     and of values that did not fit are taken along the way, and only if some
     did not fit are they looked at again for the error table.
+
+    Ids of a collection are unique, so none are looked for twice; where they
+    are not, ``order`` names the column by which the last document wins.
     """
     spark, relation = store.spark, cmap.relation
     started = int(time.time())
@@ -57,7 +64,9 @@ def load_collection(
         used = effective_map(cmap, report)
 
     seen = Observation()
-    flagged = project(docs, used, with_failures=True)
+    flagged = project(docs, used, keep=(order,) if order else (), with_failures=True)
+    if order:
+        flagged = one_per_key(flagged, used.key.column, order).drop(order)
     counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(FAILED)).alias("failures"))
     rows = counted.drop(FAILED)
     if table is not None:
@@ -90,6 +99,9 @@ def transfer(
     if not maps:
         raise ValueError("the map names no collections")
     wanted = list(maps if requested is None else requested)
+    absent = [c for c in wanted if c not in collections or c not in maps]
+    if absent:
+        log.warning("not loaded, for want of a collection or a map: %s", ", ".join(absent))
     chosen = [maps[c] for c in wanted if c in collections and c in maps]
     relations = [m.relation for m in chosen]
     if drop:

@@ -20,6 +20,7 @@ from dataclasses import asdict, dataclass, field, replace
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from docsync.functions.naming import ref
+from docsync.functions.types import same_type
 from docsync.operators import records
 from docsync.operators.fold import CHANGES, DELETED, LIVE, apply_fold, empty_rows, merge_folds
 from docsync.operators.mapping import CollectionMap, make_map
@@ -139,7 +140,12 @@ class TableStore:
         if not commit.buckets:
             return self.spark.read.schema(cmap.schema()).parquet(commit.base)
         name = _table_name(commit.base)
-        if not self.spark.catalog.tableExists(name):
+        known = self.spark.catalog.tableExists(name)
+        if known and self.spark.table(name).schema.names != cmap.schema().names:
+            # Registered before columns were added; only the entry goes.
+            self.spark.sql(f"DROP TABLE {name}")
+            known = False
+        if not known:
             key = cmap.key.column
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cmap.schema().fields)
             self.spark.sql(
@@ -196,6 +202,19 @@ class TableStore:
         old = commit or Commit()
         return self._put(relation, Commit(number=old.number + 1, version=old.version, map=_map_dict(cmap)))
 
+    def widen(self, relation: str, cmap: CollectionMap) -> Commit:
+        """Columns added, or put in another order: no data is written.
+
+        Files lack the new columns, and read as null there.  Nothing may be
+        waiting on top of the version, and no column may go or change.
+        """
+        old = self.commit_of(relation)
+        have = {c.column: c for c in _map_of(old.map).details()}
+        kept = {c.column: c for c in cmap.details() if c.column in have}
+        if old.folds or len(kept) < len(have) or any(not same_type(have[c].type, k.type) for c, k in kept.items()):
+            raise ValueError(f"{relation}: more than added columns")
+        return self._put(relation, replace(old, number=old.number + 1, map=_map_dict(cmap)))
+
     def truncate(self, relations: Iterable[str]) -> None:
         for r in relations:
             commit = self.commit_of(r)

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docsync.sources import files
+
 NAME = "collection_name"
 NAME_SCHEMA = f"{NAME} string, position int"
 
@@ -19,13 +21,10 @@ def list_catalog(spark: SparkSession, schema: str | None = None) -> DataFrame:
 def list_folder(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """Names of the collections stored as files or folders under ``path``.
 
-    Only names are listed; the ``binaryFile`` reader's content column is pruned.
+    One listing of that folder, however many files the collections consist of.
     """
-    name = F.regexp_extract(F.col("path"), r"([^/]+?)(\.[A-Za-z0-9]+)?(/part-[^/]*)?$", 1)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    if suffix:
-        files = files.where(F.contains(F.col("path"), F.lit(suffix)))
-    return files.select(name.alias(NAME)).distinct().orderBy(NAME)
+    found = [n.removesuffix(suffix) for n in files.names(spark, path) if n.endswith(suffix) and n[0] not in "._"]
+    return spark.createDataFrame([(n,) for n in found], f"{NAME} string").orderBy(NAME)
 
 
 def requested(spark: SparkSession, names: Iterable[str]) -> DataFrame:

@@ -104,7 +104,8 @@ def _append_errors(store: TableStore, errors: DataFrame, part: str) -> None:
 def refresh_maps(store: TableStore, old: Maps, new: Maps, collections: Collections | None = None) -> Maps:
     """Follow a changed map: evolve tables, load new ones, stop filling others.
 
-    Added columns are filled from the collection where it can be read.  Gives
+    Added columns are filled from the collection where it can be read; a table
+    is written again only if its rows change.  Gives
     the maps to go on with: the old type where a retype was refused.
     """
     out: Maps = {}
@@ -122,10 +123,18 @@ def refresh_maps(store: TableStore, old: Maps, new: Maps, collections: Collectio
             # read() has the waiting folds in it, under the map they were made with.
             table, report = evolve(store.read(cmap.relation), cmap)
             used = effective_map(cmap, report)
+            if used == store.map_of(cmap.relation):
+                out[name] = used  # nothing to do, or nothing that could be done
+                continue
             added = [r.column for r in report if r.change == "added" and r.column in {c.column for c in used.columns}]
-            if added and name in collections:
+            fill = bool(added) and name in collections
+            if fill:
                 table = backfill(table, collections[name], used, added)
-            store.publish(cmap.relation, table, used)
+            waiting = store.commit_of(cmap.relation).folds
+            if not fill and not waiting and all(r.change in ("added", "refused") for r in report):
+                store.widen(cmap.relation, used)
+            else:
+                store.publish(cmap.relation, table, used)
             out[name] = used
     return out
 

@@ -107,3 +107,24 @@ def test_map_is_followed_while_running(spark, folder):
     put(f"{folder}/feed", "2.json", [("update", "Thing", "1", {"a": 7}, None, 4), ("update", "Other", "o", {"x": 9}, None, 5)])
     run(spark, store, folder, {"Thing": wider})
     assert rows_by_key(store.read("other")) == {"o": {"x": 2.0}} and rows_by_key(store.read("thing"))["1"]["a"] == 7.0
+
+
+def test_tables_are_not_rewritten_without_need(spark, folder):
+    for buckets in (0, 2):
+        store = TableStore(spark, f"{folder}/{buckets}", buckets=buckets)
+        rows = spark.createDataFrame([("1", "x", 1.0)], TWO.schema())
+        store.publish("thing", rows, TWO)
+        base = store.commit_of("thing").base
+        assert sync.refresh_maps(store, {}, {"Thing": TWO}) == {"Thing": TWO}
+        refused = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "DOUBLE PRECISION"), ("b", "b", "DOUBLE PRECISION")])
+        used = sync.refresh_maps(store, {}, {"Thing": refused})["Thing"]
+        assert used.columns[1].type == "text" and store.commit_of("thing").base == base
+        wider = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("c", "c", "JSONB"), ("b", "b", "DOUBLE PRECISION"), ("a", "a", "TEXT")])
+        sync.refresh_maps(store, {"Thing": TWO}, {"Thing": wider})
+        assert store.commit_of("thing").base == base and store.read("thing").columns == ["id", "c", "b", "a"]
+        assert tuple(store.read("thing").first()) == ("1", None, 1.0, "x")
+        sync.apply_batch(store, {"Thing": wider}, events_frame(spark, [("update", "Thing", "1", {"c": [1]}, None, 5)]), "f", 0)
+        assert store.read("thing").selectExpr("to_json(c)").first()[0] == "[1]"
+        narrower = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "TEXT")])
+        sync.refresh_maps(store, {"Thing": wider}, {"Thing": narrower})
+        assert store.commit_of("thing").base != base and tuple(store.read("thing").first()) == ("1", "x")

@@ -156,3 +156,19 @@ def test_variants_survive_versions(spark, folder):
     load_collection(store, docs_frame(spark, [{"_id": "c", "domains": ["a"], "more": {"x": 1}}]), m)
     row = store.read("company").select(F.to_json("domains"), F.to_json("_extra_props")).first()
     assert tuple(row) == ('["a"]', '{"more":{"x":1}}')
+
+
+def test_repeated_ids_in_one_load(spark, folder):
+    store = TableStore(spark, folder)
+    docs = docs_frame(spark, [{"_id": "1", "a": "old"}, {"_id": "2", "a": "z"}, {"_id": "1", "a": "new"}])
+    for rows in (2, 2):
+        assert load_collection(store, docs, THING, order="_seq").rows == rows
+        assert {k: v["a"] for k, v in rows_by_key(store.read("thing")).items()} == {"1": "new", "2": "z"}
+        assert store.read("thing").count() == 2
+
+
+def test_variants_as_text_for_databases(spark):
+    from docsync.sources.jdbc import plain_columns
+
+    df = spark.sql("SELECT '1' AS id, parse_json('[1]') AS v")
+    assert plain_columns(df).first().asDict() == {"id": "1", "v": "[1]"}
