@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docsync.functions import types as ct
 from docsync.functions.naming import EXTRA_COLUMN, EXTRA_SOURCE, KEY_COLUMN, KEY_SOURCE, literals, quoted, snake_case
-from docsync.sources.documents import DEFAULT_SAMPLE, DOC, KEYS, SEQ, from_table, is_document_frame, newest
+from docsync.sources.documents import DEFAULT_SAMPLE, DOC, KEYS, SEQ, from_table, is_document_frame, newest_by_cutoff
 
 COLUMN_STRUCT = T.StructType(
     [
@@ -204,7 +204,7 @@ def infer_map(
     for position, name in enumerate(sorted(collections)):
         docs = collections[name]
         seq = SEQ if is_document_frame(docs) else (seqs or {}).get(name, SEQ)
-        seen = docs if sample is None else newest(docs, sample, seq)
+        seen = docs if sample is None else newest_by_cutoff(docs, sample, seq)
         histogram = type_histogram(seen, null_votes_as_jsonb, seq)
         votes.append(histogram.select(F.lit(position).alias("id"), F.lit(name).alias("collection_name"), "*"))
     by = ("id", "collection_name")
@@ -222,7 +222,7 @@ def infer_map(
 def infer_columns(docs: DataFrame, sample: int | None = DEFAULT_SAMPLE, null_votes_as_jsonb: bool = False, seq: str = SEQ) -> DataFrame:
     """Columns of one collection: ``(column, source, type, newest, pos)``."""
     order = SEQ if is_document_frame(docs) else seq
-    seen = docs if sample is None else newest(docs, sample, order)
+    seen = docs if sample is None else newest_by_cutoff(docs, sample, order)
     return unique_columns(dominant_types(type_histogram(seen, null_votes_as_jsonb, order)))
 
 

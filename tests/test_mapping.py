@@ -55,6 +55,18 @@ def test_sample_is_the_newest(spark):
     assert documents.DEFAULT_SAMPLE == 100 and documents.newest(df, 3).count() == 3
 
 
+def test_newest_by_cutoff(spark, folder):
+    spark.range(1000).selectExpr("id AS seq", "to_json(named_struct('_id', id)) AS body").repartition(4).write.parquet(f"{folder}/t")
+    df = documents.from_json(spark.read.parquet(f"{folder}/t"), "body", "seq")
+    for n in (1, 7, 1000, 5000):
+        got = [r["_seq"] for r in documents.newest_by_cutoff(df, n).collect()]
+        assert got == list(range(999, max(-1, 999 - n), -1))
+    plan = documents.newest_by_cutoff(df, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(seq,993)" in plan
+    ties = spark.sql("SELECT explode(array(1, 2, 2, 2, null)) AS seq")
+    assert documents.newest_by_cutoff(ties, 2, "seq").count() == 2 and documents.newest_by_cutoff(ties, 5, "seq").count() == 5
+
+
 def test_typed_collection_gives_the_same_map(spark):
     df = spark.createDataFrame([(1, "a", None, [1]), (2, None, None, [2])], "k long, someText string, gone double, list array<int>")
     typed = m.infer_map({"T": df}, sample=None, seqs={"T": "k"})
