@@ -7,10 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from docsync.plans.oracle import ORACLES
+from docsync.plans.registry import QUERIES
 from tests.oracle_check import compare, connect
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
@@ -21,12 +22,13 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
-    columns, got, names, want = compare(spark, con, QUERIES[name], entry.oracle_sql()[name], SF_DIR)
+    columns, got, names, want = compare(spark, con, QUERIES[name], ORACLES[name], SF_DIR)
     assert columns == names
     assert got == want
 
