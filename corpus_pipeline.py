@@ -6,13 +6,35 @@ kept; its result is written to the shared folder and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsync.llm import mixing, sharding
+from docsync.llm import decontamination, language, mixing, sharding, simhash
 from docsync.llm.common import table, written
 from docsync.llm.queries import shard_trees
 
 
+#: A language is told with at least this probability, or the document goes.
+LEAST_SCORE = 0.5
+
+
+def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language can be told; ``und`` and doubtful ones go."""
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    told = language.predict(docs, model)
+    return told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies, the one with the least id."""
+    return simhash.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of which a twentieth or more are passages of the benchmark."""
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(~decontamination.contaminated(F.col("found"))).select("row.*")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents so that all sources have equal weight, in a global shuffle."""
     return mixing.mix(docs).select("row.*")
@@ -22,7 +44,13 @@ def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard(docs, *shard_trees())
 
 
-STAGES = [("mixing", mix_sources), ("sharding", to_shards)]
+STAGES = [
+    ("language", tell_language),
+    ("near_copies", drop_near_copies),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("sharding", to_shards),
+]
 
 #: SimHash fingerprints and learned models are beyond SQL; tests/llm compare stages by brute force.
 ORACLE_SQL = None

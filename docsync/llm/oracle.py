@@ -121,3 +121,30 @@ WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () A
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(said, '')) AS base_sha256, coalesce(said, '') AS spans
 FROM texts LEFT JOIN told USING (r)"""
+
+
+def _words(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+DECONTAMINATION_SQL = f"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, ws, least(len(ws), 13) AS n FROM (SELECT item_id, {_words("text")} AS ws FROM benchmark) WHERE len(ws) > 0
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i : i + n - 1], ' ') AS w FROM items, range(1, len(ws) - n + 2) r(i)
+), docs AS (
+  SELECT doc_id, row_number() OVER () AS r, {_words("text")} AS ws FROM documents
+), grams AS (
+  SELECT r, i, l.n, array_to_string(ws[i : i + l.n - 1], ' ') AS w
+  FROM docs, (SELECT DISTINCT n FROM items) l, range(1, len(ws) - l.n + 2) x(i)
+), hits AS (
+  SELECT g.r, g.i, g.n, w.item FROM grams g JOIN windows w ON g.n = w.n AND g.w = w.w
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS said FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsync.llm import chat, mixing, oracle, secret_scan, sharding
+from docsync.llm import chat, decontamination, language, mixing, oracle, secret_scan, sharding, simhash
 from docsync.llm.common import table
 
 SHARDS = 40
@@ -20,6 +20,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), *shard_trees())
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    return language.predict(docs, model).select(
+        "row.doc_id", language.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -27,6 +35,14 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(trap)))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "row.source", "copy", "shuffle_key", "row.text")
@@ -39,7 +55,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_language_id": op2_language_id,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_decontamination": op6_decontamination,
+    "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
@@ -47,6 +66,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_sharding": oracle.sharding_sql(*shard_trees()),
     "op5_chat_formatting": oracle.CHAT_SQL,
+    "op6_decontamination": oracle.DECONTAMINATION_SQL,
     "op9_mixing": oracle.mixing_sql(),
     "op10_secret_scan": oracle.secrets_sql(secret_scan.RULES),
 }
