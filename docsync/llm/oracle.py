@@ -148,3 +148,12 @@ WITH items AS (
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256,
        coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), kept AS (SELECT d, max(page_id) AS k FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest, CASE WHEN k IS NOT NULL AND k <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k <> page_id THEN k END AS refers_to
+FROM p LEFT JOIN kept ON p.d = kept.d AND n >= 1000"""
