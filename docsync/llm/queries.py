@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsync.llm import chat, decontamination, language, mixing, oracle, secret_scan, sharding, simhash, warc
+from docsync.llm import chat, decontamination, language, mixing, oracle, piecewise, secret_scan, sharding, simhash, warc
 from docsync.llm.common import table
 
 SHARDS = 40
@@ -47,6 +47,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_decontamination": op6_decontamination,
+    "op7_piecewise": op7_piecewise,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
