@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsync.llm import chat, decontamination, language, mixing, oracle, piecewise, secret_scan, sharding, simhash, warc
+from docsync.llm import chat, decontamination, language, mixing, oracle, piecewise, secret_scan, sharding, simhash, suffix_dedup, warc
 from docsync.llm.common import table
 
 SHARDS = 40
@@ -28,6 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.round_trip(table(spark, sf_dir, "pages")))
 
@@ -68,6 +72,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_decontamination": op6_decontamination,
