@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +27,24 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/docsync-llm/{app}/{purpose}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once per application.
+
+    The archive is made in the driver's own temporary folder; Spark distributes it.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="docsync-"), "docsync_package")
+    root, name = os.path.split(package)
+    sc.addPyFile(shutil.make_archive(archive, "zip", root, name))
+    _shipped.add(sc.applicationId)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage is cut, and executors may go."""
     spark = df.sparkSession

@@ -26,6 +26,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docsync.llm.common import ship
+
 WINDOW = 13
 SLOP = 16
 #: Contaminated: hit words times this are at least the document's words.
@@ -106,7 +108,8 @@ class Searcher:
             # of (term, position) are sorted like the postings themselves.
             size = np.int64(len(ids) + slop + 2)
             keys = ids[order].astype(np.int64) * size + order
-            low = np.searchsorted(keys, second_word * size + np.maximum(position - slop, 0))
+            begin = np.searchsorted(document, document[position])
+            low = np.searchsorted(keys, second_word * size + np.maximum(position - slop, begin))
             low_ok = low < len(keys)
             reach = np.where(low_ok, keys[np.minimum(low, len(keys) - 1)], -1)
             close = low_ok & (reach // size == second_word) & (reach % size <= position + slop)
@@ -212,6 +215,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", slop:
     no windows.  Repeated items each count; a null item_id is called ``null``.
     Without items, or without documents, nothing is hit.
     """
+    ship(docs.sparkSession)
     out = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
     any_block = False
     for block in blocks_of(benchmark):

@@ -17,6 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docsync.llm.common import ship
+
 #: Buckets of hashed n-grams; a power of two.
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -61,13 +63,14 @@ def _buckets(codes: np.ndarray, order: int) -> np.ndarray:
 def _blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(documents, starts, codes): texts in pieces of at most BLOCK characters.
 
-    A piece begins and ends with a space, so n-grams never cross documents; a
-    long text's pieces overlap by two characters, so none of its trigrams is lost.
+    A piece begins and ends with two spaces, so an n-gram that reaches into the next
+    piece is blank.  A long text's pieces share two characters, so none of its
+    trigrams is lost; at such a seam those two count twice.
     """
     documents: list[int] = []
     pieces: list[np.ndarray] = []
     held = 0
-    edge = np.array([_SPACE], np.uint32)
+    edge = np.array([_SPACE, _SPACE], np.uint32)
 
     def flush():
         starts = np.cumsum([0, *[len(p) for p in pieces[:-1]]])
@@ -114,6 +117,7 @@ def fit(docs: DataFrame, lang_column: str = "lang", text_column: str = "text") -
     Rows with a null or empty text teach that the language exists, no more.
     Priors are equal: how common a language is doesn't sway a prediction.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text")).where("lang IS NOT NULL")
     # All languages, those without letters included, before n-grams are counted.
     languages = [r[0] for r in rows.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
@@ -157,6 +161,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
     learned; else the likeliest language and its posterior probability.  Of equal
     likelihoods the language first by name wins.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

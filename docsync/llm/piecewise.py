@@ -27,6 +27,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from docsync.llm.common import ship
+
 PIECES = 64
 LEAST_BLOCK = 3
 _WINDOW = 7
@@ -272,6 +274,7 @@ def compare_with_next(docs: DataFrame, id_column: str = "doc_id", text_column: s
     A null text is the empty text, of fingerprint ``3::``.  A null id comes after all
     others.  A row alone is its own next.  No rows give no rows.
     """
+    ship(docs.sparkSession)
     placed = with_next(docs, id_column, text_column).withColumn("order", F.col("doc_id"))
     return (
         placed.select("bucket", "lead", F.col("doc_id").cast("string").alias("doc_id"), "text", "order")

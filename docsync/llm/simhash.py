@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from docsync.llm.common import written
+from docsync.llm.common import ship, written
 from docsync.llm.components import components
 
 SHINGLE = 3
@@ -132,6 +132,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links that join all fingerprints of ``fps`` (fp, distinct) which
     differ in at most two bits, directly or by way of others."""
+    ship(fps.sparkSession)
     n = fps.count()
     depth, upper = min(64, max(8, n.bit_length() + 4)), 0
     rows = fps.select(F.col("fp").alias("pattern"), F.lit(False).alias("used"), "fp")
@@ -142,7 +143,8 @@ def links(fps: DataFrame) -> DataFrame:
         node = F.shiftrightunsigned(gray_rank(F.col("pattern")), 64 - depth) if depth < 64 else gray_rank(F.col("pattern"))
         placed = rows.withColumn("node", node)
         counts = written(placed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1"), "nodes")
-        leaves = placed.select("node", "fp").join(counts.where(F.col("members") <= LEAF).select("node"), "node")
+        largest = LEAF if depth < 64 else 65
+        leaves = placed.select("node", "fp").join(counts.where(F.col("members") <= largest).select("node"), "node")
         found.append(
             written(
                 leaves.repartition("node")
@@ -152,7 +154,7 @@ def links(fps: DataFrame) -> DataFrame:
                 "links",
             )
         )
-        large = counts.where(F.col("members") > LEAF).select("node")
+        large = counts.where(F.col("members") > largest).select("node")
         if depth == 64 or large.isEmpty():
             break
         rows = written(placed.join(large, "node").select("pattern", "used", "fp"), "members")
@@ -171,6 +173,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     has fingerprint 0, which links like any other.  Repeated rows have the same
     fingerprint, hence one component.  No rows give no rows.
     """
+    ship(docs.sparkSession)
     rows = written(
         docs.select(
             F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_hash"), fingerprints(F.col(text_column)).alias("fp")

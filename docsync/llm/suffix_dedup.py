@@ -40,7 +40,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from docsync.llm.common import written
+from docsync.llm.common import ship, written
 
 Q = 50
 LENGTH = 4 * Q
@@ -348,6 +348,7 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     A null text is empty; texts of fewer than 200 bytes keep all.  Repeated rows
     repeat each other's strings.  A null id is kept as null.  No rows give no rows.
     """
+    ship(docs.sparkSession)
     texts = _stored(docs, id_column, text_column)
     one = _dealt(texts.select("id", "th", "text").mapInPandas(_whole, _ROW), "intervals")
     two = _dealt(_asking(texts, one).mapInPandas(_requested(blocks), _ROW), "blocks")

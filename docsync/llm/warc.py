@@ -29,7 +29,7 @@ import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from docsync.llm.common import shared_folder, written
+from docsync.llm.common import shared_folder, ship, written
 
 #: Smaller payloads are never deduplicated.
 LEAST_REVISIT = 1000
@@ -47,7 +47,8 @@ _PAGE = "urn:page:"
 
 
 def _file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
+    # Spark also writes a local path as file:/path or as the path alone.
+    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
 def _record(page_id, url: str | None, html: str | None, kind: str, refers_to) -> bytes:
@@ -150,6 +151,7 @@ def write_archives(
     largest id of their payload are all responses.  A null id is never the largest; if all
     ids of a payload are null, all are responses.  No rows write no archives.
     """
+    ship(pages.sparkSession)
     rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     sized = rows.where(F.octet_length("html") >= LEAST_REVISIT).select("page_id", F.sha1("html").alias("digest"))
     # Written, so that Spark may split the rows of a payload that very many share.
@@ -207,6 +209,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if held:
                     yield pd.DataFrame(held, columns=_READ)
 
+    ship(archives.sparkSession)
     # An archive a task: names are few and dealt out before any is opened.
     dealt = archives.select("archive").repartition(F.col("archive"))
     schema = "page_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string"
