@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from docsync.functions import types as ct
 from docsync.functions.cast import number_of_text
 from docsync.functions.naming import ref
+from docsync.operators.fold import AT, DELETED, LIVE, position_columns
 from docsync.operators.mapping import CollectionMap, MappedColumn, column_rows
 from docsync.operators.project import project
 from docsync.operators.rows import Keys
@@ -156,7 +158,7 @@ def retype_failures(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataF
 
 @dataclass(frozen=True)
 class ColumnChange:
-    """What happened to one column: added, removed, retyped or refused."""
+    """What happened to one column: added, removed, renamed, retyped or refused."""
 
     column: str
     change: str
@@ -211,22 +213,55 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[ref(c).alias(names.get(c, c)) for c in df.columns])
 
 
-def evolve(df: DataFrame, cmap: CollectionMap) -> tuple[DataFrame, list[ColumnChange]]:
-    """Bring a table in line with a map: remove, retype and add columns.
+def evolve(
+    df: DataFrame, cmap: CollectionMap, old: CollectionMap | None = None, keep: Sequence[str] = ()
+) -> tuple[DataFrame, list[ColumnChange]]:
+    """Bring a table in line with a map: rename, remove, retype and add columns.
 
     One projection in map order; the table is read once more only if a column
-    changes type.  Where a retype is refused the old type stays.
+    changes type.  Where a retype is refused the old type stays.  With the map
+    the table had before (``old``), columns are matched by the field they come
+    from, so one that is called otherwise now keeps its values; without it, by
+    name.  Columns in ``keep`` are none of the map's and pass through.
     """
-    have = {f.name: ct.column_type_of(f.dataType) for f in df.schema.fields}
+    types = {f.name: ct.column_type_of(f.dataType) for f in df.schema.fields if f.name not in keep}
+    names = {c: c for c in types}
+    if old is not None:
+        names = column_names(old, cmap)
+    gone = [c for c in types if c not in names]
+    report = [ColumnChange(c, "removed", types[c], None) for c in gone if old is not None]
+    report += [ColumnChange(names[c], "renamed", types[c], types[c]) for c in types if c in names and names[c] != c]
+    df = rename_columns(remove_columns(df, gone), names)
+    have = {names[c]: t for c, t in types.items() if c in names}
     wanted = {c.column: c for c in cmap.details()}
-    report = [ColumnChange(c, "removed", t, None) for c, t in have.items() if c not in wanted]
+    report += [ColumnChange(c, "removed", t, None) for c, t in have.items() if c not in wanted]
     kept, retyped = retype_all(
         remove_columns(df, [c for c in have if c not in wanted]),
         {c: (have[c], m.type) for c, m in wanted.items() if c in have},
     )
     fresh = [m for c, m in wanted.items() if c not in have]
     report += retyped + [ColumnChange(m.column, "added", None, ct.canonical(m.type)) for m in fresh]
-    return add_columns(kept, fresh).select(*[ref(c) for c in wanted]), report
+    return add_columns(kept, fresh).select(*[ref(c) for c in wanted], *[ref(c) for c in keep]), report
+
+
+def column_names(old: CollectionMap, new: CollectionMap) -> dict[str, str]:
+    """What each column of the old map is called in the new, by its field."""
+    by_source = {c.source: c.column for c in new.details()}
+    return {c.column: by_source[c.source] for c in old.details() if c.source in by_source}
+
+
+def evolve_stored(stored: DataFrame, old: CollectionMap, new: CollectionMap) -> tuple[DataFrame, list[ColumnChange]]:
+    """The same for stored rows: the positions go along with their columns."""
+    names = column_names(old, new)
+    keep = [DELETED, LIVE, *[AT + n for c, n in names.items() if c != old.key.column]]
+    moved = rename_columns(
+        remove_columns(stored, [AT + c.column for c in old.details() if c.column not in names]),
+        {AT + c: AT + n for c, n in names.items()},
+    )
+    rows, report = evolve(moved, new, old, keep)
+    missing = [c for c in position_columns(new) if c not in keep]
+    rows = rows.select("*", *[F.lit(None).cast("long").alias(c) for c in missing])
+    return rows.select(*[ref(c.column) for c in new.details()], *[ref(c) for c in position_columns(new)]), report
 
 
 def effective_map(cmap: CollectionMap, report: list[ColumnChange]) -> CollectionMap:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from docsync.functions.naming import literal, literals, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
@@ -26,6 +26,10 @@ from docsync.operators.project import FAILED, cast_fields, failed_sql, field_pat
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
 DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
+# In a fold about to be written: values that did not fit.
+FAILURES = "_failures"
+# Before a column's name: the position of its last touch, in a stored table.
+AT = "_at_"
 
 
 def _registers(cmap: CollectionMap) -> list[MappedColumn]:
@@ -75,6 +79,7 @@ def fold(touched: DataFrame, cmap: CollectionMap) -> DataFrame:
         f"max(if(op = '{DELETE}', seq, NULL)) AS {DELETED}",
         f"max(if(op <> '{DELETE}', seq, NULL)) AS {LIVE}",
         f"count(1) AS {CHANGES}",
+        *([f"sum(size({FAILED})) AS {FAILURES}"] if FAILED in touched.columns else []),
         *parts,
     )
 
@@ -131,16 +136,18 @@ def fold_sparse(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     return ready.selectExpr("id", DELETED, LIVE, CHANGES, *out)
 
 
-def fold_changes(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
+def fold_changes(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False) -> DataFrame:
     """Normalised changes -> fold, in the form that suits the map's width."""
-    return fold_sparse(changes, cmap) if is_wide(cmap) else fold(touch(changes, cmap), cmap)
+    return fold_sparse(changes, cmap) if is_wide(cmap) else fold(touch(changes, cmap, with_failures), cmap)
 
 
 def merge_folds(folds: list[DataFrame], cmap: CollectionMap) -> DataFrame:
     """Folds of different batches -> one fold, whatever order they come in."""
-    if len(folds) == 1:
-        return folds[0]
-    both = reduce(DataFrame.unionByName, folds)
+    return folds[0] if len(folds) == 1 else merge_fold_rows(reduce(DataFrame.unionByName, folds), cmap)
+
+
+def merge_fold_rows(both: DataFrame, cmap: CollectionMap) -> DataFrame:
+    """Several fold rows of an id -> one."""
     parts = []
     for c in _registers(cmap):
         p = quoted(c.column)
@@ -167,6 +174,79 @@ def rows_of_fold(state: DataFrame, cmap: CollectionMap) -> DataFrame:
     return state.where(_ALIVE).selectExpr(*out)
 
 
+def fold_schema(cmap: CollectionMap) -> T.StructType:
+    """Schema of a stored fold."""
+    long = T.LongType()
+    parts = [
+        T.StructField(c.column, T.StructType([T.StructField("seq", long), T.StructField("value", c.spark_type)])) for c in _registers(cmap)
+    ]
+    return T.StructType([T.StructField("id", T.StringType()), *[T.StructField(n, long) for n in (DELETED, LIVE, CHANGES)], *parts])
+
+
+# ------------------------------------------------ tables that keep positions
+#
+# A stored row has beside its values the positions they are from: of the last
+# delete, the last other change, and the last touch of each column.  All are null in
+# a row that was loaded and never changed: whatever the feed says is newer.  An
+# id that was deleted stays as a row that is not alive.  So a table is itself a
+# fold with values laid out as columns, and can take changes in any order.
+
+
+def position_columns(cmap: CollectionMap) -> list[str]:
+    return [DELETED, LIVE, *[AT + c.column for c in _registers(cmap)]]
+
+
+def state_schema(cmap: CollectionMap) -> T.StructType:
+    """A table's own columns, then positions."""
+    return T.StructType([*cmap.schema().fields, *[T.StructField(c, T.LongType()) for c in position_columns(cmap)]])
+
+
+def with_positions(rows: DataFrame, cmap: CollectionMap, at: int | None = None) -> DataFrame:
+    """Plain rows as stored ones, of one position or of none."""
+    stamp = F.lit(at).cast("long")
+    plain = [ref(c.column) for c in cmap.details()]
+    return rows.select(*plain, F.lit(None).cast("long").alias(DELETED), *[stamp.alias(c) for c in position_columns(cmap)[1:]])
+
+
+def alive(stored: DataFrame, cmap: CollectionMap) -> DataFrame:
+    """The rows of a stored table, without positions."""
+    return stored.where(f"{DELETED} IS NULL OR {LIVE} > {DELETED}").select(*[ref(c.column) for c in cmap.details()])
+
+
+def settle(stored: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool = False) -> DataFrame:
+    """Stored rows + fold -> stored rows: of each part whatever is later.
+
+    Joins as :func:`apply_fold` does, and may be repeated or take folds in any order.
+    """
+    key, registers = cmap.key.column, _registers(cmap)
+    renamed = [f"{quoted(c.column)} AS _p{i}" for i, c in enumerate(registers)]
+    side = state.selectExpr("id AS _id_new", f"{DELETED} AS _d", f"{LIVE} AS _l", *renamed)
+
+    def merged(joined: DataFrame) -> DataFrame:
+        both = joined.selectExpr("*", f"greatest({DELETED}, _d) AS _gone", f"greatest({LIVE}, _l) AS _lives")
+        values, positions = [], []
+        for i, c in enumerate(registers):
+            at, value = quoted(AT + c.column), quoted(c.column)
+            newer = f"(_p{i}.seq IS NOT NULL AND ({at} IS NULL OR _p{i}.seq >= {at}))"
+            seq = f"if({newer}, _p{i}.seq, {at})"
+            # What a delete came after is gone; so are values of unknown position.
+            values.append(f"if(_gone IS NULL OR {seq} > _gone, if({newer}, _p{i}.value, {value}), NULL) AS {value}")
+            positions.append(f"{seq} AS {at}")
+        by_name = dict(zip([c.column for c in registers], values))
+        plain = [f"coalesce({quoted(key)}, _id_new) AS {quoted(key)}" if c.column == key else by_name[c.column] for c in cmap.details()]
+        return both.selectExpr(*plain, f"_gone AS {DELETED}", f"_lives AS {LIVE}", *positions)
+
+    matches = ref(key) == F.col("_id_new")
+    if not small:
+        return merged(stored.join(side, matches, "full_outer"))
+    changed = merged(stored.join(F.broadcast(side), matches, "left"))
+    ids = state.select(F.col("id").alias("_new"))
+    known = stored.select(ref(key).alias("_known")).join(F.broadcast(ids), F.col("_known") == F.col("_new"), "left_semi")
+    fresh = side.join(known, F.col("_id_new") == F.col("_known"), "left_anti")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in state_schema(cmap).fields]
+    return changed.unionByName(merged(fresh.select("*", *nothing)))
+
+
 def apply_fold(base: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool = False) -> DataFrame:
     """Current rows + fold -> new rows.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docsync.functions import types as ct
 from docsync.functions.naming import EXTRA_COLUMN, EXTRA_SOURCE, KEY_COLUMN, KEY_SOURCE, literals, quoted, snake_case
-from docsync.sources.documents import DEFAULT_SAMPLE, DOC, KEYS, SEQ, from_table, is_document_frame, newest_by_cutoff
+from docsync.sources.documents import DOC, KEYS, SEQ, from_table, is_document_frame, newest_by_cutoff
 
 COLUMN_STRUCT = T.StructType(
     [
@@ -189,14 +189,14 @@ def unique_columns(dominant: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def infer_map(
     collections: dict[str, DataFrame],
-    sample: int | None = DEFAULT_SAMPLE,
+    sample: int | None = None,
     null_votes_as_jsonb: bool = False,
     seqs: dict[str, str] | None = None,
 ) -> DataFrame:
     """Map of several collections, sorted by name, columns in first-seen order.
 
-    ``sample`` limits the votes to the newest documents of each; ``None`` lets
-    every document vote.  ``seqs`` names the ordering column of each typed
+    Every document votes, unless ``sample`` limits the votes to so many of the
+    newest documents of each: fields on older ones only then get no column.  ``seqs`` names the ordering column of each typed
     collection.  Each collection is reduced to its votes by itself; the rest
     is worked out for all of them together, on a row per field and type.
     """
@@ -219,7 +219,7 @@ def infer_map(
     )
 
 
-def infer_columns(docs: DataFrame, sample: int | None = DEFAULT_SAMPLE, null_votes_as_jsonb: bool = False, seq: str = SEQ) -> DataFrame:
+def infer_columns(docs: DataFrame, sample: int | None = None, null_votes_as_jsonb: bool = False, seq: str = SEQ) -> DataFrame:
     """Columns of one collection: ``(column, source, type, newest, pos)``."""
     order = SEQ if is_document_frame(docs) else seq
     seen = docs if sample is None else newest_by_cutoff(docs, sample, order)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docsync.operators.mapping import CollectionMap
-from docsync.sources.feed import REPLACE, UPDATE
+from docsync.sources.feed import CORRUPT, REPLACE, UPDATE, fault
 
-# What a transfer statistic says was done.
+# What a transfer statistic says was done, and below it the names
+# of the service columns.
 ACTION_UPSERT = "UPSERT"
 ACTION_INSERT = "INSERT"
 ACTION_VACUUM = "FULL VACUUM"
@@ -74,11 +75,16 @@ def latest_position(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     )
 
 
-def late_errors(late: DataFrame, cmap: CollectionMap) -> DataFrame:
-    """Changes that came after the table had moved past their position."""
-    return late.select(
-        F.lit(cmap.relation).alias("location"),
-        F.concat_ws(": ", F.lit("change is older than the table"), F.col("op"), F.col("id"), F.col("seq").cast("string")).alias("message"),
+def dead_letters(events: DataFrame) -> DataFrame:
+    """Events that cannot be folded, as error rows: lines that are no JSON,
+    operations nobody knows, and events without id or position."""
+    bad = events.withColumn("_reason", fault(events)).where("_reason IS NOT NULL")
+    told = [F.col("operationType"), F.col("documentKey._id"), F.col("seq").cast("string")]
+    if CORRUPT in events.columns:
+        told.append(F.col(CORRUPT))
+    return bad.select(
+        F.coalesce("ns.coll", F.lit("feed")).alias("location"),
+        F.concat_ws(": ", "_reason", *told).alias("message"),
         F.unix_timestamp().cast("int").alias("ts"),
     )
 

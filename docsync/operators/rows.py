@@ -68,12 +68,15 @@ def upsert_partial(
     new: DataFrame,
     touched: dict[str, Column],
     key: Keys = KEY_COLUMN,
+    order: str | None = None,
 ) -> DataFrame:
     """Replace only touched columns; unknown keys become new rows.
 
     ``touched`` gives, per column, a flag over the columns of ``new``: true
     takes the new value (null too, which is how a field is unset), anything
-    else keeps the old one.  ``new`` has one row per key.
+    else keeps the old one.  Several rows of a key add up in ``order``: each
+    column takes its last touch, whichever row that is in.  Without ``order``
+    ``new`` has one row per key.
     """
     keys = _keys(key)
     values = [c for c in base.columns if c not in keys]
@@ -82,7 +85,15 @@ def upsert_partial(
         (ref(c) if c in new.columns else F.lit(None).cast(base.schema[c].dataType)).alias(f"_new_{i}")
         for i, c in enumerate(values)
     ]
-    side = new.select(*[ref(k) for k in keys], *flags, *incoming)
+    at = [ref(order).alias("_order")] if order else []
+    side = new.select(*[ref(k) for k in keys], *flags, *incoming, *at)
+    if order:
+        last = []
+        for i in range(len(values)):
+            when = F.when(F.col(f"_touched_{i}"), F.col("_order"))
+            # In a struct, for a null value to count.
+            last += [F.max(when).isNotNull().alias(f"_touched_{i}"), F.max_by(F.struct(f"_new_{i}"), when)[f"_new_{i}"].alias(f"_new_{i}")]
+        side = side.groupBy(*[ref(k) for k in keys]).agg(*last)
     merged = base.join(side, keys, "full_outer")
     return merged.select(
         *[

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for written tables, on the file system the cluster shares."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/docsync-{uuid.uuid4().hex}"
 
 

@@ -174,11 +174,14 @@ FROM documents""",
 SELECT * FROM base UNION ALL SELECT id, amount, note FROM one WHERE id NOT IN (SELECT id FROM base)""",
     "upsert_full": "WITH " + _ACCOUNTS.format(direction="DESC") + """
 SELECT * FROM base WHERE id NOT IN (SELECT id FROM one) UNION ALL SELECT id, amount, note FROM one""",
-    "upsert_partial": "WITH " + _ACCOUNTS.format(direction="DESC") + """
-SELECT coalesce(b.id, o.id) AS id,
-       CASE WHEN o.st = 'P' OR o.amount IS NOT NULL THEN o.amount ELSE b.amount END AS amount,
-       coalesce(o.note, b.note) AS note
-FROM base b FULL OUTER JOIN one o ON b.id = o.id""",
+    "upsert_partial": "WITH " + _ACCOUNTS.format(direction="DESC") + """, last AS (
+  SELECT id, arg_max(struct_pack(x := amount), seq) FILTER (st = 'P' OR amount IS NOT NULL) AS amount,
+         arg_max(struct_pack(x := note), seq) FILTER (note IS NOT NULL) AS note
+  FROM changes GROUP BY id
+)
+SELECT coalesce(b.id, o.id) AS id, CASE WHEN o.amount IS NOT NULL THEN o.amount.x ELSE b.amount END AS amount,
+       CASE WHEN o.note IS NOT NULL THEN o.note.x ELSE b.note END AS note
+FROM base b FULL OUTER JOIN last o ON b.id = o.id""",
     "delete_keys": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",

@@ -143,8 +143,8 @@ def inferred_document_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sampled_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Map from the newest documents only, as a first load does it."""
-    maps = mapping.infer_map({"MixedOrders": inputs.mixed_orders(spark, sf_dir)})
+    """Map from the newest documents only."""
+    maps = mapping.infer_map({"MixedOrders": inputs.mixed_orders(spark, sf_dir)}, sample=documents.DEFAULT_SAMPLE)
     return mapping.column_rows(maps)
 
 
@@ -238,8 +238,8 @@ def upsert_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _accounts(spark, sf_dir).where("note <> 'BUILDING'")
-    new = rows.one_per_key(_account_changes(spark, sf_dir), "id", "seq")
-    return rows.upsert_partial(base, new, rows.non_null_touched(["amount", "note"], "unset"), "id")
+    touched = rows.non_null_touched(["amount", "note"], "unset")
+    return rows.upsert_partial(base, _account_changes(spark, sf_dir), touched, "id", "seq")
 
 
 @query

@@ -7,18 +7,24 @@ import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from docsync.functions.naming import ref
 from docsync.operators import records
-from docsync.operators.evolve import ColumnChange, effective_map, evolve
+from docsync.operators.evolve import ColumnChange, effective_map, evolve_stored
+from docsync.operators.fold import with_positions
 from docsync.operators.mapping import CollectionMap
 from docsync.operators.project import FAILED, cast_errors, project
 from docsync.operators.rows import delete_keys, one_per_key
 from docsync.plans.tables import TableStore, stats_row
-from docsync.sources.documents import DOC, is_document_frame
+from docsync.sources.documents import DOC, is_document_frame, unparsed
 
 log = logging.getLogger("docsync")
 
+_ORDER = "_load_order"
+
 
 @dataclass(frozen=True)
 class Loaded:
@@ -29,6 +35,7 @@ class Loaded:
     rows: int
     failures: int
     evolution: tuple[ColumnChange, ...] = ()
+    unparsable: int = 0
 
 
 def load_collection(
@@ -54,33 +61,49 @@ def load_collection(
     started = int(time.time())
     found = store.exists(relation)
     mode = mode or ("upsert" if found else "append")
+    seen, whole = Observation(), docs
     if is_document_frame(docs):
-        docs = docs.where(F.col(DOC).isNotNull())
+        broken = F.count_if(F.col(DOC).isNull()).alias("broken")
+        docs = docs.observe(seen, broken).where(F.col(DOC).isNotNull())
 
     report: list[ColumnChange] = []
     table, used = None, cmap
     if found:
-        table, report = evolve(store.read(relation), cmap)
+        table, report = evolve_stored(store.read_stored(relation), store.map_of(relation), cmap)
         used = effective_map(cmap, report)
 
-    seen = Observation()
-    flagged = project(docs, used, keep=(order,) if order else (), with_failures=True)
+    counted = Observation()
+    # The order goes by a name of its own: the map may have a column of its name.
+    ordered = docs.withColumn(_ORDER, ref(order)) if order else docs
+    flagged = project(ordered, used, keep=(_ORDER,) if order else (), with_failures=True)
     if order:
-        flagged = one_per_key(flagged, used.key.column, order).drop(order)
-    counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(FAILED)).alias("failures"))
-    rows = counted.drop(FAILED)
+        flagged = one_per_key(flagged, used.key.column, _ORDER).drop(_ORDER)
+    rows = flagged.observe(counted, F.count(F.lit(1)).alias("rows"), F.sum(F.size(FAILED)).alias("failures")).drop(FAILED)
     if table is not None:
         if mode == "upsert":
             table = delete_keys(table, flagged, used.key.column)
-        rows = table.unionByName(rows)
+        # Rows without a position of their own are as new as the feed so far.
+        rows = table.unionByName(with_positions(rows, used, store.position(relation) if position is None else position))
     store.publish(relation, rows, used, position)
 
-    n, failures = seen.get["rows"], seen.get["failures"] or 0
+    n, failures = metrics(counted).get("rows", 0), metrics(counted).get("failures") or 0
     if failures:
         store.append_service("errors", cast_errors(docs, used))
+    unparsable = metrics(seen).get("broken", 0) if whole is not docs else 0
+    if unparsable:
+        store.append_service("errors", records.unparsable_errors(unparsed(whole), used))
     action = action or records.ACTION_UPSERT
     store.append_service("transfer_stats", stats_row(spark, action, relation, n, started))
-    return Loaded(relation, action, n, failures, tuple(report))
+    return Loaded(relation, action, n, failures, tuple(report), unparsable)
+
+
+def metrics(seen: Observation) -> dict:
+    """What was observed; nothing if Spark left the observed part of a plan out,
+    as it does with what it knows to be empty."""
+    try:
+        return seen.get
+    except (AssertionError, Py4JError, PySparkException):
+        return {}
 
 
 def transfer(

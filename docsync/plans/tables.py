@@ -1,28 +1,35 @@
 """Tables on plain Parquet: versions, folds waiting on top, and a pointer.
 
 ``<root>/<relation>/v=<n>`` holds whole versions of the table and
-``<root>/<relation>/folds/...`` folded change batches newer than that version.
+``<root>/<relation>/folds/...`` folded change batches not yet in that version.
 A commit file names the current version, the folds on top of it, and how far
 the feed has been taken; readers only ever see what a commit names.  Keeping
-folds aside means a micro-batch writes about as much as it changed; putting
-them into a new version (:meth:`TableStore.compact`) is a separate step.
+folds aside means a micro-batch writes about as much as it changed.  Folds are
+merged among themselves (:meth:`TableStore.merge_waiting`); putting them into a
+new version (:meth:`TableStore.compact`) is a separate step.
+
+A version keeps the positions its values are from, so no change is ever too
+late, and neither batches nor compactions change what a table ends up as.
 
 Catalog tables (one-call wrappers) are at the end.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docsync.functions.naming import ref
 from docsync.functions.types import same_type
 from docsync.operators import records
-from docsync.operators.fold import CHANGES, DELETED, LIVE, apply_fold, empty_rows, merge_folds
+from docsync.operators.fold import (
+    CHANGES, DELETED, FAILURES, LIVE, alive, fold_schema, merge_fold_rows, settle, state_schema, with_positions,
+)
 from docsync.operators.mapping import CollectionMap, make_map
 from docsync.sources import files
 
@@ -31,6 +38,9 @@ from docsync.sources import files
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
+# A version is due to be written again once its folds are this share of it.
+DUE_SHARE = 0.25
+
 
 @dataclass(frozen=True)
 class FoldFile:
@@ -41,7 +51,11 @@ class FoldFile:
 
 @dataclass(frozen=True)
 class Commit:
-    """What is current for one table."""
+    """What is current for one table.
+
+    ``base_position`` is where the feed was when the table was loaded: changes
+    up to there are in what was loaded.
+    """
 
     number: int = 0
     version: int = 0
@@ -51,7 +65,6 @@ class Commit:
     position: int | None = None
     folds: tuple[FoldFile, ...] = ()
     batches: dict[str, int] = field(default_factory=dict)
-    opened: dict[str, int | None] = field(default_factory=dict)
     map: dict | None = None
 
     def dump(self) -> str:
@@ -135,34 +148,44 @@ class TableStore:
         return self.spark.createDataFrame(rows, records.POSITION_SCHEMA)
 
     def _base(self, commit: Commit, cmap: CollectionMap) -> DataFrame:
+        """The version, positions included; columns its files lack are null."""
+        schema = state_schema(cmap)
         if commit.base is None:
-            return empty_rows(self.spark.range(0), cmap)
+            return self.spark.createDataFrame([], schema)
         if not commit.buckets:
-            return self.spark.read.schema(cmap.schema()).parquet(commit.base)
+            return self.spark.read.schema(schema).parquet(commit.base)
         name = _table_name(commit.base)
         known = self.spark.catalog.tableExists(name)
-        if known and self.spark.table(name).schema.names != cmap.schema().names:
+        if known and self.spark.table(name).schema.names != schema.names:
             # Registered before columns were added; only the entry goes.
             self.spark.sql(f"DROP TABLE {name}")
             known = False
         if not known:
             key = cmap.key.column
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cmap.schema().fields)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) "
                 f"SORTED BY (`{key}`) INTO {commit.buckets} BUCKETS LOCATION '{commit.base}'"
             )
         return self.spark.table(name)
 
-    def read(self, relation: str) -> DataFrame:
-        """Current rows: the version with the folds on top applied."""
+    def _folded(self, folds: tuple[FoldFile, ...], cmap: CollectionMap) -> DataFrame:
+        """Waiting folds as one, read together."""
+        rows = self.spark.read.schema(fold_schema(cmap)).parquet(*[f.path for f in folds])
+        return rows if len(folds) == 1 else merge_fold_rows(rows, cmap)
+
+    def read_stored(self, relation: str) -> DataFrame:
+        """Current rows with their positions, deleted ids included."""
         commit = self.commit_of(relation)
         cmap = _map_of(commit.map)
         base = self._base(commit, cmap)
         if not commit.folds:
             return base
-        state = merge_folds([self.spark.read.parquet(f.path) for f in commit.folds], cmap)
-        return apply_fold(base, state, cmap, small=_small(commit.folds))
+        return settle(base, self._folded(commit.folds, cmap), cmap, small=_small(commit.folds))
+
+    def read(self, relation: str) -> DataFrame:
+        """Current rows: the version with the folds on top applied."""
+        return alive(self.read_stored(relation), self.map_of(relation))
 
     # -------------------------------------------------------------- writing
 
@@ -181,17 +204,21 @@ class TableStore:
         """Write ``df`` as the new version and make it current.
 
         ``df`` may read the version it replaces: that one is left alone.
-        Folds are taken to be part of ``df``.
+        Folds are taken to be part of ``df``.  Rows may have positions; rows
+        without are taken as loaded, at ``position`` of the feed if that is given.
         """
         old = self.commit_of(relation) or Commit()
+        if LIVE not in df.columns:
+            df = with_positions(df, cmap)
         version = old.version + 1
         path = f"{self.root}/{relation}/v={version}-{old.number + 1}"
         self._write(df, path, cmap, spread)
-        at = old.position if position is None else position
+        latest = lambda *p: max((x for x in p if x is not None), default=None)
         return self._put(
             relation,
             replace(old, number=old.number + 1, version=version, base=path, buckets=self.buckets,
-                    base_position=at, position=at, folds=(), map=_map_dict(cmap)),
+                    base_position=latest(old.base_position, position), position=latest(old.position, position),
+                    folds=(), map=_map_dict(cmap)),
         )
 
     def create(self, relation: str, cmap: CollectionMap) -> Commit:
@@ -242,62 +269,96 @@ class TableStore:
         cmap: CollectionMap,
         feed: str,
         batch_id: int,
-        before_commit: Callable[[], None] | None = None,
+        before_commit: Callable[[int], None] | None = None,
     ) -> Commit:
         """Lay a folded batch on top of the table; a repeat does nothing.
 
-        The row count and last position are taken while writing.  The commit
-        also keeps what the table already held when this feed began.
-        ``before_commit`` runs when the fold is written but not yet visible.
+        ``before_commit`` runs when the fold is written but not yet visible,
+        with the number of values that did not fit, if the fold counts them.
         """
         old = self.commit_of(relation) or self.create(relation, cmap)
         if old.batches.get(feed, -1) >= batch_id:
             return old
         path = f"{self.root}/{relation}/folds/feed={feed}/batch={batch_id}"
-        seen = Observation()
-        last = F.greatest(F.coalesce(LIVE, DELETED), F.coalesce(DELETED, LIVE))
-        state.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(last).alias("last"), F.sum(CHANGES).alias("changes")).write.mode(
-            "overwrite"
-        ).parquet(path)
-        rows, last_seq = seen.get["rows"], seen.get["last"]
+        state.write.mode("overwrite").parquet(path)
+        # Counted from what was written, three columns of it: a batch may be empty.
+        failures = F.sum(FAILURES) if FAILURES in state.columns else F.lit(0)
+        found = self.spark.read.schema(state.schema).parquet(path).agg(
+            F.count(F.lit(1)).alias("rows"), F.max(F.greatest(LIVE, DELETED)).alias("last"), failures.alias("failures")
+        ).first()
+        rows, last_seq = found["rows"], found["last"]
         if before_commit is not None:
-            before_commit()
+            before_commit(found["failures"] or 0)
         added = FoldFile(path, rows, files.size(self.spark, path))
         known = [p for p in (old.position, last_seq) if p is not None]
         return self._put(
             relation,
             replace(old, number=old.number + 1, folds=old.folds + ((added,) if rows else ()),
-                    position=max(known) if known else None, batches={**old.batches, feed: batch_id},
-                    opened={feed: old.base_position, **old.opened}),
+                    position=max(known) if known else None, batches={**old.batches, feed: batch_id}),
         )
 
+    def merge_waiting(self, relation: str) -> Commit:
+        """Merge the newest folds into one; the version is not looked at.
+
+        Taken are folds from the newest back while each is at most twice what
+        was taken before it, so a fold is written again only as often as its size doubles.
+        """
+        old = self.commit_of(relation)
+        taken = size = 0
+        for f in reversed(old.folds):
+            if taken and f.bytes > 2 * size:
+                break
+            taken, size = taken + 1, size + f.bytes
+        if taken < 2:
+            return old
+        cmap, path = _map_of(old.map), f"{self.root}/{relation}/folds/feed=merged/batch={old.number + 1}"
+        self._folded(old.folds[-taken:], cmap).write.mode("overwrite").parquet(path)
+        rows = self.spark.read.schema(fold_schema(cmap)).parquet(path).count()
+        one = FoldFile(path, rows, files.size(self.spark, path))
+        return self._put(relation, replace(old, number=old.number + 1, folds=(*old.folds[:-taken], one)))
+
+    def due(self, relation: str, share: float = DUE_SHARE) -> bool:
+        """Have the waiting folds grown to so large a share of the version?"""
+        commit = self.commit_of(relation)
+        waiting = sum(f.bytes for f in commit.folds)
+        return waiting > 0 and (commit.base is None or waiting >= share * files.size(self.spark, commit.base))
+
     def compact(self, relation: str, statistics: bool = True, n_files: int | None = None) -> Commit:
-        """Write version and folds as one new version."""
+        """Write version and folds as one new version, positions included."""
         started = int(time.time())
         commit = self.commit_of(relation)
         cmap = _map_of(commit.map)
-        df = self.read(relation)
+        df = self.read_stored(relation)
         if n_files and not self.buckets:
             df = df.repartition(n_files)
-        seen = Observation()
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         done = self.publish(relation, df, cmap, spread=commit.buckets != self.buckets)
         if statistics:
-            self.append_service("transfer_stats", stats_row(self.spark, records.ACTION_VACUUM, relation, seen.get["rows"], started))
+            rows = self.read(relation).count()
+            self.append_service("transfer_stats", stats_row(self.spark, records.ACTION_VACUUM, relation, rows, started))
         return done
 
     def clean(self, relation: str, keep: int = 2) -> list[str]:
-        """Remove versions and folds that none of the last commits names."""
+        """Remove versions and folds that none of the last commits names.
+
+        What is newer than the last commit may be on its way to the next, and stays.
+        """
         folder = self._commits(relation)
         recent = [n for n in files.names(self.spark, folder) if n.endswith(".json")][-keep:]
-        live = set()
+        live, last = set(), Commit()
         for n in recent:
-            c = Commit.parse(files.read_text(self.spark, f"{folder}/{n}"))
-            live |= {c.base} | {f.path for f in c.folds}
+            last = Commit.parse(files.read_text(self.spark, f"{folder}/{n}"))
+            live |= {last.base} | {f.path for f in last.folds}
         top = f"{self.root}/{relation}"
-        have = [f"{top}/{n}" for n in files.names(self.spark, top) if n.startswith("v=")]
+        have = [
+            f"{top}/{n}" for n in files.names(self.spark, top) if n.startswith("v=") and int(n.rpartition("-")[2]) <= last.number
+        ]
         for feed in files.names(self.spark, f"{top}/folds"):
-            have += [f"{top}/folds/{feed}/{b}" for b in files.names(self.spark, f"{top}/folds/{feed}")]
+            done = last.number if feed == "feed=merged" else last.batches.get(feed.removeprefix("feed="), -1)
+            have += [
+                f"{top}/folds/{feed}/{b}"
+                for b in files.names(self.spark, f"{top}/folds/{feed}")
+                if int(b.rpartition("=")[2]) <= done
+            ]
         gone = [p for p in have if p not in live]
         for p in gone:
             files.delete(self.spark, p)
@@ -335,7 +396,8 @@ def _small(folds: Iterable[FoldFile]) -> bool:
 
 
 def _table_name(path: str) -> str:
-    return "docsync_" + "".join(ch if ch.isalnum() else "_" for ch in path.lower())[-100:]
+    """A name no other path has."""
+    return "docsync_" + hashlib.sha256(path.encode()).hexdigest()[:48]
 
 
 def stats_row(spark: SparkSession, action: str, relation: str, rows: int, started: int) -> DataFrame:

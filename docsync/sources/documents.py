@@ -17,6 +17,8 @@ from docsync.functions.naming import KEY_SOURCE, id_text, ref
 DOC = "doc"
 SEQ = "_seq"
 KEYS = "_keys"
+# The text itself, where it is no JSON.
+UNPARSED = "_unparsed"
 
 # How many documents a type check looks at unless told otherwise.
 DEFAULT_SAMPLE = 100
@@ -54,16 +56,18 @@ def from_json(df: DataFrame, text: str, seq: str | Column) -> DataFrame:
         parse_document(raw).alias(DOC),
         order.cast("long").alias(SEQ),
         F.array_distinct(F.json_object_keys(clean)).alias(KEYS),
-    )
+        raw.alias(UNPARSED),
+    ).withColumn(UNPARSED, F.when(F.col(DOC).isNull(), F.col(UNPARSED)))
 
 
 def unparsable(df: DataFrame, text: str, seq: str | Column) -> DataFrame:
     """The texts ``from_json`` turns into null documents: ``(_seq, document)``."""
-    raw = ref(text)
-    order = ref(seq) if isinstance(seq, str) else seq
-    return df.where(raw.isNotNull() & parse_document(raw).isNull()).select(
-        order.cast("long").alias(SEQ), raw.alias("document")
-    )
+    return unparsed(from_json(df, text, seq))
+
+
+def unparsed(docs: DataFrame) -> DataFrame:
+    """The same of a document frame."""
+    return docs.where(ref(UNPARSED).isNotNull()).select(SEQ, ref(UNPARSED).alias("document"))
 
 
 def from_table(

@@ -34,6 +34,9 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+# Where a line of a feed file that is no event is kept.
+CORRUPT = "_corrupt_record"
+
 # Collection names that may be broadcast.
 MAX_BROADCAST_NAMES = 100_000
 
@@ -43,7 +46,13 @@ CHANGE_COLUMNS = ("db_name", "coll_name", "id", "seq", "op", "fields", "removed"
 
 def read_feed(spark: SparkSession, path: str, fmt: str = "json", **options: str) -> DataFrame:
     """Batch read of stored change events."""
-    return spark.read.format(fmt).schema(EVENT_SCHEMA).options(**options).load(path)
+    return spark.read.format(fmt).schema(_file_schema(fmt)).options(**options).load(path)
+
+
+def _file_schema(fmt: str) -> T.StructType:
+    """Text formats also tell which lines they could not read."""
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if fmt == "json" else []
+    return T.StructType([*EVENT_SCHEMA.fields, *corrupt])
 
 
 def stream_feed(
@@ -52,7 +61,7 @@ def stream_feed(
     """Streaming read of a folder that change-event files are added to."""
     return (
         spark.readStream.format(fmt)
-        .schema(EVENT_SCHEMA)
+        .schema(_file_schema(fmt))
         .option("maxFilesPerTrigger", max_files)
         .options(**options)
         .load(path)
@@ -63,6 +72,23 @@ def supported(events: DataFrame) -> DataFrame:
     return events.where(F.col("operationType").isin(*OPERATIONS))
 
 
+def fault(events: DataFrame) -> Column:
+    """Why an event cannot be folded; null if it can."""
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in events.columns else F.lit(False)
+    known = F.coalesce(F.col("operationType").isin(*OPERATIONS), F.lit(False))
+    return (
+        F.when(corrupt, "line is not an event")
+        .when(~known, "operation is unknown")
+        .when(F.col("documentKey._id").isNull(), "event has no id")
+        .when(F.col("seq").isNull(), "event has no position")
+    )
+
+
+def placeable(events: DataFrame) -> DataFrame:
+    """Events that can be folded."""
+    return events.where(fault(events).isNull())
+
+
 def mapped(events: DataFrame, collections: Iterable[str]) -> DataFrame:
     """Events of the collections that have a map (a short list of names)."""
     return events.where(F.col("ns.coll").isin(*list(collections)))
@@ -96,7 +122,7 @@ def normalise(events: DataFrame) -> DataFrame:
     op = F.col("operationType")
     is_update = op == UPDATE
     whole = op.isin(INSERT, REPLACE)
-    return supported(events).select(
+    return placeable(events).select(
         F.col("ns.db").alias("db_name"),
         F.col("ns.coll").alias("coll_name"),
         id_text(F.col("documentKey._id")).alias("id"),

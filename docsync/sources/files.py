@@ -5,6 +5,7 @@ Only pointers and sizes go through here, never rows.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,16 +47,18 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Put a whole new file in place; False if someone else did so first."""
-    fs, draft = _fs(spark, path), _path(spark, path + ".draft")
-    out = fs.create(draft, True)
+    fs = _fs(spark, path)
+    try:
+        out = fs.create(_path(spark, path), False)  # the file system's own test: of two writers one fails
+    except Py4JJavaError:
+        if fs.exists(_path(spark, path)):
+            return False
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(_path(spark, path)):
-        fs.delete(draft, False)
-        return False
-    return fs.rename(draft, _path(spark, path))
+    return True
 
 
 def delete(spark: SparkSession, path: str) -> bool:

@@ -6,14 +6,13 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsync.operators import records
-from docsync.operators.evolve import backfill, effective_map, evolve
-from docsync.operators.fold import change_errors, fold, fold_changes, is_wide, touch
+from docsync.operators.evolve import backfill, effective_map, evolve_stored
+from docsync.operators.fold import AT, change_errors, fold_changes, is_wide
 from docsync.operators.mapping import CollectionMap
-from docsync.operators.project import FAILED
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
 from docsync.sources import feed as feed_source
@@ -21,8 +20,8 @@ from docsync.sources import feed as feed_source
 # Fixed value: how often a flush is due unless told otherwise.
 FLUSH_INTERVAL = "30 seconds"
 
-# Folds laid on a table before they are put into a new version.
-COMPACT_EVERY = 20
+# Folds laid on a table before they are merged among themselves.
+MERGE_EVERY = 20
 
 Maps = dict[str, CollectionMap]
 Collections = dict[str, DataFrame]
@@ -34,24 +33,26 @@ def apply_batch(
     events: DataFrame,
     feed: str,
     batch_id: int,
-    compact_every: int = COMPACT_EVERY,
+    merge_every: int = MERGE_EVERY,
     audit: bool = True,
 ) -> list[str]:
     """Fold one batch of change events into its tables; returns their names.
 
     Safe to repeat: a batch a table has already taken is skipped there, and
-    anything written on the way replaces what an earlier attempt left.
+    anything written on the way replaces what an earlier attempt left.  Events
+    that cannot be folded become error rows.  A batch never reads a table's
+    version: it writes what changed, and now and then merges waiting folds.
     """
-    wanted = feed_source.mapped(feed_source.supported(events), maps)
-    batch = wanted.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = events.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        _append_errors(store, records.dead_letters(batch), f"dead-{feed}-{batch_id}")
+        wanted = feed_source.mapped(feed_source.placeable(batch), maps)
         # At most as many names as the map has collections.
-        names = sorted(r[0] for r in batch.select("ns.coll").distinct().collect())
+        names = sorted(r[0] for r in wanted.select("ns.coll").distinct().collect())
         for name in names:
-            _apply_collection(store, maps[name], batch.where(F.col("ns.coll") == name), feed, batch_id, audit)
-            commit = store.commit_of(maps[name].relation)
-            if len(commit.folds) >= compact_every:
-                store.compact(maps[name].relation)
+            _apply_collection(store, maps[name], wanted.where(F.col("ns.coll") == name), feed, batch_id, audit)
+            if len(store.commit_of(maps[name].relation).folds) >= merge_every:
+                store.merge_waiting(maps[name].relation)
         return [maps[n].relation for n in names]
     finally:
         batch.unpersist()
@@ -67,33 +68,19 @@ def _apply_collection(store: TableStore, cmap: CollectionMap, events: DataFrame,
     part = f"{relation}-{feed}-{batch_id}"
     commit = store.commit_of(relation)
     passed = commit.base_position if commit else None
-    if passed is not None:
-        # What the table held when the feed began is in it already; anything
-        # later that is older than the current version can no longer be placed.
-        opened = commit.opened.get(feed, passed)
-        if opened is None or opened < passed:
-            late = changes.where(F.col("seq") <= passed)
-            late = late if opened is None else late.where(F.col("seq") > opened)
-            _append_errors(store, records.late_errors(late, cmap), f"late-{part}")
+    if passed is not None:  # in what was loaded
         changes = changes.where(F.col("seq") > passed)
     if audit:
         store.append_service("audit", records.audit_rows(changes, cmap), part)
-    # Values that do not fit are counted while folding, and only if there are
-    # any is the batch gone through again for them.  The commit comes last:
-    # once it is made the batch is done.
-    if is_wide(cmap):
-        wide_errors = lambda: _append_errors(store, change_errors(changes, cmap), f"cast-{part}")
-        store.add_fold(relation, fold_changes(changes, cmap), cmap, feed, batch_id, wide_errors)
-        return
-    seen = Observation()
-    flagged = touch(changes, cmap, with_failures=True)
-    counted = flagged.observe(seen, F.sum(F.size(FAILED)).alias("failures"))
 
-    def errors_first() -> None:
-        if seen.get["failures"]:
-            store.append_service("errors", change_errors(changes, cmap), f"cast-{part}")
+    # Values that do not fit are counted while folding, and only if there are
+    # any (or the map is too wide to count them) is the batch gone through again.
+    # The commit comes last: once it is made the batch is done.
+    def errors_first(failures: int) -> None:
+        if failures or is_wide(cmap):
+            _append_errors(store, change_errors(changes, cmap), f"cast-{part}")
 
-    store.add_fold(relation, fold(counted, cmap), cmap, feed, batch_id, errors_first)
+    store.add_fold(relation, fold_changes(changes, cmap, with_failures=True), cmap, feed, batch_id, errors_first)
 
 
 def _append_errors(store: TableStore, errors: DataFrame, part: str) -> None:
@@ -120,16 +107,19 @@ def refresh_maps(store: TableStore, old: Maps, new: Maps, collections: Collectio
                 store.create(cmap.relation, cmap)
             out[name] = cmap
         else:
-            # read() has the waiting folds in it, under the map they were made with.
-            table, report = evolve(store.read(cmap.relation), cmap)
+            # The waiting folds are in it, under the map they were made with.
+            before = store.map_of(cmap.relation)
+            table, report = evolve_stored(store.read_stored(cmap.relation), before, cmap)
             used = effective_map(cmap, report)
-            if used == store.map_of(cmap.relation):
+            if used == before:
                 out[name] = used  # nothing to do, or nothing that could be done
                 continue
             added = [r.column for r in report if r.change == "added" and r.column in {c.column for c in used.columns}]
             fill = bool(added) and name in collections
             if fill:
-                table = backfill(table, collections[name], used, added)
+                # What the collection holds now is at least as new as the feed so far.
+                at = F.lit(store.position(cmap.relation)).cast("long")
+                table = backfill(table, collections[name], used, added).withColumns({AT + c: at for c in added})
             waiting = store.commit_of(cmap.relation).folds
             if not fill and not waiting and all(r.change in ("added", "refused") for r in report):
                 store.widen(cmap.relation, used)
@@ -146,7 +136,7 @@ def start_sync(
     checkpoint: str,
     start: int | None = None,
     collections: Collections | None = None,
-    compact_every: int = COMPACT_EVERY,
+    merge_every: int = MERGE_EVERY,
     audit: bool = True,
     interval: str | None = None,
 ) -> StreamingQuery:
@@ -165,7 +155,7 @@ def start_sync(
             current["used"] = refresh_maps(store, current["asked"], asked, collections)
             current["asked"] = asked
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
-        apply_batch(store, current["used"], batch, query_id, batch_id, compact_every, audit)
+        apply_batch(store, current["used"], batch, query_id, batch_id, merge_every, audit)
 
     chosen = events if start is None else feed_source.since(events, start)
     writer = chosen.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

@@ -51,7 +51,7 @@ def test_sample_is_the_newest(spark):
     docs = [{"_id": str(i), "v": "old"} for i in range(5)] + [{"_id": "x", "v": 1}, {"_id": "y", "v": 2}]
     df = docs_frame(spark, docs)
     assert columns(m.infer_map({"T": df}, sample=2))[1] == ("v", "v", "DOUBLE PRECISION")
-    assert columns(m.infer_map({"T": df}, sample=None))[1] == ("v", "v", "TEXT")
+    assert columns(m.infer_map({"T": df}))[1] == ("v", "v", "TEXT")  # by default all vote
     assert documents.DEFAULT_SAMPLE == 100 and documents.newest(df, 3).count() == 3
 
 

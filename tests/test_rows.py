@@ -70,3 +70,13 @@ def test_composite_key_upsert(spark):
     new = spark.createDataFrame([("1", "b", 3), ("2", "b", 4)], "id string, code string, v int")
     got = {(r["id"], r["code"]): r["v"] for r in rows.upsert(base, new, ["id", "code"]).collect()}
     assert got == {("1", "a"): 1, ("1", "b"): 3, ("2", "b"): 4}
+
+
+def test_partial_rows_of_a_key_add_up(spark):
+    base = spark.createDataFrame([("1", 0.0, "old"), ("2", 5.0, "keep")], "id string, a double, b string")
+    new = spark.createDataFrame(
+        [("1", 7.0, None, 1, None), ("1", None, "n", 2, None), ("1", None, None, 3, None), ("2", 6.0, None, 1, None), ("2", None, None, 2, ["a"]), ("3", None, "x", 1, None)],
+        "id string, a double, b string, seq int, unset array<string>",
+    )
+    out = rows.upsert_partial(base, new, rows.non_null_touched(["a", "b"], "unset"), "id", "seq")
+    assert sorted(tuple(r) for r in out.collect()) == [("1", 7.0, "n"), ("2", None, "keep"), ("3", None, "x")]

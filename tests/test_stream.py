@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import os
+import random
 import time
 
+import pytest
+
 from docsync.operators.mapping import make_map
+from docsync.plans.snapshot import load_collection
 from docsync.plans.tables import TableStore
 from docsync.sources import feed
 from docsync.streaming import sync
@@ -34,9 +38,10 @@ def test_stream_equals_replay_over_restarts(spark, folder):
     store = TableStore(spark, f"{folder}/tables")
     for i, (lo, hi) in enumerate(((0, 30), (30, 60))):
         put(f"{folder}/feed", f"{i}.json", ordered[lo:hi])
-    run(spark, store, folder, compact_every=2)
+    run(spark, store, folder, merge_every=2)
     assert as_source(store.read("thing")) == replay({}, ordered[:60], ["a", "b"])
-    assert store.commit_of("thing").folds == ()  # put into a version on the way
+    assert len(store.commit_of("thing").folds) == 1  # merged on the way
+    store.compact("thing")
     put(f"{folder}/feed", "2.json", ordered[60:] + [("insert", "Other", "o", {"x": 1}, None, 5000), ("insert", "Ghost", "g", {}, None, 5001)])
     run(spark, store, folder)
     assert as_source(store.read("thing")) == replay({}, ordered, ["a", "b"])
@@ -57,16 +62,76 @@ def test_repeated_batch_changes_nothing(spark, folder):
     assert store.service("audit").count() == 2 and rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}}
 
 
-def test_batches_may_come_in_any_order_until_compaction(spark, folder):
+def test_batches_may_come_in_any_order_compacted_or_not(spark, folder):
     store = TableStore(spark, folder)
     sync.apply_batch(store, MAPS, events_frame(spark, [("update", "Thing", "1", {"a": "late"}, None, 20)]), "f", 0)
     sync.apply_batch(store, MAPS, events_frame(spark, [("insert", "Thing", "1", {"a": "early", "b": 5}, None, 10)]), "f", 1)
     assert rows_by_key(store.read("thing")) == {"1": {"a": "late", "b": 5.0}}
     store.compact("thing")
-    # What the version has moved past cannot be placed: kept as an error, not lost silently.
+    # What is older than the version is placed by the positions it keeps.
     sync.apply_batch(store, MAPS, events_frame(spark, [("update", "Thing", "1", {"a": "older"}, None, 15), ("update", "Thing", "1", {"b": 6}, None, 21)]), "f", 2)
     assert rows_by_key(store.read("thing")) == {"1": {"a": "late", "b": 6.0}}
-    assert [r["message"] for r in store.service("errors").collect()] == ["change is older than the table: update: 1: 15"]
+    assert store.service("errors").isEmpty()
+    sync.apply_batch(store, MAPS, events_frame(spark, [("insert", "Thing", "2", {"a": "older"}, None, 5), ("delete", "Thing", "1", {}, None, 18)]), "f", 3)
+    assert rows_by_key(store.read("thing")) == {"1": {"a": "late", "b": 6.0}, "2": {"a": "older", "b": None}}
+    store.compact("thing")
+    sync.apply_batch(store, MAPS, events_frame(spark, [("delete", "Thing", "1", {}, None, 30), ("delete", "Thing", "3", {}, None, 9)]), "f", 4)
+    store.compact("thing")
+    late = [("update", "Thing", "1", {"a": "no"}, None, 29), ("insert", "Thing", "3", {"a": "no"}, None, 8), ("update", "Thing", "3", {"b": 1}, None, 10)]
+    sync.apply_batch(store, MAPS, events_frame(spark, late), "f", 5)
+    assert rows_by_key(store.read("thing")) == {"2": {"a": "older", "b": None}, "3": {"a": None, "b": 1.0}}
+
+
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_shuffled_batches_with_and_without_compaction(spark, folder, buckets):
+    events = random_events(60, 8)
+    want = replay({}, events, ["a", "b"])
+    rng = random.Random(4)
+    rng.shuffle(events)
+    plain, compacted = TableStore(spark, f"{folder}/a", buckets), TableStore(spark, f"{folder}/b", buckets)
+    for i in range(0, 60, 15):
+        batch = events_frame(spark, events[i : i + 15])
+        sync.apply_batch(plain, MAPS, batch, "f", i, merge_every=99)
+        sync.apply_batch(compacted, MAPS, batch, "f", i, merge_every=2)
+        compacted.compact("thing")
+    assert as_source(plain.read("thing")) == want
+    assert as_source(compacted.read("thing")) == want
+
+
+@pytest.mark.parametrize("kind", ["DOUBLE PRECISION", "TEXT", "BOOLEAN", "TIMESTAMP", "JSONB"])
+@pytest.mark.parametrize("audit", [True, False])
+def test_a_batch_of_old_changes_only(spark, folder, kind, audit):
+    m = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", kind)])
+    store = TableStore(spark, folder)
+    load_collection(store, docs_frame(spark, [{"_id": "1", "a": 1}]), m, position=100)
+    sync.apply_batch(store, {"Thing": m}, events_frame(spark, [("update", "Thing", "1", {"a": 2}, None, 50)]), "f", 0, audit=audit)
+    assert store.committed("thing", "f", 0) and store.read("thing").count() == 1 and store.position("thing") == 100
+
+
+def test_a_batch_does_not_read_the_version(spark, folder):
+    store = TableStore(spark, folder)
+    load_collection(store, docs_frame(spark, [{"_id": str(i), "a": "x"} for i in range(20)]), TWO)
+    base = store.commit_of("thing").base
+    os.rename(base, base + "-away")
+    for i in range(5):
+        sync.apply_batch(store, MAPS, events_frame(spark, [("update", "Thing", str(i), {"b": i}, None, i)]), "f", i, merge_every=2)
+    os.rename(base + "-away", base)
+    rows = rows_by_key(store.read("thing"))
+    assert len(rows) == 20 and rows["4"] == {"a": "x", "b": 4.0} and len(store.commit_of("thing").folds) < 5
+    assert store.due("thing", 0.0001) and not store.due("thing", 1e9)
+
+
+def test_events_that_cannot_be_folded_are_told(spark, folder):
+    os.makedirs(f"{folder}/feed")
+    good = event_json("insert", "Thing", "1", {"a": "x"}, None, 1)
+    lines = [good, "no json", event_json("insert", "Thing", None, {"a": "x"}, None, 2), event_json("insert", "Thing", "2", {}, None, None), event_json("explode", "Thing", "3", {}, None, 4)]
+    with open(f"{folder}/feed/0.json", "w") as f:
+        f.write("\n".join(lines))
+    store = TableStore(spark, f"{folder}/tables")
+    run(spark, store, folder)
+    assert list(rows_by_key(store.read("thing"))) == ["1"]
+    told = sorted(r["message"].split(":")[0] for r in store.service("errors").collect())
+    assert told == ["event has no id", "event has no position", "line is not an event", "operation is unknown"]
 
 
 def test_snapshot_then_feed(spark, folder):
@@ -109,6 +174,18 @@ def test_map_is_followed_while_running(spark, folder):
     assert rows_by_key(store.read("other")) == {"o": {"x": 2.0}} and rows_by_key(store.read("thing"))["1"]["a"] == 7.0
 
 
+def test_a_renamed_column_keeps_values_and_positions(spark, folder):
+    store = TableStore(spark, folder)
+    sync.apply_batch(store, MAPS, events_frame(spark, [("insert", "Thing", "1", {"a": "5", "b": 1}, None, 10)]), "f", 0)
+    renamed = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("b", "a", "DOUBLE PRECISION"), ("amount", "b", "DOUBLE PRECISION")])
+    used = sync.refresh_maps(store, {"Thing": TWO}, {"Thing": renamed})
+    assert rows_by_key(store.read("thing")) == {"1": {"b": 5.0, "amount": 1.0}}
+    sync.apply_batch(store, used, events_frame(spark, [("update", "Thing", "1", {"a": "7", "b": 2}, None, 9)]), "f", 1)
+    assert rows_by_key(store.read("thing")) == {"1": {"b": 5.0, "amount": 1.0}}
+    sync.apply_batch(store, used, events_frame(spark, [("update", "Thing", "1", {"b": 3}, None, 11)]), "f", 2)
+    assert rows_by_key(store.read("thing")) == {"1": {"b": 5.0, "amount": 3.0}}
+
+
 def test_tables_are_not_rewritten_without_need(spark, folder):
     for buckets in (0, 2):
         store = TableStore(spark, f"{folder}/{buckets}", buckets=buckets)

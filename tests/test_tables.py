@@ -8,7 +8,7 @@ from docsync.operators.mapping import make_map
 from docsync.plans import tables
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
-from docsync.sources import feed
+from docsync.sources import documents, feed
 from tests.helpers import COMPANY, docs_frame, events_frame, rows_by_key
 
 THING = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "TEXT"), ("b", "b", "DOUBLE PRECISION")])
@@ -45,7 +45,7 @@ def test_life_of_a_table(spark, folder, buckets):
 
     store.compact("thing")
     after = store.commit_of("thing")
-    assert after.folds == () and after.base_position == 14 and rows_by_key(store.read("thing")) == want
+    assert after.folds == () and after.base_position == 10 and after.position == 14 and rows_by_key(store.read("thing")) == want
     assert {r["action"] for r in store.service("transfer_stats").collect()} == {"UPSERT", "FULL VACUUM"}
     gone = store.clean("thing", keep=1)
     assert len(gone) >= 4 and rows_by_key(store.read("thing")) == want
@@ -119,6 +119,47 @@ def test_transfer_of_collections(spark, folder):
         transfer(store, sources, {})
 
 
+def test_stores_whose_names_end_alike(spark, folder):
+    tail = "x" * 150
+    for name, value in (("a", 1.0), ("b", 2.0)):
+        store = TableStore(spark, f"{folder}/{name}{tail}", buckets=2)
+        store.publish("thing", spark.createDataFrame([("1", name, value)], THING.schema()), THING)
+    assert [rows_by_key(TableStore(spark, f"{folder}/{n}{tail}", buckets=2).read("thing"))["1"]["a"] for n in "ab"] == ["a", "b"]
+
+
+def test_clean_leaves_what_is_being_written(spark, folder):
+    store = TableStore(spark, folder)
+    load_collection(store, docs_frame(spark, DOCS), THING)
+    number = store.commit_of("thing").number
+    spark.range(1).write.parquet(f"{folder}/thing/v=9-{number + 1}")
+    spark.range(1).write.parquet(f"{folder}/thing/v=0-0")
+    assert store.clean("thing", keep=1) == [f"{folder}/thing/v=0-0"]
+
+
+def test_texts_that_are_no_json_become_error_rows(spark, folder):
+    texts = spark.createDataFrame([('{"_id": "1", "a": "x"}', 1), ("{broken", 2), (None, 3), ('{"_id": "2"}', 4)], "body string, seq long")
+    store = TableStore(spark, folder)
+    done = load_collection(store, documents.from_json(texts, "body", "seq"), THING)
+    assert (done.rows, done.unparsable) == (2, 2)
+    assert [r["message"] for r in store.service("errors").collect()] == ["document is not JSON: {broken"]
+
+
+def test_order_by_a_mapped_field(spark, folder):
+    m = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("b", "b", "DOUBLE PRECISION")])
+    rows = spark.createDataFrame([("1", 1.0), ("1", 3.0), ("1", 2.0)], "_id string, b double")
+    store = TableStore(spark, folder)
+    load_collection(store, rows, m, order="b")
+    assert [tuple(r) for r in store.read("thing").collect()] == [("1", 3.0)]
+
+
+def test_a_later_load_does_not_lose_late_changes(spark, folder):
+    store = TableStore(spark, folder)
+    store.add_fold("thing", fold_of(spark, [("insert", "Thing", "1", {"a": "x"}, None, 20), ("insert", "Thing", "2", {"a": "y"}, None, 10)]), THING, "f", 0)
+    load_collection(store, docs_frame(spark, [{"_id": "1", "a": "loaded", "b": 1}]), THING)
+    store.add_fold("thing", fold_of(spark, [("update", "Thing", "1", {"a": "old"}, None, 15), ("update", "Thing", "2", {"b": 2}, None, 15)]), THING, "f", 1)
+    assert rows_by_key(store.read("thing")) == {"1": {"a": "loaded", "b": 1.0}, "2": {"a": "y", "b": 2.0}}
+
+
 def test_load_evolves_the_table_first(spark, folder):
     store = TableStore(spark, folder)
     load_collection(store, docs_frame(spark, DOCS), THING)
