@@ -217,6 +217,14 @@ FROM numbered GROUP BY coll, run""",
     "fold_changes": _FLAGSHIP,
     "fold_in_batches": _FLAGSHIP,
     "stream_fold": _FLAGSHIP,
+    "stream_fold_shuffled": _FLAGSHIP,
+    "repeated_batch": _FLAGSHIP,
+    "feed_errors": f"""WITH {_PLAIN_FEED}
+SELECT 'Users' AS location, CASE op WHEN 'insert' THEN 'operation is unknown: explode: ' || id || ': ' || seq
+       WHEN 'delete' THEN 'event has no id: delete: ' || seq ELSE 'event has no position: update: ' || id END AS message
+FROM feed WHERE op <> 'update' OR kind = 'purchase'""",
+    "resume_position": f"""WITH {_PLAIN_FEED}
+SELECT id, seq, op FROM feed WHERE seq >= (SELECT max(event_id) FROM events WHERE day(ts) <= 15)""",
     "fold_with_extra_props": f"""WITH {_PLAIN_FEED}, {_FOLD.format(where='')}, extra AS (
   SELECT t.id, arg_max(struct_pack(x := CASE WHEN kind IN ('signup', 'view') THEN t.k END), t.seq) AS n_x
   FROM touched t JOIN ends e ON t.id = e.id
@@ -256,6 +264,17 @@ UNION ALL SELECT 'orders', 'rank', CASE WHEN count(*) FILTER (TRY_CAST(substr(o_
     "evolve_table": """
 SELECT cast(c_custkey AS varchar) AS id, c_mktsegment AS mkt_segment, cast(NULL AS varchar) AS comment,
        c_acctbal AS acct_bal, c_nationkey <> 0 AS nation_key FROM customer""",
+    "evolve_renamed": """
+SELECT cast(c_custkey AS varchar) AS id, c_mktsegment AS name, c_acctbal AS balance, c_name AS customer_name FROM customer""",
+    "second_load": """
+SELECT cast(o_orderkey AS varchar) AS id, cast(o_custkey AS varchar) AS customer,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN -o_totalprice ELSE o_totalprice END AS total_price,
+       CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderdate END AS ordered_at, o_orderpriority AS priority
+FROM orders""",
+    "load_errors": """
+SELECT 'events' AS location, 'document is not JSON: {"broken": ' || event_id AS message,
+       (SELECT count(*) FROM events WHERE event_type <> 'error') AS rows_loaded
+FROM events WHERE event_type = 'error'""",
     "evolve_report": """
 SELECT 'customer' AS relation, c AS "column", change, old_type, new_type, 0 AS failures
 FROM (VALUES ('name', 'removed', 'text', NULL), ('acct_bal', 'retyped', 'double precision', 'TEXT'),
@@ -292,3 +311,5 @@ SELECT vec_id, label <> 0 AS label_boolean, false AS label_boolean_failed, cast(
        cast(embedding[1] AS double) AS first_value
 FROM embeddings""",
 }
+
+ORACLES["stored_map"] = ORACLES["inferred_map"]

@@ -16,11 +16,11 @@ from docsync.functions.cast import can_fail, cast_typed, variant_failed_sql
 from docsync.functions.naming import namespace, snake_case, start_epoch
 from docsync.operators import evolve, fold, mapping, project, records, rows
 from docsync.plans import inputs
-from docsync.plans.snapshot import loaded_frame, transfer
+from docsync.plans.snapshot import load_collection, loaded_frame, transfer
 from docsync.plans.tables import TableStore
 from docsync.session import configure
 from docsync.sources import collections, documents, feed
-from docsync.streaming.sync import start_sync
+from docsync.streaming.sync import apply_batch, refresh_maps, resume_position as stored_position, start_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -343,6 +343,63 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("users")
 
 
+def _users_store(spark: SparkSession, sf_dir: str) -> TableStore:
+    store = TableStore(spark, f"{inputs.scratch(spark)}/tables")
+    store.publish("users", inputs.stored_users(spark, sf_dir), inputs.USER_MAP)
+    return store
+
+
+USERS = {"Users": inputs.USER_MAP}
+
+
+@query
+def stream_fold_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in batches that are no stretches of the feed, each compacted at once."""
+    store = _users_store(spark, sf_dir)
+    events = inputs.user_feed(spark, sf_dir)
+    for i in range(4):
+        batch = events.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == i)
+        apply_batch(store, USERS, batch, "shuffled", i, merge_every=1 if i % 2 else 20, audit=False)
+        store.compact("users")
+    return store.read("users")
+
+
+@query
+def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the whole feed taken three times: as one batch, again, and as another feed."""
+    store = _users_store(spark, sf_dir)
+    for name in ("feed", "feed", "again"):
+        apply_batch(store, USERS, inputs.user_feed(spark, sf_dir), name, 0, audit=False)
+    return store.read("users")
+
+
+@query
+def feed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without id or position, and of an operation nobody knows."""
+    events = inputs.table(spark, sf_dir, "events")
+    made = inputs.as_feed(events)
+    op = F.col("operationType")
+    broken = made.select(
+        F.when(op == feed.INSERT, F.lit("explode")).otherwise(op).alias("operationType"), "ns",
+        F.struct(F.when(op != feed.DELETE, F.col("documentKey._id")).alias("_id")).alias("documentKey"),
+        "updateDescription", "fullDocument",
+        F.when((op != feed.UPDATE) | F.col("updateDescription.removedFields").isNull(), F.col("seq")).alias("seq"),
+    )
+    store = TableStore(spark, f"{inputs.scratch(spark)}/tables")
+    apply_batch(store, USERS, broken, "feed", 0, audit=False)
+    return store.service("errors").select("location", "message")
+
+
+@query
+def resume_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the feed from the position a table was brought to."""
+    store = _users_store(spark, sf_dir)
+    events = inputs.table(spark, sf_dir, "events")
+    apply_batch(store, USERS, inputs.as_feed(events.where(F.dayofmonth("ts") <= 15)), "feed", 0, audit=False)
+    start = stored_position(store, ["users"])
+    return feed.normalise(feed.since(inputs.user_feed(spark, sf_dir), F.lit(start))).select("id", "seq", "op")
+
+
 @query
 def resume_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes from a written start time on."""
@@ -354,6 +411,30 @@ def resume_from(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------- evolution
 
 
+@query
+def stored_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map of every given table, written and read back."""
+    typed, seqs = inputs.every_collection(spark, sf_dir)
+    path = f"{inputs.scratch(spark)}/map"
+    mapping.write_map(mapping.infer_map(typed, seqs=seqs), path)
+    return mapping.column_rows(mapping.read_map(spark, path))
+
+
+RENAMED_MAP = mapping.make_map(
+    "Customer", "customer",
+    [("id", "_id", "TEXT"), ("name", "mktSegment", "TEXT"), ("balance", "acctBal", "TEXT"), ("customer_name", "name", "TEXT")],
+)
+
+
+@query
+def evolve_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns called otherwise (one takes another's old name) keep their values."""
+    store = TableStore(spark, inputs.scratch(spark))
+    load_collection(store, inputs.customer_documents(spark, sf_dir), inputs.CUSTOMER_MAP)
+    refresh_maps(store, {"Customer": inputs.CUSTOMER_MAP}, {"Customer": RENAMED_MAP})
+    return store.read("customer").select("id", "name", F.col("balance").cast("double").alias("balance"), "customer_name")
+
+
 def _two_maps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Maps of the data before and after it changed shape."""
     fields = inputs.mixed_order_fields()
@@ -509,6 +590,28 @@ def transfer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(loaded_frame(spark, loaded).select("relation", "failures"), "relation")
 
 
+@query
+def second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection loaded again in part: whole rows are replaced."""
+    store = TableStore(spark, inputs.scratch(spark))
+    orders = inputs.order_documents(spark, sf_dir)
+    load_collection(store, orders, inputs.ORDER_MAP)
+    urgent = orders.where("priority = '1-URGENT'").withColumns({"totalPrice": -F.col("totalPrice"), "orderedAt": F.lit(None).cast("timestamp_ntz")})
+    load_collection(store, urgent, inputs.ORDER_MAP)
+    return store.read("orders")
+
+
+@query
+def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are no JSON become error rows of the load."""
+    texts = inputs.event_texts(spark, sf_dir)
+    cut = F.when(F.try_variant_get(F.parse_json("body"), "$.eventType", "string") == "error", F.concat(F.lit('{"broken": '), "seq"))
+    store = TableStore(spark, inputs.scratch(spark))
+    docs = documents.from_json(texts.select(F.coalesce(cut, "body").alias("body"), "seq"), "body", "seq")
+    done = load_collection(store, docs, inputs.EVENT_MAP)
+    return store.service("errors").select("location", "message", F.lit(done.rows).alias("rows_loaded"))
+
+
 @query
 def typed_cast_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same cast rules on columns whose types are known when planning."""
