@@ -17,13 +17,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docsync.llm.common import id_text, uniform
+from docsync.llm.common import id_text, uniform, written
 
 SEED = "mix-1"
 #: The largest mean of a single draw.
 MAX_STEP = 16.0
 #: Counts considered in a single draw; P(more) at mean 16 is below 2**-60.
 MAX_COUNT = 80
+#: Sources up to which their table (some 700 bytes a source) is broadcast; more are joined by shuffle.
+BROADCAST_SOURCES = 10_000
 
 
 def weight_of(source: Column, weights: Mapping[str | None, float] | None) -> Column:
@@ -51,12 +53,12 @@ def rates(docs: DataFrame, weights: Mapping[str | None, float] | None = None, so
         .agg(F.sum("size").alias("bytes"))
         .withColumn("weight", weight_of(F.col("source"), weights))
     )
-    total = by_source.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight"))
-    rate = F.col("all_bytes").cast("double") * F.col("weight") / F.col("all_weight") / F.col("bytes").cast("double")
-    # one row of totals
-    return by_source.join(F.broadcast(total), F.lit(True)).select(
-        "source", "bytes", F.when(F.col("all_weight") > 0, rate).otherwise(F.lit(0.0)).alias("rate")
-    )
+    by_source = written(by_source, "sources")
+    total = by_source.agg(F.sum("bytes").alias("bytes"), F.sum("weight").alias("weight")).first()
+    if not total.weight:  # no rows, or nothing is wanted
+        return by_source.select("source", "bytes", F.lit(0.0).alias("rate"))
+    rate = F.lit(float(total.bytes)) * F.col("weight") / F.lit(total.weight) / F.col("bytes").cast("double")
+    return by_source.select("source", "bytes", rate.alias("rate"))
 
 
 def _cumulative(mean: Column) -> Column:
@@ -93,6 +95,9 @@ def mix(
         .withColumn("cdf", _cumulative(F.col("rate") / F.col("steps")))
         .select(F.col("source").alias("of"), "steps", "cdf")
     )
+    per_source = written(per_source, "rates")
+    if per_source.count() <= BROADCAST_SOURCES:
+        per_source = F.broadcast(per_source)
     rows = docs.select(F.struct("*").alias("row"), F.col(source_column).alias("from"), id_text(F.col(id_column)).alias("key"))
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("steps")),
