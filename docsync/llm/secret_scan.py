@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docsync.llm.common import shared_folder
+from docsync.llm.common import shared_folder, written
 
 LEDGER_SCHEMA = "blob string, rules string, spans array<struct<kind:string,start:long,end:long>>"
 
@@ -144,7 +144,8 @@ def scan(
     unseen = distinct.join(ledger.read(version).select("blob"), "blob", "left_anti") if ledger.started else distinct
     ledger.append(find_spans(unseen, rules))
     # Only blobs with findings need the join; every other path has none.
-    findings = ledger.read(version).where(F.size("spans") > 0).dropDuplicates(["blob"]).select("blob", "spans")
+    # Written, so that Spark may split the paths of a blob that very many share.
+    findings = written(ledger.read(version).where(F.size("spans") > 0).dropDuplicates(["blob"]).select("blob", "spans"), "findings")
     empty = F.array().cast("array<struct<kind:string,start:long,end:long>>")
     return rows.select("doc_id", "blob").join(findings, "blob", "left").select("doc_id", "blob", F.coalesce("spans", empty).alias("spans"))
 
