@@ -31,8 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a twentieth or more are passages of the benchmark."""
-    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~decontamination.contaminated(F.col("found"))).select("row.*")
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,15 +1,18 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is split by documents: each task keeps, for the documents it has at
-hand, the positions of every anchor term, sorted by term.  A window of test
-words is looked for from its rarest terms: the posting list of the rarest is
-shifted by the term's offset in the window and intersected with the shifted
-list of the next rarest; what is left is compared word by word.  Rarity counts
-over the whole corpus, taken in a first pass.  Postings never leave their task,
-so a term, source or passage that fills a third of the corpus moves nothing.
+The index is split by documents, as an index of many shards is: a row a document,
+with its postings of every word that some test text has, sorted by term, then
+position.  It is built in one pass over the texts and stored in the shared
+folder; all else reads the index alone.
 
-The test texts are broadcast in blocks of at most ``BLOCK_BYTES``; documents
-pass through one block after the other without a shuffle between.
+How rare a term is comes from the lengths of its posting lists over the whole
+corpus.  A window of test words is looked for from its rarest terms: the list of
+the rarest is shifted by the term's offset in the window and intersected with
+the shifted list of the next rarest; what is left is compared word by word,
+from the postings.  Postings are intersected where their document is, so a
+term, source or passage that fills a third of the corpus moves nothing.
+
+The test texts are broadcast in blocks of at most ``BLOCK_BYTES``, an index each.
 
 Proximity: an item is *near* a document where the two rarest terms of one of
 its windows stand within ``slop`` words of each other, in whatever order.
@@ -18,15 +21,15 @@ its windows stand within ``slop`` words of each other, in whatever order.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docsync.llm.common import ship
+from docsync.llm.common import ship, written
 
 WINDOW = 13
 SLOP = 16
@@ -150,35 +153,59 @@ def blocks_of(benchmark: DataFrame, item_column: str = "item_id", text_column: s
         yield Block.of(held)
 
 
-def corpus_counts(docs: DataFrame, block: Block, text_column: str = "text") -> np.ndarray:
-    """How often each word of the block occurs in all documents."""
+def build_index(docs: DataFrame, block: Block, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n_words, terms, positions) of every row, stored: the
+    postings of the block's words, by term."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(block.vocabulary)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter[int] = Counter()
+    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = shared.value.get
+        for batch in batches:
+            lengths, terms, positions, words = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                ids = np.array([get(w, -1) for w in words_of(text)], np.int32)
+                at = np.flatnonzero(ids >= 0)
+                at = at[np.argsort(ids[at], kind="stable")]
+                words.append(len(ids))
+                lengths.append(len(at))
+                terms.append(ids[at])
+                positions.append(at.astype(np.int32))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.zeros(0, np.int32))) for x in (terms, positions)]
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(words, pa.int64()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "terms", "positions"])
+
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_hash"), F.col(text_column).alias("text"))
+    long, ints = T.LongType(), T.ArrayType(T.IntegerType())
+    fields = [("doc_id", rows.schema["doc_id"].dataType), ("text_hash", long), ("n_words", long), ("terms", ints), ("positions", ints)]
+    return written(rows.mapInArrow(postings, T.StructType([T.StructField(n, kind) for n, kind in fields])), "postings")
+
+
+def corpus_counts(index: DataFrame, block: Block) -> np.ndarray:
+    """The length of each term's posting list over the whole index."""
+    size = len(block.vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                total.update(map(shared.value.get, words_of(text)))
-        total.pop(None, None)
-        yield pd.DataFrame({"word": np.array(list(total.keys()), np.int32), "n": np.array(list(total.values()), np.int64)})
+            total += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=size)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["word", "n"])
 
-    sums = docs.select(F.col(text_column).alias("text")).mapInPandas(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(len(block.vocabulary), np.int64)
+    sums = index.select("terms").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(size, np.int64)
     counts[sums["word"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
     return counts
 
 
-_FOUND = "n_words long, hit array<struct<start:int,stop:int>>, items array<string>, near array<string>"
-
-
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
     return [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2])]
 
 
-def _search_texts(searcher: Searcher, texts: list[str | None], slop: int) -> Iterator[tuple[int, list, list[str], list[str]]]:
-    """Per text: its number of words, hit runs, items and near items."""
-    get = searcher.block.vocabulary.get
+def _search_rows(searcher: Searcher, rows: Iterable[tuple[int, np.ndarray, np.ndarray]], slop: int) -> Iterator[tuple[list, list[str], list[str]]]:
+    """Per row of the index (number of words, terms, positions): hit runs, items, near items."""
     names = searcher.block.names
 
     def batch(lists: list[np.ndarray]):
@@ -192,66 +219,84 @@ def _search_texts(searcher: Searcher, texts: list[str | None], slop: int) -> Ite
                 into.setdefault(d, []).append(names[item])
         at = 0
         for d, n in enumerate(lengths):
-            yield n, _runs(flags[at : at + n]) if d in of else [], sorted(set(of.get(d, ()))), sorted(set(close.get(d, ())))
+            yield _runs(flags[at : at + n]) if d in of else [], sorted(set(of.get(d, ()))), sorted(set(close.get(d, ())))
             at += n
 
     held: list[np.ndarray] = []
     size = 0
-    for text in texts:
-        ids = np.array([get(w, -1) for w in words_of(text)], np.int32)
+    for n, terms, positions in rows:
+        ids = np.full(n, -1, np.int32)
+        ids[positions] = terms
         held.append(ids)
-        size += len(ids)
+        size += n
         if size >= BATCH_WORDS:
             yield from batch(held)
             held, size = [], 0
     yield from batch(held)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", slop: int = SLOP) -> DataFrame:
-    """(row, found): every row of ``docs``, and ``found`` = (n_words, hit runs of
-    words, items with occurring windows, near items).
+def _searched(index: DataFrame, searcher: Searcher, slop: int) -> DataFrame:
+    shared = index.sparkSession.sparkContext.broadcast(searcher)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, positions = batch.column("terms"), batch.column("positions")
+            ends = terms.offsets.to_numpy()
+            flat = [x.values.to_numpy() for x in (terms, positions)]
+            rows = ((n, flat[0][a:b], flat[1][a:b]) for n, a, b in zip(batch.column("n_words").to_pylist(), ends[:-1], ends[1:]))
+            found = list(_search_rows(shared.value, rows, slop))
+            hits = pa.array([[{"start": a, "stop": b} for a, b in r[0]] for r in found], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
+            told = [pa.array([r[i] for r in found], pa.list_(pa.string())) for i in (1, 2)]
+            columns = [batch.column("doc_id"), batch.column("text_hash"), batch.column("n_words"), hits, *told]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "hit", "items", "near"])
+
+    kind = index.schema["doc_id"].dataType.simpleString()
+    return index.mapInArrow(search, f"doc_id {kind}, text_hash long, n_words long, hit array<struct<start:int,stop:int>>, items array<string>, near array<string>")
+
+
+def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", slop: int = SLOP) -> DataFrame:
+    """(doc_id, text_hash, n_words, hit, items, near) of every row: hit runs of
+    words, items with occurring windows, near items.
 
     A null or wordless text has no words and no hits; a null or wordless item has
     no windows.  Repeated items each count; a null item_id is called ``null``.
-    Without items, or without documents, nothing is hit.
+    Rows repeated are found alike.  Without items, or without documents, nothing is hit.
     """
-    ship(docs.sparkSession)
-    out = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
-    any_block = False
+    found = []
     for block in blocks_of(benchmark):
-        searcher = block.anchored(corpus_counts(docs, block, text_column))
-        out = out.withColumn("new", _searching(docs, searcher, slop)(F.col("text")))
-        out = out.withColumn("found", _merged(F.col("found"), F.col("new")) if any_block else F.col("new")).drop("new")
-        any_block = True
-    if not any_block:
-        out = out.withColumn("found", _searching(docs, Block().anchored(np.zeros(0, np.int64)), slop)(F.col("text")))
-    return out.select("row", "found")
-
-
-def _searching(docs: DataFrame, searcher: Searcher, slop: int):
-    shared = docs.sparkSession.sparkContext.broadcast(searcher)
-
-    @F.pandas_udf(_FOUND)
-    def searched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = list(_search_texts(shared.value, texts.tolist(), slop))
-            yield pd.DataFrame(
-                {
-                    "n_words": [r[0] for r in rows],
-                    "hit": [[{"start": a, "stop": b} for a, b in r[1]] for r in rows],
-                    "items": [r[2] for r in rows],
-                    "near": [r[3] for r in rows],
-                }
-            )
-
-    return searched
-
-
-def _merged(old: Column, new: Column) -> Column:
-    """The findings of two blocks: runs that meet or overlap become one."""
-    runs = F.array_sort(F.concat(old["hit"], new["hit"]))
-    joined = F.aggregate(
-        runs,
+        index = build_index(docs, block, id_column, text_column)
+        found.append(_searched(index, block.anchored(corpus_counts(index, block)), slop))
+    if not found:
+        index = build_index(docs, Block(), id_column, text_column)
+        found.append(_searched(index, Block().anchored(np.zeros(0, np.int64)), slop))
+    if len(found) == 1:
+        return found[0]
+    # Blocks meet by document; rows repeated get their own again.
+    keys = ["doc_id", "text_hash"]
+    every = reduce(DataFrame.unionByName, found)
+    one = every.groupBy(*keys).agg(
+        F.max("n_words").alias("n_words"),
+        _joined(F.flatten(F.collect_list("hit"))).alias("hit"),
+        *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near")],
+    )
+    one = written(one, "found").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "n_words", "hit", "items", "near")
+    rows = found[0].select(*keys)
+    same = rows["doc_id"].eqNullSafe(one["_id"]) & (rows["text_hash"] == one["_hash"])
+    return rows.join(one, same).drop("_id", "_hash")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` without the contaminated ones."""
+    found = find(docs, benchmark, id_column, text_column)
+    bad = written(found.where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text_column)).alias("text_hash"))
+    return rows.join(bad, rows["doc_id"].eqNullSafe(bad["_id"]) & (rows["text_hash"] == bad["_hash"]), "left_anti").select("row.*")
+
+
+def _joined(runs: Column) -> Column:
+    """Runs of several blocks: those that meet or overlap become one."""
+    return F.aggregate(
+        F.array_sort(runs),
         F.array().cast("array<struct<start:int,stop:int>>"),
         lambda acc, r: F.when(
             (F.size(acc) > 0) & (F.element_at(acc, -1)["stop"] >= r["start"]),
@@ -261,29 +306,22 @@ def _merged(old: Column, new: Column) -> Column:
             ),
         ).otherwise(F.concat(acc, F.array(r))),
     )
-    return F.struct(
-        old["n_words"].alias("n_words"),
-        joined.alias("hit"),
-        F.array_sort(F.array_union(old["items"], new["items"])).alias("items"),
-        F.array_sort(F.array_union(old["near"], new["near"])).alias("near"),
-    )
 
 
-def n_hit(found: Column) -> Column:
-    return F.aggregate(found["hit"], F.lit(0).cast("long"), lambda acc, r: acc + (r["stop"] - r["start"]))
+def n_hit() -> Column:
+    return F.aggregate("hit", F.lit(0).cast("long"), lambda acc, r: acc + (r["stop"] - r["start"]))
 
 
-def contaminated(found: Column) -> Column:
-    return (n_hit(found) > 0) & (n_hit(found) * SHARE >= found["n_words"])
+def contaminated() -> Column:
+    return (n_hit() > 0) & (n_hit() * SHARE >= F.col("n_words"))
 
 
 def digest(found: DataFrame) -> DataFrame:
-    f = F.col("found")
     return found.select(
-        "row.doc_id",
-        f["n_words"].alias("n_words"),
-        n_hit(f).alias("n_hit"),
-        F.size(f["items"]).cast("long").alias("n_items"),
-        F.sha2(F.array_join(f["items"], ","), 256).alias("items_sha256"),
-        contaminated(f).alias("contaminated"),
+        "doc_id",
+        "n_words",
+        n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
     )

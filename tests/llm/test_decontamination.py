@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from docsync.llm import decontamination
 from tests.llm.helpers import ODD, docs, vocabulary, words
 
@@ -62,16 +64,23 @@ def test_small_batches(monkeypatch):
     items, rows = sample()
     named = [("null" if n is None else str(n), t) for n, t in items]
     block = decontamination.Block.of(named)
-    searcher = block.anchored(__import__("numpy").zeros(len(block.vocabulary)))
-    whole = list(decontamination._search_texts(searcher, [t for _, t in rows], 16))
+    searcher = block.anchored(np.zeros(len(block.vocabulary)))
+
+    def postings(text):
+        ids = np.array([block.vocabulary.get(w, -1) for w in decontamination.words_of(text)], np.int32)
+        at = np.flatnonzero(ids >= 0)
+        return len(ids), ids[at], at
+
+    indexed = [postings(t) for _, t in rows]
+    whole = list(decontamination._search_rows(searcher, indexed, 16))
     monkeypatch.setattr(decontamination, "BATCH_WORDS", 50)
-    assert list(decontamination._search_texts(searcher, [t for _, t in rows], 16)) == whole
+    assert list(decontamination._search_rows(searcher, indexed, 16)) == whole
 
 
 def test_proximity(spark):
     items = [(1, "zebra quagga")]
     rows = [(1, "the quagga and then a zebra"), (2, "zebra " + "x " * 40 + "quagga"), (3, "zebra quagga"), (4, "zebra only")]
-    found = {r.row.doc_id: (list(r.found.items), list(r.found.near)) for r in run(spark, items, rows).collect()}
+    found = {r.doc_id: (r["items"], r.near) for r in run(spark, items, rows).collect()}
     assert found == {1: ([], ["1"]), 2: ([], []), 3: (["1"], ["1"]), 4: ([], [])}
 
 
@@ -79,3 +88,17 @@ def test_nothing_to_find_or_to_search(spark):
     run(spark, [], ODD)
     benchmark = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontamination.find(docs(spark, ODD).limit(0), benchmark).count() == 0
+
+
+def test_the_index_is_positional(spark):
+    block = decontamination.Block.of([("1", "b a x")])
+    row = decontamination.build_index(docs(spark, [(1, "a B c a; b")]), block).first()
+    assert (row.n_words, row.terms, row.positions) == (5, [0, 0, 1, 1], [1, 4, 0, 3])
+
+
+def test_clean(spark):
+    items, rows = sample()
+    rows += rows[:3]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontamination.clean(docs(spark, rows), benchmark).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(str(r) for r in rows if not brute(r[1], items)[-1])
