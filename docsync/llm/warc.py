@@ -29,7 +29,7 @@ import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from docsync.llm.common import shared_folder, ship, written
+from docsync.llm.common import shared_folder, ship, uniform, written
 
 #: Smaller payloads are never deduplicated.
 LEAST_REVISIT = 1000
@@ -72,13 +72,19 @@ def _record(page_id, url: str | None, html: str | None, kind: str, refers_to) ->
 
 
 def train_dictionary(pages: DataFrame, html_column: str = "html") -> bytes:
-    """A dictionary from the sample: the records with the least hashes, cut to
-    ``SAMPLE_CHARACTERS``.  Too few or too alike to train on, they are themselves
+    """A dictionary from the sample: the different payloads with the least hashes, cut
+    to ``SAMPLE_CHARACTERS``.  Too few or too alike to train on, they are themselves
     the dictionary's content; without records it is empty."""
+    html = F.coalesce(F.col(html_column), F.lit(""))
+    rows = pages.count()
+    if not rows:
+        return b""
+    # Payloads with small hashes, about twice as many as wanted: tasks find few, the driver gets few.
+    chosen = pages.select(html.alias("html")).where("html <> ''").where(uniform(F.md5("html")) < 2.0 * SAMPLE_RECORDS / rows)
     sample = (
-        pages.select(F.substring(F.coalesce(F.col(html_column), F.lit("")), 1, SAMPLE_CHARACTERS).alias("html"))
-        .where("html <> ''")
-        .select("html", F.md5("html").alias("order"))
+        chosen.select(F.substring("html", 1, SAMPLE_CHARACTERS).alias("html"), F.md5("html").alias("order"))
+        .groupBy("order")
+        .agg(F.min("html").alias("html"))
         .orderBy("order")
         .limit(SAMPLE_RECORDS)
         .collect()
@@ -97,7 +103,7 @@ def _as_dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
 def read_archive(uri: str) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
     """(WARC headers, HTTP headers, payload) of each record, one in memory at a time."""
     system, path = _file_system(uri)
-    with system.open_input_stream(path) as file:
+    with system.open_input_stream(path, compression=None) as file:
         head = file.read(8)
         if len(head) < 8:
             return
@@ -133,7 +139,7 @@ class _Archive:
         self.uri, self.size, self.records = f"{folder}/{uuid.uuid4().hex}.warc.zst", 0, 0
         system, path = _file_system(self.uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
-        self.file = system.open_output_stream(path)
+        self.file = system.open_output_stream(path, compression=None)  # the name alone would compress it once more
         self.compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_as_dictionary(dictionary), write_checksum=True).compress
         self.file.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
 
