@@ -114,6 +114,18 @@ def field_votes(docs: DataFrame) -> DataFrame:
     )
 
 
+def schema_votes(df: DataFrame) -> DataFrame:
+    """Votes of a typed collection by its schema alone: no document is read."""
+    rows = [(f.name, ct.column_type_of(f.dataType), 1, 0, i + 1) for i, f in enumerate(df.schema.fields)]
+    votes = df.sparkSession.createDataFrame(rows, "field string, type string, n long, newest long, pos long")
+    return votes.select("field", snake_case(F.col("field")).alias("column"), "type", "n", "newest", "pos")
+
+
+def is_typed(docs: DataFrame) -> bool:
+    """Are all types known from the schema?"""
+    return not is_document_frame(docs) and not any(isinstance(f.dataType, T.VariantType) for f in docs.schema.fields)
+
+
 def typed_votes(df: DataFrame, seq: str) -> DataFrame:
     """Histogram of a typed collection: ``(field, type, n, newest, pos)``.
 
@@ -145,8 +157,7 @@ def type_histogram(docs: DataFrame, null_votes_as_jsonb: bool = False, seq: str
     counted column by column instead.
     """
     any_type = F.coalesce("type", F.lit(ct.JSONB)) if null_votes_as_jsonb else F.col("type")
-    variants = not is_document_frame(docs) and any(isinstance(f.dataType, T.VariantType) for f in docs.schema.fields)
-    if variants:
+    if not is_document_frame(docs) and not is_typed(docs):
         docs = from_table(docs, seq)
     if is_document_frame(docs):
         sums = (F.count(F.lit(1)).alias("n"), F.max(SEQ).alias("newest"), F.max_by("pos", SEQ).alias("pos"))
@@ -196,7 +207,8 @@ def infer_map(
     """Map of several collections, sorted by name, columns in first-seen order.
 
     Every document votes, unless ``sample`` limits the votes to so many of the
-    newest documents of each: fields on older ones only then get no column.  ``seqs`` names the ordering column of each typed
+    newest documents of each: fields on older ones only then get no column.
+    Typed collections are not read: their schema has a column's type, whatever it holds.  ``seqs`` names the ordering column of each typed
     collection.  Each collection is reduced to its votes by itself; the rest
     is worked out for all of them together, on a row per field and type.
     """
@@ -204,8 +216,11 @@ def infer_map(
     for position, name in enumerate(sorted(collections)):
         docs = collections[name]
         seq = SEQ if is_document_frame(docs) else (seqs or {}).get(name, SEQ)
-        seen = docs if sample is None else newest_by_cutoff(docs, sample, seq)
-        histogram = type_histogram(seen, null_votes_as_jsonb, seq)
+        if is_typed(docs):
+            histogram = schema_votes(docs)
+        else:
+            seen = docs if sample is None else newest_by_cutoff(docs, sample, seq)
+            histogram = type_histogram(seen, null_votes_as_jsonb, seq)
         votes.append(histogram.select(F.lit(position).alias("id"), F.lit(name).alias("collection_name"), "*"))
     by = ("id", "collection_name")
     columns = unique_columns(dominant_types(reduce(DataFrame.unionByName, votes), by), by)

@@ -46,25 +46,22 @@ SERVICE_SCHEMAS = {
 
 
 def audit_rows(changes: DataFrame, cmap: CollectionMap, ts: Column | None = None) -> DataFrame:
-    """What a batch did: one row per id and operation, deletes included.
+    """What a batch did: one row per change, deletes included.
 
-    ``merged`` tells that several updates of the id were taken together;
-    ``document`` is the newest change as JSON text.  An aggregate rather than a
-    window, so a hot id is reduced before the shuffle.
+    ``document`` is what the change says, as JSON text; ``merged`` tells that
+    several updates of the id are in the batch, and so went into the row together.
     """
-    rows = changes.groupBy("id", "op").agg(
-        F.max("seq").alias("seq"),
-        F.count(F.lit(1)).alias("n"),
-        F.to_json(F.max_by("fields", "seq")).alias("document"),
-    )
+    updates = changes.where(F.col("op").isin(UPDATE, REPLACE))
+    several = updates.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_several"))
+    rows = changes.join(several, F.col("id") == F.col("_several"), "left")
     return rows.select(
         "seq",
         F.col("op").alias("operation"),
         F.lit(cmap.relation).alias("relation"),
         F.col("id").alias("obj_id"),
         (ts if ts is not None else F.unix_timestamp()).cast("int").alias("ts"),
-        (F.col("op").isin(UPDATE, REPLACE) & (F.col("n") > 1)).alias("merged"),
-        "document",
+        (F.col("op").isin(UPDATE, REPLACE) & F.col("_several").isNotNull()).alias("merged"),
+        F.to_json("fields").alias("document"),
     )
 
 

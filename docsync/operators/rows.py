@@ -59,8 +59,8 @@ def upsert(base: DataFrame, new: DataFrame, key: Keys = KEY_COLUMN, order: str |
     keys = _keys(key)
     fresh = new if order is None else one_per_key(new, keys, order, last=True)
     fresh = fresh.select(*[ref(c) for c in base.columns])
-    kept = base.join(fresh.select(*[ref(k) for k in keys]), keys, "left_anti").select(*[ref(c) for c in base.columns])
-    return kept.unionByName(fresh)
+    # The keys are taken from ``new`` itself: which row of a key wins makes no difference to them.
+    return delete_keys(base, new, keys).unionByName(fresh)
 
 
 def upsert_partial(

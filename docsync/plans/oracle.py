@@ -288,9 +288,11 @@ SELECT o.field, o.type AS old_type, o.n AS n_old, n.type AS new_type,
        NOT (o.type = 'double precision' AND n.type = 'jsonb' OR o.type = 'jsonb' AND n.type = 'boolean') AS convertible
 FROM histogram o JOIN histogram n ON o.field = n.field AND o.type <> n.type""",
     "audit_rows": f"""WITH {_PLAIN_FEED}
-SELECT max(seq) AS seq, op AS operation, 'users' AS relation, id AS obj_id, op = 'update' AND count(*) > 1 AS merged,
-       op <> 'delete' AS has_document
-FROM feed GROUP BY id, op""",
+SELECT seq, op AS operation, 'users' AS relation, id AS obj_id,
+       op = 'update' AND count(*) FILTER (op = 'update') OVER (PARTITION BY id) > 1 AS merged,
+       CASE WHEN op <> 'delete' THEN kind END AS "document_eventType", CASE WHEN op <> 'delete' THEN v END AS document_value,
+       CASE WHEN kind IN ('signup', 'view') THEN k_all END AS document_k
+FROM feed""",
     "change_errors": f"""WITH {_PLAIN_FEED}
 SELECT 'users' AS location, 'value does not fit: eventType: ' || id AS message, count(*) AS n_errors
 FROM feed WHERE op <> 'delete' GROUP BY id""",

@@ -547,7 +547,8 @@ def convertible_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.audit_rows(inputs.user_changes(spark, sf_dir), inputs.USER_MAP).select(
-        "seq", "operation", "relation", "obj_id", "merged", F.col("document").isNotNull().alias("has_document")
+        "seq", "operation", "relation", "obj_id", "merged",
+        *[F.get_json_object("document", f"$.{c}").cast(t).alias(f"document_{c}") for c, t in (("eventType", "string"), ("value", "double"), ("k", "long"))],
     )
 
 

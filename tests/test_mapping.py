@@ -72,7 +72,9 @@ def test_typed_collection_gives_the_same_map(spark):
     typed = m.infer_map({"T": df}, sample=None, seqs={"T": "k"})
     general = m.infer_map({"T": documents.from_table(df, "k")}, sample=None)
     assert columns(typed)[:2] == [("k", "k", "DOUBLE PRECISION"), ("some_text", "someText", "TEXT")]
-    assert columns(typed) == columns(general)
+    # The schema has a type even for a column that is always null; among documents that is text.
+    assert columns(typed)[2:] == [("gone", "gone", "DOUBLE PRECISION"), ("list", "list", "JSONB")]
+    assert columns(general)[:2] == columns(typed)[:2] and columns(general)[2] == ("gone", "gone", "TEXT")
 
 
 def test_several_collections_sorted(spark):
@@ -99,3 +101,14 @@ def test_details_with_extra_props():
     assert COMPANY.with_extra_props().schema().fieldNames()[-1] == "_extra_props"
     assert COMPANY.details() == list(COMPANY.columns)
     assert COMPANY.key.column == "id" and ct.spark_type("JSONB").simpleString() == "variant"
+
+
+def test_a_map_of_typed_collections_reads_no_documents(spark):
+    df = spark.createDataFrame([(1, "a")], "k long, text string").where("raise_error('read') IS NULL")
+    assert columns(m.infer_map({"T": df}, seqs={"T": "k"})) == [("k", "k", "DOUBLE PRECISION"), ("text", "text", "TEXT")]
+
+
+def test_a_field_on_the_oldest_document_only_has_a_column(spark):
+    df = documents.from_json(spark.range(300).selectExpr("if(id = 0, '{\"_id\":0,\"rare\":1}', concat('{\"_id\":', id, '}')) AS body", "id AS seq"), "body", "seq")
+    assert ("rare", "rare", "DOUBLE PRECISION") in columns(m.infer_map({"T": df}))
+    assert ("rare", "rare", "DOUBLE PRECISION") not in columns(m.infer_map({"T": df}, sample=100))
