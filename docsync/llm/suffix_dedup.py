@@ -328,7 +328,8 @@ def _stored(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = docs.select(id_.alias("id"), F.hash(text).alias("th"), F.col(id_column).cast("string").alias("doc_id"), text.alias("text"))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = "docsync_texts_" + uuid.uuid4().hex
-    rows.repartition(count, "id").write.bucketBy(count, "id").saveAsTable(name)
+    # By both columns of the joins to come: Spark asks for all keys to leave a side where it is.
+    rows.repartition(count, "id", "th").write.bucketBy(count, "id", "th").saveAsTable(name)
     return spark.table(name)
 
 
