@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from docsync.functions import types as ct
 from docsync.functions.cast import number_of_text
 from docsync.functions.naming import ref
-from docsync.operators.fold import AT, DELETED, LIVE, position_columns
+from docsync.operators.fold import AT, CLEARED, DELETED, FIELDS, LIVE, position_columns, state_schema
 from docsync.operators.mapping import CollectionMap, MappedColumn, column_rows
 from docsync.operators.project import project
 from docsync.operators.rows import Keys
@@ -253,14 +253,15 @@ def column_names(old: CollectionMap, new: CollectionMap) -> dict[str, str]:
 def evolve_stored(stored: DataFrame, old: CollectionMap, new: CollectionMap) -> tuple[DataFrame, list[ColumnChange]]:
     """The same for stored rows: the positions go along with their columns."""
     names = column_names(old, new)
-    keep = [DELETED, LIVE, *[AT + n for c, n in names.items() if c != old.key.column]]
+    stay = {DELETED, LIVE, *[AT + n for n in names.values()], *[c for c in (CLEARED, FIELDS) if c in stored.columns]}
+    keep = [c for c in position_columns(new) if c in stay]
     moved = rename_columns(
-        remove_columns(stored, [AT + c.column for c in old.details() if c.column not in names]),
+        remove_columns(stored, [AT + c.column for c in old.details() if c.column not in names] + [c for c in (CLEARED, FIELDS) if c not in keep]),
         {AT + c: AT + n for c, n in names.items()},
     )
     rows, report = evolve(moved, new, old, keep)
-    missing = [c for c in position_columns(new) if c not in keep]
-    rows = rows.select("*", *[F.lit(None).cast("long").alias(c) for c in missing])
+    missing = [f for f in state_schema(new).fields if f.name in position_columns(new) and f.name not in keep]
+    rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
     return rows.select(*[ref(c.column) for c in new.details()], *[ref(c) for c in position_columns(new)]), report
 
 

@@ -6,6 +6,9 @@ The folded form of any set of changes is one row per id, a *fold*:
 * ``_live``    - position of the last other change, null if none
 * ``_changes`` - how many changes went in
 * one struct ``<seq, value>`` per mapped column: the last touch and its value
+* with leftovers, ``_cleared`` (position of the last change that told the whole
+  document) and ``_fields``: the same struct per field that is not mapped or did not
+  fit, its value null where the field was taken away
 
 Folds merge by taking, per part, whatever has the higher position.  That makes
 the order in which events, tasks or micro-batches are combined irrelevant, and
@@ -20,7 +23,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from docsync.functions.naming import literal, literals, quoted, ref
+from docsync.functions.cast import can_fail
+from docsync.functions.naming import EXTRA_COLUMN, literal, literals, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.operators.project import FAILED, cast_fields, failed_sql, field_path, leftovers_sql
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
@@ -30,11 +34,13 @@ DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
 FAILURES = "_failures"
 # Before a column's name: the position of its last touch, in a stored table.
 AT = "_at_"
+CLEARED, FIELDS = "_cleared", "_fields"
+FIELDS_TYPE = "MAP<STRING, STRUCT<seq: BIGINT, value: VARIANT>>"
 
 
 def _registers(cmap: CollectionMap) -> list[MappedColumn]:
-    """Columns that change: all but the key, leftovers included."""
-    return [c for c in cmap.details() if c.column != cmap.key.column]
+    """Columns that change: all but the key; leftovers are folded by field."""
+    return [c for c in cmap.columns if c.column != cmap.key.column]
 
 
 def touch(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False) -> DataFrame:
@@ -60,28 +66,66 @@ def touch(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False)
         out.append(f"if({removed}, NULL, _x{i}) AS _c{i}")
         out.append(f"if({touched}, seq, NULL) AS _s{i}")
     if cmap.extra_props:
-        i = len(columns)
-        ready = ready.selectExpr("*", f"{leftovers_sql('fields', list(cmap.columns), FAILED)} AS _rest")
-        touched = f"op IN ('{INSERT}', '{REPLACE}') OR (op = '{UPDATE}' AND size(_rest) > 0)"
-        out.append(f"to_variant_object(_rest) AS _c{i}")
-        out.append(f"if({touched}, seq, NULL) AS _s{i}")
+        # A field taken away, or one that fits now and may not have before, is no leftover any more.
+        fits = [
+            f"if(op = '{UPDATE}' AND _t{i} IS NOT NULL AND NOT array_contains({FAILED}, {literal(c.source)}), {literal(c.source)}, NULL)"
+            for i, c in enumerate(columns)
+            if can_fail(c.type)
+        ]
+        taken = "coalesce(removed, CAST(array() AS ARRAY<STRING>))"
+        rest = f"map_filter(coalesce({leftovers_sql('fields', list(cmap.columns), FAILED)}, CAST(map() AS MAP<STRING, VARIANT>)), (k, v) -> NOT array_contains({taken}, k))"
+        gone = f"concat({taken}, array_compact(array({', '.join(fits)})))" if fits else taken
+        out.append(f"concat(map_entries({rest}), transform({gone}, k -> struct(k AS key, CAST(NULL AS VARIANT) AS value))) AS _leftovers")
     return ready.selectExpr(*out, *([FAILED] if with_failures else []))
 
 
 def fold(touched: DataFrame, cmap: CollectionMap) -> DataFrame:
-    """Touched changes -> fold, one row per id; one shuffle, of partial folds."""
+    """Touched changes -> fold, one row per id; one shuffle, of partial folds
+    (leftovers need two more, by field and by id)."""
     parts = [
         f"struct(max(_s{i}) AS seq, max_by(_c{i}, _s{i}) AS value) AS {quoted(c.column)}"
         for i, c in enumerate(_registers(cmap))
     ]
-    return _aggregate(
+    cleared = f"max(if(op IN ('{INSERT}', '{REPLACE}'), seq, NULL)) AS {CLEARED}"
+    rows = _aggregate(
         touched,
         f"max(if(op = '{DELETE}', seq, NULL)) AS {DELETED}",
         f"max(if(op <> '{DELETE}', seq, NULL)) AS {LIVE}",
         f"count(1) AS {CHANGES}",
         *([f"sum(size({FAILED})) AS {FAILURES}"] if FAILED in touched.columns else []),
         *parts,
+        *([cleared] if cmap.extra_props else []),
+    )
+    return _with_fields(rows, touched.selectExpr("id", "seq", "inline(_leftovers)")) if cmap.extra_props else rows
+
+
+def _with_fields(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """Folds with the last touch of each leftover field, from (id, seq, key, value)."""
+    latest = entries.groupBy("id", "key").agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"))
+    # An entry per field the id's documents ever had.
+    fields = latest.groupBy(F.col("id").alias("_of")).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", F.struct("seq", "value")))).alias(FIELDS)
     )
+    return rows.join(fields, F.col("id") == F.col("_of"), "left").drop("_of")
+
+
+def _leftovers(base: str) -> str:
+    """The leftovers column: what was there, unless deleted or told anew since, and over it the fields touched since."""
+    old = f"if({DELETED} IS NULL AND {CLEARED} IS NULL, try_cast({base} AS MAP<STRING, VARIANT>), NULL)"
+    since = f"map_filter({FIELDS}, (k, e) -> ({DELETED} IS NULL OR e.seq > {DELETED}) AND ({CLEARED} IS NULL OR e.seq >= {CLEARED}))"
+    none = f"CAST(map() AS {FIELDS_TYPE})"
+    both = (
+        f"map_zip_with(coalesce({old}, CAST(map() AS MAP<STRING, VARIANT>)), coalesce({since}, {none}), "
+        "(k, v, e) -> if(e.seq IS NULL, v, e.value))"
+    )
+    return (
+        f"CASE WHEN {DELETED} IS NULL AND {CLEARED} IS NULL AND {FIELDS} IS NULL THEN {base} "
+        f"ELSE to_variant_object(map_filter({both}, (k, v) -> v IS NOT NULL)) END"
+    )
+
+
+def _fold_columns(cmap: CollectionMap) -> list[str]:
+    return [CLEARED, FIELDS] if cmap.extra_props else []
 
 
 def _aggregate(df: DataFrame, *sums: str) -> DataFrame:
@@ -152,9 +196,15 @@ def merge_fold_rows(both: DataFrame, cmap: CollectionMap) -> DataFrame:
     for c in _registers(cmap):
         p = quoted(c.column)
         parts.append(f"struct(max({p}.seq) AS seq, max_by({p}.value, {p}.seq) AS value) AS {p}")
-    return _aggregate(
+    if cmap.extra_props:
+        parts.append(f"max({CLEARED}) AS {CLEARED}")
+    rows = _aggregate(
         both, f"max({DELETED}) AS {DELETED}", f"max({LIVE}) AS {LIVE}", f"sum({CHANGES}) AS {CHANGES}", *parts
     )
+    if not cmap.extra_props:
+        return rows
+    entries = both.selectExpr("id", f"inline(map_entries({FIELDS}))").selectExpr("id", "key", "value.seq AS seq", "value.value AS value")
+    return _with_fields(rows, entries)
 
 
 _ALIVE = f"({LIVE} IS NOT NULL AND ({DELETED} IS NULL OR {LIVE} > {DELETED}))"
@@ -171,6 +221,8 @@ def rows_of_fold(state: DataFrame, cmap: CollectionMap) -> DataFrame:
     for c in _registers(cmap):
         p = quoted(c.column)
         out.append(f"if({_counts(p)}, {p}.value, NULL) AS {p}")
+    if cmap.extra_props:
+        out.append(f"{_leftovers('CAST(NULL AS VARIANT)')} AS {EXTRA_COLUMN}")
     return state.where(_ALIVE).selectExpr(*out)
 
 
@@ -180,7 +232,16 @@ def fold_schema(cmap: CollectionMap) -> T.StructType:
     parts = [
         T.StructField(c.column, T.StructType([T.StructField("seq", long), T.StructField("value", c.spark_type)])) for c in _registers(cmap)
     ]
-    return T.StructType([T.StructField("id", T.StringType()), *[T.StructField(n, long) for n in (DELETED, LIVE, CHANGES)], *parts])
+    return T.StructType([
+        T.StructField("id", T.StringType()), *[T.StructField(n, long) for n in (DELETED, LIVE, CHANGES)], *parts,
+        *[T.StructField(c, _hidden_type(c)) for c in _fold_columns(cmap)],
+    ])
+
+
+def _hidden_type(column: str) -> T.DataType:
+    if column != FIELDS:
+        return T.LongType()
+    return T.MapType(T.StringType(), T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.VariantType())]))
 
 
 # ------------------------------------------------ tables that keep positions
@@ -193,24 +254,32 @@ def fold_schema(cmap: CollectionMap) -> T.StructType:
 
 
 def position_columns(cmap: CollectionMap) -> list[str]:
-    return [DELETED, LIVE, *[AT + c.column for c in _registers(cmap)]]
+    return [DELETED, LIVE, *[AT + c.column for c in _registers(cmap)], *_fold_columns(cmap)]
 
 
 def state_schema(cmap: CollectionMap) -> T.StructType:
     """A table's own columns, then positions."""
-    return T.StructType([*cmap.schema().fields, *[T.StructField(c, T.LongType()) for c in position_columns(cmap)]])
+    return T.StructType([*cmap.schema().fields, *[T.StructField(c, _hidden_type(c)) for c in position_columns(cmap)]])
 
 
 def with_positions(rows: DataFrame, cmap: CollectionMap, at: int | None = None) -> DataFrame:
     """Plain rows as stored ones, of one position or of none."""
     stamp = F.lit(at).cast("long")
-    plain = [ref(c.column) for c in cmap.details()]
-    return rows.select(*plain, F.lit(None).cast("long").alias(DELETED), *[stamp.alias(c) for c in position_columns(cmap)[1:]])
+    hidden = {c: stamp.alias(c) for c in position_columns(cmap)} | {DELETED: F.lit(None).cast("long").alias(DELETED)}
+    if cmap.extra_props:
+        # Leftovers of a known position become fields of it.
+        told = f"transform_values(try_cast({EXTRA_COLUMN} AS MAP<STRING, VARIANT>), (k, v) -> struct(CAST({at} AS BIGINT) AS seq, v AS value))"
+        hidden[FIELDS] = F.expr(told if at is not None else f"CAST(NULL AS {FIELDS_TYPE})").alias(FIELDS)
+    return rows.select(*[ref(c.column) for c in cmap.details()], *hidden.values())
 
 
 def alive(stored: DataFrame, cmap: CollectionMap) -> DataFrame:
     """The rows of a stored table, without positions."""
-    return stored.where(f"{DELETED} IS NULL OR {LIVE} > {DELETED}").select(*[ref(c.column) for c in cmap.details()])
+    rows = stored.where(f"{DELETED} IS NULL OR {LIVE} > {DELETED}")
+    out = [quoted(c.column) for c in cmap.columns]
+    if cmap.extra_props:
+        out.append(f"{_leftovers(EXTRA_COLUMN)} AS {EXTRA_COLUMN}")
+    return rows.selectExpr(*out)
 
 
 def settle(stored: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool = False) -> DataFrame:
@@ -220,6 +289,7 @@ def settle(stored: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool
     """
     key, registers = cmap.key.column, _registers(cmap)
     renamed = [f"{quoted(c.column)} AS _p{i}" for i, c in enumerate(registers)]
+    renamed += [f"{CLEARED} AS _c", f"{FIELDS} AS _f"] if cmap.extra_props else []
     side = state.selectExpr("id AS _id_new", f"{DELETED} AS _d", f"{LIVE} AS _l", *renamed)
 
     def merged(joined: DataFrame) -> DataFrame:
@@ -233,7 +303,14 @@ def settle(stored: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool
             values.append(f"if(_gone IS NULL OR {seq} > _gone, if({newer}, _p{i}.value, {value}), NULL) AS {value}")
             positions.append(f"{seq} AS {at}")
         by_name = dict(zip([c.column for c in registers], values))
-        plain = [f"coalesce({quoted(key)}, _id_new) AS {quoted(key)}" if c.column == key else by_name[c.column] for c in cmap.details()]
+        plain = [f"coalesce({quoted(key)}, _id_new) AS {quoted(key)}" if c.column == key else by_name[c.column] for c in cmap.columns]
+        if cmap.extra_props:
+            none, cleared = f"CAST(map() AS {FIELDS_TYPE})", f"greatest({CLEARED}, _c)"
+            later = "if(y.seq IS NOT NULL AND (x.seq IS NULL OR y.seq >= x.seq), y, x)"
+            fields = f"map_zip_with(coalesce({FIELDS}, {none}), coalesce(_f, {none}), (k, x, y) -> {later})"
+            live = f"(_gone IS NULL OR e.seq > _gone) AND ({cleared} IS NULL OR e.seq >= {cleared})"
+            plain.append(f"if(_gone IS NULL AND {cleared} IS NULL, {EXTRA_COLUMN}, NULL) AS {EXTRA_COLUMN}")
+            positions += [f"{cleared} AS {CLEARED}", f"if({FIELDS} IS NULL AND _f IS NULL, NULL, map_filter({fields}, (k, e) -> {live})) AS {FIELDS}"]
         return both.selectExpr(*plain, f"_gone AS {DELETED}", f"_lives AS {LIVE}", *positions)
 
     matches = ref(key) == F.col("_id_new")
@@ -258,16 +335,18 @@ def apply_fold(base: DataFrame, state: DataFrame, cmap: CollectionMap, small: bo
     key = cmap.key.column
     registers = _registers(cmap)
     renamed = [f"{quoted(c.column)} AS _p{i}" for i, c in enumerate(registers)]
-    state_side = state.selectExpr("id AS _id_new", DELETED, LIVE, *renamed)
+    state_side = state.selectExpr("id AS _id_new", DELETED, LIVE, *renamed, *_fold_columns(cmap))
     merged_columns = [f"coalesce({quoted(key)}, _id_new) AS {quoted(key)}"] + [
         f"CASE WHEN {_counts(f'_p{i}')} THEN _p{i}.value WHEN {DELETED} IS NULL THEN {quoted(c.column)} END AS {quoted(c.column)}"
         for i, c in enumerate(registers)
     ]
+    if cmap.extra_props:
+        merged_columns.append(f"{_leftovers(EXTRA_COLUMN)} AS {EXTRA_COLUMN}")
 
     def merged(joined: DataFrame) -> DataFrame:
         return joined.where(f"_id_new IS NULL OR {_ALIVE}").selectExpr(*merged_columns)
 
-    base = base.selectExpr(quoted(key), *[quoted(c.column) for c in registers])
+    base = base.selectExpr(quoted(key), *[quoted(c.column) for c in registers], *([EXTRA_COLUMN] if cmap.extra_props else []))
     matches = ref(key) == F.col("_id_new")
     if not small:
         return merged(base.join(state_side, matches, "full_outer"))
@@ -299,6 +378,8 @@ def merge_updates(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     for c in _registers(cmap):
         p = quoted(c.column)
         out += [f"{p}.value AS {p}", f"{p}.seq IS NOT NULL AS {quoted('touched_' + c.column)}"]
+    if cmap.extra_props:
+        out += [f"{_leftovers('CAST(NULL AS VARIANT)')} AS {EXTRA_COLUMN}", f"{CLEARED} IS NOT NULL OR {FIELDS} IS NOT NULL AS touched_{EXTRA_COLUMN}"]
     return fold_changes(updates, cmap).selectExpr(*out, f"{CHANGES} > 1 AS merged")
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docsync.functions import types as ct
-from docsync.functions.naming import EXTRA_COLUMN, EXTRA_SOURCE, KEY_COLUMN, KEY_SOURCE, literals, quoted, snake_case
+from docsync.functions.naming import EXTRA_COLUMN, EXTRA_SOURCE, KEY_COLUMN, KEY_SOURCE, literal, literals, quoted, snake_case
 from docsync.sources.documents import DOC, KEYS, SEQ, from_table, is_document_frame, newest_by_cutoff
 
 COLUMN_STRUCT = T.StructType(
@@ -116,8 +116,8 @@ def field_votes(docs: DataFrame) -> DataFrame:
 
 def schema_votes(df: DataFrame) -> DataFrame:
     """Votes of a typed collection by its schema alone: no document is read."""
-    rows = [(f.name, ct.column_type_of(f.dataType), 1, 0, i + 1) for i, f in enumerate(df.schema.fields)]
-    votes = df.sparkSession.createDataFrame(rows, "field string, type string, n long, newest long, pos long")
+    rows = ", ".join(f"({literal(f.name)}, {literal(ct.column_type_of(f.dataType))}, 1L, 0L, {i + 1}L)" for i, f in enumerate(df.schema.fields))
+    votes = df.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS v(field, type, n, newest, pos)")
     return votes.select("field", snake_case(F.col("field")).alias("column"), "type", "n", "newest", "pos")
 
 

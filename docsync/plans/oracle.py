@@ -225,13 +225,10 @@ SELECT 'Users' AS location, CASE op WHEN 'insert' THEN 'operation is unknown: ex
 FROM feed WHERE op <> 'update' OR kind = 'purchase'""",
     "resume_position": f"""WITH {_PLAIN_FEED}
 SELECT id, seq, op FROM feed WHERE seq >= (SELECT max(event_id) FROM events WHERE day(ts) <= 15)""",
-    "fold_with_extra_props": f"""WITH {_PLAIN_FEED}, {_FOLD.format(where='')}, extra AS (
-  SELECT t.id, arg_max(struct_pack(x := CASE WHEN kind IN ('signup', 'view') THEN t.k END), t.seq) AS n_x
-  FROM touched t JOIN ends e ON t.id = e.id
-  WHERE t.op <> 'delete' AND t.kind NOT IN ('click', 'purchase') AND t.seq > coalesce(e.ld, -1) GROUP BY t.id
-)
-SELECT f.id, n_v.x AS value, n_e.x AS event_type, cast(n_x.x AS bigint) AS extra_k
-FROM folded f LEFT JOIN extra USING (id) WHERE coalesce(ll, -1) > coalesce(ld, -1)""",
+    "fold_with_extra_props": f"""WITH {_PLAIN_FEED}, {_FOLD.format(where='')}
+SELECT id, n_v.x AS value, n_e.x AS extra_event_type, cast(n_k.x AS bigint) AS extra_k,
+       (n_e.x IS NOT NULL)::BIGINT + (n_k.x IS NOT NULL)::BIGINT AS n_extra
+FROM folded WHERE coalesce(ll, -1) > coalesce(ld, -1)""",
     "resume_from": f"""WITH {_PLAIN_FEED}
 SELECT f.id, f.seq, f.op FROM feed f JOIN events e ON f.seq = e.event_id WHERE e.ts >= TIMESTAMP '2024-01-12 06:30:00'""",
     "map_diff": _MIXED + """, old AS (

@@ -324,11 +324,16 @@ def fold_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fold_with_extra_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fold under a map that lacks ``k``: the newest leftovers hold it."""
-    m = mapping.make_map("Users", "users", [("id", "_id", "TEXT"), ("value", "value", "DOUBLE PRECISION"), ("event_type", "eventType", "TEXT")], extra_props=True)
-    state = fold.fold_changes(inputs.user_changes(spark, sf_dir), m)
-    out = fold.rows_of_fold(state, m)
-    return out.select("id", "value", "event_type", F.try_variant_get("_extra_props", "$.k", "long").alias("extra_k"))
+    """Fold under a map that lacks ``eventType`` and ``k``, in two batches: each leftover by itself."""
+    m = mapping.make_map("Users", "users", [("id", "_id", "TEXT"), ("value", "value", "DOUBLE PRECISION")], extra_props=True)
+    changes = inputs.user_changes(spark, sf_dir)
+    later = F.pmod(F.xxhash64("seq"), F.lit(2)) == 1
+    state = fold.merge_folds([fold.fold_changes(changes.where(later), m), fold.fold_changes(changes.where(~later), m)], m)
+    extra = lambda name, t: F.try_variant_get("_extra_props", f"$.{name}", t)
+    return fold.rows_of_fold(state, m).select(
+        "id", "value", extra("eventType", "string").alias("extra_event_type"), extra("k", "long").alias("extra_k"),
+        F.size(F.map_keys(F.col("_extra_props").cast("map<string,variant>"))).cast("long").alias("n_extra"),
+    )
 
 
 @query

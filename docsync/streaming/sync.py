@@ -119,7 +119,7 @@ def refresh_maps(store: TableStore, old: Maps, new: Maps, collections: Collectio
             if fill:
                 # What the collection holds now is at least as new as the feed so far.
                 at = F.lit(store.position(cmap.relation)).cast("long")
-                table = backfill(table, collections[name], used, added).withColumns({AT + c: at for c in added})
+                table = backfill(table, collections[name], used, added).withColumns({AT + c: at for c in added if AT + c in table.columns})
             waiting = store.commit_of(cmap.relation).folds
             if not fill and not waiting and all(r.change in ("added", "refused") for r in report):
                 store.widen(cmap.relation, used)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docsync.operators import fold, records
 from docsync.operators.mapping import make_map
+from docsync.plans.tables import TableStore
 from docsync.sources import feed
 from tests.helpers import COMPANY, EMPLOYEE, events_frame, replay, rows_by_key
 
@@ -125,7 +127,7 @@ def test_wide_maps_are_folded_by_field(spark):
     assert (row["id"], row["c1"], row["c2"], row["c3"], row["c5"]) == ("1", None, None, None, 5.0) and len(row) == n + 1
 
 
-def test_extra_props_follow_the_newest_leftovers(spark):
+def test_extra_props_follow_each_leftover(spark):
     m = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "DOUBLE PRECISION")], extra_props=True)
     events = [
         ("insert", "Thing", "1", {"_id": "1", "a": 1, "x": 1}, None, 1),
@@ -135,11 +137,65 @@ def test_extra_props_follow_the_newest_leftovers(spark):
     ]
     state = fold.fold_changes(changes(spark, events), m)
     got = fold.rows_of_fold(state, m).select("id", "a", F.to_json("_extra_props").alias("e"))
-    assert {r["id"]: (r["a"], r["e"]) for r in got.collect()} == {"1": (2.0, '{"x":1}'), "2": (None, '{"y":null}')}
+    assert {r["id"]: (r["a"], r["e"]) for r in got.collect()} == {"1": (2.0, '{"x":1}'), "2": (None, '{"a":"bad","y":null}')}
     errors = fold.change_errors(changes(spark, events), m).collect()
     assert [e["message"] for e in errors] == ["value does not fit: a: 2"]
 
 
+EXTRA = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "DOUBLE PRECISION")], extra_props=True)
+
+
+def leftover_events(n, seed):
+    rng = random.Random(seed)
+    for seq in rng.sample(range(10 * n), n):
+        op = rng.choice(["insert", "update", "update", "update", "replace", "delete"])
+        fields = {k: rng.choice([seq, "bad" if k == "a" else f"v{seq}"]) for k in "axyz" if rng.random() < 0.4}
+        removed = [k for k in "axyz" if k not in fields and rng.random() < 0.2] if op == "update" else None
+        yield op, "Thing", str(rng.randrange(8)), {} if op == "delete" else fields, removed, seq
+
+
+def leftover_replay(base, events):
+    """``{id: leftovers}``: fields that are not mapped or do not fit, one change after the other."""
+    rows = {k: dict(v) for k, v in base.items()}
+    for op, _, i, fields, removed, _ in sorted(events, key=lambda e: e[5]):
+        if op == "delete":
+            rows.pop(i, None)
+            continue
+        row = {} if op in ("insert", "replace") else rows.get(i, {})
+        for k, v in fields.items():
+            row.pop(k, None)
+            if k != "a" or v == "bad":
+                row[k] = v
+        rows[i] = {k: v for k, v in row.items() if k not in (removed or [])}
+    return rows
+
+
+def leftovers(df):
+    return {r["id"]: json.loads(r["e"]) if r["e"] else {} for r in df.select("id", F.to_json("_extra_props").alias("e")).collect()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_leftovers_equal_replay_in_any_batching(spark, folder, seed):
+    events = list(leftover_events(150, seed))
+    start = {str(i): {"x": "base", "w": i} for i in range(4)}
+    want = leftover_replay(start, events)
+    base = spark.createDataFrame([(k, json.dumps(v)) for k, v in start.items()], "id string, e string").selectExpr("id", "CAST(NULL AS DOUBLE) AS a", "parse_json(e) AS _extra_props")
+    whole = changes(spark, events)
+    assert leftovers(fold.apply_changes(base, whole, EXTRA)) == want
+    assert leftovers(fold.apply_changes(base, whole, EXTRA, small=True)) == want
+    shuffled = random.Random(seed).sample(events, len(events))
+    folds = [fold.fold_changes(changes(spark, p), EXTRA) for p in (shuffled[:40], shuffled[40:], shuffled[20:60])]
+    assert leftovers(fold.apply_fold(base, fold.merge_folds(folds, EXTRA), EXTRA)) == want
+    assert leftovers(fold.rows_of_fold(fold.fold_changes(whole, EXTRA), EXTRA)) == leftover_replay({}, events)
+    store = TableStore(spark, folder)
+    store.publish("thing", base, EXTRA)
+    for i in range(0, 150, 50):
+        store.add_fold("thing", fold.fold_changes(changes(spark, shuffled[i : i + 50]), EXTRA), EXTRA, "f", i)
+        if i == 50:
+            store.compact("thing")
+    assert leftovers(store.read("thing")) == want
+
+
 def test_big_fold_is_one_shuffle_and_no_python(spark):
     plan = fold.fold_changes(changes(spark, random_events(5, 1)), TWO)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_max_by" in plan and "Python" not in plan and "Window" not in plan
@@ -171,6 +227,6 @@ def test_feed_filters_and_audit(spark):
     mine = feed.since(changes(spark, events).where("coll_name = 'Thing'"), 2)
     assert mine.count() == 2
     audit = records.audit_rows(changes(spark, events).where("coll_name = 'Thing'"), TWO, F.lit(7))
-    got = {(r["obj_id"], r["operation"]): (r["seq"], r["merged"], r["document"], r["ts"]) for r in audit.collect()}
-    assert got == {("1", "update"): (2, True, '{"a":"y"}', 7), ("2", "delete"): (3, False, None, 7)}
+    got = {r["seq"]: (r["obj_id"], r["operation"], r["merged"], r["document"], r["ts"]) for r in audit.collect()}
+    assert got == {1: ("1", "update", True, '{"a":"x"}', 7), 2: ("1", "update", True, '{"a":"y"}', 7), 3: ("2", "delete", False, None, 7)}
     assert records.latest_position(changes(spark, events), TWO).first()["latest_successful_ts"] == 4
