@@ -28,14 +28,19 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 _shipped: set[str] = set()
+_BATCH_BYTES, _SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
     """Hand this package to the executors' Python, once per application.
 
     The archive is made in the driver's own temporary folder; Spark distributes it.
+    Batches are made smaller than Spark makes them, unless the session says otherwise:
+    a worker holds a batch, its strings and what is worked out of them at once.
     """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_BYTES) == _SPARKS_OWN:
+        spark.conf.set(_BATCH_BYTES, "16777216b")
     if sc.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

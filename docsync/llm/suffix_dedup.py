@@ -38,6 +38,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from docsync.llm.common import ship, written
@@ -154,7 +155,7 @@ def blocks(text: bytes, first: np.ndarray, last: np.ndarray, suffix: np.ndarray)
     """(first, last, suffix, bucket, content) of the blocks that intervals of one text touch.
 
     A block counts positions back from its suffix, so equal strings are cut alike.  One
-    that a text's end cuts short has a content of its own.
+    that a text's end cuts short has a content of its own, which only an equal text shares.
     """
     low, high = (suffix - last) // BLOCK, (suffix - first) // BLOCK
     number = high - low + 1
@@ -163,6 +164,7 @@ def blocks(text: bytes, first: np.ndarray, last: np.ndarray, suffix: np.ndarray)
     suffix, which = np.unique(np.stack([suffix[of], which], axis=1), axis=0).T
     stop_at = suffix - which * BLOCK  # the block's last position, if the text has it
     start_at = stop_at - BLOCK + 1
+    own = np.uint64(xxhash.xxh64_intdigest(text))
     out = []
     for base, keep in _bases(text, start_at, stop_at + LENGTH):
         a, b, s = start_at[keep], stop_at[keep], suffix[keep]
@@ -170,7 +172,7 @@ def blocks(text: bytes, first: np.ndarray, last: np.ndarray, suffix: np.ndarray)
         bucket = _mix(_spanned(sums, b - base, a + LENGTH - base) + (s - b).astype(np.uint64))
         whole = (a >= 0) & (b + LENGTH <= len(text))
         inside = _spanned(sums, np.where(whole, a - base, 0), np.where(whole, b + LENGTH - base, 0))
-        alone = _mix(bucket + np.uint64(len(text)) * np.uint64(31) + a.astype(np.uint64))
+        alone = _mix(_mix(bucket + own) + a.astype(np.uint64))
         content = np.where(whole, inside, alone)
         out.append((np.maximum(a, 0), np.minimum(b, len(text) - LENGTH), s, bucket.view(np.int64), content.view(np.int64)))
     return tuple(np.concatenate(x) for x in zip(*out)) if out else tuple(np.zeros(0, np.int64) for _ in range(5))

@@ -55,6 +55,25 @@ def test_against_brute_force(spark):
     check(spark, rows)
 
 
+def test_edits_that_keep_a_texts_length(spark):
+    """Blocks cut short by the ends of texts of one length, that differ just outside what they share."""
+    rng = random.Random(12)
+    vocab = ["".join(rng.choice("abcdef") for _ in range(6)) for _ in range(100)]
+    base = words(rng, vocab, 60)
+    rows = [(0, base)]
+    for i in range(1, 40):
+        edited = base.split()
+        for at in rng.sample(range(60), rng.randint(1, 3)):
+            edited[at] = rng.choice(vocab)
+        rows.append((i, " ".join(edited)))
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_more_corpora(spark, seed):
+    check(spark, list(corpus(20 + seed, 60)))
+
+
 def test_odd_rows(spark):
     check(spark, ODD)
     assert dedup.deduplicate(docs(spark, ODD).limit(0)).count() == 0
