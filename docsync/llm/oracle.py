@@ -110,7 +110,6 @@ def _found(kind: str, order: int, pattern: str, keep: int, group: int) -> str:
 
 
 def secrets_sql(rules) -> str:
-    # every group of a pattern but the last is a group that RE2 does not count
     union = " UNION ALL ".join(_found(r.kind, i, r.pattern, r.keep, r.group) for i, r in enumerate(rules))
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents), spans AS ({union}), told AS (

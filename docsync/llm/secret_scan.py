@@ -25,8 +25,8 @@ LEDGER_SCHEMA = "blob string, rules string, spans array<struct<kind:string,start
 
 @dataclass(frozen=True)
 class Rule:
-    """``keep`` counts the characters a match (or its last group) needs; ``hint``
-    is a cheap test that every text with a match passes."""
+    """``keep`` counts the characters a match (or its ``group``) needs; every text
+    with a match has one of ``hints`` in it, lower-cased."""
 
     kind: str
     pattern: str
@@ -54,7 +54,7 @@ def rules_version(rules: tuple[Rule, ...]) -> str:
     return hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
 
 
-def _spans(text: Column, lowered: Column, rule: Rule, order: int) -> Column:
+def _spans(text: Column, lowered: Column, rule: Rule) -> Column:
     """The rule's findings in a text, in order of position."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
@@ -98,7 +98,7 @@ def _spans(text: Column, lowered: Column, rule: Rule, order: int) -> Column:
 def find_spans(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, rules, spans) of each row (blob, text)."""
     lowered = texts.withColumn("lowered", F.lower("text"))
-    each = [_spans(F.col("text"), F.col("lowered"), r, i) for i, r in enumerate(rules)]
+    each = [_spans(F.col("text"), F.col("lowered"), r) for r in rules]
     return lowered.select("blob", F.lit(rules_version(rules)).alias("rules"), F.concat(*each).alias("spans"))
 
 
