@@ -28,7 +28,7 @@ from docsync.functions.naming import ref
 from docsync.functions.types import same_type
 from docsync.operators import records
 from docsync.operators.fold import (
-    CHANGES, DELETED, FAILURES, LIVE, alive, fold_schema, merge_fold_rows, settle, state_schema, with_positions,
+    DELETED, FAILURES, LIVE, alive, fold_schema, merge_fold_rows, settle, state_schema, with_positions,
 )
 from docsync.operators.mapping import CollectionMap, make_map
 from docsync.sources import files
