@@ -203,20 +203,25 @@ def infer_map(
     sample: int | None = None,
     null_votes_as_jsonb: bool = False,
     seqs: dict[str, str] | None = None,
+    read_typed: bool = False,
 ) -> DataFrame:
     """Map of several collections, sorted by name, columns in first-seen order.
 
     Every document votes, unless ``sample`` limits the votes to so many of the
     newest documents of each: fields on older ones only then get no column.
-    Typed collections are not read: their schema has a column's type, whatever it holds.  ``seqs`` names the ordering column of each typed
-    collection.  Each collection is reduced to its votes by itself; the rest
-    is worked out for all of them together, on a row per field and type.
+    ``seqs`` names the ordering column of each typed collection.  With
+    ``read_typed`` or a ``sample`` their documents vote too: a column without any
+    value is text, and a collection without documents has no columns, as among
+    documents.  Without, typed collections are not read: their schema has a
+    column's type, whatever it holds.  Each collection is reduced to its votes by
+    itself; the rest is worked out for all of them together, on a row per field
+    and type.
     """
     votes = []
     for position, name in enumerate(sorted(collections)):
         docs = collections[name]
         seq = SEQ if is_document_frame(docs) else (seqs or {}).get(name, SEQ)
-        if is_typed(docs):
+        if is_typed(docs) and not read_typed and sample is None:
             histogram = schema_votes(docs)
         else:
             seen = docs if sample is None else newest_by_cutoff(docs, sample, seq)

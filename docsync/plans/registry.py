@@ -130,7 +130,7 @@ def dominant_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inferred_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map of every given table, all documents voting."""
     typed, seqs = inputs.every_collection(spark, sf_dir)
-    maps = mapping.infer_map(typed, sample=None, seqs=seqs)
+    maps = mapping.infer_map(typed, sample=None, seqs=seqs, read_typed=True)
     return mapping.column_rows(maps)
 
 
@@ -421,7 +421,7 @@ def stored_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map of every given table, written and read back."""
     typed, seqs = inputs.every_collection(spark, sf_dir)
     path = f"{inputs.scratch(spark)}/map"
-    mapping.write_map(mapping.infer_map(typed, seqs=seqs), path)
+    mapping.write_map(mapping.infer_map(typed, seqs=seqs, read_typed=True), path)
     return mapping.column_rows(mapping.read_map(spark, path))
 
 

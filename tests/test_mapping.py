@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from docsync.functions import types as ct
 from docsync.operators import mapping as m
+from docsync.plans import inputs
+from docsync.plans.registry import QUERIES
 from docsync.sources import documents
 from tests.helpers import COMPANY, EMPLOYEE, docs_frame
 
@@ -112,3 +114,24 @@ def test_a_field_on_the_oldest_document_only_has_a_column(spark):
     df = documents.from_json(spark.range(300).selectExpr("if(id = 0, '{\"_id\":0,\"rare\":1}', concat('{\"_id\":', id, '}')) AS body", "id AS seq"), "body", "seq")
     assert ("rare", "rare", "DOUBLE PRECISION") in columns(m.infer_map({"T": df}))
     assert ("rare", "rare", "DOUBLE PRECISION") not in columns(m.infer_map({"T": df}, sample=100))
+
+
+def test_a_typed_collection_that_is_read_gives_the_map_of_its_documents(spark):
+    df = spark.createDataFrame([(1, "a", None, [1]), (2, None, None, [2])], "k long, someText string, gone double, list array<int>")
+    for jsonb in (False, True):
+        typed = m.infer_map({"T": df}, null_votes_as_jsonb=jsonb, seqs={"T": "k"}, read_typed=True)
+        assert columns(typed) == columns(m.infer_map({"T": documents.from_table(df, "k")}, null_votes_as_jsonb=jsonb))
+    assert columns(m.infer_map({"T": df}, seqs={"T": "k"}, read_typed=True))[2] == ("gone", "gone", "TEXT")
+    # A sample is not passed over: the newest document alone has no text.
+    newest = spark.createDataFrame([(1, 5.0), (2, None)], "k long, n double")
+    assert columns(m.infer_map({"T": newest}, sample=1, seqs={"T": "k"}))[1] == ("n", "n", "TEXT")
+    assert m.infer_map({"T": df.limit(0)}, seqs={"T": "k"}, read_typed=True).isEmpty()
+
+
+def test_the_maps_of_given_tables_read_every_column(spark, folder):
+    for name in inputs.TABLES:
+        spark.sql("SELECT 1L AS k, CAST(NULL AS DOUBLE) AS gone, 2 AS kept").write.parquet(f"{folder}/{name}.parquet")
+    for name in ("inferred_map", "stored_map"):
+        rows = QUERIES[name](spark, folder).collect()
+        assert len({r["collection_name"] for r in rows}) == len(inputs.TABLES)
+        assert {(r["column"], r["type"]) for r in rows} == {("k", "DOUBLE PRECISION"), ("gone", "TEXT"), ("kept", "DOUBLE PRECISION")}
