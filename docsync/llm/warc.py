@@ -72,23 +72,20 @@ def _record(page_id, url: str | None, html: str | None, kind: str, refers_to) ->
 
 
 def train_dictionary(pages: DataFrame, html_column: str = "html") -> bytes:
-    """A dictionary from the sample: the different payloads with the least hashes, cut
-    to ``SAMPLE_CHARACTERS``.  Too few or too alike to train on, they are themselves
-    the dictionary's content; without records it is empty."""
-    html = F.coalesce(F.col(html_column), F.lit(""))
-    rows = pages.count()
-    if not rows:
+    """A dictionary from the sample: of the different payloads with the least hashes, a
+    piece of ``SAMPLE_CHARACTERS`` each from anywhere in them.  Too few or too alike to
+    train on, they are themselves the dictionary's content; without records it is empty."""
+    html = pages.select(F.coalesce(F.col(html_column), F.lit("")).alias("html")).where("html <> ''").withColumn("order", F.md5("html"))
+    different = html.select("order").distinct().count()
+    if not different:
         return b""
+    start = 1 + F.floor(uniform("piece", F.col("order")) * F.greatest(F.length("html") - SAMPLE_CHARACTERS + 1, F.lit(1)))
+    pieces = html.select("order", F.substring("html", start.cast("int"), F.lit(SAMPLE_CHARACTERS)).alias("html"), uniform(F.col("order")).alias("drawn"))
     # Payloads with small hashes, about twice as many as wanted: tasks find few, the driver gets few.
-    chosen = pages.select(html.alias("html")).where("html <> ''").where(uniform(F.md5("html")) < 2.0 * SAMPLE_RECORDS / rows)
-    sample = (
-        chosen.select(F.substring("html", 1, SAMPLE_CHARACTERS).alias("html"), F.md5("html").alias("order"))
-        .groupBy("order")
-        .agg(F.min("html").alias("html"))
-        .orderBy("order")
-        .limit(SAMPLE_RECORDS)
-        .collect()
-    )
+    share, sample = 2.0 * SAMPLE_RECORDS / different, []
+    while len(sample) < min(SAMPLE_RECORDS, different):
+        sample = pieces.where(F.col("drawn") < share).groupBy("order").agg(F.min("html").alias("html")).orderBy("order").limit(SAMPLE_RECORDS).collect()
+        share *= 2
     records = [_record(0, "", row.html, "response", None) for row in sample]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, records).as_bytes()

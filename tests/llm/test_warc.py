@@ -92,3 +92,13 @@ def test_empty_and_untrainable(spark):
 def test_archives_are_split_by_size(spark, folder, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1)
     assert warc.train_dictionary(pages(spark, sample()).limit(0)) == b""
+
+
+def test_the_sample_is_of_different_payloads_and_whole_ones(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_RECORDS", 2)
+    copies = pages(spark, [(i, "u", f"<p>{i % 3}" + "x" * 2000) for i in range(4000)])
+    assert b"x" * 2000 in warc.train_dictionary(copies)
+    # Most of each payload is past its first characters.
+    monkeypatch.setattr(warc, "SAMPLE_RECORDS", 1000)
+    tails = pages(spark, [(i, "u", "x" * warc.SAMPLE_CHARACTERS + f"y{i}" * 50_000) for i in range(5)])
+    assert b"y3y3" in warc.train_dictionary(tails)
