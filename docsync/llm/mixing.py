@@ -7,7 +7,9 @@ partitioning or a lost executor gives the same mixture.  A rate above
 ``MAX_STEP`` is the sum of several draws, for exp(-rate) not to underflow.
 
 Texts cross the network once, in the final shuffle, which deals copies to
-partitions by a hashed key and sorts each partition by it.
+partitions by a hashed key and sorts each partition by it.  Where a source's rate
+takes more than ``FEW_STEPS`` draws, a document's draws and its copies are first cut
+into ranges, about as many as a range is long, and the ranges dealt to tasks.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ SEED = "mix-1"
 MAX_STEP = 16.0
 #: Counts considered in a single draw; P(more) at mean 16 is below 2**-60.
 MAX_COUNT = 80
+#: Draws a document up to which its draws and copies are made in one task.
+FEW_STEPS = 8
 #: Sources up to which their table (some 700 bytes a source) is broadcast; more are joined by shuffle.
 BROADCAST_SOURCES = 10_000
 
@@ -74,6 +78,37 @@ def _cumulative(mean: Column) -> Column:
     return F.aggregate(ks, start, step, lambda acc: acc["all"])
 
 
+def _drawn(seed: str, first: Column, last: Column) -> Column:
+    """The sum of a document's draws from number ``first`` to ``last``."""
+    return F.aggregate(
+        F.sequence(first, last),
+        F.lit(0).cast("long"),
+        lambda acc, i: acc + F.size(F.filter("cdf", lambda p: p < uniform(seed, i, F.col("key")))),
+    )
+
+
+def _ranges(df: DataFrame, count: str) -> DataFrame:
+    """Rows as often as there are ranges of 0 .. ``count`` - 1, each with its ``first``
+    and ``last``, dealt by key and range; a range is as long as the count's root."""
+    length = F.ceil(F.sqrt(F.col(count)))
+    return (
+        df.withColumn("length", length)
+        .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.col("length"))))
+        .withColumn("last", F.least(F.col("first") + F.col("length"), F.col(count)) - 1)
+        .repartition("key", "first")
+    )
+
+
+def _many(rows: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
+    """(row, key, copy) of the rows of ``sources``, drawn and repeated in ranges."""
+    at = F.col("from").eqNullSafe(F.col("of"))
+    keys = rows.select("from", "key").join(sources, at).select("key", "of", "steps", "cdf").dropDuplicates(["key", "of"])
+    drawn = _ranges(keys, "steps").select("key", "of", _drawn(seed, F.col("first") + 1, F.col("last") + 1).alias("n"))
+    counts = written(drawn.groupBy("key", "of").agg(F.sum("n").alias("n")).where("n > 0").withColumnRenamed("key", "of_key"), "counts")
+    counted = rows.join(counts, at & (F.col("key") == F.col("of_key"))).select("row", "key", "n")
+    return _ranges(counted, "n").select("row", "key", F.explode(F.sequence("first", "last")).alias("copy"))
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
@@ -91,24 +126,22 @@ def mix(
     steps = F.greatest(F.ceil(F.col("rate") / MAX_STEP), F.lit(1))
     per_source = (
         rates(docs, weights, source_column, text_column)
-        .withColumn("steps", steps.cast("int"))
+        .withColumn("steps", steps.cast("long"))
         .withColumn("cdf", _cumulative(F.col("rate") / F.col("steps")))
         .select(F.col("source").alias("of"), "steps", "cdf")
     )
     per_source = written(per_source, "rates")
-    if per_source.count() <= BROADCAST_SOURCES:
-        per_source = F.broadcast(per_source)
     rows = docs.select(F.struct("*").alias("row"), F.col(source_column).alias("from"), id_text(F.col(id_column)).alias("key"))
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("steps")),
-        F.lit(0),
-        lambda acc, i: acc + F.size(F.filter("cdf", lambda p: p < uniform(seed, i, F.col("key")))),
-    )
+    many, few = per_source.where(F.col("steps") > FEW_STEPS), per_source.where(F.col("steps") <= FEW_STEPS)
+    if per_source.count() <= BROADCAST_SOURCES:
+        many, few = F.broadcast(many), F.broadcast(few)
     copies = (
-        rows.join(per_source, F.col("from").eqNullSafe(F.col("of")))
-        .withColumn("n", drawn)
+        rows.join(few, F.col("from").eqNullSafe(F.col("of")))
+        .withColumn("n", _drawn(seed, F.lit(1).cast("long"), F.col("steps")))
         .where("n > 0")
-        .select("row", "key", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
-        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col("key"), F.col("copy"))))
+        .select("row", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"))
     )
+    if not many.isEmpty():
+        copies = copies.unionByName(_many(rows, many, seed))
+    copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col("key"), F.col("copy"))))
     return copies.select("row", "copy", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")

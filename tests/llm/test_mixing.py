@@ -53,3 +53,21 @@ def test_broadcast_and_shuffle_agree(spark, monkeypatch):
     small = take()
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert take() == small
+
+
+def test_draws_and_copies_in_ranges_are_those_of_one_task(spark, monkeypatch):
+    rows = [(i, "x" * 50, "en", "a") for i in range(200)] + [(900, None, "en", "b"), (901, "y", "en", None), (901, "z", "en", None)]
+    take = lambda: sorted((r.row.doc_id, r.row.text or "", r.copy, r.shuffle_key) for r in mixing.mix(docs(spark, rows)).collect())
+    ranged = take()
+    monkeypatch.setattr(mixing, "FEW_STEPS", 1 << 40)
+    assert take() == ranged
+    n = Counter(r[0] for r in ranged)
+    assert abs(n[900] - 3334) < 350 and abs(n[901] - 3334) < 500
+
+
+def test_counts_past_an_int_are_cut_into_ranges(spark):
+    n = 3_000_000_017
+    got = mixing._ranges(spark.createDataFrame([("k", n)], "key string, n long"), "n").selectExpr(
+        "sum(last - first + 1) AS copies", "max(last) AS last", "max(last - first + 1) AS longest", "count(*) AS ranges"
+    ).first()
+    assert (got.copies, got.last) == (n, n - 1) and got.longest < 60_000 and got.ranges < 60_000
