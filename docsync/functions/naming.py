@@ -38,7 +38,7 @@ def literals(texts: Iterable[str]) -> str:
 def snake_case(name: Column) -> Column:
     """``firstName`` -> ``first_name``; ``_id`` -> ``id``."""
     split = F.regexp_replace(name, "([A-Z]+)", "_$1")
-    return F.regexp_replace(F.lower(split), "^_+|_+$", "")
+    return F.regexp_replace(F.lower(split), r"^_+|_+\z", "")
 
 
 def id_text(value: Column) -> Column:

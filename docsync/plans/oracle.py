@@ -169,6 +169,8 @@ WHERE collection_name NOT IN (SELECT event_type FROM events)""",
     "snake_case_names": """
 SELECT doc_id, trim(lower(regexp_replace(regexp_replace(text, '[^A-Za-z_]', '', 'g'), '([A-Z]+)', '_\\1', 'g')), '_') AS column_name
 FROM documents""",
+    "snake_case_texts": """
+SELECT doc_id, trim(lower(regexp_replace(text, '([A-Z]+)', '_\\1', 'g')), '_') AS column_name FROM documents""",
     "append_rows": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "insert_ignore": "WITH " + _ACCOUNTS.format(direction="ASC") + """
 SELECT * FROM base UNION ALL SELECT id, amount, note FROM one WHERE id NOT IN (SELECT id FROM base)""",

@@ -197,6 +197,13 @@ def snake_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", snake_case(name).alias("column_name"))
 
 
+@query
+def snake_case_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column names made of whole texts: digits, blanks, punctuation and other scripts stay."""
+    d = inputs.table(spark, sf_dir, "documents")
+    return d.select("doc_id", snake_case(F.col("text")).alias("column_name"))
+
+
 # ------------------------------------------------------------ row changes
 
 

@@ -59,3 +59,12 @@ def test_pruning_and_pushdown(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_names_of_whole_texts_keep_digits_and_other_scripts(spark, con, tmp_path):
+    texts = ["_id", "Área 51: myHTMLPage", "ДОМ и Сад2", "__漢字 ABCd__", "\n_x_\n", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["snake_case_texts"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    want = con.sql(ORACLES["snake_case_texts"].replace("FROM documents", f"FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')") + " ORDER BY 1").fetchall()
+    assert [tuple(r) for r in got] == want
+    assert [r.column_name for r in got][1:3] == ["área 51: my_htmlpage", "дом и сад2"]
