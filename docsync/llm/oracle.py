@@ -156,3 +156,33 @@ WITH p AS (
 SELECT page_id, n AS payload_bytes, p.d AS payload_digest, CASE WHEN k IS NOT NULL AND k <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN k <> page_id THEN k END AS refers_to
 FROM p LEFT JOIN kept ON p.d = kept.d AND n >= 1000"""
+
+
+def _vectors(scale: int) -> str:
+    return f"""
+SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})) AS v
+FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"""
+
+
+KNN_SQL = f"""
+WITH v AS ({_vectors(1024)}), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS s, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER w::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, s) QUALIFY row_number() OVER w <= 10"""
+
+NEGATIVES_SQL = f"""
+WITH v AS (
+  SELECT r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v FROM ({_vectors(256)}) WHERE label IS NOT NULL
+), scored AS (
+  SELECT q.r, q.vec_id AS anchor_id, c.vec_id, c.r AS s, q.label = c.label AS same, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0
+), good AS (
+  SELECT r, s, anchor_id, vec_id AS positive_id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, s) <= 5
+)
+SELECT g.anchor_id, g.positive_id, row_number() OVER w::INTEGER AS rank, n.vec_id AS negative_id, g.score AS positive_score, n.score AS negative_score
+FROM good g JOIN scored n ON g.r = n.r AND NOT n.same AND 30 * g.score <= 100 * n.score AND 100 * n.score <= 90 * g.score
+WINDOW w AS (PARTITION BY g.r, g.s ORDER BY n.score DESC, n.vec_id NULLS LAST, n.s) QUALIFY row_number() OVER w <= 10"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docsync.llm import chat, decontamination, language, mixing, oracle, piecewise, secret_scan, sharding, simhash, suffix_dedup, warc
+from docsync.llm import (
+    chat, decontamination, language, mixing, multi_index, oracle, piecewise, secret_scan, sharding, simhash, suffix_dedup, voronoi, warc,
+)
 from docsync.llm.common import table
 
 SHARDS = 40
@@ -69,6 +71,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(found)
 
 
+def op11_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.mine(table(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
@@ -80,6 +91,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_knn_join": op11_knn_join,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -89,4 +102,6 @@ ORACLES: dict[str, str] = {
     "op6_decontamination": oracle.DECONTAMINATION_SQL,
     "op9_mixing": oracle.mixing_sql(),
     "op10_secret_scan": oracle.secrets_sql(secret_scan.RULES),
+    "op11_knn_join": oracle.KNN_SQL,
+    "op12_hard_negatives": oracle.NEGATIVES_SQL,
 }
