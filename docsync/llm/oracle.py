@@ -186,3 +186,32 @@ WITH v AS (
 SELECT g.anchor_id, g.positive_id, row_number() OVER w::INTEGER AS rank, n.vec_id AS negative_id, g.score AS positive_score, n.score AS negative_score
 FROM good g JOIN scored n ON g.r = n.r AND NOT n.same AND 30 * g.score <= 100 * n.score AND 100 * n.score <= 90 * g.score
 WINDOW w AS (PARTITION BY g.r, g.s ORDER BY n.score DESC, n.vec_id NULLS LAST, n.s) QUALIFY row_number() OVER w <= 10"""
+
+
+# Nodes are whole lists of turns here; subtrees are found by comparing their heads.
+TRIE_SQL = f"""
+WITH {_CRC}, convs AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), told AS (
+  SELECT c, turns, c - c % 20 AS base,
+         xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(strlen(c::VARCHAR)), lambda i: ascii(substr(c::VARCHAR, i + 1, 1))::BIGINT),
+             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 4 AS h
+  FROM convs, crc_table
+), rebuilt AS (
+  SELECT t.c, coalesce(b.turns[1 : t.h], []) || t.turns[t.h + 1 :] AS turns FROM told t LEFT JOIN told b ON b.c = t.base
+), members AS (
+  SELECT c, d, turns[1 : d] AS path, len(turns) AS n FROM rebuilt, range(0, 1 + (SELECT max(len(turns)) FROM rebuilt)) r(d) WHERE d <= len(turns)
+), nodes AS (
+  SELECT d, path, min(c) AS c, count(*) AS n_convs, max(n) AS longest,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256,
+         CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].text, '[^\\x20\\x09-\\x0D]+')) END AS words
+  FROM members GROUP BY d, path
+), heads AS (
+  SELECT u.d AS below, u.path[1 : x.d] AS path, x.d, u.n_convs, u.words, u.longest = u.d AS leaf FROM nodes u, range(0, 1 + (SELECT max(d) FROM nodes)) x(d) WHERE x.d <= u.d
+), sums AS (
+  SELECT d, path, count(*) FILTER (below = d + 1) AS n_children, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM heads GROUP BY d, path
+)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON n.d = s.d AND n.path = s.path LEFT JOIN nodes p ON p.d = n.d - 1 AND p.path = n.path[1 : n.d - 1]"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docsync.llm import (
-    chat, decontamination, language, mixing, multi_index, oracle, piecewise, secret_scan, sharding, simhash, suffix_dedup, voronoi, warc,
+    chat, decontamination, language, mixing, multi_index, oracle, piecewise, prefix_trie, secret_scan, sharding,
+    simhash, suffix_dedup, voronoi, warc,
 )
 from docsync.llm.common import table
 
@@ -80,6 +81,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.mine(table(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(prefix_trie.build(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
@@ -93,6 +98,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_knn_join": op11_knn_join,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -104,4 +110,5 @@ ORACLES: dict[str, str] = {
     "op10_secret_scan": oracle.secrets_sql(secret_scan.RULES),
     "op11_knn_join": oracle.KNN_SQL,
     "op12_hard_negatives": oracle.NEGATIVES_SQL,
+    "op13_prefix_trie": oracle.TRIE_SQL,
 }
