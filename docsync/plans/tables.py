@@ -17,9 +17,10 @@ Catalog tables (one-call wrappers) are at the end.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -109,14 +110,26 @@ class TableStore:
         return f"{self.root}/{relation}/_commits"
 
     def commit_of(self, relation: str) -> Commit | None:
-        found = [n for n in files.names(self.spark, self._commits(relation)) if n.endswith(".json")]
-        if not found:
+        return next(self._newest(relation), None)
+
+    def _parsed(self, path: str) -> Commit | None:
+        """The commit in a file; None where a writer died over it."""
+        try:
+            return Commit.parse(files.read_text(self.spark, path))
+        except (ValueError, KeyError, TypeError):
             return None
-        return Commit.parse(files.read_text(self.spark, f"{self._commits(relation)}/{found[-1]}"))
+
+    def _newest(self, relation: str) -> Iterator[Commit]:
+        """Commits from the newest back.  What does not parse was never made."""
+        folder = self._commits(relation)
+        names = [n for n in files.names(self.spark, folder) if n.endswith(".json")]
+        return filter(None, (self._parsed(f"{folder}/{n}") for n in reversed(names)))
 
     def _put(self, relation: str, commit: Commit) -> Commit:
         folder = self._commits(relation)
-        if not files.write_new(self.spark, f"{folder}/{commit.number:012d}.json", commit.dump()):
+        path = f"{folder}/{commit.number:012d}.json"
+        dead = files.exists(self.spark, path) and self._parsed(path) is None
+        if not files.write_new(self.spark, path, commit.dump(), replacing=dead):
             raise RuntimeError(f"{relation}: another writer made commit {commit.number}")
         old = [n for n in files.names(self.spark, folder) if n.endswith(".json")][: -self.keep_commits]
         for name in old:
@@ -342,12 +355,9 @@ class TableStore:
 
         What is newer than the last commit may be on its way to the next, and stays.
         """
-        folder = self._commits(relation)
-        recent = [n for n in files.names(self.spark, folder) if n.endswith(".json")][-keep:]
-        live, last = set(), Commit()
-        for n in recent:
-            last = Commit.parse(files.read_text(self.spark, f"{folder}/{n}"))
-            live |= {last.base} | {f.path for f in last.folds}
+        recent = list(itertools.islice(self._newest(relation), keep))
+        last = recent[0] if recent else Commit()
+        live = {c.base for c in recent} | {f.path for c in recent for f in c.folds}
         top = f"{self.root}/{relation}"
         have = [
             f"{top}/{n}" for n in files.names(self.spark, top) if n.startswith("v=") and int(n.rpartition("-")[2]) <= last.number

@@ -5,9 +5,14 @@ Only pointers and sizes go through here, never rows.
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+#: How a file not yet in place ends.
+DRAFT = ".draft"
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -45,19 +50,40 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Put a whole new file in place; False if someone else did so first."""
-    fs = _fs(spark, path)
-    try:
-        out = fs.create(_path(spark, path), False)  # the file system's own test: of two writers one fails
-    except Py4JJavaError:
-        if fs.exists(_path(spark, path)):
-            return False
-        raise
+def write_new(spark: SparkSession, path: str, text: str, replacing: bool = False) -> bool:
+    """Put a whole new file in place; False if someone else did so first.
+
+    The text is written under a name of its own and closed before it gets its final
+    name, so no reader ever sees a part of it, and a writer that dies leaves only a
+    draft.  ``replacing`` takes the place of a file that is there.
+    """
+    folder, _, name = path.rpartition("/")
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}{DRAFT}"
+    out = _fs(spark, path).create(_path(spark, draft), False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    try:
+        return _rename(spark, draft, path, replacing)
+    finally:
+        if exists(spark, draft):
+            delete(spark, draft)
+
+
+def _rename(spark: SparkSession, old: str, new: str, replacing: bool) -> bool:
+    """Rename; without ``replacing`` the file system itself refuses a name that is taken."""
+    option = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE if replacing else option.NONE
+    target = _path(spark, new)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(_path(spark, old), target, options)
+    except Py4JJavaError:
+        if not replacing and exists(spark, new):
+            return False
+        raise
     return True
 
 

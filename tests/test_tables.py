@@ -8,7 +8,8 @@ from docsync.operators.mapping import make_map
 from docsync.plans import tables
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
-from docsync.sources import documents, feed
+from docsync.sources import documents, feed, files
+from docsync.streaming.sync import apply_batch
 from tests.helpers import COMPANY, docs_frame, events_frame, rows_by_key
 
 THING = make_map("Thing", "thing", [("id", "_id", "TEXT"), ("a", "a", "TEXT"), ("b", "b", "DOUBLE PRECISION")])
@@ -103,6 +104,43 @@ def test_two_writers_cannot_make_one_commit(spark, folder):
         store._put("thing", tables.replace(stale, number=stale.number + 1))
 
 
+@pytest.mark.parametrize("left", ["", '{"number": 3, "vers'])
+def test_an_unfinished_commit_file_was_never_made(spark, folder, left):
+    """A writer died between making a commit's file and filling it."""
+    store = TableStore(spark, folder)
+    store.publish("thing", spark.createDataFrame([("1", "a", 1.0)], THING.schema()), THING)
+    events = events_frame(spark, [("update", "Thing", "1", {"a": "x"}, None, 11)])
+    number = store.commit_of("thing").number
+    with open(f"{folder}/thing/_commits/{number + 1:012d}.json", "w") as f:
+        f.write(left)
+    assert rows_by_key(store.read("thing")) == {"1": {"a": "a", "b": 1.0}} and store.relations() == ["thing"]
+    for _ in range(2):  # the batch is repeated
+        apply_batch(store, {"Thing": THING}, events, "f", 0, audit=False)
+        assert rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": 1.0}}
+        assert store.commit_of("thing").number == number + 1
+    store.clean("thing")
+    assert store.read("thing").count() == 1
+
+
+def test_a_writer_that_dies_before_renaming_leaves_a_draft(spark, folder, monkeypatch):
+    store = TableStore(spark, folder)
+    store.create("thing", THING)
+    batch = events_frame(spark, [("insert", "Thing", "1", {"a": "x"}, None, 1)])
+
+    def dies(*_):
+        raise SystemExit("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "_rename", dies)
+        m.setattr(files, "delete", lambda *_: False)
+        with pytest.raises(SystemExit):
+            apply_batch(store, {"Thing": THING}, batch, "f", 0, audit=False)
+    assert any(n.endswith(files.DRAFT) for n in files.names(spark, f"{folder}/thing/_commits"))
+    assert store.read("thing").count() == 0
+    apply_batch(store, {"Thing": THING}, batch, "f", 0, audit=False)
+    assert rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}}
+
+
 def test_transfer_of_collections(spark, folder):
     store = TableStore(spark, folder)
     sources = {"Thing": docs_frame(spark, DOCS), "Company": docs_frame(spark, [{"_id": "c", "active": True}])}
