@@ -24,18 +24,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from docsync.functions.cast import can_fail
-from docsync.functions.naming import EXTRA_COLUMN, literal, literals, quoted, ref
+from docsync.functions.naming import EXTRA_COLUMN, literal, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
-from docsync.operators.project import FAILED, cast_fields, failed_sql, field_path, leftovers_sql
+from docsync.operators.project import FAILED, cast_fields, failed_sql, leftovers_sql
+from docsync.operators.registers import CHANGES, CLEARED, DELETED, FIELDS, FIELDS_TYPE, LIVE, registers, to_fold
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
-DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
 # In a fold about to be written: values that did not fit.
 FAILURES = "_failures"
 # Before a column's name: the position of its last touch, in a stored table.
 AT = "_at_"
-CLEARED, FIELDS = "_cleared", "_fields"
-FIELDS_TYPE = "MAP<STRING, STRUCT<seq: BIGINT, value: VARIANT>>"
 
 
 def _registers(cmap: CollectionMap) -> list[MappedColumn]:
@@ -137,47 +135,19 @@ WIDE_MAP = 150
 
 
 def is_wide(cmap: CollectionMap) -> bool:
-    return len(cmap.value_columns) > WIDE_MAP and not cmap.extra_props
+    return len(cmap.value_columns) > WIDE_MAP
 
 
 def fold_sparse(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
-    """The same fold for wide maps, whose changes touch few columns each.
+    """The same fold for wide maps, whose changes touch few columns each: by registers.
 
     Only fields that are there become rows, grouped by id and field, so the
     work grows with what changed and not with the width of the map.  Values
-    are cast after folding, once per id.  A replace is kept as a position that
-    clears every column touched before it.
+    are cast after folding, once per id.
     """
-    columns = list(cmap.value_columns)
-    mapped = f"k IN ({literals(c.source for c in columns)})"
-    removed = "coalesce(removed, CAST(array() AS ARRAY<STRING>))"
-    present = (
-        "map_entries(map_filter(coalesce(try_cast(fields AS MAP<STRING, VARIANT>), CAST(map() AS MAP<STRING, VARIANT>)), "
-        f"(k, v) -> {mapped} AND NOT array_contains({removed}, k) AND NOT (op = '{INSERT}' AND is_variant_null(v))))"
-    )
-    taken = f"transform(filter({removed}, k -> {mapped}), k -> struct(k AS key, CAST(NULL AS VARIANT) AS value))"
-    parts = changes.selectExpr("id", "seq", "op", f"posexplode_outer(concat({present}, {taken})) AS (pos, e)")
-    by_field = parts.groupBy("id", F.col("e.key").alias("key")).agg(
-        F.max("seq").alias("seq"),
-        F.max_by("e.value", "seq").alias("value"),
-        F.max(F.when(F.col("op") == DELETE, F.col("seq"))).alias(DELETED),
-        F.max(F.when(F.col("op") != DELETE, F.col("seq"))).alias(LIVE),
-        F.max(F.when(F.col("op") == REPLACE, F.col("seq"))).alias("_replaced"),
-        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias(CHANGES),
-    )
-    # At most one entry per mapped column is gathered for an id.
-    gather = "to_variant_object(map_from_entries(collect_list(if(key IS NULL, NULL, struct(key, {0})))))"
-    rows = _aggregate(
-        by_field, f"max({DELETED}) AS {DELETED}", f"max({LIVE}) AS {LIVE}", "max(_replaced) AS _replaced",
-        f"sum({CHANGES}) AS {CHANGES}", f"{gather.format('value')} AS fields", f"{gather.format('seq')} AS seqs",
-    )
-    seqs = [f"try_variant_get(seqs, {literal(field_path(c.source))}, 'bigint') AS _q{i}" for i, c in enumerate(columns)]
-    ready = cast_fields(rows, columns, "fields").selectExpr("*", *seqs)
-    out = [
-        f"struct(greatest(_q{i}, _replaced) AS seq, if(_q{i} >= coalesce(_replaced, _q{i}), _x{i}, NULL) AS value) AS {quoted(c.column)}"
-        for i, c in enumerate(columns)
-    ]
-    return ready.selectExpr("id", DELETED, LIVE, CHANGES, *out)
+    wanted = None if cmap.extra_props else [c.source for c in cmap.value_columns]
+    named = changes if "coll_name" in changes.columns else changes.withColumn("coll_name", F.lit(cmap.collection))
+    return to_fold(registers(named, wanted), cmap)
 
 
 def fold_changes(changes: DataFrame, cmap: CollectionMap, with_failures: bool = False) -> DataFrame:
@@ -215,9 +185,9 @@ def _counts(part: str) -> str:
     return f"({part}.seq IS NOT NULL AND ({DELETED} IS NULL OR {part}.seq > {DELETED}))"
 
 
-def rows_of_fold(state: DataFrame, cmap: CollectionMap) -> DataFrame:
-    """The rows a fold makes of an empty table."""
-    out = [f"id AS {quoted(cmap.key.column)}"]
+def rows_of_fold(state: DataFrame, cmap: CollectionMap, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows a fold makes of an empty table; ``keep`` carries further columns along."""
+    out = [*keep, f"id AS {quoted(cmap.key.column)}"]
     for c in _registers(cmap):
         p = quoted(c.column)
         out.append(f"if({_counts(p)}, {p}.value, NULL) AS {p}")

@@ -138,6 +138,34 @@ def as_feed(events: DataFrame, collection: Column | None = None, purchase_replac
     )
 
 
+#: Fields of the documents of ``wide_feed`` that a map knows.
+WIDE_FIELDS = 300
+
+
+def wide_feed(events: DataFrame) -> DataFrame:
+    """``events`` as changes of documents of many fields, each change naming two:
+    a mapped ``c<n>`` (a text after a click, taken away by a purchase), and an ``x<n>``."""
+    kind, k = F.col("event_type"), F.coalesce(F.try_variant_get(F.parse_json("props"), "$.k", "long"), F.lit(0)).cast("string")
+    name = F.concat(F.lit("c"), (F.col("event_id") % WIDE_FIELDS).cast("string"))
+    mapped = F.concat(F.lit('"'), name, F.lit('": '), F.when(kind == "click", F.lit('"bad"')).otherwise(k), F.lit(", "))
+    other = F.concat(F.lit('"x'), (F.col("event_id") % 7).cast("string"), F.lit('": '), k)
+    fields = F.parse_json(F.concat(F.lit("{"), F.when(kind == "purchase", F.lit("")).otherwise(mapped), other, F.lit("}")))
+    update = F.struct(fields.alias("updatedFields"), F.when(kind == "purchase", F.array(name)).alias("removedFields"))
+    return events.select(
+        F.when(kind == "signup", feed.INSERT).when(kind == "error", feed.DELETE).otherwise(feed.UPDATE).alias("operationType"),
+        F.struct(F.lit("app").alias("db"), F.lit("Wide").alias("coll")).alias("ns"),
+        F.struct(F.col("user_id").cast("string").alias("_id")).alias("documentKey"),
+        F.when(~kind.isin("signup", "error"), update).alias("updateDescription"),
+        F.when(kind == "signup", fields).alias("fullDocument"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+WIDE_MAP: CollectionMap = make_map(
+    "Wide", "wide", [("id", "_id", "TEXT")] + [(f"c{i}", f"c{i}", "DOUBLE PRECISION") for i in range(WIDE_FIELDS)], extra_props=True
+)
+
+
 def user_feed(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     return as_feed(table(spark, sf_dir, "events"), **how)
 

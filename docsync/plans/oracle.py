@@ -221,6 +221,41 @@ FROM numbered GROUP BY coll, run""",
     "stream_fold": _FLAGSHIP,
     "stream_fold_shuffled": _FLAGSHIP,
     "repeated_batch": _FLAGSHIP,
+    "stream_fold_stateful": _FLAGSHIP,
+    "fold_many_collections": f"""WITH {_PLAIN_FEED}, {_FOLD.format(where='')}
+SELECT 'c' || cast(id AS bigint) % 50 AS coll_name, id, n_v.x AS value, n_e.x AS event_type,
+       CASE WHEN cast(id AS bigint) % 2 = 0 THEN n_k.x END AS k
+FROM folded WHERE coalesce(ll, -1) > coalesce(ld, -1)""",
+    "fold_across_maps": f"""WITH {_PLAIN_FEED}, {_FOLD.format(where='')}, {_USERS}, parts AS (
+  SELECT max(event_id) // 3 AS p FROM events
+), known AS (
+  SELECT id, arg_max(struct_pack(x := seq >= p), seq) FILTER (s_v IS NOT NULL AND seq > coalesce(ld, -1)) AS n_e,
+         arg_max(struct_pack(x := k), seq) FILTER (s_k IS NOT NULL AND seq > coalesce(ld, -1) AND seq >= p) AS n_k
+  FROM touched JOIN ends USING (id), parts GROUP BY id
+)
+SELECT coalesce(u.id, f.id) AS id, CASE WHEN n_v IS NOT NULL THEN n_v.x WHEN ld IS NULL THEN u.value END AS value,
+       CASE WHEN known.n_e.x THEN true END AS known, known.n_k.x AS k
+FROM users u FULL OUTER JOIN folded f ON u.id = f.id LEFT JOIN known ON known.id = f.id
+WHERE f.id IS NULL OR coalesce(ll, -1) > coalesce(ld, -1)""",
+    "errors_across_maps": f"""WITH {_PLAIN_FEED}
+SELECT 'users' AS location, 'value does not fit: eventType: ' || id AS message, count(*) AS n_errors
+FROM feed WHERE op <> 'delete' AND seq >= (SELECT max(event_id) // 2 FROM events) GROUP BY id""",
+    "fold_wide_with_extra_props": """
+WITH feed AS (
+  SELECT cast(user_id AS varchar) AS id, event_id AS seq, event_type AS kind, coalesce(cast(json_extract_string(props, '$.k') AS bigint), 0) AS k FROM events
+), ends AS (
+  SELECT id, max(seq) FILTER (kind = 'error') AS ld, max(seq) FILTER (kind <> 'error') AS ll, max(seq) FILTER (kind = 'signup') AS lc FROM feed GROUP BY id
+), touches AS (
+  SELECT id, seq, 'c' || seq % 300 AS field, CASE WHEN kind NOT IN ('click', 'purchase') THEN cast(k AS double) END AS v, kind = 'click' AS unfit, false AS other
+  FROM feed WHERE kind <> 'error'
+  UNION ALL SELECT id, seq, 'x' || seq % 7, NULL, false, true FROM feed WHERE kind <> 'error'
+), last AS (
+  SELECT t.id, field, any_value(other) AS other, arg_max(struct_pack(x := v), seq) AS v, arg_max(unfit, seq) AS unfit, max(seq) >= coalesce(any_value(lc), -1) AS fresh
+  FROM touches t JOIN ends e ON t.id = e.id WHERE seq > coalesce(ld, -1) GROUP BY t.id, field
+)
+SELECT id, count(v.x) AS n_values, coalesce(sum(v.x), 0) AS sum_values, count(*) FILTER (fresh AND (other OR unfit)) AS n_extra,
+       count(*) FILTER (fresh AND unfit) AS n_misfits
+FROM last JOIN ends USING (id) WHERE coalesce(ll, -1) > coalesce(ld, -1) GROUP BY id""",
     "feed_errors": f"""WITH {_PLAIN_FEED}
 SELECT 'Users' AS location, CASE op WHEN 'insert' THEN 'operation is unknown: explode: ' || id || ': ' || seq
        WHEN 'delete' THEN 'event has no id: delete: ' || seq ELSE 'event has no position: update: ' || id END AS message

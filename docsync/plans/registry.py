@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docsync.functions import types as ct
 from docsync.functions.cast import can_fail, cast_typed, variant_failed_sql
 from docsync.functions.naming import namespace, snake_case, start_epoch
-from docsync.operators import evolve, fold, mapping, project, records, rows
+from docsync.operators import evolve, fold, history, mapping, project, records, rows
+from docsync.operators.registers import latest, registers
 from docsync.plans import inputs
 from docsync.plans.snapshot import load_collection, loaded_frame, transfer
 from docsync.plans.tables import TableStore
 from docsync.session import configure
 from docsync.sources import collections, documents, feed
+from docsync.streaming import stateful
 from docsync.streaming.sync import apply_batch, refresh_maps, resume_position as stored_position, start_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,6 +366,86 @@ def _users_store(spark: SparkSession, sf_dir: str) -> TableStore:
 USERS = {"Users": inputs.USER_MAP}
 
 
+@query
+def stream_fold_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in Spark's own state: several batches, a restart from the checkpoint, and a merge."""
+    root = inputs.scratch(spark)
+    events = inputs.table(spark, sf_dir, "events")
+    for half in range(2):
+        some = events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        some.repartition(3, "event_id").write.mode("append").parquet(f"{root}/feed")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/feed")
+        stateful.start_stateful_sync(inputs.as_feed(stream), f"{root}/registers", f"{root}/checkpoint").awaitTermination()
+        if not half:
+            stateful.merge(spark, f"{root}/registers")
+    return stateful.read_table(spark, f"{root}/registers", inputs.USER_MAP, inputs.stored_users(spark, sf_dir))
+
+
+N_COLLECTIONS = 50
+
+
+@query
+def fold_many_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of 50 collections, folded and written in one pass, partitioned by collection."""
+    folder = f"{inputs.scratch(spark)}/{stateful.BATCH}0"
+    name = F.concat(F.lit("c"), (F.col("user_id") % N_COLLECTIONS).cast("string"))
+    stateful.write_registers(registers(inputs.user_changes(spark, sf_dir, collection=name)), folder)
+    root = folder.rpartition("/")[0]
+    whole = [(c.column, c.source, c.type) for c in inputs.USER_MAP.columns]
+    even, odd = ([mapping.make_map(f"c{i}", f"c{i}", columns) for i in range(first, N_COLLECTIONS, 2)] for first, columns in ((0, whole), (1, whole[:-1])))
+    return stateful.read_tables(spark, root, even).unionByName(stateful.read_tables(spark, root, odd), allowMissingColumns=True)
+
+
+def user_history(events: DataFrame) -> history.MapHistory:
+    """Three maps of the users, each valid for a third of the feed."""
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    key, value = ("id", "_id", "TEXT"), "value"
+    return history.MapHistory((
+        (None, mapping.make_map("Users", "users", [key, (value, "value", "DOUBLE PRECISION"), ("event_type", "eventType", "TEXT")])),
+        (last // 3, mapping.make_map("Users", "users", [key, (value, "value", "TEXT"), ("kind", "eventType", "BOOLEAN"), ("k", "k", "TEXT")])),
+        (last // 3 * 2, mapping.make_map("Users", "users", [key, (value, "value", "DOUBLE PRECISION"), ("known", "eventType", "BOOLEAN"), ("k", "k", "DOUBLE PRECISION")])),
+    ))
+
+
+@query
+def fold_across_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event under the map valid at its position, the feed folded in two mixed halves."""
+    maps = user_history(inputs.table(spark, sf_dir, "events"))
+    changes = inputs.user_changes(spark, sf_dir)
+    later = F.pmod(F.xxhash64("seq"), F.lit(2)) == 1
+    halves = registers(changes.where(later)).unionByName(registers(changes.where(~later)))
+    return history.table_across(inputs.stored_users(spark, sf_dir).drop("k"), latest(halves), maps)
+
+
+@query
+def errors_across_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that did not fit under the map valid at their position."""
+    events = inputs.table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    key = ("id", "_id", "TEXT")
+    types = ((None, "TEXT"), (last // 2, "TIMESTAMP"))
+    maps = history.MapHistory(tuple((since, mapping.make_map("Users", "users", [key, ("event_type", "eventType", t)])) for since, t in types))
+    errors = history.errors_across(inputs.user_changes(spark, sf_dir), maps)
+    return errors.groupBy("location", "message").agg(F.count("*").alias("n_errors"))
+
+
+@query
+def fold_wide_with_extra_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """300 mapped columns and leftovers, in two batches: only fields that are there are folded."""
+    m = inputs.WIDE_MAP
+    changes = feed.normalise(inputs.wide_feed(inputs.table(spark, sf_dir, "events")))
+    later = F.pmod(F.xxhash64("seq"), F.lit(2)) == 1
+    state = fold.merge_folds([fold.fold_changes(changes.where(later), m), fold.fold_changes(changes.where(~later), m)], m)
+    columns = F.array(*[F.col(c.column) for c in m.value_columns])
+    extra = F.col("_extra_props").cast("map<string,variant>")
+    return fold.rows_of_fold(state, m).select(
+        "id", F.size(F.array_compact(columns)).cast("long").alias("n_values"),
+        F.aggregate(F.array_compact(columns), F.lit(0.0), lambda a, x: a + x).alias("sum_values"),
+        F.size(extra).cast("long").alias("n_extra"),
+        F.size(F.map_keys(F.map_filter(extra, lambda k, v: F.schema_of_variant(v) == "STRING"))).cast("long").alias("n_misfits"),
+    )
+
+
 @query
 def stream_fold_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same in batches that are no stretches of the feed, each compacted at once."""
