@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docsync.operators.mapping import CollectionMap
@@ -45,22 +47,40 @@ SERVICE_SCHEMAS = {
 }
 
 
-def audit_rows(changes: DataFrame, cmap: CollectionMap, ts: Column | None = None) -> DataFrame:
+def updated_often(changes: DataFrame, by: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Ids that a batch updates more than once."""
+    updates = changes.where(F.col("op").isin(UPDATE, REPLACE))
+    return updates.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*by)
+
+
+def audit_rows(
+    changes: DataFrame,
+    relation: CollectionMap | str,
+    ts: Column | None = None,
+    often: DataFrame | None = None,
+    by: tuple[str, ...] = ("id",),
+) -> DataFrame:
     """What a batch did: one row per change, deletes included.
 
     ``document`` is what the change says, as JSON text; ``merged`` tells that
     several updates of the id are in the batch, and so went into the row together.
+
+    ``relation`` is a map, or names a column.  ``often`` are the ids updated more than
+    once (:func:`updated_often`), told by the columns ``by``.  Read from a written table
+    they are broadcast if they are few, and else joined so that Spark can split an id
+    that is much of the batch; worked out on the way they would keep it in one task.
     """
-    updates = changes.where(F.col("op").isin(UPDATE, REPLACE))
-    several = updates.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_several"))
-    rows = changes.join(several, F.col("id") == F.col("_several"), "left")
+    found = updated_often(changes, by) if often is None else often
+    several = found.select(*[F.col(c).alias(f"_several_{c}") for c in by])
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_several_{c}") for c in by])
+    rows = changes.join(several, same, "left")
     return rows.select(
         "seq",
         F.col("op").alias("operation"),
-        F.lit(cmap.relation).alias("relation"),
+        (F.col(relation) if isinstance(relation, str) else F.lit(relation.relation)).alias("relation"),
         F.col("id").alias("obj_id"),
         (ts if ts is not None else F.unix_timestamp()).cast("int").alias("ts"),
-        (F.col("op").isin(UPDATE, REPLACE) & F.col("_several").isNotNull()).alias("merged"),
+        (F.col("op").isin(UPDATE, REPLACE) & F.col(f"_several_{by[-1]}").isNotNull()).alias("merged"),
         F.to_json("fields").alias("document"),
     )
 

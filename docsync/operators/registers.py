@@ -10,7 +10,7 @@ A register row is told by collection, id and field (``coll_name, id, key``) and
 The row with a null ``key`` tells of the document itself: positions of its last delete
 (``_deleted``), of its last other change (``_live``), of its last replace
 (``_replaced``), of the last change that told all of it (``_cleared``), and how many
-changes there were.
+changes, and updates among them, there were.
 
 Registers know nothing of maps.  So one aggregate takes the changes of all collections
 together, Spark's own state store can hold it over a stream, and a value is cast once,
@@ -28,15 +28,15 @@ from docsync.functions.cast import can_fail, variant_failed_sql
 from docsync.functions.naming import literal, literals, quoted
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.operators.project import cast_fields, field_path
-from docsync.sources.feed import DELETE, INSERT, REPLACE
+from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
 DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
 CLEARED, FIELDS = "_cleared", "_fields"
-REPLACED = "_replaced"
+REPLACED, UPDATES = "_replaced", "_updates"
 FIELDS_TYPE = "MAP<STRING, STRUCT<seq: BIGINT, value: VARIANT>>"
 
 BY = ("coll_name", "id", "key")
-_LONGS = ("seq", "void", DELETED, LIVE, REPLACED, CLEARED, CHANGES)
+_LONGS = ("seq", "void", DELETED, LIVE, REPLACED, CLEARED, CHANGES, UPDATES)
 SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in BY]
     + [T.StructField("seq", T.LongType()), T.StructField("value", T.VariantType())]
@@ -73,6 +73,7 @@ def registers(changes: DataFrame, only: Iterable[str] | None = None) -> DataFram
         F.max(F.when(op == REPLACE, change)).alias(REPLACED),
         F.max(F.when(op.isin(INSERT, REPLACE), change)).alias(CLEARED),
         F.count(change).alias(CHANGES),
+        F.count(F.when(op.isin(UPDATE, REPLACE), change)).alias(UPDATES),
     )
 
 
@@ -87,6 +88,15 @@ def latest(states: DataFrame) -> DataFrame:
     )
 
 
+def combined(parts: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
+    """Registers of different changes -> one of each."""
+    counted = (CHANGES, UPDATES)
+    return parts.groupBy(*by).agg(
+        F.max("seq").alias("seq"), F.max_by("value", "seq").alias("value"),
+        *[(F.sum if c in counted else F.max)(c).alias(c) for c in _LONGS[1:]],
+    )
+
+
 def to_fold(
     registers: DataFrame,
     cmap: CollectionMap,

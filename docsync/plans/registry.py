@@ -15,7 +15,7 @@ from docsync.functions import types as ct
 from docsync.functions.cast import can_fail, cast_typed, variant_failed_sql
 from docsync.functions.naming import namespace, snake_case, start_epoch
 from docsync.operators import evolve, fold, history, mapping, project, records, rows
-from docsync.operators.registers import latest, registers
+from docsync.operators.registers import combined, registers, to_fold
 from docsync.plans import inputs
 from docsync.plans.snapshot import load_collection, loaded_frame, transfer
 from docsync.plans.tables import TableStore
@@ -414,7 +414,7 @@ def fold_across_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = inputs.user_changes(spark, sf_dir)
     later = F.pmod(F.xxhash64("seq"), F.lit(2)) == 1
     halves = registers(changes.where(later)).unionByName(registers(changes.where(~later)))
-    return history.table_across(inputs.stored_users(spark, sf_dir).drop("k"), latest(halves), maps)
+    return history.table_across(inputs.stored_users(spark, sf_dir).drop("k"), combined(halves), maps)
 
 
 @query
@@ -435,7 +435,7 @@ def fold_wide_with_extra_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = inputs.WIDE_MAP
     changes = feed.normalise(inputs.wide_feed(inputs.table(spark, sf_dir, "events")))
     later = F.pmod(F.xxhash64("seq"), F.lit(2)) == 1
-    state = fold.merge_folds([fold.fold_changes(changes.where(later), m), fold.fold_changes(changes.where(~later), m)], m)
+    state = to_fold(combined(registers(changes.where(later)).unionByName(registers(changes.where(~later)))), m)
     columns = F.array(*[F.col(c.column) for c in m.value_columns])
     extra = F.col("_extra_props").cast("map<string,variant>")
     return fold.rows_of_fold(state, m).select(
@@ -640,7 +640,9 @@ def convertible_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.audit_rows(inputs.user_changes(spark, sf_dir), inputs.USER_MAP).select(
+    changes, folder = inputs.user_changes(spark, sf_dir), f"{inputs.scratch(spark)}/often"
+    records.updated_often(changes).write.parquet(folder)
+    return records.audit_rows(changes, inputs.USER_MAP, often=spark.read.schema("id string").parquet(folder)).select(
         "seq", "operation", "relation", "obj_id", "merged",
         *[F.get_json_object("document", f"$.{c}").cast(t).alias(f"document_{c}") for c, t in (("eventType", "string"), ("value", "double"), ("k", "long"))],
     )

@@ -20,6 +20,7 @@ import hashlib
 import itertools
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import asdict, dataclass, field, replace
 
@@ -32,6 +33,7 @@ from docsync.operators.fold import (
     DELETED, FAILURES, LIVE, alive, fold_schema, merge_fold_rows, settle, state_schema, with_positions,
 )
 from docsync.operators.mapping import CollectionMap, make_map
+from docsync.operators.registers import SCHEMA, combined, to_fold
 from docsync.sources import files
 
 # Folds up to this many bytes on disk are broadcast to the table; past it they
@@ -39,15 +41,21 @@ from docsync.sources import files
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
+# Registers of one collection, as they are stored.
+REGISTERS = T.StructType([f for f in SCHEMA.fields if f.name != "coll_name"])
+
 # A version is due to be written again once its folds are this share of it.
 DUE_SHARE = 0.25
 
 
 @dataclass(frozen=True)
 class FoldFile:
+    """A folded batch: ``typed`` under the table's map, or ``registers`` of raw values."""
+
     path: str
     rows: int
     bytes: int
+    form: str = "typed"
 
 
 @dataclass(frozen=True)
@@ -183,9 +191,18 @@ class TableStore:
         return self.spark.table(name)
 
     def _folded(self, folds: tuple[FoldFile, ...], cmap: CollectionMap) -> DataFrame:
-        """Waiting folds as one, read together."""
-        rows = self.spark.read.schema(fold_schema(cmap)).parquet(*[f.path for f in folds])
-        return rows if len(folds) == 1 else merge_fold_rows(rows, cmap)
+        """Waiting folds as one, those of one form read together."""
+        paths = {form: [f.path for f in folds if f.form == form] for form in ("typed", "registers")}
+        schema, parts = fold_schema(cmap), []
+        if paths["typed"]:
+            parts.append(self.spark.read.schema(schema).parquet(*paths["typed"]))
+        if paths["registers"]:
+            rows = self.spark.read.schema(REGISTERS).parquet(*paths["registers"])
+            if len(paths["registers"]) > 1:
+                rows = combined(rows, ("id", "key"))
+            parts.append(to_fold(rows, cmap).select(*schema.names))
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return rows if len(paths["typed"]) + bool(paths["registers"]) == 1 else merge_fold_rows(rows, cmap)
 
     def read_stored(self, relation: str) -> DataFrame:
         """Current rows with their positions, deleted ids included."""
@@ -310,6 +327,40 @@ class TableStore:
                     position=max(known) if known else None, batches={**old.batches, feed: batch_id}),
         )
 
+    def add_registers(self, rows: DataFrame, feed: str, batch_id: int) -> tuple[str, dict[str, tuple[FoldFile, int | None]]]:
+        """Write a batch's registers of all collections once, a folder each.
+
+        ``rows`` has a column ``relation``.  Gives the folder, and for each relation what
+        is in it and the last position; nothing is visible before :meth:`lay` names it.
+        """
+        # A folder for each attempt: commits may name what an earlier one wrote.
+        folder = f"{self.root}/_registers/feed={feed}/batch={batch_id}-{uuid.uuid4().hex}"
+        rows.select("relation", *REGISTERS.names).write.partitionBy("relation").parquet(folder)
+        found = self.registers_in(folder).groupBy("relation").agg(F.count("*").alias("rows"), F.max(F.greatest(LIVE, DELETED)).alias("last")).collect()
+        out = {}
+        for r in found:
+            path = f"{folder}/relation={r.relation}"
+            out[r.relation] = (FoldFile(path, r.rows, files.size(self.spark, path), "registers"), r.last)
+        return folder, out
+
+    def registers_in(self, folder: str) -> DataFrame:
+        schema = T.StructType([*REGISTERS.fields, T.StructField("relation", T.StringType())])
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def lay(self, relation: str, added: FoldFile | None, cmap: CollectionMap, feed: str, batch_id: int, last: int | None) -> Commit:
+        """Name a written fold as part of the table; a repeat does nothing."""
+        old = self.commit_of(relation)
+        if old is None or old.map is None:
+            old = self.create(relation, cmap)
+        if old.batches.get(feed, -1) >= batch_id:
+            return old
+        known = [p for p in (old.position, last) if p is not None]
+        return self._put(
+            relation,
+            replace(old, number=old.number + 1, folds=old.folds + ((added,) if added else ()),
+                    position=max(known) if known else None, batches={**old.batches, feed: batch_id}),
+        )
+
     def merge_waiting(self, relation: str) -> Commit:
         """Merge the newest folds into one; the version is not looked at.
 
@@ -369,6 +420,12 @@ class TableStore:
                 for b in files.names(self.spark, f"{top}/folds/{feed}")
                 if int(b.rpartition("=")[2]) <= done
             ]
+        for feed, done in last.batches.items():
+            batches = f"{self.root}/_registers/feed={feed}"
+            for b in files.names(self.spark, batches):
+                path = f"{batches}/{b}/relation={relation}"
+                if b.startswith("batch=") and int(b.removeprefix("batch=").partition("-")[0]) <= done and files.exists(self.spark, path):
+                    have.append(path)
         gone = [p for p in have if p not in live]
         for p in gone:
             files.delete(self.spark, p)

@@ -9,10 +9,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from docsync.functions import types as ct
+from docsync.functions.cast import can_fail, variant_cast_sql, variant_failed_sql
 from docsync.operators import records
 from docsync.operators.evolve import backfill, effective_map, evolve_stored
-from docsync.operators.fold import AT, change_errors, fold_changes, is_wide
+from docsync.operators.fold import AT
 from docsync.operators.mapping import CollectionMap
+from docsync.operators.registers import UPDATES, entries, registers
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
 from docsync.sources import feed as feed_source
@@ -49,8 +52,8 @@ def apply_batch(
         wanted = feed_source.mapped(feed_source.placeable(batch), maps)
         # At most as many names as the map has collections.
         names = sorted(r[0] for r in wanted.select("ns.coll").distinct().collect())
+        _apply_collections(store, {n: maps[n] for n in names}, feed_source.normalise(wanted), feed, batch_id, audit)
         for name in names:
-            _apply_collection(store, maps[name], wanted.where(F.col("ns.coll") == name), feed, batch_id, audit)
             if len(store.commit_of(maps[name].relation).folds) >= merge_every:
                 store.merge_waiting(maps[name].relation)
         return [maps[n].relation for n in names]
@@ -58,29 +61,56 @@ def apply_batch(
         batch.unpersist()
 
 
-def _apply_collection(store: TableStore, cmap: CollectionMap, events: DataFrame, feed: str, batch_id: int, audit: bool) -> None:
-    relation = cmap.relation
-    if store.committed(relation, feed, batch_id):
+def _apply_collections(store: TableStore, maps: Maps, changes: DataFrame, feed: str, batch_id: int, audit: bool) -> None:
+    """Fold the changes of all these collections together: one aggregate, one write.
+
+    The number of Spark jobs does not depend on the number of collections; a table's
+    part of the batch becomes visible by its commit, and once that is made it is done.
+    """
+    commits = {n: store.commit_of(m.relation) for n, m in maps.items()}
+    todo = [n for n in maps if commits[n] is None or commits[n].batches.get(feed, -1) < batch_id]
+    if not todo:
         return
-    if store.exists(relation):
-        cmap = store.map_of(relation)
-    changes = feed_source.normalise(events)
-    part = f"{relation}-{feed}-{batch_id}"
-    commit = store.commit_of(relation)
-    passed = commit.base_position if commit else None
-    if passed is not None:  # in what was loaded
-        changes = changes.where(F.col("seq") > passed)
+    # All of the batch is written again, for the service rows of an attempt replace those of one before.
+    used = {n: store.map_of(m.relation) if commits[n] is not None and commits[n].map is not None else m for n, m in maps.items()}
+    # Changes up to a load's position are in what was loaded.
+    known = [(n, m.relation, commits[n].base_position if commits[n] is not None else None) for n, m in maps.items()]
+    targets = F.broadcast(store.spark.createDataFrame(known, "_coll string, relation string, _passed long"))
+    chosen = changes.join(targets, F.col("coll_name") == F.col("_coll")).where(F.col("_passed").isNull() | (F.col("seq") > F.col("_passed")))
+    relations = F.broadcast(store.spark.createDataFrame([(n, m.relation) for n, m in maps.items()], "_named string, relation string"))
+    rows = registers(chosen).join(relations, F.col("coll_name") == F.col("_named"))
+    folder, found = store.add_registers(rows, feed, batch_id)
+    part = f"{feed}-{batch_id}"
     if audit:
-        store.append_service("audit", records.audit_rows(changes, cmap), part)
+        often = store.registers_in(folder).where(f"key IS NULL AND {UPDATES} > 1").select("relation", "id")
+        store.append_service("audit", records.audit_rows(chosen, "relation", often=often, by=("relation", "id")), part)
+    _append_errors(store, map_errors(chosen, used), f"cast-{part}")
+    for n in todo:
+        added, last = found.get(maps[n].relation, (None, None))
+        store.lay(maps[n].relation, added, used[n], feed, batch_id, last)
 
-    # Values that do not fit are counted while folding, and only if there are
-    # any (or the map is too wide to count them) is the batch gone through again.
-    # The commit comes last: once it is made the batch is done.
-    def errors_first(failures: int) -> None:
-        if failures or is_wide(cmap):
-            _append_errors(store, change_errors(changes, cmap), f"cast-{part}")
 
-    store.add_fold(relation, fold_changes(changes, cmap, with_failures=True), cmap, feed, batch_id, errors_first)
+def map_errors(changes: DataFrame, maps: Maps) -> DataFrame:
+    """One error row per changed value that does not fit its collection's map, for all
+    collections together: ``(location, message, ts)``.
+
+    Fields are looked up in the maps' columns that can fail, a short table.
+    """
+    fields = [(n, c.source, ct.canonical(c.type), m.relation) for n, m in maps.items() for c in m.value_columns if can_fail(c.type)]
+    columns = changes.sparkSession.createDataFrame(fields, "_coll_name string, _source string, _type string, _location string")
+    if len(fields) <= feed_source.MAX_BROADCAST_NAMES:
+        columns = F.broadcast(columns)
+    touched = entries(changes).where("key IS NOT NULL AND value IS NOT NULL").select("coll_name", "id", "key", "value")
+    mapped = touched.join(columns, (F.col("coll_name") == F.col("_coll_name")) & (F.col("key") == F.col("_source")))
+    kinds = sorted({t for _, _, t, _ in fields})
+    ready = mapped.selectExpr("*", "schema_of_variant(value) AS _t")
+    ready = ready.selectExpr("*", *[f"{variant_cast_sql('value', '_t', t)} AS _x{i}" for i, t in enumerate(kinds)])
+    failed = " OR ".join(f"(_type = '{t}' AND {variant_failed_sql(f'_x{i}', '_t', t)})" for i, t in enumerate(kinds)) or "false"
+    return ready.where(failed).select(
+        F.col("_location").alias("location"),
+        F.concat_ws(": ", F.lit("value does not fit"), F.col("key"), F.col("id")).alias("message"),
+        F.unix_timestamp().cast("int").alias("ts"),
+    )
 
 
 def _append_errors(store: TableStore, errors: DataFrame, part: str) -> None:

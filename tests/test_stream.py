@@ -62,6 +62,38 @@ def test_repeated_batch_changes_nothing(spark, folder):
     assert store.service("audit").count() == 2 and rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}}
 
 
+def test_a_batch_that_only_some_tables_took(spark, folder, monkeypatch):
+    """The driver dies between two tables' commits; the batch is repeated."""
+    store = TableStore(spark, folder)
+    batch = events_frame(spark, [("insert", "Thing", "1", {"a": "x", "b": "bad"}, None, 1), ("insert", "Other", "2", {"x": 5}, None, 2)])
+    lay = TableStore.lay
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "lay", lambda self, relation, *a: lay(self, relation, *a) if relation == "other" else (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            sync.apply_batch(store, MAPS, batch, "f", 0)
+    sync.apply_batch(store, MAPS, batch, "f", 0)
+    sync.apply_batch(store, MAPS, batch, "f", 0)
+    assert rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}} and rows_by_key(store.read("other")) == {"2": {"x": 5.0}}
+    assert store.service("audit").count() == 2 and [r["message"] for r in store.service("errors").collect()] == ["value does not fit: b: 1"]
+    assert store.clean("other") == [] or rows_by_key(store.read("other")) == {"2": {"x": 5.0}}
+
+
+def test_jobs_do_not_grow_with_collections(spark, folder):
+    from docsync.operators.mapping import make_map as mm
+
+    def jobs(n):
+        maps = {f"C{i}": mm(f"C{i}", f"c{i}", [("id", "_id", "TEXT"), ("a", "a", "DOUBLE PRECISION")]) for i in range(n)}
+        store = TableStore(spark, f"{folder}/{n}")
+        events = events_frame(spark, [("insert", f"C{i % n}", str(i), {"a": i}, None, i) for i in range(60)])
+        before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        sync.apply_batch(store, maps, events, "f", 0)
+        made = len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before)
+        assert [store.read(f"c{i}").count() for i in (0, n - 1)] == [len(range(0, 60, n)), len(range(n - 1, 60, n))]
+        return made
+
+    assert 0 < jobs(30) <= jobs(2) + 2
+
+
 def test_batches_may_come_in_any_order_compacted_or_not(spark, folder):
     store = TableStore(spark, folder)
     sync.apply_batch(store, MAPS, events_frame(spark, [("update", "Thing", "1", {"a": "late"}, None, 20)]), "f", 0)
