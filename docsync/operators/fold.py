@@ -363,48 +363,60 @@ def change_errors(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
     )
 
 
-# Positions per window at the first level of run detection, and sub-ranges per
-# window above it, as powers of two: no window ever holds more than about two
-# million rows, whatever the size of the feed.
+# Positions per range at the first level of run detection, and ranges of the level
+# below per range above it, as powers of two: no window ever holds more than about
+# two million rows, whatever the size of the feed.
 RUN_LEVELS: tuple[int | None, ...] = (20, 40, None)
 
+_RUN_OF = ["db_name", "coll_name"]
+_EDGE = "(_head OR _tail)"
+
+
+def single_runs(changes: DataFrame) -> DataFrame:
+    """Every change as a run of its own, open at both ends."""
+    return changes.select(
+        *_RUN_OF, "op", F.col("seq").alias("first_seq"), F.col("seq").alias("last_seq"),
+        F.lit(1).cast("long").alias("n_changes"), F.lit(True).alias("_head"), F.lit(True).alias("_tail"),
+    )
+
+
+def join_runs(runs: DataFrame, bits: int | None) -> DataFrame:
+    """Runs joined up with their neighbours within ranges of 2^bits positions (none: anywhere).
+
+    A range is summed up by its runs, of which only the first (``_head``) and the last
+    (``_tail``) can go on in another range.  That is associative: ranges may be joined
+    to larger ranges, from their first and last runs alone.  Two runs meet only where
+    the left one ends its range and the right one begins the next.
+    """
+    chunk = F.lit(0).cast("long") if bits is None else F.shiftright("first_seq", bits)
+    ranged = runs.withColumn("_chunk", chunk)
+    group = [*_RUN_OF, "_chunk"]
+    w = Window.partitionBy(*group).orderBy("first_seq")
+    meets = (F.lag("op").over(w) == F.col("op")) & F.lag("_tail").over(w) & F.col("_head")
+    return (
+        ranged.withColumn("_starts", ~F.coalesce(meets, F.lit(False)))
+        .withColumn("_first", F.col("_head") & F.lag("op").over(w).isNull())
+        .withColumn("_last", F.col("_tail") & F.lead("op").over(w).isNull())
+        .withColumn("_run", F.sum(F.col("_starts").cast("int")).over(w))
+        .groupBy(*group, "_run", "op")
+        .agg(
+            F.min("first_seq").alias("first_seq"), F.max("last_seq").alias("last_seq"), F.sum("n_changes").alias("n_changes"),
+            F.max("_first").alias("_head"), F.max("_last").alias("_tail"),
+        )
+        .drop("_chunk", "_run")
+    )
+
 
 def operation_runs(changes: DataFrame, levels: tuple[int | None, ...] = RUN_LEVELS) -> DataFrame:
     """Runs of consecutive equal operations per collection, in feed order.
 
     Gives ``(db_name, coll_name, op, first_seq, last_seq, n_changes)``.  One
-    collection can be the whole feed, so it is never put into one window:
-    runs are found within ranges of positions, and then only the first and
-    last run of each range go on to be joined up with their neighbours.
+    collection can be the whole feed, so it is never put into one window: a segmented
+    scan finds runs within ranges of positions.  Runs inside a range are done and
+    leave at once; at most two a range go on to the next level, to be joined up there.
     """
-    by = ["db_name", "coll_name"]
-    runs = changes.select(
-        *by, "op", F.col("seq").alias("first_seq"), F.col("seq").alias("last_seq"),
-        F.lit(1).cast("long").alias("n_changes"), F.lit(True).alias("_head"), F.lit(True).alias("_tail"),
-    )
-    for bits in levels:
-        edge = F.col("_head") | F.col("_tail")
-        chunk = F.lit(0).cast("long") if bits is None else F.shiftright("first_seq", bits)
-        runs = runs.withColumn("_chunk", F.when(edge, chunk)).withColumn(
-            "_alone", F.when(~edge, F.col("first_seq"))
-        )
-        group = [*by, "_chunk", "_alone"]
-        w = Window.partitionBy(*group).orderBy("first_seq")
-        joins = (F.lag("op").over(w) == F.col("op")) & F.lag("_tail").over(w) & F.col("_head")
-        runs = (
-            runs.withColumn("_starts", ~F.coalesce(joins, F.lit(False)))
-            .withColumn("_first", F.col("_head") & F.lag("op").over(w).isNull())
-            .withColumn("_last", F.col("_tail") & F.lead("op").over(w).isNull())
-            .withColumn("_run", F.sum(F.col("_starts").cast("int")).over(w))
-            .groupBy(*group, "_run", "op")
-            .agg(
-                F.min("first_seq").alias("first_seq"),
-                F.max("last_seq").alias("last_seq"),
-                F.sum("n_changes").alias("n_changes"),
-                F.max("_first").alias("_head"),
-                F.max("_last").alias("_tail"),
-            )
-            .drop("_chunk", "_alone", "_run")
-        )
-    return runs.select(*by, "op", "first_seq", "last_seq", "n_changes")
-
+    runs, done = join_runs(single_runs(changes), levels[0]), []
+    for bits in levels[1:]:
+        done.append(runs.where(~F.expr(_EDGE)))
+        runs = join_runs(runs.where(_EDGE), bits)
+    return reduce(DataFrame.unionByName, [*done, runs]).select(*_RUN_OF, "op", "first_seq", "last_seq", "n_changes")

@@ -216,6 +216,33 @@ def test_operation_runs(spark, levels):
     assert sorted((r["coll_name"], r["op"], r["first_seq"], r["last_seq"], r["n_changes"]) for r in got.collect()) == sorted(want)
 
 
+def test_only_edges_of_ranges_go_on(spark):
+    """Finished runs leave after the first level; what the second one shuffles is bounded by ranges."""
+    rng = random.Random(9)
+    events = [(rng.choice(["insert", "update", "delete"]), "A", "1", {}, None, s) for s in range(512)]
+    first = fold.join_runs(fold.single_runs(changes(spark, events)), 5)
+    edges = first.where("_head OR _tail").count()
+    assert edges <= 2 * 512 // 32 < first.count() / 4
+    # Counted where it happens: rows written by the exchanges of the second level.
+    df = fold.operation_runs(changes(spark, events), (5, 7, None))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = fold.operation_runs(changes(spark, events), (5, 7, None))
+        df.collect()
+        plan, written = df._jdf.queryExecution().executedPlan(), []
+
+        def walk(node):
+            if node.nodeName() == "Exchange":
+                written.append(node.metrics().apply("shuffleRecordsWritten").value())
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+        walk(plan)
+        assert sorted({w for w in written if w})[-1] == 512 and all(w == 512 or w <= edges for w in written)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_feed_filters_and_audit(spark):
     events = [
         ("update", "Thing", "1", {"a": "x"}, None, 1), ("update", "Thing", "1", {"a": "y"}, None, 2),
