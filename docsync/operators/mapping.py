@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -85,15 +86,50 @@ def make_map(collection: str, relation: str, columns: Iterable[tuple[str, str, s
 # ---------------------------------------------------------------- inference
 
 
-def field_votes(docs: DataFrame) -> DataFrame:
-    """One row per field of a document: ``(field, type, _seq, pos)``.
+#: Names that one task holds while it looks for those of most documents.
+MAX_NAMES = 100_000
+
+
+def _with_keys(docs: DataFrame) -> DataFrame:
+    return docs if KEYS in docs.columns else docs.withColumn(KEYS, F.map_keys(F.col(DOC).try_cast("map<string,variant>")))
+
+
+def frequent_fields(docs: DataFrame, min_share: float, max_names: int = MAX_NAMES) -> list[str]:
+    """Names of the fields that at least ``min_share`` of the documents have.
+
+    For collections that use objects as dictionaries, where ids are field names and
+    there may be as many of them as documents.  A sketch of heavy hitters, of
+    ``max_names`` names a task, tells which names may be so frequent; only those are
+    counted.  The sketch misses none above 7 / ``max_names`` of all names
+    (twice its error of 3.5 / ``max_names``); if that is too coarse for the share, it is
+    said so, with the number that would do.  At most ``max_names`` come to the driver.
+    """
+    names = _with_keys(docs).select(F.posexplode(KEYS).alias("at", "field"))
+    found = names.agg(
+        F.expr(f"approx_top_k(field, {max_names}, {max_names})").alias("top"), F.count("*").alias("names"), F.count_if(F.col("at") == 0).alias("documents")
+    ).first()
+    if not found["documents"]:
+        return []
+    least = min_share * found["documents"]
+    if 7 * found["names"] > least * max_names:
+        raise ValueError(f"max_names must be {math.ceil(7 * found['names'] / least)} for a share of {min_share}")
+    maybe = docs.sparkSession.createDataFrame([(t["item"],) for t in found["top"]], "_maybe string")
+    counted = names.join(F.broadcast(maybe), F.col("field") == F.col("_maybe"), "left_semi").groupBy("field").count()
+    return sorted(r["field"] for r in counted.where(F.col("count") >= least).collect())
+
+
+def field_votes(docs: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """One row per field of a document (of these fields, if told): ``(field, type, _seq, pos)``.
 
     Two fields of one document whose column names coincide: only the first
     counts.  ``type`` is null for a null value.
     """
     entries = F.map_entries(F.col(DOC).try_cast("map<string,variant>"))
-    if KEYS not in docs.columns:
-        docs = docs.withColumn(KEYS, F.map_keys(F.col(DOC).try_cast("map<string,variant>")))
+    docs = _with_keys(docs)
+    if only is not None:
+        wanted = f"k IN ({literals(only)})" if only else "false"
+        entries = F.map_entries(F.expr(f"map_filter(try_cast({DOC} AS MAP<STRING, VARIANT>), (k, v) -> {wanted})"))
+        docs = docs.withColumn(KEYS, F.expr(f"filter({KEYS}, k -> {wanted})"))
     # Names can only coincide if the keys do without case and underscores;
     # that is cheap to rule out, and nearly always the case.
     bare = f"split(lower(replace(array_join({KEYS}, ','), '_', '')), ',')"
@@ -147,21 +183,21 @@ def typed_votes(df: DataFrame, seq: str) -> DataFrame:
     ).where("n > 0")
 
 
-def type_histogram(docs: DataFrame, null_votes_as_jsonb: bool = False, seq: str = SEQ) -> DataFrame:
+def type_histogram(docs: DataFrame, null_votes_as_jsonb: bool = False, seq: str = SEQ, only: list[str] | None = None) -> DataFrame:
     """Votes per field and type: ``(field, column, type, n, newest, pos)``.
 
     ``newest`` is the newest document with that vote and ``pos`` the field's
     place in it.  Votes are summed within each task before they are shuffled,
     so the shuffle carries a row per task, field and type, however many
     documents share a field.  A typed collection, ordered by ``seq``, is
-    counted column by column instead.
+    counted column by column instead.  Documents vote on ``only`` these fields, if told.
     """
     any_type = F.coalesce("type", F.lit(ct.JSONB)) if null_votes_as_jsonb else F.col("type")
     if not is_document_frame(docs) and not is_typed(docs):
         docs = from_table(docs, seq)
     if is_document_frame(docs):
         sums = (F.count(F.lit(1)).alias("n"), F.max(SEQ).alias("newest"), F.max_by("pos", SEQ).alias("pos"))
-        votes = field_votes(docs).groupBy("field", any_type.alias("type")).agg(*sums)
+        votes = field_votes(docs, only).groupBy("field", any_type.alias("type")).agg(*sums)
     else:
         votes = typed_votes(docs, seq)
         if null_votes_as_jsonb:
@@ -204,6 +240,8 @@ def infer_map(
     null_votes_as_jsonb: bool = False,
     seqs: dict[str, str] | None = None,
     read_typed: bool = False,
+    min_share: float | None = None,
+    max_names: int = MAX_NAMES,
 ) -> DataFrame:
     """Map of several collections, sorted by name, columns in first-seen order.
 
@@ -213,7 +251,9 @@ def infer_map(
     ``read_typed`` or a ``sample`` their documents vote too: a column without any
     value is text, and a collection without documents has no columns, as among
     documents.  Without, typed collections are not read: their schema has a
-    column's type, whatever it holds.  Each collection is reduced to its votes by
+    column's type, whatever it holds.  With ``min_share`` a field of documents becomes a
+    column only if so large a share of them has it (:func:`frequent_fields`); the rest
+    is for the leftovers (``load_maps(extra_props=True)``).  Each collection is reduced to its votes by
     itself; the rest is worked out for all of them together, on a row per field
     and type.
     """
@@ -225,7 +265,8 @@ def infer_map(
             histogram = schema_votes(docs)
         else:
             seen = docs if sample is None else newest_by_cutoff(docs, sample, seq)
-            histogram = type_histogram(seen, null_votes_as_jsonb, seq)
+            only = frequent_fields(seen, min_share, max_names) if min_share and is_document_frame(seen) else None
+            histogram = type_histogram(seen, null_votes_as_jsonb, seq, only)
         votes.append(histogram.select(F.lit(position).alias("id"), F.lit(name).alias("collection_name"), "*"))
     by = ("id", "collection_name")
     columns = unique_columns(dominant_types(reduce(DataFrame.unionByName, votes), by), by)

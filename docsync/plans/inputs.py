@@ -82,6 +82,18 @@ def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.from_table(table(spark, sf_dir, "orders"), "o_orderkey", mixed_order_fields())
 
 
+def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents with a field named after the customer, and a rare one."""
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    text = F.concat(
+        F.lit('{"_id": '), q(F.col("o_orderkey").cast("string")), F.lit(', "totalPrice": '), F.col("o_totalprice").cast("string"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit(', "Note": '), q(F.col("o_orderpriority")))).otherwise(""),
+        F.when(F.col("o_orderkey") % 1000 == 0, F.lit(', "rare": true')).otherwise(""),
+        F.lit(', "c'), F.col("o_custkey").cast("string"), F.lit('": {"seen": 1}}'),
+    )
+    return documents.from_json(table(spark, sf_dir, "orders").select(text.alias("body"), F.col("o_orderkey").alias("seq")), "body", "seq")
+
+
 def every_collection(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Every given table as a typed collection, and the column each is ordered by."""
     out = {name: table(spark, sf_dir, name) for name in TABLES}

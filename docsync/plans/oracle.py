@@ -136,6 +136,17 @@ SELECT table_name AS collection_name, table_name AS relation_name, ordinal_posit
 FROM information_schema.columns
 WHERE table_name IN ('benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels',
                      'lineitem', 'nation', 'orders', 'pages', 'part', 'region', 'supplier')""",
+    "inferred_map_of_keyed_documents": """
+WITH fields AS (
+  SELECT unnest([
+    struct_pack(f := '_id', c := 'id', t := 'TEXT', p := 1), struct_pack(f := 'totalPrice', c := 'total_price', t := 'DOUBLE PRECISION', p := 2),
+    struct_pack(f := CASE WHEN o_orderstatus = 'F' THEN 'Note' END, c := 'note', t := 'TEXT', p := 3),
+    struct_pack(f := CASE WHEN o_orderkey % 1000 = 0 THEN 'rare' END, c := 'rare', t := 'BOOLEAN', p := 4),
+    struct_pack(f := 'c' || o_custkey, c := 'c' || o_custkey, t := 'JSONB', p := 5)], recursive := true)
+  FROM orders
+)
+SELECT 'KeyedOrders' AS collection_name, 'keyed_orders' AS relation_name, row_number() OVER (ORDER BY min(p)) - 1 AS "position", c AS "column", f AS source, t AS type
+FROM fields WHERE f IS NOT NULL GROUP BY f, c, t HAVING count(*) >= 0.05 * (SELECT count(*) FROM orders)""",
     "inferred_document_map": _MIXED + """
 , placed AS (SELECT DISTINCT field, pos FROM votes)
 SELECT 'MixedOrders' AS collection_name, 'mixed_orders' AS relation_name, pos - 1 AS "position",

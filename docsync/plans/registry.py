@@ -136,6 +136,13 @@ def inferred_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.column_rows(maps)
 
 
+@query
+def inferred_map_of_keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map of documents that have ids as field names: columns are what a twentieth of them has."""
+    docs = inputs.keyed_orders(spark, sf_dir)
+    return mapping.column_rows(mapping.infer_map({"KeyedOrders": docs}, min_share=0.05, max_names=2000))
+
+
 @query
 def inferred_document_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map of collections of JSON texts, all documents voting."""

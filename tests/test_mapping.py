@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from docsync.functions import types as ct
 from docsync.operators import mapping as m
+from docsync.operators.project import project
 from docsync.plans import inputs
 from docsync.plans.registry import QUERIES
 from docsync.sources import documents
@@ -135,3 +139,29 @@ def test_the_maps_of_given_tables_read_every_column(spark, folder):
         rows = QUERIES[name](spark, folder).collect()
         assert len({r["collection_name"] for r in rows}) == len(inputs.TABLES)
         assert {(r["column"], r["type"]) for r in rows} == {("k", "DOUBLE PRECISION"), ("gone", "TEXT"), ("kept", "DOUBLE PRECISION")}
+
+
+def test_ids_as_field_names_are_no_columns(spark):
+    docs = [{"_id": str(i), "name": f"n{i}", f"user{i}": {"x": i}} | ({"often": i} if i % 4 == 0 else {}) for i in range(400)]
+    frame = docs_frame(spark, docs)
+    assert m.frequent_fields(frame, 0.2, 200) == ["_id", "name", "often"]
+    users = m.load_maps(m.infer_map({"Users": frame}, min_share=0.2, max_names=200), extra_props=True)["Users"]
+    assert [(c.column, c.type) for c in users.columns] == [("id", "TEXT"), ("name", "TEXT"), ("often", "DOUBLE PRECISION")]
+    row = project(frame, users).where("id = '7'").withColumn("e", F.to_json("_extra_props")).first()
+    assert row["e"] == '{"user7":{"x":7}}'
+    assert m.frequent_fields(frame, 0.25, 200) == ["_id", "name", "often"] and m.frequent_fields(frame, 0.26, 200) == ["_id", "name"]
+    assert m.frequent_fields(docs_frame(spark, [{}]), 0.1, 100) == []
+
+
+def test_a_sketch_too_coarse_says_so(spark):
+    docs = [{"_id": str(i), f"user{i}": 1} for i in range(300)]
+    with pytest.raises(ValueError, match="max_names must be 1400"):
+        m.frequent_fields(docs_frame(spark, docs), 0.01, 100)
+    assert m.frequent_fields(docs_frame(spark, docs), 0.01, 1400) == ["_id"]
+
+
+def test_no_task_holds_more_names_than_said(spark):
+    """Only the names that the sketch lets through are grouped and counted."""
+    docs = docs_frame(spark, [{"_id": str(i), f"user{i}": 1} for i in range(500)])
+    votes = m.field_votes(docs, m.frequent_fields(docs, 0.5, 64))
+    assert votes.select("field").distinct().count() == 1
