@@ -91,6 +91,33 @@ def variant_failed_sql(result: str, schema: str, column_type: str) -> str:
     return f"(coalesce({schema} <> 'VOID', false) AND {result} IS NULL)" if can_fail(column_type) else "false"
 
 
+def _holds_doubles(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return any(_holds_doubles(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _holds_doubles(data_type.elementType)
+    if isinstance(data_type, T.MapType):
+        return _holds_doubles(data_type.valueType)
+    return isinstance(data_type, (T.DoubleType, T.FloatType))
+
+
+def without_nan(value: Column, data_type: T.DataType) -> Column:
+    """The value with null for every NaN, however deep in arrays, maps and structs.
+
+    Made by recursion over the type; parts that hold no doubles are left as they are.
+    """
+    if not _holds_doubles(data_type):
+        return value
+    if isinstance(data_type, T.StructType):
+        fields = [without_nan(value.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(value, lambda x: without_nan(x, data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        return F.transform_values(value, lambda k, v: without_nan(v, data_type.valueType))
+    return F.when(~F.isnan(value), value)
+
+
 def cast_typed(value: Column, data_type: T.DataType, column_type: str) -> Cast:
     """Cast an ordinary column whose type is known when planning.
 
@@ -140,7 +167,7 @@ def cast_typed(value: Column, data_type: T.DataType, column_type: str) -> Cast:
 
     # jsonb
     if is_nested:
-        return Cast(F.to_variant_object(value), never, False)
+        return Cast(F.to_variant_object(without_nan(value, data_type)), never, False)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return Cast(F.when(~F.isnan(value), value.cast("variant")), never, False)
     return Cast(value.cast("variant"), never, False)

@@ -69,7 +69,7 @@ def column_type_of(data_type: T.DataType) -> str:
         return DOUBLE
     if isinstance(data_type, (T.StringType, T.CharType, T.VarcharType)):
         return TEXT
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return TIMESTAMP
     return JSONB
 
@@ -107,7 +107,7 @@ def type_of_schema(schema: Column) -> Column:
         .when(schema == "BOOLEAN", BOOLEAN)
         .when(is_numeric_schema(schema), DOUBLE)
         .when(schema == "STRING", TEXT)
-        .when(schema.isin("TIMESTAMP", "TIMESTAMP_NTZ"), TIMESTAMP)
+        .when(schema.isin("TIMESTAMP", "TIMESTAMP_NTZ", "DATE"), TIMESTAMP)
         .otherwise(JSONB)
     )
 

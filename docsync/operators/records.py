@@ -6,7 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from docsync.functions.naming import ref
 from docsync.operators.mapping import CollectionMap
+from docsync.operators.project import field_path
+from docsync.sources.documents import DOC, is_document_frame
 from docsync.sources.feed import CORRUPT, REPLACE, UPDATE, fault
 
 # What a transfer statistic says was done, and below it the names
@@ -113,3 +116,19 @@ def unparsable_errors(texts: DataFrame, cmap: CollectionMap) -> DataFrame:
         F.concat_ws(": ", F.lit("document is not JSON"), F.col("document")).alias("message"),
         F.unix_timestamp().cast("int").alias("ts"),
     )
+
+
+def anonymous_errors(docs: DataFrame, cmap: CollectionMap) -> DataFrame:
+    """Documents without an id, whole, as error rows."""
+    source = cmap.key.source
+    if is_document_frame(docs):
+        value = F.try_variant_get(DOC, field_path(source), "variant")
+        nameless, text = docs.where(value.isNull() | F.is_variant_null(value)), F.to_json(DOC)
+    else:
+        nameless = docs.where(ref(source).isNull()) if source in docs.columns else docs
+        text = F.to_json(F.struct(*[ref(c) for c in docs.columns]))
+    return nameless.select(
+        F.lit(cmap.relation).alias("location"),
+        F.concat_ws(": ", F.lit("document has no id"), text).alias("message"),
+        F.unix_timestamp().cast("int").alias("ts"),
+    )

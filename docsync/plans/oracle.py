@@ -316,6 +316,16 @@ SELECT cast(o_orderkey AS varchar) AS id, cast(o_custkey AS varchar) AS customer
        CASE WHEN o_orderpriority = '1-URGENT' THEN -o_totalprice ELSE o_totalprice END AS total_price,
        CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderdate END AS ordered_at, o_orderpriority AS priority
 FROM orders""",
+    "load_without_ids": """
+SELECT 'orders' AS location, 'document has no id' AS message, 2 * count(*) FILTER (o_orderpriority = '1-URGENT') AS n_errors,
+       count(*) FILTER (o_orderpriority <> '1-URGENT') AS n_rows, count(*) FILTER (o_orderpriority <> '1-URGENT') AS n_ids,
+       count(*) FILTER (o_orderpriority <> '1-URGENT') AS n_loaded
+FROM orders""",
+    "inferred_date_map": """
+SELECT c AS collection_name, r AS relation_name, p AS "position", col AS "column", src AS source, t AS type
+FROM (VALUES ('Days', 'days', 0, 'id', '_id', 'TEXT'), ('Days', 'days', 1, 'order_day', 'orderDay', 'TIMESTAMP'),
+             ('TypedDays', 'typed_days', 0, 'o_orderkey', 'o_orderkey', 'DOUBLE PRECISION'), ('TypedDays', 'typed_days', 1, 'order_day', 'orderDay', 'TIMESTAMP')) v(c, r, p, col, src, t)
+WHERE EXISTS (SELECT 1 FROM orders)""",
     "load_errors": """
 SELECT 'events' AS location, 'document is not JSON: {"broken": ' || event_id AS message,
        (SELECT count(*) FROM events WHERE event_type <> 'error') AS rows_loaded
@@ -355,7 +365,9 @@ SELECT vec_id, label <> 0 AS label_boolean, false AS label_boolean_failed, cast(
        false AS label_double_failed, cast(NULL AS timestamp) AS label_timestamp, true AS label_timestamp_failed,
        len(embedding) > 0 AS embedding_boolean, false AS embedding_boolean_failed, cast(NULL AS double) AS embedding_double,
        true AS embedding_double_failed, cast(NULL AS timestamp) AS embedding_timestamp, true AS embedding_timestamp_failed,
-       cast(embedding[1] AS double) AS first_value
+       cast(embedding[1] AS double) AS first_value,
+       CASE WHEN label % 3 = 0 THEN '[{"x":null,"y":{"k":[null]}}]'
+            ELSE '[{"x":' || label || '.0,"y":{"k":[' || label || '.0]}}]' END AS nested_jsonb
 FROM embeddings""",
 }
 

@@ -705,6 +705,27 @@ def second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("orders")
 
 
+@query
+def load_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without an id become error rows, however often they are loaded."""
+    store = TableStore(spark, inputs.scratch(spark))
+    orders = inputs.order_documents(spark, sf_dir)
+    docs = orders.withColumn("_id", F.when(F.col("priority") != "1-URGENT", F.col("_id")))
+    done = [load_collection(store, docs, inputs.ORDER_MAP) for _ in range(2)][-1]
+    errors = store.service("errors").groupBy("location", F.substring_index("message", ":", 1).alias("message")).agg(F.count("*").alias("n_errors"))
+    held = store.read("orders").agg(F.count("*").alias("n_rows"), F.count("id").alias("n_ids")).first()
+    told = held.asDict() | {"n_loaded": done.rows}
+    return errors.select("*", *[F.lit(n).cast("long").alias(c) for c, n in told.items()])
+
+
+@query
+def inferred_date_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates are timestamps, as columns of a typed collection and in documents."""
+    typed = inputs.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("orderDay"))
+    docs = documents.from_table(typed, "o_orderkey", {"_id": F.col("o_orderkey").cast("string"), "orderDay": F.col("orderDay").cast("variant")})
+    return mapping.column_rows(mapping.infer_map({"Days": docs, "TypedDays": typed}, seqs={"TypedDays": "o_orderkey"}, read_typed=True))
+
+
 @query
 def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that are no JSON become error rows of the load."""
@@ -728,4 +749,8 @@ def typed_cast_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
             out += [k.value.alias(f"{c}_{t.split()[0]}"), k.failed.alias(f"{c}_{t.split()[0]}_failed")]
     doc = cast_typed(F.col("embedding"), schema["embedding"].dataType, ct.JSONB).value
     out.append(F.try_variant_get(doc, "$[0]", "double").alias("first_value"))
-    return e.select(*out)
+    # NaN is null, however deep in a typed value.
+    odd = F.when(F.col("label") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("label").cast("double"))
+    nested = e.select("*", F.array(F.struct(odd.alias("x"), F.create_map(F.lit("k"), F.array(odd)).alias("y"))).alias("nested"))
+    told = F.to_json(cast_typed(F.col("nested"), nested.schema["nested"].dataType, ct.JSONB).value)
+    return nested.select(*out, told.alias("nested_jsonb"))

@@ -5,15 +5,17 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from docsync.functions.naming import ref
 from docsync.operators import records
-from docsync.operators.evolve import ColumnChange, effective_map, evolve_stored
+from docsync.operators.evolve import ColumnChange, effective_map, evolve_stored, schema_changed
 from docsync.operators.fold import with_positions
 from docsync.operators.mapping import CollectionMap
 from docsync.operators.project import FAILED, cast_errors, project
@@ -36,6 +38,7 @@ class Loaded:
     failures: int
     evolution: tuple[ColumnChange, ...] = ()
     unparsable: int = 0
+    without_id: int = 0
 
 
 def load_collection(
@@ -46,6 +49,8 @@ def load_collection(
     position: int | None = None,
     action: str | None = None,
     order: str | None = None,
+    statistics: bool = False,
+    record: bool = True,
 ) -> Loaded:
     """Load one collection as the next version of its table.
 
@@ -55,55 +60,78 @@ def load_collection(
     did not fit are they looked at again for the error table.
 
     Ids of a collection are unique, so none are looked for twice; where they
-    are not, ``order`` names the column by which the last document wins.
+    are not, ``order`` names the column by which the last document wins.  Documents
+    without an id become error rows: no later load could match them.  ``statistics`` has
+    Spark analyse the table (where the catalog knows it) and records that; without
+    ``record`` the caller records what was done (:func:`record_load`).
     """
     spark, relation = store.spark, cmap.relation
     started = int(time.time())
     found = store.exists(relation)
     mode = mode or ("upsert" if found else "append")
     seen, whole = Observation(), docs
+    broken = F.count_if(F.col(DOC).isNull()).alias("broken")
     if is_document_frame(docs):
-        broken = F.count_if(F.col(DOC).isNull()).alias("broken")
         docs = docs.observe(seen, broken).where(F.col(DOC).isNotNull())
 
     report: list[ColumnChange] = []
     table, used = None, cmap
     if found:
-        table, report = evolve_stored(store.read_stored(relation), store.map_of(relation), cmap)
-        used = effective_map(cmap, report)
+        before, table = store.map_of(relation), store.read_stored(relation)
+        if schema_changed(store.schema(relation), cmap) or before != cmap:
+            table, report = evolve_stored(table, before, cmap)
+            used = effective_map(cmap, report)
 
-    counted = Observation()
+    counted, key = Observation(), ref(used.key.column)
     # The order goes by a name of its own: the map may have a column of its name.
     ordered = docs.withColumn(_ORDER, ref(order)) if order else docs
     flagged = project(ordered, used, keep=(_ORDER,) if order else (), with_failures=True)
+    anonymous = F.count_if(key.isNull()).alias("anonymous")
     if order:
-        flagged = one_per_key(flagged, used.key.column, _ORDER).drop(_ORDER)
-    rows = flagged.observe(counted, F.count(F.lit(1)).alias("rows"), F.sum(F.size(FAILED)).alias("failures")).drop(FAILED)
+        # Told apart before one of each id is taken.
+        named = one_per_key(flagged.where(key.isNotNull()), used.key.column, _ORDER).drop(_ORDER)
+        flagged = named.unionByName(flagged.where(key.isNull()).drop(_ORDER))
+    sums = [F.count_if(key.isNotNull()).alias("rows"), F.sum(F.when(key.isNotNull(), F.size(FAILED))).alias("failures"), anonymous]
+    rows = flagged.observe(counted, *sums).where(key.isNotNull()).drop(FAILED)
     if table is not None:
         if mode == "upsert":
-            table = delete_keys(table, flagged, used.key.column)
+            table = delete_keys(table, flagged.where(key.isNotNull()), used.key.column)
         # Rows without a position of their own are as new as the feed so far.
         rows = table.unionByName(with_positions(rows, used, store.position(relation) if position is None else position))
     store.publish(relation, rows, used, position)
 
-    n, failures = metrics(counted).get("rows", 0), metrics(counted).get("failures") or 0
+    found_in = metrics(counted, flagged, sums)
+    n, failures, without_id = found_in["rows"], found_in["failures"] or 0, found_in["anonymous"]
     if failures:
         store.append_service("errors", cast_errors(docs, used))
-    unparsable = metrics(seen).get("broken", 0) if whole is not docs else 0
+    if without_id:
+        store.append_service("errors", records.anonymous_errors(docs, used))
+    unparsable = metrics(seen, whole, [broken])["broken"] if whole is not docs else 0
     if unparsable:
         store.append_service("errors", records.unparsable_errors(unparsed(whole), used))
-    action = action or records.ACTION_UPSERT
-    store.append_service("transfer_stats", stats_row(spark, action, relation, n, started))
-    return Loaded(relation, action, n, failures, tuple(report), unparsable)
+    done = Loaded(relation, action or records.ACTION_UPSERT, n, failures, tuple(report), unparsable, without_id)
+    if statistics:
+        store.analyze(relation)
+    if record:
+        record_load(store, done, started, statistics)
+    return done
 
 
-def metrics(seen: Observation) -> dict:
-    """What was observed; nothing if Spark left the observed part of a plan out,
-    as it does with what it knows to be empty."""
+def record_load(store: TableStore, done: Loaded, started: int, statistics: bool = False) -> None:
+    """Transfer statistics of a load, and of its table's having been analysed."""
+    store.append_service("transfer_stats", stats_row(store.spark, done.action, done.relation, done.rows, started))
+    if statistics:
+        store.append_service("transfer_stats", stats_row(store.spark, records.ACTION_VACUUM, done.relation, done.rows, started))
+
+
+def metrics(seen: Observation, df: DataFrame, sums: list[Column]) -> dict:
+    """What was observed; where Spark left the observed part of a plan out, as it
+    does with what it knows to be empty, the sums are worked out."""
     try:
-        return seen.get
+        out = seen.get
     except (AssertionError, Py4JError, PySparkException):
-        return {}
+        out = {}
+    return out or df.agg(*sums).first().asDict()
 
 
 def transfer(
@@ -114,10 +142,15 @@ def transfer(
     drop: bool = False,
     truncate: bool = False,
     positions: dict[str, int] | None = None,
+    at_once: int = 1,
+    statistics: bool = False,
 ) -> list[Loaded]:
     """Load every requested collection that exists and has a map, in order.
 
-    The loop is over collections; each one is a Spark job over all its rows.
+    Each one is a Spark job over all its rows; up to ``at_once`` run beside each other,
+    each in a scheduler pool of its own, so that a small one does not wait for a large
+    one's tasks.  What was done is recorded in the order asked for.  If a collection
+    fails, the others are loaded all the same; then the failure is raised.
     """
     if not maps:
         raise ValueError("the map names no collections")
@@ -133,10 +166,28 @@ def transfer(
         store.truncate(relations)
     store.create_service_tables()
     action = records.ACTION_INSERT if drop or truncate else records.ACTION_UPSERT
-    return [
-        load_collection(store, collections[m.collection], m, position=(positions or {}).get(m.collection), action=action)
-        for m in chosen
-    ]
+    context = store.spark.sparkContext
+
+    def load(m: CollectionMap) -> tuple[Loaded, int]:
+        started = int(time.time())
+        if at_once > 1:
+            context.setLocalProperty("spark.scheduler.pool", m.relation)
+        position = (positions or {}).get(m.collection)
+        return load_collection(store, collections[m.collection], m, position=position, action=action, statistics=statistics, record=False), started
+
+    loaded, failed = [], []
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as threads:
+        for task in [threads.submit(inheritable_thread_target(store.spark)(load), m) for m in chosen]:
+            try:
+                done, started = task.result()
+            except Exception as error:  # raised below, when the others are done
+                failed.append(error)
+                continue
+            record_load(store, done, started, statistics)
+            loaded.append(done)
+    if failed:
+        raise failed[0]
+    return loaded
 
 
 def loaded_frame(spark: SparkSession, loaded: Iterable[Loaded]) -> DataFrame:

@@ -401,6 +401,15 @@ class TableStore:
             self.append_service("transfer_stats", stats_row(self.spark, records.ACTION_VACUUM, relation, rows, started))
         return done
 
+    def analyze(self, relation: str) -> bool:
+        """Have Spark gather statistics of the version, where the catalog knows it."""
+        commit = self.commit_of(relation)
+        if commit is None or commit.base is None or not commit.buckets:
+            return False
+        self._base(commit, _map_of(commit.map))
+        analyze_table(self.spark, _table_name(commit.base))
+        return True
+
     def clean(self, relation: str, keep: int = 2) -> list[str]:
         """Remove versions and folds that none of the last commits names.
 

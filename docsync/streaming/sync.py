@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from docsync.functions import types as ct
 from docsync.functions.cast import can_fail, variant_cast_sql, variant_failed_sql
 from docsync.operators import records
-from docsync.operators.evolve import backfill, effective_map, evolve_stored
+from docsync.operators.evolve import backfill, effective_map, evolve_stored, map_changes
 from docsync.operators.fold import AT
-from docsync.operators.mapping import CollectionMap
+from docsync.operators.mapping import CollectionMap, map_frame
 from docsync.operators.registers import UPDATES, entries, registers
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
@@ -127,8 +127,13 @@ def refresh_maps(store: TableStore, old: Maps, new: Maps, collections: Collectio
     """
     out: Maps = {}
     collections = collections or {}
+    frames = [map_frame(store.spark, maps.values()) for maps in (old, new)]
+    changed = {r["collection_name"] for r in map_changes(*frames).select("collection_name").distinct().collect()}
     for name, cmap in new.items():
-        if old.get(name) == cmap and store.exists(cmap.relation):
+        same = name in old and name not in changed and old[name].extra_props == cmap.extra_props
+        # The order of columns and the table's name are no changes of fields.
+        same = same and [c.column for c in old[name].columns] == [c.column for c in cmap.columns] and old[name].relation == cmap.relation
+        if same and store.exists(cmap.relation):
             out[name] = store.map_of(cmap.relation)
         elif not store.exists(cmap.relation):
             if name in collections:

@@ -124,3 +124,13 @@ def test_names(spark):
         namespace_database(F.lit("db.a.b")), namespace_collection(F.lit("db.a.b")), start_epoch(F.lit("31-12-24T08:30:00"))
     ).first()
     assert tuple(row) == ("db", "a.b", int(dt.datetime(2024, 12, 31, 8, 30, tzinfo=dt.timezone.utc).timestamp()))
+
+
+def test_nan_is_null_however_deep_in_typed_values(spark):
+    df = spark.sql(
+        "SELECT array(struct(double('NaN') AS x, map('k', array(float('NaN'), 1.5F)) AS m, 'NaN' AS t), null) AS a, "
+        "map('d', double('NaN')) AS m, named_struct('i', 1, 's', named_struct('f', double('nan'))) AS s, CAST(NULL AS STRUCT<x: DOUBLE>) AS n"
+    )
+    got = df.select(*[F.to_json(cast_typed(F.col(f.name), f.dataType, ct.JSONB).value).alias(f.name) for f in df.schema.fields]).first()
+    assert got["a"] == '[{"m":{"k":[null,1.5]},"t":"NaN","x":null},null]'
+    assert got["m"] == '{"d":null}' and got["s"] == '{"i":1,"s":{"f":null}}' and got["n"] is None

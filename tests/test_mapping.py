@@ -165,3 +165,12 @@ def test_no_task_holds_more_names_than_said(spark):
     docs = docs_frame(spark, [{"_id": str(i), f"user{i}": 1} for i in range(500)])
     votes = m.field_votes(docs, m.frequent_fields(docs, 0.5, 64))
     assert votes.select("field").distinct().count() == 1
+
+
+def test_dates_vote_timestamp(spark):
+    df = spark.sql("SELECT 1 AS k, DATE'2024-02-03' AS day")
+    for how in ({}, {"read_typed": True}):
+        assert columns(m.infer_map({"T": df}, seqs={"T": "k"}, **how))[1] == ("day", "day", "TIMESTAMP")
+    docs = documents.from_table(df, "k", {"day": F.col("day").cast("variant")})
+    assert columns(m.infer_map({"T": docs})) == [("day", "day", "TIMESTAMP")]
+    assert str(project(df, m.make_map("T", "t", [("day", "day", "TIMESTAMP")])).first()[0]) == "2024-02-03 00:00:00"

@@ -251,3 +251,63 @@ def test_variants_as_text_for_databases(spark):
 
     df = spark.sql("SELECT '1' AS id, parse_json('[1]') AS v")
     assert plain_columns(df).first().asDict() == {"id": "1", "v": "[1]"}
+
+
+@pytest.mark.parametrize("order", [None, "_seq"])
+def test_documents_without_an_id_become_error_rows(spark, folder, order):
+    store = TableStore(spark, folder)
+    docs = docs_frame(spark, [{"_id": "1", "a": "x"}, {"a": "none", "b": "bad"}, {"_id": None, "a": "null"}])
+    for n in (1, 2):
+        done = load_collection(store, docs, THING, order=order)
+        assert (done.rows, done.failures, done.without_id) == (1, 0, 2)
+        assert rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}} and store.read("thing").count() == 1
+        assert sorted(r["message"] for r in store.service("errors").collect()) == sorted(
+            n * ['document has no id: {"a":"none","b":"bad"}', 'document has no id: {"_id":null,"a":"null"}']
+        )
+
+
+def test_typed_documents_without_an_id(spark, folder):
+    store = TableStore(spark, folder)
+    typed = spark.createDataFrame([("1", "x"), (None, "y")], "_id string, a string")
+    assert load_collection(store, typed, THING).without_id == 1 and load_collection(store, typed.drop("_id"), THING).without_id == 2
+    assert rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}} and store.service("errors").count() == 3
+
+
+def test_what_was_not_observed_is_counted(spark, folder, monkeypatch):
+    from docsync.plans import snapshot
+
+    class Blind(snapshot.Observation):
+        @property
+        def get(self):
+            raise AssertionError("nothing observed")
+
+    monkeypatch.setattr(snapshot, "Observation", Blind)
+    store = TableStore(spark, folder)
+    texts = spark.createDataFrame([('{"_id": "1", "b": "bad"}', 0), ("no JSON", 1)], "body string, seq long")
+    done = load_collection(store, documents.from_json(texts, "body", "seq"), THING)
+    assert (done.rows, done.failures, done.unparsable) == (1, 1, 1) and store.service("errors").count() == 2
+
+
+def test_collections_loaded_beside_each_other(spark, folder):
+    maps = {f"C{i}": make_map(f"C{i}", f"c{i}", [("id", "_id", "TEXT"), ("a", "a", "TEXT")]) for i in range(5)}
+    docs = {c: docs_frame(spark, [{"_id": str(n), "a": c} for n in range(i + 1)]) for i, c in enumerate(maps)}
+    store = TableStore(spark, folder)
+    done = transfer(store, docs, maps, at_once=3)
+    assert [(d.relation, d.rows) for d in done] == [(f"c{i}", i + 1) for i in range(5)]
+    assert sorted((r["relation"], r["number_of_rows"]) for r in store.service("transfer_stats").collect()) == [(f"c{i}", i + 1) for i in range(5)]
+    # One that fails leaves the others whole.
+    broken = docs | {"C2": docs["C2"].withColumn("doc", F.raise_error(F.lit("cannot be read")).cast("variant"))}
+    other = TableStore(spark, f"{folder}/other")
+    with pytest.raises(Exception, match="cannot be read"):
+        transfer(other, broken, maps, at_once=3)
+    assert {r: other.read(r).count() for r in other.relations()} == {"c0": 1, "c1": 2, "c3": 4, "c4": 5}
+
+
+def test_statistics_after_a_load(spark, folder):
+    store = TableStore(spark, folder, buckets=2)
+    load_collection(store, docs_frame(spark, DOCS), THING, statistics=True)
+    name = tables._table_name(store.commit_of("thing").base)
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert "6 rows" in told["Statistics"]
+    assert [r["action"] for r in store.service("transfer_stats").orderBy("action").collect()] == ["FULL VACUUM", "UPSERT"]
+    assert not TableStore(spark, f"{folder}/plain").analyze("thing")
