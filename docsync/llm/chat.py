@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docsync.llm.common import let, part_of, pieces_of, running
+
 OPEN, CLOSE, NEXT = "<turn ", "</turn>\n", "<next/>"
 LEARNED_ROLE = "assistant"
 
@@ -75,19 +77,16 @@ def format_conversations(
         return F.struct(mark.alias("mark"), escaped(t["text"]).alias("text"), (t["role"] == LEARNED_ROLE).alias("learned"))
 
     pieces = paired.select("conv_id", F.transform("turns", piece).alias("pieces"))
-    joined = F.array_join(F.transform("pieces", lambda p: F.concat(p["mark"], p["text"])), "")
-    spans = F.aggregate(
-        F.transform("pieces", lambda p: F.struct(F.length(p["mark"]).alias("mark"), F.length(p["text"]).alias("text"), p["learned"].alias("learned"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["mark"] + p["text"]).alias("at"),
-            F.when(p["learned"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["mark"]).alias("start"), p["text"].alias("length")))))
-            .otherwise(acc["spans"])
-            .alias("spans"),
+    sizes = F.transform("pieces", lambda p: (F.length(p["mark"]) + F.length(p["text"])).cast("long"))
+    spans = F.filter(
+        F.zip_with(
+            "pieces", running(sizes), lambda p, end: F.struct((end - F.length(p["text"])).cast("int").alias("start"), F.length(p["text"]).alias("length"), p["learned"].alias("learned"))
         ),
-        lambda acc: acc["spans"],
+        lambda s: s["learned"],
     )
-    return pieces.select("conv_id", F.concat(joined, F.lit(CLOSE)).alias("formatted"), spans.alias("loss_mask"))
+    mask = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
+    joined = F.array_join(F.transform("pieces", lambda p: F.concat(p["mark"], p["text"])), "")
+    return pieces.select("conv_id", F.concat(joined, F.lit(CLOSE)).alias("formatted"), mask.alias("loss_mask"))
 
 
 def parse_formatted(formatted: Column) -> Column:
@@ -106,11 +105,9 @@ def parse_formatted(formatted: Column) -> Column:
     return F.transform(blocks, block)
 
 
-def learned_text(formatted: Column, mask: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(mask, lambda s: unescaped(F.substr(formatted, s["start"] + 1, s["length"]))), ""
-    )
+def learned_text(pieces: Column, mask: Column) -> Column:
+    """All text under the loss mask, unescaped, nothing between; of a text cut into pieces."""
+    return let(pieces, lambda p: F.array_join(F.transform(mask, lambda s: unescaped(part_of(p, s["start"], s["length"]))), ""))
 
 
 def digest(formatted: DataFrame) -> DataFrame:
@@ -119,14 +116,14 @@ def digest(formatted: DataFrame) -> DataFrame:
     said = F.array_join(
         F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda t: F.concat(b["role"], F.lit("\n"), t, F.lit("\n"))))), ""
     )
-    loss = learned_text(F.col("formatted"), F.col("loss_mask"))
+    read = read.withColumn("loss", learned_text(pieces_of(F.col("formatted")), F.col("loss_mask")))
     turns = F.aggregate("blocks", F.lit(0), lambda acc, b: acc + F.size(b["texts"]))
     return read.select(
         "conv_id",
         turns.cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
         F.size("blocks").cast("long").alias("n_blocks"),
     )

@@ -48,7 +48,7 @@ WITH {_CRC}, bytes AS (
              lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32
   FROM bytes, crc_table
 ), placed AS (
-  SELECT *, {shard_sql(tree)} AS shard, {shard_sql(grown)} AS grown_shard, left(md5('slot:' || k), 2) AS part FROM rows
+  SELECT *, {shard_sql(tree)} AS shard, {shard_sql(grown)} AS grown_shard, left(md5('slot:' || k || ':' || size || ':' || text_crc32), 2) AS part FROM rows
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
        row_number() OVER (PARTITION BY shard ORDER BY part, doc_id, text_crc32, size) - 1 AS slot, grown_shard::INTEGER AS grown_shard

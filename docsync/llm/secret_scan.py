@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docsync.llm.common import shared_folder, written
+from docsync.llm.common import running, shared_folder, written
 
 LEDGER_SCHEMA = "blob string, rules string, spans array<struct<kind:string,start:long,end:long>>"
 
@@ -54,52 +54,42 @@ def rules_version(rules: tuple[Rule, ...]) -> str:
     return hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
 
 
-def _spans(text: Column, lowered: Column, rule: Rule) -> Column:
-    """The rule's findings in a text, in order of position."""
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    lengths = F.zip_with(
-        F.zip_with(F.split(text, rule.pattern, -1), found, lambda a, b: F.struct(F.length(a).alias("before"), F.length(b).alias("n"))),
-        F.transform(kept, lambda m: F.length(m)),
-        lambda a, k: F.struct(a["before"].alias("before"), a["n"].alias("n"), k.alias("k")),
-    )
-    empty = F.array().cast("array<struct<kind:string,start:long,end:long>>")
-    walked = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["before"] + F.coalesce(x["n"], F.lit(0))).cast("long").alias("at"),
-            F.when(
-                x["k"] >= rule.keep,
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            F.lit(rule.kind).alias("kind"),
-                            (acc["at"] + x["before"]).cast("long").alias("start"),
-                            (acc["at"] + x["before"] + x["n"]).cast("long").alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+SPANS = "array<struct<kind:string,start:long,end:long>>"
+
+
+def _with_spans(texts: DataFrame, rule: Rule) -> DataFrame:
+    """``texts (text, lowered, ...)`` with the rule's findings, in order of position, in a
+    column of its kind's name.  Where there are none the rule is not run at all."""
     maybe = F.lit(True)
     if rule.hints:
         maybe = F.lit(False)
         for hint in rule.hints:
-            maybe = maybe | F.contains(lowered, F.lit(hint))
-    return F.when(maybe & text.rlike(rule.pattern), walked).otherwise(empty)
+            maybe = maybe | F.contains("lowered", F.lit(hint))
+    found, text = f"_{rule.kind}", F.col("text")
+    pieces = F.zip_with(
+        F.zip_with(
+            F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)),
+            lambda a, b: F.struct(F.length(a).alias("before"), F.length(b).alias("n")),
+        ),
+        F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), lambda m: F.length(m)),
+        lambda a, k: F.struct((a["before"] + F.coalesce(a["n"], F.lit(0))).cast("long").alias("size"), a["n"].alias("n"), k.alias("k")),
+    )
+    none = F.array().cast("array<struct<size:bigint,n:int,k:int>>")
+    told = texts.withColumn(found, F.when(maybe & text.rlike(rule.pattern), pieces).otherwise(none))
+    ends = running(F.transform(found, lambda p: p["size"]))
+    spans = F.transform(
+        F.filter(F.zip_with(found, ends, lambda p, end: F.struct(p["n"].alias("n"), p["k"].alias("k"), end.alias("end"))), lambda x: x["k"] >= rule.keep),
+        lambda x: F.struct(F.lit(rule.kind).alias("kind"), (x["end"] - x["n"]).alias("start"), x["end"].alias("end")),
+    )
+    return told.withColumn(rule.kind, spans.cast(SPANS)).drop(found)
 
 
 def find_spans(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, rules, spans) of each row (blob, text)."""
-    lowered = texts.withColumn("lowered", F.lower("text"))
-    each = [_spans(F.col("text"), F.col("lowered"), r) for r in rules]
-    return lowered.select("blob", F.lit(rules_version(rules)).alias("rules"), F.concat(*each).alias("spans"))
+    told = texts.withColumn("lowered", F.lower("text"))
+    for rule in rules:
+        told = _with_spans(told, rule)
+    return told.select("blob", F.lit(rules_version(rules)).alias("rules"), F.concat(*[F.col(r.kind) for r in rules]).alias("spans"))
 
 
 class Ledger:
@@ -140,9 +130,12 @@ def scan(
     version = rules_version(rules)
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.sha2(text, 256).alias("blob"), text.alias("text"))
-    distinct = rows.groupBy("blob").agg(F.first("text").alias("text"))
-    unseen = distinct.join(ledger.read(version).select("blob"), "blob", "left_anti") if ledger.started else distinct
-    ledger.append(find_spans(unseen, rules))
+    new = rows
+    if ledger.started:
+        # Ids first: of what the ledger knows no text is shuffled.
+        ids = rows.select("blob").distinct().join(ledger.read(version).select("blob"), "blob", "left_anti")
+        new = rows.join(written(ids, "unseen"), "blob", "left_semi")
+    ledger.append(find_spans(new.groupBy("blob").agg(F.first("text").alias("text")), rules))
     # Only blobs with findings need the join; every other path has none.
     # Written, so that Spark may split the paths of a blob that very many share.
     findings = written(ledger.read(version).where(F.size("spans") > 0).dropDuplicates(["blob"]).select("blob", "spans"), "findings")

@@ -21,11 +21,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docsync.llm.common import id_text, uniform
+from docsync.llm.common import id_text, uniform, written
 
 LAW = "key"
 #: First hex digits of the hash that split a shard for numbering: 256 parts.
 PART_DIGITS = 2
+#: Copies of a row made in one task.
+FEW_COPIES = 1000
 
 
 @dataclass(frozen=True)
@@ -119,8 +121,8 @@ def shard(
 
     Slots run from 0 without gaps.  A shard is numbered in 256 parts by hash, so
     no task holds a whole shard; equal rows (same id, size, checksum) are counted
-    before the shuffle and take neighbouring slots, so a row repeated a
-    billion times is one row until the end.
+    before the shuffle and take neighbouring slots.  A row repeated more than FEW_COPIES
+    times is one row until its copies are made, in ranges dealt to tasks.
 
     A null id is placed as the text ``null``; a null text has no bytes (size 16,
     checksum 0).  Rows that agree in all are interchangeable.  No rows give no rows.
@@ -140,7 +142,7 @@ def shard(
         "*",
         shard_of(key, tree).alias("shard"),
         (shard_of(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
-        F.substring(F.md5(F.concat(F.lit("slot:"), key)), 1, PART_DIGITS).alias("part"),
+        F.substring(F.md5(F.concat_ws(":", F.lit("slot"), key, F.col("size").cast("string"), F.col("text_crc32").cast("string"))), 1, PART_DIGITS).alias("part"),
     )
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
@@ -154,16 +156,24 @@ def shard(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     first = placed.withColumn("done", F.coalesce(F.sum("copies").over(within), F.lit(0)))
-    return (
-        first.join(parts, ["shard", "part"])
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit(LAW).alias("law"),
-            "shard",
-            (F.col("start") + F.col("done") + F.col("copy")).cast("long").alias("slot"),
-            "grown_shard",
-        )
+    numbered = written(
+        first.join(parts, ["shard", "part"]).select(
+            "doc_id", "size", "text_crc32", "shard", "grown_shard", "copies", (F.col("start") + F.col("done")).alias("slot")
+        ),
+        "slots",
+    )
+    few = numbered.where(F.col("copies") <= FEW_COPIES).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    return few.unionByName(_copied(numbered.where(F.col("copies") > FEW_COPIES))).select(
+        "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("slot") + F.col("copy")).cast("long").alias("slot"), "grown_shard"
     )
+
+
+def _copied(rows: DataFrame) -> DataFrame:
+    """Rows of many copies, each copy a row (``copy`` from 0): ranges of about the root of
+    their number are made first and dealt to tasks, so no array holds them all."""
+    length = F.ceil(F.sqrt("copies"))
+    ranges = rows.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, length)))
+    last = F.least(F.col("first") + length, F.col("copies")) - 1
+    # A number of partitions that is told stays: Spark would join up what looks small before copies are made.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(parts, "doc_id", "text_crc32", "first").select("*", F.explode(F.sequence("first", last)).alias("copy")).drop("first")

@@ -20,12 +20,13 @@ joins; nothing but counts reaches the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.types import LongType
 
 from docsync.llm.common import ship, written
@@ -189,13 +190,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the least id, of equal ids one."""
+    """``docs`` with one row of each component: the least id; of rows of that id and
+    text the least by all columns in turn, nulls first, so files' order decides nothing."""
     found = near_duplicates(docs, id_column, text_column)
     # min() over a struct takes nulls for the least, so ids are told apart from none.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     kept = written(found.groupBy("root").agg(first.alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash")), "kept")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("kept_id"), F.xxhash64(F.col(text_column)).alias("kept_hash"))
-    once = rows.groupBy("kept_id", "kept_hash").agg(F.first("row").alias("row"))
+
+    def in_order(f: T.StructField) -> Column:
+        value = F.col("row").getField(f.name)
+        # Maps and variants have no order; their text has.
+        return F.to_json(F.struct(value)) if re.search("map<|variant", f.dataType.simpleString()) else value
+
+    rows = rows.withColumn("order", F.struct(*[in_order(f).alias(f"c{i}") for i, f in enumerate(docs.schema.fields)]))
+    once = rows.groupBy("kept_id", "kept_hash").agg(F.min_by("row", "order").alias("row"))
     same = once["kept_id"].eqNullSafe(kept["kept_id"]) & (once["kept_hash"] == kept["kept_hash"])
     return once.join(kept, same, "left_semi").select("row.*")
 

@@ -62,3 +62,41 @@ def test_long_and_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = chat.digest(chat.format_conversations(spark.range(1).selectExpr("id conv_id", "id turn", "'user' role", "'t' text")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_conversation_of_200000_turns(spark):
+    from pyspark.sql import functions as F
+
+    role = F.when(F.col("id") % 3 == 0, "assistant").otherwise("user")
+    rows = spark.range(200_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("t<é\\ "), F.col("id").cast("string")).alias("text"))
+    (got,) = chat.digest(chat.format_conversations(rows)).collect()
+    said = [("assistant" if i % 3 == 0 else "user", f"t<é\\ {i}") for i in range(200_000)]
+    assert got.n_turns == 200_000
+    assert got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+    loss = "".join(t for r, t in said if r == "assistant")
+    assert (got.loss_chars, got.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_parts_of_a_cut_text(spark, monkeypatch):
+    from docsync.llm import common
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(common, "LARGE", 12)
+    monkeypatch.setattr(common, "SMALL", 4)
+    text = "aé\U0001f600bcdefghijklmnopqrstuvwxyz0123"
+    spans = [(a, n) for a in range(len(text)) for n in range(len(text) - a + 1)]
+    df = spark.createDataFrame([(text, *s) for s in spans], "t string, a int, n int").withColumn("pieces", common.pieces_of(F.col("t")))
+    got = {(r.a, r.n): r.p for r in df.select("a", "n", common.part_of(F.col("pieces"), F.col("a"), F.col("n")).alias("p")).collect()}
+    assert got == {(a, n): text[a : a + n] for a, n in spans}
+    assert spark.createDataFrame([("",)], "t string").select(common.pieces_of(F.col("t"))).first()[0] == [""]
+
+
+def test_running_sums_and_maxima(spark):
+    from docsync.llm import common
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    rows = [([rng.randint(0, 50) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 9, 10, 17, 100, 1000)]
+    df = spark.createDataFrame(rows, "v array<bigint>")
+    for r in df.select("v", common.running(F.col("v")).alias("s"), common.running(F.col("v"), most=True).alias("m")).collect():
+        assert r.s == list(itertools.accumulate(r.v)) and r.m == list(itertools.accumulate(r.v, max))

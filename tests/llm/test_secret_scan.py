@@ -69,3 +69,19 @@ def test_entries_added_twice_count_once(spark):
 
 def test_empty(spark):
     assert secret_scan.scan(docs(spark, ODD).limit(0), Ledger(spark)).count() == 0
+
+
+def test_300000_findings_in_one_text(spark):
+    text = "".join(f"{'0123456789abcdef'[i % 10:] + 'a' * 16} " for i in range(300_000))
+    found = secret_scan.digest(secret_scan.scan(docs(spark, [(1, text)]), Ledger(spark))).first()
+    spans = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{16,}", text)]
+    assert found.n_hex == len(spans) == 300_000
+    assert found.base_sha256 == hashlib.sha256(",".join(f"hex:{a}:{b}" for a, b in spans).encode()).hexdigest()
+
+
+def test_no_text_is_shuffled_that_the_ledger_knows(spark, monkeypatch):
+    ledger, rows = Ledger(spark), [(i, f"password = {'x' * 20}{i}") for i in range(50)]
+    first = secret_scan.scan(docs(spark, rows), ledger).collect()
+    looked = []
+    monkeypatch.setattr(secret_scan, "find_spans", lambda texts, rules: looked.append(texts.count()) or spark.createDataFrame([], secret_scan.LEDGER_SCHEMA))
+    assert sorted(map(str, secret_scan.scan(docs(spark, rows), ledger).collect())) == sorted(map(str, first)) and looked == [0]

@@ -53,3 +53,33 @@ def test_weights(spark):
 def test_a_row_repeated_very_often_keeps_slots_gapless(spark):
     rows = sharding.shard(docs(spark, [(1, "same")] * 500 + [(i, "x") for i in range(50)]), sharding.balanced_tree(2)).collect()
     assert len(rows) == 550 and numbered(rows)
+
+
+def test_a_row_repeated_very_often_is_dealt_in_ranges(spark):
+    """No task unrolls all copies, and no array holds them."""
+    from pyspark.sql import functions as F
+
+    n = 10_000_000
+    base = spark.range(n).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    placed = sharding.shard(base, sharding.balanced_tree(3)).withColumn("part", F.spark_partition_id())
+    told = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("slot").alias("least"), F.max("slot").alias("most"), F.sum("slot").alias("sum")).collect()
+    assert sum(r.n for r in told) == n and min(r.least for r in told) == 0 and max(r.most for r in told) == n - 1
+    assert sum(r.sum for r in told) == n * (n - 1) // 2
+    assert max(r.n for r in told) < n / 2
+
+
+def test_copies_on_both_sides_of_few(spark, monkeypatch):
+    rows = [(1, "a")] * 9 + [(1, "b")] * 4 + [(2, "")] * 30 + [(None, None)] * 17 + [(i, "x") for i in range(3, 60)]
+    wanted = None
+    for few in (1, 10, 1000):
+        monkeypatch.setattr(sharding, "FEW_COPIES", few)
+        got = sharding.shard(docs(spark, rows), sharding.balanced_tree(4)).collect()
+        assert numbered(got) and len(got) == len(rows)
+        assert wanted in (None, sorted(map(str, got)))
+        wanted = sorted(map(str, got))
+
+
+def test_a_very_long_text(spark):
+    text = "long text " * 3_000_000
+    (row,) = sharding.shard(docs(spark, [(1, text)]), sharding.balanced_tree(2)).collect()
+    assert (row["size"], row.text_crc32, row.slot) == (len(text) + 16, zlib.crc32(text.encode()), 0)

@@ -132,3 +132,12 @@ def test_one_of_each(spark):
         ids = [i for i, t in rows if find(slow(t)) == find(slow(r.text)) and i is not None]
         assert r.doc_id == min(ids, default=None)
     assert simhash.one_of_each(docs(spark, ODD).limit(0)).count() == 0
+
+
+def test_the_order_of_rows_does_not_choose(spark):
+    rows = [(1, "a b c d", "en", s) for s in ("s2", "s1", "s3")] + [(1, "a b c d", None, "s4")] + [(2, "a b c d", "en", "s0")]
+    for some in (rows, rows[::-1]):
+        (kept,) = simhash.one_of_each(docs(spark, some).coalesce(1)).collect()
+        assert (kept.doc_id, kept.lang, kept.source) == (1, None, "s4")
+    extra = docs(spark, rows).withColumn("m", F.create_map(F.lit("k"), "source")).withColumn("v", F.parse_json(F.lit("{}")))
+    assert simhash.one_of_each(extra).count() == 1
