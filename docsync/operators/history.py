@@ -99,6 +99,15 @@ def as_of(rows: DataFrame, versions: DataFrame) -> DataFrame:
     return rows.join(stretches, valid, "left").drop("_of", "_from", "_until")
 
 
+def version_at(seq: Column, history: MapHistory) -> Column:
+    """The same of one collection, whose few versions are part of the expression: no join."""
+    version = F.lit(0)
+    for n, (since, _) in enumerate(history.versions):
+        if since is not None:
+            version = F.when(seq >= since, n).otherwise(version)
+    return version
+
+
 def _cast(history: MapHistory):
     """How a column's value is made of the raw one: by the version of its position."""
 
@@ -111,10 +120,7 @@ def _cast(history: MapHistory):
         types = history.types_of(column.source)
         if len({ct.canonical(t) for _, t in types}) == 1:
             return None
-        version = F.lit(types[0][0])
-        for n, (since, _) in enumerate(history.versions):
-            if n > types[0][0]:
-                version = F.when(F.col(seq) >= since, n).otherwise(version)
+        version = version_at(F.col(seq), history)
         out = F.lit(None).cast(column.spark_type)
         for i, (n, t) in enumerate(types):
             then = MappedColumn(column.column, column.source, t)
@@ -165,8 +171,7 @@ def table_across(base: DataFrame | None, rows: DataFrame, history: MapHistory) -
 
 def errors_across(changes: DataFrame, history: MapHistory) -> DataFrame:
     """One error row per value that did not fit under the map valid at its position."""
-    spark = changes.sparkSession
-    told = as_of(changes, version_rows(spark, [history]))
+    told = changes.where(F.col("coll_name") == history.collection).withColumn(VERSION, version_at(F.col("seq"), history))
     out = [change_errors(told.where(F.col(VERSION) == n), m) for n, m in enumerate(history.held())]
     return reduce(DataFrame.unionByName, out)
 
