@@ -1,21 +1,18 @@
 """SimHash near-duplicates over a Gray-order hierarchical index.
 
-Fingerprints are sorted by Gray rank: neighbours in that order share long
-masked patterns, and the first p bits of a rank stand for one pattern of p bits,
-an upper node of the index.  The index is descended level by level, all
-fingerprints at once.  A fingerprint goes below every node whose pattern it
-matches but for at most one bit; the differences it has used up on the way go
-down with it, so a node is reached with at most one, and two fingerprints
-that differ in at most two bits meet below the pattern between them.
-
-At each level nodes are counted.  A node with a single member is pruned, whole; one of at
-most ``LEAF`` members is a leaf, whose members are compared in rank order; only
-larger ones are descended further.  At 64 bits no node has more than 65.
-So work is at most 65 rows a distinct fingerprint, whatever groups there are:
-copies are one fingerprint, and near copies are told apart further down.
-
-Leaves emit a spanning forest of their links, and links become components by
-joins; nothing but counts reaches the driver.
+Distinct fingerprints are sorted by Gray rank, in which neighbours differ in few
+bits, and cut into ranges of about equal size.  The index is a tree over that order: a node
+holds the bits that everything below it shares, as (mask, bits), less those its parent
+holds already.  A search adds up, on its way down, how many of these bits
+differ, and leaves a whole group as soon as they are more than the radius; at a
+fingerprint all bits have been told, so the sum is the distance.
+
+The upper part, over ranges, is made of the ranges' shared bits alone, at most ``MAX_RANGES``
+patterns, and is sent to all tasks; it says to which later ranges a fingerprint
+goes.  The lower part is built where a range lies, and searched by the range's own fingerprints
+and by those sent to it, in batches.  Two near fingerprints meet once: in the range of
+the later.  No pairs are kept: a range's links are a forest, and one from outside is
+linked once to each tree of it.  Links become components by joins.
 """
 
 from __future__ import annotations
@@ -35,10 +32,14 @@ from docsync.llm.components import components
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-#: Members up to which a node's fingerprints are compared one by one.
-LEAF = 128
-#: Bits by which a node that is too large is descended.
-STEP = 8
+#: Fingerprints below a lowest node, and nodes below another.
+LEAF, FAN = 8, 8
+#: Fingerprints of a range, unless there would be more than ``MAX_RANGES`` of them.
+RANGE, MAX_RANGES = 1 << 15, 1 << 16
+#: Searches of one range that one task makes; members go along with each such part.
+SEARCHES = 1 << 21
+#: Nodes that a search looks at in one step.
+_WIDTH = 1 << 20
 _CHUNK = 1 << 16
 
 
@@ -77,93 +78,155 @@ def gray_rank(pattern: Column) -> Column:
     return rank
 
 
-def _below(rows: DataFrame, upper: int, depth: int) -> DataFrame:
-    """From the nodes of ``upper`` bits to those of ``depth``: (pattern, used, fp).
+class GrayIndex:
+    """A tree over entries in Gray order, each given by the AND and the OR of its members.
 
-    A row that has used its difference matches the new bits exactly; another
-    also goes where one of them differs.
+    ``levels`` lists, from the entries up to the root, how many nodes of a level share a parent,
+    and their own bits as (mask, bits).
     """
-    flips = F.array(*[F.lit((1 << (63 - b)) - (1 << 64) if b == 0 else 1 << (63 - b)) for b in range(upper, depth)])
-    ways = F.when(F.col("used"), F.array(F.lit(0).cast("long"))).otherwise(F.concat(F.array(F.lit(0).cast("long")), flips))
-    return rows.select("pattern", "used", "fp", F.explode(ways).alias("flip")).select(
-        F.col("pattern").bitwiseXOR(F.col("flip")).alias("pattern"), (F.col("used") | (F.col("flip") != 0)).alias("used"), "fp"
-    )
-
 
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links within nodes, rows coming sorted by node and rank; nodes are small."""
-    held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def linked(node: np.ndarray, fp: np.ndarray) -> pd.DataFrame:
-        label = np.arange(len(fp))
-        bits = fp.view(np.uint64)
-        at = np.arange(len(fp))
-        lefts, rights = [], []
-        for shift in range(1, len(fp)):
-            at = at[at + shift < len(fp)]
-            at = at[node[at] == node[at + shift]]
-            if not len(at):
-                break
-            near = at[np.bitwise_count(bits[at] ^ bits[at + shift]) <= RADIUS]
-            lefts.append(near)
-            rights.append(near + shift)
-        left, right = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
-        while len(left):
-            least = np.minimum(label[left], label[right])
-            before = label.copy()
-            np.minimum.at(label, left, least)
-            np.minimum.at(label, right, least)
-            label = label[label]
-            if (label == before).all():
-                break
-        member = np.flatnonzero(label != np.arange(len(fp)))
-        return pd.DataFrame({"a": fp[label[member]], "b": fp[member]})
-
-    for batch in batches:
-        node = np.concatenate([held[0], batch["node"].to_numpy()])
-        fp = np.concatenate([held[1], batch["fp"].to_numpy()])
-        whole = int(np.searchsorted(node == node[-1], True)) if len(node) else 0  # the last node may go on
-        if whole:
-            yield linked(node[:whole], fp[:whole])
-        held = (node[whole:], fp[whole:])
-    if len(held[0]):
-        yield linked(*held)
-
-
-def links(fps: DataFrame) -> DataFrame:
+    def __init__(self, every: np.ndarray, some: np.ndarray, leaf: int = LEAF, fan: int = FAN):
+        self.levels = []
+        width = leaf
+        while True:
+            shared = ~(every ^ some)
+            if len(every) <= 1:
+                self.levels.append((1, shared, every))
+                return
+            starts = np.arange(0, len(every), width)
+            upper = np.bitwise_and.reduceat(every, starts), np.bitwise_or.reduceat(some, starts)
+            told = np.repeat(~(upper[0] ^ upper[1]), width)[: len(every)]
+            self.levels.append((width, shared & ~told, every))
+            (every, some), width = upper, fan
+
+    def search(self, fps: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(positions in ``fps``, entries within the radius), in batches of bounded size."""
+        if not len(fps) or not len(self.levels[0][1]):
+            return
+        top = len(self.levels)
+        none = np.zeros(len(fps), np.int64)
+        # The root is the only child of a node above it which shares nothing.
+        waiting = [(top, np.arange(len(fps)), none, none.astype(np.uint8))]
+        while waiting:
+            level, who, node, used = waiting.pop()
+            if not level:
+                yield who, node
+                continue
+            width, mask, bits = self.levels[level - 1]
+            step = max(1, _WIDTH // width)
+            if len(who) > step:
+                waiting += [(level, who[i : i + step], node[i : i + step], used[i : i + step]) for i in range(0, len(who), step)]
+                continue
+            child = (node[:, None] * width + np.arange(width)).ravel()
+            who, used = np.repeat(who, width), np.repeat(used, width)
+            there = child < len(mask)
+            child, who, used = child[there], who[there], used[there]
+            used = used + np.bitwise_count((fps[who] ^ bits[child]) & mask[child])
+            near = used <= radius
+            if near.any():
+                waiting.append((level - 1, who[near], child[near], used[near]))
+
+
+def _join(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Put the trees of ``left`` and ``right`` under one root, the least; ``label`` names roots."""
+    while True:
+        a, b = label[left], label[right]
+        apart = a != b
+        if not apart.any():
+            return
+        left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
+def _sent(every: np.ndarray, some: np.ndarray, radius: int):
+    """For fingerprints of a range the later ranges they may have a near one in."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper, full = GrayIndex(every, some), (every & ~some) == 0
+        for batch in batches:
+            fps, own = batch["fp"].to_numpy().view(np.uint64), batch["range"].to_numpy()
+            for who, entry in upper.search(fps, radius):
+                later = (entry > own[who]) & full[entry]
+                yield pd.DataFrame({"range": entry[later].astype(np.int32), "fp": fps[who[later]].view(np.int64)})
+
+    return run
+
+
+def _found(radius: int, leaf: int):
+    """Links (a, b) of rows sorted by (range, part, asks, rank): a range's members, then those sent to it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, held, tree = None, [], None
+
+        def built():
+            fps = np.concatenate(held)
+            tree, label = GrayIndex(fps, fps, leaf), np.arange(len(fps))
+            for who, entry in tree.search(fps, radius):
+                _join(label, who, entry)
+            return tree, label, fps
+
+        def forest(label, fps):
+            below = np.flatnonzero(label != np.arange(len(fps))) if cell[1] == 0 else np.zeros(0, np.int64)
+            return pd.DataFrame({"a": fps[label[below]].view(np.int64), "b": fps[below].view(np.int64)})
+
+        for batch in batches:
+            key = batch[["range", "part", "asks"]].to_numpy().astype(np.int64)
+            all_fps = batch["fp"].to_numpy().view(np.uint64)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(key)]
+            for at, end in zip(cuts, cuts[1:]):
+                if at == end:
+                    continue
+                this, fps = tuple(key[at, :2]), all_fps[at:end]
+                if this != cell:
+                    if held and tree is None:
+                        yield forest(*built()[1:])
+                    cell, held, tree = this, [], None
+                if not key[at, 2]:
+                    held.append(fps)
+                    continue
+                if tree is None:
+                    tree, label, members = built()
+                    yield forest(label, members)
+                for who, entry in tree.search(fps, radius):
+                    once = np.unique(np.stack([who, label[entry]]), axis=1)
+                    yield pd.DataFrame({"a": members[once[1]].view(np.int64), "b": fps[once[0]].view(np.int64)})
+        if held and tree is None:
+            yield forest(*built()[1:])
+
+    return run
+
+
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): links that join all fingerprints of ``fps`` (fp, distinct) which
-    differ in at most two bits, directly or by way of others."""
+    differ in at most ``radius`` bits, directly or by way of others."""
     ship(fps.sparkSession)
+    # Ranks are unsigned; with the first bit turned they sort as signed numbers.
+    rank = gray_rank(F.col("fp")).bitwiseXOR(F.lit(-(2**63)))
     n = fps.count()
-    depth, upper = min(64, max(8, n.bit_length() + 4)), 0
-    rows = fps.select(F.col("fp").alias("pattern"), F.lit(False).alias("used"), "fp")
-    found = []
-    while True:
-        rows = _below(rows, upper, depth)
-        # The rank's first bits stand for the pattern's; what is below is cut off.
-        node = F.shiftrightunsigned(gray_rank(F.col("pattern")), 64 - depth) if depth < 64 else gray_rank(F.col("pattern"))
-        placed = rows.withColumn("node", node)
-        counts = written(placed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1"), "nodes")
-        largest = LEAF if depth < 64 else 65
-        leaves = placed.select("node", "fp").join(counts.where(F.col("members") <= largest).select("node"), "node")
-        found.append(
-            written(
-                leaves.repartition("node")
-                .sortWithinPartitions("node", gray_rank(F.col("fp")))
-                .mapInPandas(_compare, "a long, b long")
-                .distinct(),
-                "links",
-            )
-        )
-        large = counts.where(F.col("members") > largest).select("node")
-        if depth == 64 or large.isEmpty():
-            break
-        rows = written(placed.join(large, "node").select("pattern", "used", "fp"), "members")
-        upper, depth = depth, min(64, depth + STEP)
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+    ranges = max(1, min(MAX_RANGES, -(-n // RANGE)))
+    members = written(
+        fps.select("fp").repartitionByRange(ranges, rank).select(F.spark_partition_id().alias("range"), "fp"), "ranges"
+    )
+    # One row a range, so at most MAX_RANGES.  Ranges are numbered in order; of an empty one AND is all ones, OR is none.
+    shared = members.groupBy("range").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).toPandas()
+    every, some = np.full(ranges, -1, np.int64), np.zeros(ranges, np.int64)
+    every[shared["range"]], some[shared["range"]] = shared["every"], shared["some"]
+    sent = written(members.mapInPandas(_sent(every.view(np.uint64), some.view(np.uint64), radius), "range int, fp long"), "sent")
+    parts = sent.groupBy("range").agg(F.ceil(F.count("*") / F.lit(SEARCHES)).cast("int").alias("parts"))
+    asking = sent.join(F.broadcast(parts), "range").select(
+        "range", F.pmod(F.xxhash64("fp"), "parts").cast("int").alias("part"), F.lit(1).alias("asks"), "fp"
+    )
+    asked = members.join(F.broadcast(parts), "range", "left").select(
+        "range", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), F.lit(0).alias("asks"), "fp"
+    )
+    return written(
+        asked.union(asking).repartition(ranges, "range", "part")
+        .sortWithinPartitions("range", "part", "asks", rank)
+        .mapInPandas(_found(radius, LEAF), "a long, b long"),
+        "links",
+    )
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

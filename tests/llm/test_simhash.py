@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -107,6 +108,46 @@ def test_dense_groups(spark, monkeypatch, leaf):
     assert len({(one(f), two(f)) for f in fps}) == len({one(f) for f in fps}) == len({two(f) for f in fps})
 
 
+@pytest.mark.parametrize("radius", [2, 4])
+def test_many_ranges(spark, monkeypatch, radius):
+    """Links between ranges, and a range whose searches are several tasks'."""
+    monkeypatch.setattr(simhash, "RANGE", 40)
+    monkeypatch.setattr(simhash, "SEARCHES", 30)
+    fps = dense(400)
+    found = simhash.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long").repartition(3), radius)
+    pairs = [(a % 2**64, b % 2**64) for a, b in found.collect()]
+    assert all(a != b for a, b in pairs)
+    near_ones = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= radius]
+    one, two = classes(pairs, fps), classes(near_ones, fps)
+    assert len({(one(f), two(f)) for f in fps}) == len({one(f) for f in fps}) == len({two(f) for f in fps})
+
+
+@pytest.mark.parametrize("width", [8, 1 << 20])
+def test_index_finds_all(monkeypatch, width):
+    monkeypatch.setattr(simhash, "_WIDTH", width)
+    fps = np.array(sorted(dense(150), key=lambda f: f), np.uint64)
+    found = {(int(a), int(b)) for who, entry in simhash.GrayIndex(fps, fps).search(fps, 3) for a, b in zip(who, entry)}
+    assert found == {(i, j) for i, a in enumerate(fps) for j, b in enumerate(fps) if int(a ^ b).bit_count() <= 3}
+
+
+def test_groups_are_pruned():
+    """In Gray order a group shares bits, and a search leaves it by their sum alone."""
+    rng = random.Random(3)
+    fps = np.array([rng.getrandbits(64) for _ in range(4096)], np.uint64)
+    rank = fps.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    index = simhash.GrayIndex(*[fps[np.argsort(rank)]] * 2)
+    looked = []
+    count = np.bitwise_count
+    simhash.np.bitwise_count = lambda x: looked.append(len(x)) or count(x)
+    try:
+        assert sum(len(who) for who, _ in index.search(fps[:64], 2)) == 64
+    finally:
+        simhash.np.bitwise_count = count
+    assert sum(looked) < 64 * 4096 / 4
+
+
 def test_gray_rank(spark):
     ranks = {r.r % 2**64: r.p % 2**64 for r in spark.range(64).select(F.col("id").alias("p"), simhash.gray_rank(F.col("id")).alias("r")).collect()}
     assert all((ranks[i] ^ ranks[i + 1]).bit_count() == 1 for i in range(63))
