@@ -211,7 +211,8 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     # One row a range, so at most MAX_RANGES.  Ranges are numbered in order; of an empty one AND is all ones, OR is none.
     shared = members.groupBy("range").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).toPandas()
-    every, some = np.full(ranges, -1, np.int64), np.zeros(ranges, np.int64)
+    found = 1 + int(shared["range"].max()) if len(shared) else 1
+    every, some = np.full(found, -1, np.int64), np.zeros(found, np.int64)
     every[shared["range"]], some[shared["range"]] = shared["every"], shared["some"]
     sent = written(members.mapInPandas(_sent(every.view(np.uint64), some.view(np.uint64), radius), "range int, fp long"), "sent")
     parts = sent.groupBy("range").agg(F.ceil(F.count("*") / F.lit(SEARCHES)).cast("int").alias("parts"))
