@@ -182,3 +182,43 @@ def test_the_order_of_rows_does_not_choose(spark):
         assert (kept.doc_id, kept.lang, kept.source) == (1, None, "s4")
     extra = docs(spark, rows).withColumn("m", F.create_map(F.lit("k"), "source")).withColumn("v", F.parse_json(F.lit("{}")))
     assert simhash.one_of_each(extra).count() == 1
+
+
+def similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+def edited_copies(n=120):
+    """(id, text, id of its original): every other document a copy with a few words put in for others."""
+    rng = random.Random(8)
+    vocab = vocabulary(rng, 3000, "abcdefghij")
+    rows = []
+    for i in range(n):
+        text = words(rng, vocab, rng.choice([50, 120, 400, 1500])).split()
+        rows.append((2 * i, " ".join(text), None))
+        for _ in range(rng.randint(1, max(1, len(text) // 50))):
+            text[rng.randrange(len(text))] = rng.choice(vocab)
+        rows.append((2 * i + 1, " ".join(text), 2 * i))
+    return rows
+
+
+def test_edited_copies_are_caught(spark):
+    """Of copies of 5-word similarity 0.8 or more at least 0.9; texts that are not alike stay apart."""
+    rows = edited_copies()
+    root = {r.doc_id: r.component_id for r in simhash.near_groups(docs(spark, rows, extra=True)).collect()}
+    text = {i: t for i, t, _ in rows}
+    near_ones = [(i, of) for i, t, of in rows if of is not None and similarity(t, text[of]) >= 0.8]
+    assert len(near_ones) > 100
+    assert sum(root[i] == root[of] for i, of in near_ones) >= 0.9 * len(near_ones)
+    assert all(root[i] // 2 == i // 2 for i in root)
+
+
+def test_wide_groups_hold_the_narrow(spark):
+    rows = docs(spark, corpus() + ODD + ODD[:3], extra=True)
+    narrow = simhash.near_duplicates(rows).select("doc_id", "text_hash", F.col("root").alias("narrow")).distinct()
+    wide = simhash.near_groups(rows).select("doc_id", "text_hash", "root").distinct()
+    pairs = {(r.narrow, r.root) for r in narrow.join(wide, [narrow.doc_id.eqNullSafe(wide.doc_id), narrow.text_hash == wide.text_hash]).collect()}
+    assert len(pairs) == len({a for a, _ in pairs})
+    assert simhash.one_of_each(rows, groups=simhash.near_groups).count() == len({b for _, b in pairs})
+    assert simhash.one_of_each(rows.limit(0), groups=simhash.near_groups).count() == 0
