@@ -25,8 +25,12 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies, the one with the least id."""
-    return simhash.one_of_each(docs)
+    """Keep one document of each group of near copies, the one with the least id.
+
+    Texts that are null or have no words are one group; an id of null is the least
+    only among such; of equal rows one stays.  No rows give no rows.
+    """
+    return simhash.one_of_each(docs, groups=simhash.near_groups)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
