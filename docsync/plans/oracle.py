@@ -233,6 +233,7 @@ FROM numbered GROUP BY coll, run""",
     "stream_fold_shuffled": _FLAGSHIP,
     "repeated_batch": _FLAGSHIP,
     "stream_fold_stateful": _FLAGSHIP,
+    "stored_lookup": f"SELECT * FROM ({_FLAGSHIP}) f WHERE id IN ('1000000000000', {', '.join(repr(str(k)) for k in range(1, 13))})",
     "fold_many_collections": f"""WITH {_PLAIN_FEED}, {_FOLD.format(where='')}
 SELECT 'c' || cast(id AS bigint) % 50 AS coll_name, id, n_v.x AS value, n_e.x AS event_type,
        CASE WHEN cast(id AS bigint) % 2 = 0 THEN n_k.x END AS k

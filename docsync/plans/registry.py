@@ -370,6 +370,19 @@ def _users_store(spark: SparkSession, sf_dir: str) -> TableStore:
     return store
 
 
+#: More keys than one pushed list holds, among them one that no row has.
+SOUGHT = [str(k) for k in (*range(1, 13), 10**12)]
+
+
+@query
+def stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by key from a stored table with a fold on top."""
+    store = _users_store(spark, sf_dir)
+    state = fold.fold_changes(inputs.user_changes(spark, sf_dir), inputs.USER_MAP)
+    store.add_fold("users", state, inputs.USER_MAP, "feed", 0)
+    return store.find("users", SOUGHT)
+
+
 USERS = {"Users": inputs.USER_MAP}
 
 

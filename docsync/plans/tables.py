@@ -34,7 +34,7 @@ from docsync.operators.fold import (
 )
 from docsync.operators.mapping import CollectionMap, make_map
 from docsync.operators.registers import SCHEMA, combined, to_fold
-from docsync.sources import files
+from docsync.sources import documents, files
 
 # Folds up to this many bytes on disk are broadcast to the table; past it they
 # are joined by shuffle.  Parquet grows several-fold in memory.
@@ -217,18 +217,35 @@ class TableStore:
         """Current rows: the version with the folds on top applied."""
         return alive(self.read_stored(relation), self.map_of(relation))
 
+    def find(self, relation: str, keys: Iterable[object]) -> DataFrame:
+        """Current rows with one of these keys.
+
+        The version and the folds are narrowed before they meet; of the version
+        only row groups are read whose Bloom filters may hold a key.  Keys are a
+        caller's few; to match a whole frame of keys join it with :meth:`read`.
+        """
+        keys = list(keys)
+        commit = self.commit_of(relation)
+        cmap = _map_of(commit.map)
+        rows = documents.with_keys(self._base(commit, cmap), keys, cmap.key.column)
+        if commit.folds:
+            folded = documents.with_keys(self._folded(commit.folds, cmap), keys, "id")
+            rows = settle(rows, folded, cmap, small=_small(commit.folds))
+        return alive(rows, cmap)
+
     # -------------------------------------------------------------- writing
 
     def _write(self, df: DataFrame, path: str, cmap: CollectionMap, spread: bool) -> None:
+        key = cmap.key.column
         if not self.buckets:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").options(**key_options(key)).parquet(path)
             return
-        key = cmap.key.column
         # Rows of one bucket must meet in one task, or every task would write
         # a file per bucket; a table folded from a bucketed version already is.
         rows = df.repartition(self.buckets, ref(key)) if spread else df
         name = _table_name(path)
-        rows.write.mode("overwrite").bucketBy(self.buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+        writer = rows.write.mode("overwrite").options(**key_options(key))
+        writer.bucketBy(self.buckets, key).sortBy(key).option("path", path).saveAsTable(name)
 
     def publish(self, relation: str, df: DataFrame, cmap: CollectionMap, position: int | None = None, spread: bool = True) -> Commit:
         """Write ``df`` as the new version and make it current.
@@ -466,6 +483,16 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(self._service(name)).drop("part")
 
 
+def key_options(key: str) -> dict[str, str]:
+    """Parquet options for a table's key: a Bloom filter a row group, as large as its
+    keys ask for up to Parquet's 1 MB, in place of a dictionary, which distinct keys outgrow."""
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        f"parquet.enable.dictionary#{key}": "false",
+    }
+
+
 def _small(folds: Iterable[FoldFile]) -> bool:
     folds = tuple(folds)
     return sum(f.bytes for f in folds) <= BROADCAST_BYTES and sum(f.rows for f in folds) <= BROADCAST_ROWS

@@ -23,6 +23,10 @@ UNPARSED = "_unparsed"
 # How many documents a type check looks at unless told otherwise.
 DEFAULT_SAMPLE = 100
 
+# Values of one list that Spark hands to Parquet as equalities
+# (spark.sql.parquet.pushdown.inFilterThreshold); of more it tells only least and greatest.
+PUSHED_KEYS = 10
+
 # Control characters cannot occur unescaped in JSON, so they are free as marks.
 _BACKSLASH, _QUOTE, _MARK = "\x02", "\x03", "\x01"
 
@@ -152,6 +156,21 @@ def lookup(df: DataFrame, key: object, key_column: str = KEY_SOURCE) -> DataFram
     return df.where(ref(key_column) == typed).limit(1)
 
 
+def with_keys(df: DataFrame, keys: Iterable[object], key_column: str) -> DataFrame:
+    """Rows with one of these keys, each compared in the column's own type.
+
+    Parquet skips row groups by equality, for which Spark pushes lists of at
+    most ten values; longer ones are made of several.  Nulls match nothing.
+    """
+    kind = df.schema[key_column].dataType
+    wanted = [F.lit(k).cast(kind) for k in dict.fromkeys(keys) if k is not None]
+    found = F.lit(False)
+    for at in range(0, len(wanted), PUSHED_KEYS):
+        some = ref(key_column).isin(*wanted[at : at + PUSHED_KEYS])
+        found = found | some if at else some
+    return df.where(found)
+
+
 def count_documents(collections: dict[str, DataFrame]) -> DataFrame:
     """``(collection_name, n_documents)``; each count is partial per task."""
     counts = [

@@ -36,6 +36,7 @@ def test_query_equals_sql(spark, con, name):
 WRITES = {
     "stream_fold", "stream_fold_shuffled", "repeated_batch", "feed_errors", "resume_position", "stored_map", "evolve_renamed",
     "stream_fold_stateful", "fold_many_collections", "audit_rows", "load_without_ids", "snapshot_load", "second_load", "load_errors", "transfer_stats",
+    "stored_lookup",
 }
 
 

@@ -311,3 +311,40 @@ def test_statistics_after_a_load(spark, folder):
     assert "6 rows" in told["Statistics"]
     assert [r["action"] for r in store.service("transfer_stats").orderBy("action").collect()] == ["FULL VACUUM", "UPSERT"]
     assert not TableStore(spark, f"{folder}/plain").analyze("thing")
+
+
+def _scanned(df) -> int:
+    """Rows the only scan of a collected plan gave."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    assert leaves.size() == 1
+    return leaves.head().metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("buckets", [0, 8])
+def test_find_reads_few_row_groups(spark, folder, buckets):
+    """Eight files whose keys interleave, so that least and greatest tell nothing."""
+    n, key = 8000, F.sha2(F.col("i").cast("string"), 256)
+    rows = spark.range(n).withColumnRenamed("id", "i").repartition(8, F.col("i")).select(key.alias("id"), F.col("i").cast("string").alias("a"), F.col("i").cast("double").alias("b"))
+    store = TableStore(spark, folder, buckets=buckets)
+    store.publish("thing", rows, THING)
+    ids = {r["a"]: r["id"] for r in rows.collect()}
+    found = store.find("thing", [ids["17"], "absent", None, ids["17"]])
+    assert [(r["id"], r["a"], r["b"]) for r in found.collect()] == [(ids["17"], "17", 17.0)]
+    assert 0 < _scanned(found) < n / 2
+    none = store.find("thing", ["absent"])
+    assert none.collect() == [] and _scanned(none) < n / 2
+    many = store.find("thing", [ids[str(i)] for i in range(0, n, 200)])
+    assert sorted(r["b"] for r in many.collect()) == [float(i) for i in range(0, n, 200)]
+    assert store.find("thing", []).collect() == [] and store.find("thing", [None]).collect() == []
+
+
+def test_find_sees_folds(spark, folder):
+    store = TableStore(spark, folder)
+    load_collection(store, docs_frame(spark, DOCS), THING, position=10)
+    events = [("update", "Thing", "1", {"a": "x"}, None, 11), ("delete", "Thing", "2", {}, None, 12), ("insert", "Thing", "8", {"b": 1}, None, 14)]
+    store.add_fold("thing", fold_of(spark, events), THING, "f", 0)
+    want = rows_by_key(store.read("thing"))
+    keys = ["1", "2", "3", "8", "9"]
+    assert rows_by_key(store.find("thing", keys)) == {k: want[k] for k in keys if k in want} and set(want) & set(keys) == {"1", "3", "8"}
+    store.compact("thing")
+    assert rows_by_key(store.find("thing", keys)) == {k: want[k] for k in keys if k in want}
