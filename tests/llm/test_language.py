@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import os
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,3 +64,61 @@ def test_training_counts_do_not_depend_on_partitions(spark):
     a = language.fit(docs(spark, TAUGHT)).log_probability
     b = language.fit(docs(spark, TAUGHT).repartition(7)).log_probability
     assert np.array_equal(a, b)
+
+
+def _slow_grams(text: str | None) -> Counter:
+    """Buckets of a text's n-grams, one character after the other."""
+    out: Counter = Counter()
+    if not text:
+        return out
+    codes = [32, 32, *[ord(c) if c.isalpha() else 32 for c in text.lower()], 32, 32]
+    for order in language.ORDERS:
+        for at in range(len(codes) - order + 1):
+            gram = codes[at : at + order]
+            if any(c != 32 for c in gram):
+                h = order
+                for c in gram:
+                    h = (h ^ c) * 0x9E3779B97F4A7C15 % 2**64
+                    h ^= h >> 29
+                out[h % language.BUCKETS] += 1
+    return out
+
+
+def _slow(taught, texts) -> list[tuple[str, float]]:
+    """Naive Bayes with equal priors in plain Python: (language, posterior) of each text."""
+    counts: dict[str, Counter] = {}
+    for text, lang in taught:
+        if lang is not None:
+            counts.setdefault(lang, Counter()).update(_slow_grams(text))
+    names = sorted(counts)
+    totals = {n: sum(counts[n].values()) + language.SMOOTHING * language.BUCKETS for n in names}
+    out = []
+    for text in texts:
+        grams = _slow_grams(text)
+        if not grams or not names:
+            out.append(("und", 0.0))
+            continue
+        logs = [math.fsum(k * math.log((counts[n][b] + language.SMOOTHING) / totals[n]) for b, k in grams.items()) for n in names]
+        top = max(logs)
+        out.append((names[logs.index(top)], 1 / math.fsum(math.exp(x - top) for x in logs)))
+    return out
+
+
+def _equals_slow(spark, taught, asked) -> None:
+    model = language.fit(taught)
+    got = language.predict(asked, model).select("row.text", "lang_pred", "score").collect()
+    want = _slow([(r.text, r.lang) for r in taught.collect()], [r.text for r in got])
+    assert len(got) == len(want) > 0
+    for r, (lang, score) in zip(got, want):
+        # The matrix is of 32 bits, so sums over a long text differ a little.
+        assert abs(r.score - score) < 1e-2 and (r.lang_pred == lang or score < 0.51)
+
+
+def test_equals_plain_python(spark):
+    _equals_slow(spark, docs(spark, TAUGHT + [(100, None, "xx"), (101, "zzz", None)]), docs(spark, ODD + [(200, "le the der"), (201, "ch\u00e4t \U0001f600"), (202, "cat")]))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+def test_equals_plain_python_on_documents(spark):
+    data = table(spark, SF_DIR, "documents").select("doc_id", "text", "lang")
+    _equals_slow(spark, data.where(~language.held_out(F.col("doc_id"))), data.where(language.held_out(F.col("doc_id"))))
