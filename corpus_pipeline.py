@@ -18,7 +18,12 @@ LEAST_SCORE = 0.5
 
 
 def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language can be told; ``und`` and doubtful ones go."""
+    """Keep documents whose language can be told; ``und`` and doubtful ones go.
+
+    Null and empty texts, and those without a letter, are ``und``.  Two languages
+    equally likely are enough (0.5 each), three are not.  Equal rows stay or go together.
+    No rows give no rows.
+    """
     model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
     told = language.predict(docs, model)
     return told.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("row.*")
@@ -34,16 +39,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which a twentieth or more are passages of the benchmark."""
+    """Drop documents of which a twentieth or more are passages of the benchmark.
+
+    Null and empty texts have no words and stay; equal rows stay or go together.  No rows give no rows.
+    """
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat documents so that all sources have equal weight, in a global shuffle."""
+    """Repeat documents so that all sources have equal weight, in a global shuffle.
+
+    A null source is a source, a null text is a text of one byte; what repeats are
+    whole rows, and a row may be drawn no times.  No rows give no rows.
+    """
     return mixing.mix(docs).select("row.*")
 
 
 def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row's shard and slot; null ids and texts and repeated rows get theirs like any other.  No rows give no rows."""
     return sharding.shard(docs, *shard_trees())
 
 
