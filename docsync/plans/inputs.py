@@ -173,6 +173,17 @@ def wide_feed(events: DataFrame) -> DataFrame:
     )
 
 
+#: Rows to a feed file.  A task reads no less than a file's row group, so files are to grow in number and not in size.
+FEED_FILE_ROWS = 100_000
+
+
+def write_feed(events: DataFrame, key: str, folder: str) -> int:
+    """Add events to a folder of feed files, three at least; returns how many."""
+    n_files = max(3, -(-events.count() // FEED_FILE_ROWS))
+    events.repartition(n_files, key).write.mode("append").parquet(folder)
+    return n_files
+
+
 WIDE_MAP: CollectionMap = make_map(
     "Wide", "wide", [("id", "_id", "TEXT")] + [(f"c{i}", f"c{i}", "DOUBLE PRECISION") for i in range(WIDE_FIELDS)], extra_props=True
 )

@@ -393,8 +393,9 @@ def stream_fold_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events")
     for half in range(2):
         some = events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
-        some.repartition(3, "event_id").write.mode("append").parquet(f"{root}/feed")
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/feed")
+        n_files = inputs.write_feed(some, "event_id", f"{root}/feed")
+        a_batch = -(-n_files * 2 // 3)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", a_batch).parquet(f"{root}/feed")
         stateful.start_stateful_sync(inputs.as_feed(stream), f"{root}/registers", f"{root}/checkpoint").awaitTermination()
         if not half:
             stateful.merge(spark, f"{root}/registers")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from docsync.plans import inputs
 from docsync.plans.oracle import ORACLES
 from docsync.plans.registry import QUERIES
 from tests.oracle_check import compare, connect
@@ -69,3 +71,13 @@ def test_names_of_whole_texts_keep_digits_and_other_scripts(spark, con, tmp_path
     want = con.sql(ORACLES["snake_case_texts"].replace("FROM documents", f"FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')") + " ORDER BY 1").fetchall()
     assert [tuple(r) for r in got] == want
     assert [r.column_name for r in got][1:3] == ["área 51: my_htmlpage", "дом и сад2"]
+
+
+def test_feed_files_grow_in_number_and_not_in_size(spark, con, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "FEED_FILE_ROWS", 50)
+    monkeypatch.setattr(inputs, "scratch", lambda spark: str(tmp_path))
+    _, got, _, want = compare(spark, con, QUERIES["stream_fold_stateful"], ORACLES["stream_fold_stateful"], SF_DIR)
+    assert got == want
+    files = spark.read.parquet(f"{tmp_path}/feed").groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in files) <= 100 and sum(r["count"] for r in files) == spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    assert len([n for n in os.listdir(f"{tmp_path}/checkpoint/commits") if n.isdigit()]) == 4
