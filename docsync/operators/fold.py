@@ -27,7 +27,7 @@ from docsync.functions.cast import can_fail
 from docsync.functions.naming import EXTRA_COLUMN, literal, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.operators.project import FAILED, cast_fields, failed_sql, leftovers_sql
-from docsync.operators.registers import CHANGES, CLEARED, DELETED, FIELDS, FIELDS_TYPE, LIVE, registers, to_fold
+from docsync.operators.registers import CHANGES, CLEARED, DELETED, FIELDS, FIELDS_TYPE, LIVE, WIDE_MAP, registers, to_fold
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
 # In a fold about to be written: values that did not fit.
@@ -130,10 +130,6 @@ def _aggregate(df: DataFrame, *sums: str) -> DataFrame:
     return df.groupBy("id").agg(*[F.expr(s) for s in sums])
 
 
-# Maps with more columns than this are folded field by field.
-WIDE_MAP = 150
-
-
 def is_wide(cmap: CollectionMap) -> bool:
     return len(cmap.value_columns) > WIDE_MAP
 
@@ -143,7 +139,7 @@ def fold_sparse(changes: DataFrame, cmap: CollectionMap) -> DataFrame:
 
     Only fields that are there become rows, grouped by id and field, so the
     work grows with what changed and not with the width of the map.  Values
-    are cast after folding, once per id.
+    are cast after folding, once per id and field.
     """
     wanted = None if cmap.extra_props else [c.source for c in cmap.value_columns]
     named = changes if "coll_name" in changes.columns else changes.withColumn("coll_name", F.lit(cmap.collection))

@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docsync.functions.cast import can_fail, variant_failed_sql
+from docsync.functions.cast import can_fail, variant_cast_sql, variant_failed_sql
 from docsync.functions.naming import literal, literals, quoted
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.operators.project import cast_fields, field_path
@@ -35,7 +35,13 @@ CLEARED, FIELDS = "_cleared", "_fields"
 REPLACED, UPDATES = "_replaced", "_updates"
 FIELDS_TYPE = "MAP<STRING, STRUCT<seq: BIGINT, value: VARIANT>>"
 
+# Maps with more columns than this are folded field by field.
+WIDE_MAP = 150
+
 BY = ("coll_name", "id", "key")
+# Spark sorts by the columns of a grouping in turn, and variants are aggregated in
+# sorted rows; names of collections are few, so they come last.
+_SORTED_BY = ("id", "key", "coll_name")
 _LONGS = ("seq", "void", DELETED, LIVE, REPLACED, CLEARED, CHANGES, UPDATES)
 SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in BY]
@@ -64,7 +70,8 @@ def registers(changes: DataFrame, only: Iterable[str] | None = None) -> DataFram
     of_field = F.when(F.col("key").isNotNull() & ~F.col("empty"), F.col("seq"))
     change = F.when(F.col("key").isNull(), F.col("seq"))
     op = F.col("op")
-    return rows.groupBy(*BY).agg(
+    # The order of a stream's keys is part of its checkpoint.
+    return rows.groupBy(*(BY if changes.isStreaming else _SORTED_BY)).agg(
         F.max(of_field).alias("seq"),
         F.max_by("value", of_field).alias("value"),
         F.max(F.when(F.col("empty"), F.col("seq"))).alias("void"),
@@ -74,7 +81,7 @@ def registers(changes: DataFrame, only: Iterable[str] | None = None) -> DataFram
         F.max(F.when(op.isin(INSERT, REPLACE), change)).alias(CLEARED),
         F.count(change).alias(CHANGES),
         F.count(F.when(op.isin(UPDATE, REPLACE), change)).alias(UPDATES),
-    )
+    ).select(*SCHEMA.names)
 
 
 def latest(states: DataFrame) -> DataFrame:
@@ -83,18 +90,22 @@ def latest(states: DataFrame) -> DataFrame:
     Positions only rise, and a state's rows hold all that went before, so the order
     of the rows does not matter and repeated ones do no harm.
     """
-    return states.groupBy(*BY).agg(
+    return states.groupBy(*_SORTED_BY).agg(
         F.max("seq").alias("seq"), F.max_by("value", "seq").alias("value"), *[F.max(c).alias(c) for c in _LONGS[1:]]
-    )
+    ).select(*SCHEMA.names)
 
 
 def combined(parts: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
     """Registers of different changes -> one of each."""
     counted = (CHANGES, UPDATES)
-    return parts.groupBy(*by).agg(
+    return parts.groupBy(*[c for c in _SORTED_BY if c in by]).agg(
         F.max("seq").alias("seq"), F.max_by("value", "seq").alias("value"),
         *[(F.sum if c in counted else F.max)(c).alias(c) for c in _LONGS[1:]],
-    )
+    ).select(*by, *SCHEMA.names[len(BY):])
+
+
+# The last touch of a leftover field: a null that an insert held is one.
+_REST = "struct(greatest(seq, void) AS seq, if(coalesce(void > seq, void IS NOT NULL), parse_json('null'), value) AS value)"
 
 
 def to_fold(
@@ -112,17 +123,18 @@ def to_fold(
     type text and of its position, the column's value; none where the map's type says it.
     """
     columns = list(cmap.value_columns)
+    if len(columns) > WIDE_MAP and not since and not any(cast(c, "v", "t", "q") is not None for c in columns if cast):
+        return _to_wide_fold(registers, cmap, by)
     mapped = f"key IN ({literals(c.source for c in columns)})" if columns else "false"
     known = f"key IN ({literals(c.source for c in cmap.columns)})" if cmap.columns else "false"
     # An entry per field of the map, or of the id's documents where leftovers are kept.
     gather = f"to_variant_object(map_from_entries(collect_list(if({mapped} AND seq IS NOT NULL, struct(key, {{0}}), NULL))))"
-    rest = "struct(greatest(seq, void) AS seq, if(coalesce(void > seq, void IS NOT NULL), parse_json('null'), value) AS value)"
     sums = [
         f"max({DELETED}) AS {DELETED}", f"max({LIVE}) AS {LIVE}", f"max({REPLACED}) AS {REPLACED}", f"max({CLEARED}) AS {CLEARED}",
         f"sum({CHANGES}) AS {CHANGES}", f"{gather.format('value')} AS fields", f"{gather.format('seq')} AS seqs",
     ]
     if cmap.extra_props:
-        sums.append(f"map_from_entries(collect_list(if(key IS NULL OR {known}, NULL, struct(key, {rest})))) AS _rest")
+        sums.append(f"map_from_entries(collect_list(if(key IS NULL OR {known}, NULL, struct(key, {_REST})))) AS _rest")
     rows = registers.groupBy(*by).agg(*[F.expr(s) for s in sums])
     seqs = [f"try_variant_get(seqs, {literal(field_path(c.source))}, 'bigint') AS _q{i}" for i, c in enumerate(columns)]
     ready = cast_fields(rows, columns, "fields").selectExpr("*", *seqs)
@@ -149,3 +161,38 @@ def to_fold(
         *by, DELETED, LIVE, CHANGES, *[quoted(c.column) for c in columns], CLEARED, f"if(size({FIELDS}) = 0, NULL, {FIELDS}) AS {FIELDS}"
     )
 
+
+
+def _to_wide_fold(registers: DataFrame, cmap: CollectionMap, by: tuple[str, ...]) -> DataFrame:
+    """The same for a map of many columns, of which a document has few.
+
+    Each register is cast by itself, before its document's are gathered, so that casts
+    are as many as fields that are there.  The gathered values are found by the number
+    of their column, one short map for each type.
+    """
+    columns, types = list(cmap.value_columns), sorted({c.type for c in cmap.value_columns})
+    fields = [(c.source, i, types.index(c.type), can_fail(c.type)) for i, c in enumerate(columns)]
+    fields += [(c.source, None, None, False) for c in cmap.columns if c.source not in {f[0] for f in fields}]
+    known = F.broadcast(registers.sparkSession.createDataFrame(fields, "_source string, _i int, _type int, _can_fail boolean"))
+    spark_types = {c.type: c.spark_type.simpleString() for c in columns}
+    named = registers.join(known, F.col("key") == F.col("_source"), "left").selectExpr("*", "if(_i IS NULL, NULL, schema_of_variant(value)) AS _t")
+    ready = named.selectExpr(
+        "*", *[f"CAST(if(_type = {k}, {variant_cast_sql('value', '_t', t)}, NULL) AS {spark_types[t]}) AS _x{k}" for k, t in enumerate(types)]
+    )
+    sums = [
+        f"max({DELETED}) AS {DELETED}", f"max({LIVE}) AS {LIVE}", f"max({REPLACED}) AS {REPLACED}", f"max({CLEARED}) AS {CLEARED}",
+        f"sum({CHANGES}) AS {CHANGES}",
+        *[f"map_from_entries(collect_list(if(_type = {k} AND seq IS NOT NULL, struct(_i, struct(seq, _x{k} AS value)), NULL))) AS _m{k}" for k in range(len(types))],
+    ]
+    if cmap.extra_props:
+        unfit = " OR ".join(f"(_type = {k} AND {variant_failed_sql(f'_x{k}', '_t', t)})" for k, t in enumerate(types))
+        misfit = f"if(_can_fail AND seq IS NOT NULL, struct(key, struct(seq, if({unfit}, value, NULL) AS value)), NULL)"
+        sums.append(f"map_from_entries(collect_list(if(key IS NULL, NULL, if(_source IS NULL, struct(key, {_REST}), {misfit})))) AS {FIELDS}")
+    rows = ready.groupBy(*by).agg(*[F.expr(s) for s in sums])
+    found = rows.selectExpr("*", *[f"try_element_at(_m{types.index(c.type)}, {i}) AS _e{i}" for i, c in enumerate(columns)])
+    parts = [
+        f"struct(greatest(_e{i}.seq, {REPLACED}) AS seq, if(_e{i}.seq >= coalesce({REPLACED}, _e{i}.seq), _e{i}.value, NULL) AS value) AS {quoted(c.column)}"
+        for i, c in enumerate(columns)
+    ]
+    hidden = [CLEARED, f"if(size({FIELDS}) = 0, NULL, {FIELDS}) AS {FIELDS}"] if cmap.extra_props else []
+    return found.selectExpr(*by, DELETED, LIVE, CHANGES, *parts, *hidden)

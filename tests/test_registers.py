@@ -44,6 +44,44 @@ def test_leftovers_of_wide_maps_are_folded_by_field(spark):
     assert plan.count("max_by(") <= 2 and plan.count("Aggregate") == 2
 
 
+@pytest.mark.parametrize("extra_props", [True, False])
+def test_wide_and_narrow_folds_are_the_same(spark, monkeypatch, extra_props):
+    types = ("TEXT", "DOUBLE PRECISION", "TIMESTAMP", "BOOLEAN", "JSONB")
+    mixed = make_map("Thing", "thing", [KEY] + [(f"c{i}", f"f{i}", t) for i, t in enumerate(types * 2)], extra_props=extra_props)
+    rng, values = random.Random(5), [None, "x", "", "2024-01-02 03:04:05", "1.5", 7, 2.5, True, {}, {"a": 1}, [], [1]]
+    events = []
+    for seq in range(300):
+        op = rng.choice(["insert", "update", "update", "update", "replace", "delete"])
+        fields = {f"f{rng.randrange(13)}": rng.choice(values) for _ in range(4)} | ({"_id": "1"} if op == "insert" else {})
+        removed = [f for f in (f"f{rng.randrange(13)}",) if f not in fields] if op == "update" else None
+        events.append((op, "Thing", str(rng.randrange(15)), {} if op == "delete" else fields, removed, seq))
+    rows = R.registers(changes(spark, events))
+
+    def told(wide_map):
+        monkeypatch.setattr(R, "WIDE_MAP", wide_map)
+        state = R.to_fold(rows, mixed)
+        assert state.columns == fold.fold_schema(mixed).names and [f.dataType.simpleString() for f in state.schema] == [f.dataType.simpleString() for f in fold.fold_schema(mixed)]
+        parts = [F.to_json(F.struct(c.column)) for c in mixed.value_columns]
+        entries = F.transform(F.array_sort(F.map_keys("_fields")), lambda k: F.concat_ws(":", k, F.to_json(F.col("_fields")[k]))) if extra_props else F.lit(0)
+        return sorted(map(tuple, state.select("id", "_deleted", "_live", "_changes", *parts, entries).collect()))
+
+    assert told(0) == told(1000) and len(told(0)) == 15
+
+
+def test_casts_of_a_wide_fold_do_not_grow_with_the_map(spark):
+    def casts(n):
+        wide = make_map("Wide", "wide", [KEY] + [(f"c{i}", f"c{i}", "DOUBLE PRECISION") for i in range(n)], extra_props=True)
+        state = R.to_fold(R.registers(changes(spark, [("insert", "Wide", "1", {"c1": 1}, None, 1)])), wide)
+        plan = state._jdf.queryExecution().optimizedPlan()
+        return sum(e.count("variant_get(") for e in plan.toString().split("\n"))
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        assert casts(400) == casts(200) < 20
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_state_over_restarts_equals_replay(spark, folder, seed):
     events = random_events(150, 60 + seed) + [("insert", "Other", "o", {"x": 1}, None, 5000)]
