@@ -27,11 +27,9 @@ from docsync.functions.cast import can_fail
 from docsync.functions.naming import EXTRA_COLUMN, literal, quoted, ref
 from docsync.operators.mapping import CollectionMap, MappedColumn
 from docsync.operators.project import FAILED, cast_fields, failed_sql, leftovers_sql
-from docsync.operators.registers import CHANGES, CLEARED, DELETED, FIELDS, FIELDS_TYPE, LIVE, WIDE_MAP, registers, to_fold
+from docsync.operators.registers import CHANGES, CLEARED, DELETED, FAILURES, FIELDS, FIELDS_TYPE, LIVE, WIDE_MAP, registers, to_fold
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
-# In a fold about to be written: values that did not fit.
-FAILURES = "_failures"
 # Before a column's name: the position of its last touch, in a stored table.
 AT = "_at_"
 
@@ -256,7 +254,8 @@ def settle(stored: DataFrame, state: DataFrame, cmap: CollectionMap, small: bool
     key, registers = cmap.key.column, _registers(cmap)
     renamed = [f"{quoted(c.column)} AS _p{i}" for i, c in enumerate(registers)]
     renamed += [f"{CLEARED} AS _c", f"{FIELDS} AS _f"] if cmap.extra_props else []
-    side = state.selectExpr("id AS _id_new", f"{DELETED} AS _d", f"{LIVE} AS _l", *renamed)
+    # Said of both uses below, so that Spark shuffles a fold once for them.
+    side = state.where("id IS NOT NULL").selectExpr("id AS _id_new", f"{DELETED} AS _d", f"{LIVE} AS _l", *renamed)
 
     def merged(joined: DataFrame) -> DataFrame:
         both = joined.selectExpr("*", f"greatest({DELETED}, _d) AS _gone", f"greatest({LIVE}, _l) AS _lives")

@@ -17,6 +17,11 @@ def field_path(source: str) -> str:
     return f"$['{source}']" if '"' in source else f'$["{source}"]'
 
 
+def has_path(source: str) -> bool:
+    """Can a path tell this field?"""
+    return source != "" and not ("'" in source and '"' in source)
+
+
 def cast_fields(df: DataFrame, columns: list[MappedColumn], doc: str = DOC) -> DataFrame:
     """``df`` with, for each column ``i``, its field ``_v<i>``, the field's type
     text ``_t<i>`` and the cast value ``_x<i>``.
@@ -25,12 +30,17 @@ def cast_fields(df: DataFrame, columns: list[MappedColumn], doc: str = DOC) -> D
     worked out once however many branches look at it.
     """
     values = [f"try_variant_get({doc}, {literal(field_path(c.source))}, 'variant') AS _v{i}" for i, c in enumerate(columns)]
+    return cast_values(df.selectExpr("*", *values), columns)
+
+
+def cast_values(df: DataFrame, columns: list[MappedColumn]) -> DataFrame:
+    """The same where the fields ``_v<i>`` are there already."""
     schemas = [f"schema_of_variant(_v{i}) AS _t{i}" for i in range(len(columns))]
     results = [
         f"CAST({variant_cast_sql(f'_v{i}', f'_t{i}', c.type)} AS {c.spark_type.simpleString()}) AS _x{i}"
         for i, c in enumerate(columns)
     ]
-    return df.selectExpr("*", *values).selectExpr("*", *schemas).selectExpr("*", *results)
+    return df.selectExpr("*", *schemas).selectExpr("*", *results)
 
 
 def failed_sql(columns: list[MappedColumn]) -> str:

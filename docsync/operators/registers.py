@@ -27,17 +27,23 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from docsync.functions.cast import can_fail, variant_cast_sql, variant_failed_sql
 from docsync.functions.naming import literal, literals, quoted
 from docsync.operators.mapping import CollectionMap, MappedColumn
-from docsync.operators.project import cast_fields, field_path
+from docsync.operators.project import cast_fields, cast_values, field_path, has_path
 from docsync.sources.feed import DELETE, INSERT, REPLACE, UPDATE
 
 DELETED, LIVE, CHANGES = "_deleted", "_live", "_changes"
 CLEARED, FIELDS = "_cleared", "_fields"
 REPLACED, UPDATES = "_replaced", "_updates"
+# In a fold or registers about to be written: values that did not fit.
+FAILURES = "_failures"
 FIELDS_TYPE = "MAP<STRING, STRUCT<seq: BIGINT, value: VARIANT>>"
 
 # Maps with more columns than this are folded field by field.
 WIDE_MAP = 150
 
+# Up to this many fields asked for, a change is folded as one row, else as a row a field;
+# and a document's registers are gathered a column each, else in one variant.
+NAMED_FIELDS = 16
+
 BY = ("coll_name", "id", "key")
 # Spark sorts by the columns of a grouping in turn, and variants are aggregated in
 # sorted rows; names of collections are few, so they come last.
@@ -65,7 +71,15 @@ def entries(changes: DataFrame, only: Iterable[str] | None = None) -> DataFrame:
 
 
 def registers(changes: DataFrame, only: Iterable[str] | None = None) -> DataFrame:
-    """Changes -> registers, by one aggregate; of a stream too (in update mode)."""
+    """Changes -> registers, by one aggregate; of a stream too (in update mode).
+
+    With ``only``, of these fields alone; if they are few, changes are not taken apart
+    before the aggregate but documents after it.  Failures that changes were given are
+    then summed up beside the document itself.
+    """
+    only = None if only is None else sorted(set(only))
+    if only is not None and len(only) <= NAMED_FIELDS and all(map(has_path, only)) and not changes.isStreaming:
+        return _registers_of(changes, only)
     rows = entries(changes, only)
     of_field = F.when(F.col("key").isNotNull() & ~F.col("empty"), F.col("seq"))
     change = F.when(F.col("key").isNull(), F.col("seq"))
@@ -84,6 +98,38 @@ def registers(changes: DataFrame, only: Iterable[str] | None = None) -> DataFram
     ).select(*SCHEMA.names)
 
 
+def _registers_of(changes: DataFrame, fields: list[str]) -> DataFrame:
+    """The same for a few fields: a row for each change, grouped by id.
+
+    Variants are aggregated in sorted rows, so how many rows there are decides.
+    """
+    counted = [FAILURES] if FAILURES in changes.columns else []
+    values = [f"try_variant_get(fields, {literal(field_path(f))}, 'variant') AS _v{i}" for i, f in enumerate(fields)]
+    taken = [f"coalesce(array_contains(removed, {literal(f)}), false) AS _r{i}" for i, f in enumerate(fields)]
+    empty = [f"coalesce(op = '{INSERT}' AND is_variant_null(_v{i}), false) AS _e{i}" for i in range(len(fields))]
+    found = changes.selectExpr("coll_name", "id", "seq", "op", *counted, *values, *taken).selectExpr("*", *empty)
+    touches = [x for i in range(len(fields)) for x in (
+        f"if(_r{i} OR (_v{i} IS NOT NULL AND NOT _e{i}), seq, NULL) AS _s{i}",
+        f"if(_r{i}, NULL, _v{i}) AS _c{i}", f"if(_e{i} AND NOT _r{i}, seq, NULL) AS _n{i}",
+    )]
+    of_fields = [x for i in range(len(fields)) for x in (f"max(_s{i}) AS _s{i}", f"max_by(_c{i}, _s{i}) AS _c{i}", f"max(_n{i}) AS _n{i}")]
+    of_change = [
+        f"max(if(op = '{DELETE}', seq, NULL)) AS {DELETED}", f"max(if(op <> '{DELETE}', seq, NULL)) AS {LIVE}",
+        f"max(if(op = '{REPLACE}', seq, NULL)) AS {REPLACED}", f"max(if(op IN ('{INSERT}', '{REPLACE}'), seq, NULL)) AS {CLEARED}",
+        f"count(seq) AS {CHANGES}", f"count(if(op IN ('{UPDATE}', '{REPLACE}'), seq, NULL)) AS {UPDATES}",
+        *[f"sum({c}) AS {c}" for c in counted],
+    ]
+    rows = found.selectExpr("coll_name", "id", "seq", "op", *counted, *touches).groupBy("id", "coll_name").agg(*[F.expr(x) for x in of_fields + of_change])
+    names = [*SCHEMA.names[len(BY) - 1:], *counted]
+    of_document = {"seq": "CAST(NULL AS BIGINT)", "key": "CAST(NULL AS STRING)", "value": "CAST(NULL AS VARIANT)", "void": "CAST(NULL AS BIGINT)"}
+    none = {n: "CAST(NULL AS BIGINT)" for n in (*_LONGS, *counted)} | {CHANGES: "0L", UPDATES: "0L"}
+    told = [{n: n for n in names} | of_document]
+    told += [none | {"key": literal(f), "seq": f"_s{i}", "value": f"_c{i}", "void": f"_n{i}"} for i, f in enumerate(fields)]
+    structs = [f"struct({', '.join(f'{e[n]} AS {n}' for n in names)})" for e in told]
+    split = rows.selectExpr("coll_name", "id", f"inline(array({', '.join(structs)}))")
+    return split.where("key IS NULL OR seq IS NOT NULL OR void IS NOT NULL").select(*SCHEMA.names, *counted)
+
+
 def latest(states: DataFrame) -> DataFrame:
     """Rows that one state gave out over time -> each register as it is now.
 
@@ -125,19 +171,31 @@ def to_fold(
     columns = list(cmap.value_columns)
     if len(columns) > WIDE_MAP and not since and not any(cast(c, "v", "t", "q") is not None for c in columns if cast):
         return _to_wide_fold(registers, cmap, by)
+    few = len(columns) <= NAMED_FIELDS
     mapped = f"key IN ({literals(c.source for c in columns)})" if columns else "false"
     known = f"key IN ({literals(c.source for c in cmap.columns)})" if cmap.columns else "false"
-    # An entry per field of the map, or of the id's documents where leftovers are kept.
+    # An entry per field of the map.
     gather = f"to_variant_object(map_from_entries(collect_list(if({mapped} AND seq IS NOT NULL, struct(key, {{0}}), NULL))))"
     sums = [
         f"max({DELETED}) AS {DELETED}", f"max({LIVE}) AS {LIVE}", f"max({REPLACED}) AS {REPLACED}", f"max({CLEARED}) AS {CLEARED}",
-        f"sum({CHANGES}) AS {CHANGES}", f"{gather.format('value')} AS fields", f"{gather.format('seq')} AS seqs",
+        f"sum({CHANGES}) AS {CHANGES}",
     ]
+    if few:
+        at = [f"if(key = {literal(c.source)}, seq, NULL)" for c in columns]
+        sums += [x for i, s in enumerate(at) for x in (f"max({s}) AS _q{i}", f"max_by(value, {s}) AS _f{i}")]
+    else:
+        sums += [f"{gather.format('value')} AS fields", f"{gather.format('seq')} AS seqs"]
     if cmap.extra_props:
+        # And one per field of the id's documents.
         sums.append(f"map_from_entries(collect_list(if(key IS NULL OR {known}, NULL, struct(key, {_REST})))) AS _rest")
     rows = registers.groupBy(*by).agg(*[F.expr(s) for s in sums])
-    seqs = [f"try_variant_get(seqs, {literal(field_path(c.source))}, 'bigint') AS _q{i}" for i, c in enumerate(columns)]
-    ready = cast_fields(rows, columns, "fields").selectExpr("*", *seqs)
+    if few:
+        # A field taken away was touched, and reads as null.
+        values = [f"if(_q{i} IS NULL, NULL, coalesce(_f{i}, parse_json('null'))) AS _v{i}" for i in range(len(columns))]
+        ready = cast_values(rows.selectExpr("*", *values), columns)
+    else:
+        seqs = [f"try_variant_get(seqs, {literal(field_path(c.source))}, 'bigint') AS _q{i}" for i, c in enumerate(columns)]
+        ready = cast_fields(rows, columns, "fields").selectExpr("*", *seqs)
     if cast:
         made = {f"_x{i}": cast(c, f"_v{i}", f"_t{i}", f"_q{i}") for i, c in enumerate(columns)}
         ready = ready.withColumns({n: e for n, e in made.items() if e is not None})
@@ -162,7 +220,6 @@ def to_fold(
     )
 
 
-
 def _to_wide_fold(registers: DataFrame, cmap: CollectionMap, by: tuple[str, ...]) -> DataFrame:
     """The same for a map of many columns, of which a document has few.
 

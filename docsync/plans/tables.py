@@ -344,24 +344,28 @@ class TableStore:
                     position=max(known) if known else None, batches={**old.batches, feed: batch_id}),
         )
 
-    def add_registers(self, rows: DataFrame, feed: str, batch_id: int) -> tuple[str, dict[str, tuple[FoldFile, int | None]]]:
+    def add_registers(self, rows: DataFrame, feed: str, batch_id: int) -> tuple[str, dict[str, tuple[FoldFile, int | None]], int | None]:
         """Write a batch's registers of all collections once, a folder each.
 
-        ``rows`` has a column ``relation``.  Gives the folder, and for each relation what
-        is in it and the last position; nothing is visible before :meth:`lay` names it.
+        ``rows`` has a column ``relation``.  Gives the folder, for each relation what
+        is in it and the last position, and how many values did not fit (none if
+        ``rows`` do not count them); nothing is visible before :meth:`lay` names it.
         """
         # A folder for each attempt: commits may name what an earlier one wrote.
         folder = f"{self.root}/_registers/feed={feed}/batch={batch_id}-{uuid.uuid4().hex}"
-        rows.select("relation", *REGISTERS.names).write.partitionBy("relation").parquet(folder)
-        found = self.registers_in(folder).groupBy("relation").agg(F.count("*").alias("rows"), F.max(F.greatest(LIVE, DELETED)).alias("last")).collect()
+        counted = [FAILURES] if FAILURES in rows.columns else []
+        rows.select("relation", *REGISTERS.names, *counted).write.partitionBy("relation").parquet(folder)
+        written = self.registers_in(folder, *counted).groupBy("relation")
+        failed = [F.sum(c).alias("failures") for c in counted]
+        found = written.agg(F.count("*").alias("rows"), F.max(F.greatest(LIVE, DELETED)).alias("last"), *failed).collect()
         out = {}
         for r in found:
             path = f"{folder}/relation={r.relation}"
             out[r.relation] = (FoldFile(path, r.rows, files.size(self.spark, path), "registers"), r.last)
-        return folder, out
+        return folder, out, sum(r.failures or 0 for r in found) if counted else None
 
-    def registers_in(self, folder: str) -> DataFrame:
-        schema = T.StructType([*REGISTERS.fields, T.StructField("relation", T.StringType())])
+    def registers_in(self, folder: str, *longs: str) -> DataFrame:
+        schema = T.StructType([*REGISTERS.fields, *[T.StructField(c, T.LongType()) for c in longs], T.StructField("relation", T.StringType())])
         return self.spark.read.schema(schema).parquet(folder)
 
     def lay(self, relation: str, added: FoldFile | None, cmap: CollectionMap, feed: str, batch_id: int, last: int | None) -> Commit:

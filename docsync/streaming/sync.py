@@ -11,11 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docsync.functions import types as ct
 from docsync.functions.cast import can_fail, variant_cast_sql, variant_failed_sql
+from docsync.functions.naming import quoted
 from docsync.operators import records
 from docsync.operators.evolve import backfill, effective_map, evolve_stored, map_changes
-from docsync.operators.fold import AT
-from docsync.operators.mapping import CollectionMap, map_frame
-from docsync.operators.registers import UPDATES, entries, registers
+from docsync.operators.fold import AT, FAILURES
+from docsync.operators.mapping import CollectionMap, MappedColumn, map_frame
+from docsync.operators.project import cast_fields, failed_sql, has_path
+from docsync.operators.registers import NAMED_FIELDS, UPDATES, entries, registers
 from docsync.plans.snapshot import load_collection, transfer
 from docsync.plans.tables import TableStore
 from docsync.sources import feed as feed_source
@@ -48,10 +50,14 @@ def apply_batch(
     """
     batch = events.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _append_errors(store, records.dead_letters(batch), f"dead-{feed}-{batch_id}")
-        wanted = feed_source.mapped(feed_source.placeable(batch), maps)
-        # At most as many names as the map has collections.
-        names = sorted(r[0] for r in wanted.select("ns.coll").distinct().collect())
+        # At most as many names as the map has collections, and a row for whether there are others.
+        fault = feed_source.fault(batch)
+        told = batch.select(F.when(fault.isNull(), F.col("ns.coll")).alias("coll"), fault.isNotNull().alias("faulty"))
+        seen = told.where(F.col("faulty") | F.col("coll").isin(*maps)).distinct().collect()
+        if any(r.faulty for r in seen):
+            _append_errors(store, records.dead_letters(batch), f"dead-{feed}-{batch_id}")
+        names = sorted(r.coll for r in seen if not r.faulty)
+        wanted = feed_source.mapped(feed_source.placeable(batch), names)
         _apply_collections(store, {n: maps[n] for n in names}, feed_source.normalise(wanted), feed, batch_id, audit)
         for name in names:
             if len(store.commit_of(maps[name].relation).folds) >= merge_every:
@@ -78,13 +84,20 @@ def _apply_collections(store: TableStore, maps: Maps, changes: DataFrame, feed:
     targets = F.broadcast(store.spark.createDataFrame(known, "_coll string, relation string, _passed long"))
     chosen = changes.join(targets, F.col("coll_name") == F.col("_coll")).where(F.col("_passed").isNull() | (F.col("seq") > F.col("_passed")))
     relations = F.broadcast(store.spark.createDataFrame([(n, m.relation) for n, m in maps.items()], "_named string, relation string"))
-    rows = registers(chosen).join(relations, F.col("coll_name") == F.col("_named"))
-    folder, found = store.add_registers(rows, feed, batch_id)
+    # Leftovers are of any name; fields that no map knows are else never read.
+    fields = {c.source for m in used.values() for c in m.value_columns}
+    if len(fields) > NAMED_FIELDS or any(m.extra_props for m in used.values()):
+        folded = registers(chosen)
+    else:
+        folded = registers(_with_failures(chosen, used), fields)
+    rows = folded.join(relations, F.col("coll_name") == F.col("_named"))
+    folder, found, failures = store.add_registers(rows, feed, batch_id)
     part = f"{feed}-{batch_id}"
     if audit:
         often = store.registers_in(folder).where(f"key IS NULL AND {UPDATES} > 1").select("relation", "id")
         store.append_service("audit", records.audit_rows(chosen, "relation", often=often, by=("relation", "id")), part)
-    _append_errors(store, map_errors(chosen, used), f"cast-{part}")
+    if failures != 0:
+        _append_errors(store, map_errors(chosen, used), f"cast-{part}")
     for n in todo:
         added, last = found.get(maps[n].relation, (None, None))
         store.lay(maps[n].relation, added, used[n], feed, batch_id, last)
@@ -100,7 +113,9 @@ def map_errors(changes: DataFrame, maps: Maps) -> DataFrame:
     columns = changes.sparkSession.createDataFrame(fields, "_coll_name string, _source string, _type string, _location string")
     if len(fields) <= feed_source.MAX_BROADCAST_NAMES:
         columns = F.broadcast(columns)
-    touched = entries(changes).where("key IS NOT NULL AND value IS NOT NULL").select("coll_name", "id", "key", "value")
+    counted = _with_failures(changes, maps)
+    suspects = counted.where(f"{FAILURES} > 0") if FAILURES in counted.columns else changes
+    touched = entries(suspects).where("key IS NOT NULL AND value IS NOT NULL").select("coll_name", "id", "key", "value")
     mapped = touched.join(columns, (F.col("coll_name") == F.col("_coll_name")) & (F.col("key") == F.col("_source")))
     kinds = sorted({t for _, _, t, _ in fields})
     ready = mapped.selectExpr("*", "schema_of_variant(value) AS _t")
@@ -113,6 +128,19 @@ def map_errors(changes: DataFrame, maps: Maps) -> DataFrame:
     )
 
 
+def _with_failures(changes: DataFrame, maps: Maps) -> DataFrame:
+    """Changes with how many fields hold a value that the map of any collection cannot take.
+
+    So a change without is without errors.  Told without taking changes apart; where
+    the fields that can fail are many, they are not counted.
+    """
+    fields = sorted({(c.source, ct.canonical(c.type)) for m in maps.values() for c in m.value_columns if can_fail(c.type)})
+    if len(fields) > NAMED_FIELDS or not all(has_path(source) for source, _ in fields):
+        return changes
+    columns = [MappedColumn(f"c{i}", source, t) for i, (source, t) in enumerate(fields)]
+    return cast_fields(changes, columns, "fields").selectExpr(*map(quoted, changes.columns), f"size({failed_sql(columns)}) AS {FAILURES}")
+
+
 def _append_errors(store: TableStore, errors: DataFrame, part: str) -> None:
     if not errors.isEmpty():
         store.append_service("errors", errors, part)

@@ -44,6 +44,32 @@ def test_leftovers_of_wide_maps_are_folded_by_field(spark):
     assert plan.count("max_by(") <= 2 and plan.count("Aggregate") == 2
 
 
+def test_few_fields_are_folded_a_row_a_change(spark, monkeypatch):
+    rng, values = random.Random(7), [None, "x", "1.5", 7, {"a": 1}, [1]]
+    events = []
+    for seq in range(200):
+        op = rng.choice(["insert", "update", "update", "replace", "delete"])
+        fields = {} if op == "delete" else {rng.choice("abcd"): rng.choice(values) for _ in range(3)}
+        events.append((op, rng.choice(["Thing", "Other"]), str(rng.randrange(12)), fields, rng.choice([None, ["a"], ["b", "z"]]) if op == "update" else None, seq))
+    few = R.registers(changes(spark, events), ["a", "b", "c"])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    # Changes are aggregated as they are; what is taken apart are documents, after it.
+    assert plan.count("Generate ") == 1 and plan.index("Generate ") < plan.index("Aggregate")
+
+    def told(rows):
+        return sorted(tuple(r) for r in rows.withColumn("value", F.to_json("value")).fillna("-", ["key"]).collect())
+
+    def folded(rows):
+        m = make_map("Thing", "thing", [KEY, ("a", "a", "DOUBLE PRECISION"), ("b", "b", "JSONB"), ("c", "c", "TEXT")])
+        return sorted(tuple(r) for r in R.to_fold(rows.where("coll_name = 'Thing'"), m).withColumn("b", F.to_json("b")).collect())
+
+    got = told(few), folded(few)
+    want = told(R.registers(changes(spark, events)).where("key IS NULL OR key IN ('a', 'b', 'c')"))
+    monkeypatch.setattr(R, "NAMED_FIELDS", 2)
+    many = R.registers(changes(spark, events), ["a", "b", "c"])
+    assert got == (told(many), folded(many)) and got[0] == want
+
+
 @pytest.mark.parametrize("extra_props", [True, False])
 def test_wide_and_narrow_folds_are_the_same(spark, monkeypatch, extra_props):
     types = ("TEXT", "DOUBLE PRECISION", "TIMESTAMP", "BOOLEAN", "JSONB")

@@ -62,6 +62,27 @@ def test_repeated_batch_changes_nothing(spark, folder):
     assert store.service("audit").count() == 2 and rows_by_key(store.read("thing")) == {"1": {"a": "x", "b": None}}
 
 
+@pytest.mark.parametrize("named_fields", [sync.NAMED_FIELDS, 0])
+def test_misfits_are_searched_only_where_a_fold_counts_some(spark, folder, monkeypatch, named_fields):
+    monkeypatch.setattr(sync, "NAMED_FIELDS", named_fields)
+    searched, search = [], sync.map_errors
+    monkeypatch.setattr(sync, "map_errors", lambda *a: searched.append(1) or search(*a))
+    texts = make_map("Texts", "texts", [("id", "_id", "TEXT"), ("x", "x", "TEXT")])
+    maps, store = {"Other": OTHER, "Texts": texts}, TableStore(spark, folder)
+    batches = [
+        [("insert", "Other", "1", {"x": 5, "y": "bad"}, None, 1), ("update", "Other", "1", {"x": None}, None, 2), ("delete", "Texts", "2", {}, None, 3)],
+        [("insert", "Other", "1", {"x": "bad"}, None, 4), ("update", "Other", "1", {"x": "6"}, None, 5), ("insert", "Texts", "2", {"x": "fits"}, None, 6), ("update", "Ghost", "3", {"x": "bad"}, None, 7)],
+    ]
+    counts = []
+    for i, batch in enumerate(batches):
+        sync.apply_batch(store, maps, events_frame(spark, batch), "f", i, audit=False)
+        counts.append(len(searched))
+    assert counts == ([0, 1] if named_fields else [1, 2])
+    # One register of 1 has the value that did not fit no more: it is in the feed that misfits are looked for.
+    assert [(r["location"], r["message"]) for r in store.service("errors").collect()] == [("other", "value does not fit: x: 1")]
+    assert rows_by_key(store.read("other")) == {"1": {"x": 6.0}} and rows_by_key(store.read("texts")) == {"2": {"x": "fits"}}
+
+
 def test_a_batch_that_only_some_tables_took(spark, folder, monkeypatch):
     """The driver dies between two tables' commits; the batch is repeated."""
     store = TableStore(spark, folder)
